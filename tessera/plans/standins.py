@@ -59,3 +59,20 @@ CLICK_SQL = """clicks AS (
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
   JOIN customer ON o_custkey = c_custkey
   JOIN part ON l_partkey = p_partkey)"""
+
+
+def listings(spark: SparkSession, sf: str) -> DataFrame:
+    """Listings from ``part``: title = name brand type, group = (name, brand), hash from md5(name)."""
+    p = table(spark, sf, "part")
+    return p.select(F.col("p_partkey").alias("posting_id"),
+                    F.concat_ws(" ", "p_name", "p_brand", "p_type").alias("title"),
+                    F.concat_ws("|", "p_name", "p_brand").alias("label_group"),
+                    F.substring(F.md5("p_name"), 1, 16).alias("image_phash"),
+                    "p_type", "p_brand", "p_retailprice")
+
+
+LISTINGS_SQL = """listings AS (
+  SELECT p_partkey AS posting_id, concat_ws(' ', p_name, p_brand, p_type) AS title,
+         concat_ws('|', p_name, p_brand) AS label_group, substring(md5(p_name), 1, 16) AS image_phash,
+         p_type, p_brand, p_retailprice
+  FROM part)"""
