@@ -32,7 +32,7 @@ def group_rank(df: DataFrame, key: list[str] | str, order_hex: str,
     """
     keys = [key] if isinstance(key, str) else list(key)
     sl = "__slice"
-    d = df.withColumn(sl, F.substring(F.col(order_hex), 1, SUB_HEX))
+    d = df.withColumn(sl, F.coalesce(F.substring(F.col(order_hex), 1, SUB_HEX), F.lit("")))
     cnt = d.groupBy(*keys, sl).agg(F.count(F.lit(1)).alias("__cnt"))
     wk = Window.partitionBy(*keys).orderBy(sl)
     offs = (cnt.withColumn("__off", F.sum("__cnt").over(wk.rowsBetween(Window.unboundedPreceding, -1)))
@@ -115,3 +115,22 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: list[str], buckets: int
     for x in sum_cols:
         out = out.withColumn(f"{prefix}{x}", F.coalesce(F.sum(x).over(wr), F.lit(0)) + F.col(f"__o_{x}"))
     return out.drop("__b", *[f"__o_{x}" for x in sum_cols])
+
+
+def dense_index(df: DataFrame, order: list, out: str = "index") -> DataFrame:
+    """Exact 0-based position of every row in a total ``order``, fully distributed.
+
+    A range-partitioned sort puts the rows in order across partitions;
+    ``monotonically_increasing_id`` encodes (partition, row-in-partition);
+    per-partition counts (one row per partition, a bounded table) give each
+    partition its offset. No global window, no single task sees all rows.
+    """
+    s = df.orderBy(*order).withColumn("__mid", F.monotonically_increasing_id())
+    s = s.withColumn("__pid", F.shiftright("__mid", 33)).withColumn(
+        "__pos", F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1)))
+    cnt = s.groupBy("__pid").agg(F.count(F.lit(1)).alias("__c"))
+    offs = cnt.select("__pid", F.coalesce(F.sum("__c").over(
+        Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
+    return (s.join(F.broadcast(offs), "__pid")
+             .withColumn(out, (F.col("__off") + F.col("__pos")).cast("long"))
+             .drop("__mid", "__pid", "__pos", "__off"))

@@ -94,7 +94,7 @@ def vectors_long(vecs: DataFrame, id_col: str, vec: str) -> DataFrame:
         "value", F.col("value").cast("double"))
 
 
-def _block_topk(k: int, tie_digits: int):
+def _block_topk(k: int, tie_digits: int, exclude_same: bool = False):
     import numpy as np
     import pandas as pd
 
@@ -112,6 +112,8 @@ def _block_topk(k: int, tie_digits: int):
         qid = q["id"].to_numpy()
         cid = cands["id"].to_numpy()
         sims[qid[:, None] == cid[None, :]] = -np.inf  # the query itself is removed
+        if exclude_same:  # hard negatives: only partners of another group compete
+            sims[q["g"].to_numpy()[:, None] == cands["g"].to_numpy()[None, :]] = -np.inf
         key = np.round(sims, tie_digits)
         out_a, out_b, out_s = [], [], []
         kk = min(k, len(cid))
@@ -128,7 +130,7 @@ def _block_topk(k: int, tie_digits: int):
 
 
 def knn_join(vecs: DataFrame, k: int, id_col: str = "id", vec: str = "embedding",
-             block_rows: int = 2048, tie_digits: int = 9) -> DataFrame:
+             block_rows: int = 2048, tie_digits: int = 9, exclude_same: str | None = None) -> DataFrame:
     """Exact top-k nearest rows by cosine for every row (self removed).
 
     Rows are hashed into B blocks (B from the row count and ``block_rows``).
@@ -139,13 +141,14 @@ def knn_join(vecs: DataFrame, k: int, id_col: str = "id", vec: str = "embedding"
     """
     n = vecs.count()
     nb = max(1, -(-n // block_rows))
-    base = vecs.select(F.col(id_col).cast("long").alias("id"), F.col(vec).alias("v"),
+    g = F.col(exclude_same) if exclude_same else F.lit(0)
+    base = vecs.select(F.col(id_col).cast("long").alias("id"), F.col(vec).alias("v"), g.alias("g"),
                        F.pmod(F.xxhash64(id_col), F.lit(nb)).alias("__blk"))
     allb = F.sequence(F.lit(0).cast("long"), F.lit(nb - 1).cast("long"))
-    q = base.select("id", "v", F.col("__blk").alias("qb"), F.explode(allb).alias("cb"))
-    c_ = base.select("id", "v", F.explode(allb).alias("qb"), F.col("__blk").alias("cb"))
+    q = base.select("id", "v", "g", F.col("__blk").alias("qb"), F.explode(allb).alias("cb"))
+    c_ = base.select("id", "v", "g", F.explode(allb).alias("qb"), F.col("__blk").alias("cb"))
     part = (q.groupBy("qb", "cb").cogroup(c_.groupBy("qb", "cb"))
-              .applyInPandas(_block_topk(k, tie_digits), "a long, b long, sim double"))
+              .applyInPandas(_block_topk(k, tie_digits, exclude_same is not None), "a long, b long, sim double"))
     return top_k_neighbours(part, k, tie_digits=tie_digits)
 
 
