@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "c", "md5_order", "md5_bucket", "safe_div", "dot", "l2_norm", "scale_array",
     "WORD", "word_tokens", "simple_tokens", "word_ngrams", "char_ngrams",
-    "collapse_spaces", "r6",
+    "collapse_spaces", "r6", "r6_ieee",
 ]
 
 # Fixed value: the word-character class used for tokenising. Java regex and
@@ -30,6 +30,16 @@ def r6(x) -> Column:
     return F.round(c(x), 6)
 
 
+def r6_ieee(x) -> Column:
+    """Round half up to 6 places with plain IEEE ops, ``floor(x * 1e6 + 0.5) / 1e6``.
+
+    Spark's ``round`` rounds the exact decimal expansion of a double while
+    other engines round the scaled double, so values that sit on a tie (linear
+    blends of short decimals) can round apart; this form is identical anywhere.
+    """
+    return F.floor(c(x) * 1000000 + 0.5) / 1000000
+
+
 def md5_order(seed, *cols) -> Column:
     """Deterministic pseudo-random sort key: md5 of ``seed|c1|c2...``.
 

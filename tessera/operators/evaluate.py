@@ -58,36 +58,46 @@ def grid_hundredths(lo: int, hi: int, step: int) -> list[int]:
     return list(range(lo, hi + 1, step))
 
 
-def threshold_sweep(df: DataFrame, grid: list[int], label: str = "label", score: str = "score") -> DataFrame:
+def threshold_sweep(df: DataFrame, grid: list[int], label: str = "label", score: str = "score",
+                    by: list[str] | None = None) -> DataFrame:
     """Confusion and F1 for every threshold t = g/100 of the grid, predicting score >= t.
 
     One pass over the rows: each row falls into the bucket of the largest grid
     threshold it reaches (exact comparisons against g/100.0), giving a tiny
-    (bucket, pos, neg) table; counts per threshold are suffix sums of it.
+    (by, bucket, pos, neg) table; counts per threshold are suffix sums of it.
+    ``by`` runs one sweep per slice (e.g. per fusion weight) in the same pass.
     """
+    by = by or []
     g = sorted(grid)
     ths = F.array(*[F.lit(x / 100.0) for x in g])
     # index (1-based) of the largest threshold <= score; 0 = below all
     b = F.size(F.filter(ths, lambda t: F.col(score) >= t))
-    h = (df.select(b.alias("b"), F.col(label).cast("long").alias("y"))
-           .groupBy("b").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")))
+    h = (df.select(*by, b.alias("b"), F.col(label).cast("long").alias("y"))
+           .groupBy(*by, "b").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")))
     spark = df.sparkSession
     gdf = spark.createDataFrame([(i + 1, x) for i, x in enumerate(g)], "gi int, g int")
-    P = h.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    # rows with bucket >= gi are predicted positive at threshold gi (<= len(grid) rows)
+    tot = h.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    # bucket table has at most (slices x (len(grid)+1)) rows: the grid join stays tiny
     cnt = (gdf.join(F.broadcast(h), F.col("b") >= F.col("gi"), "left")
-              .groupBy("gi", "g").agg(F.coalesce(F.sum("pos"), F.lit(0)).cast("long").alias("tp"),
-                                      F.coalesce(F.sum("neg"), F.lit(0)).cast("long").alias("fp")))
-    out = attach_row(cnt, P)
+              .groupBy(*by, "gi", "g").agg(F.coalesce(F.sum("pos"), F.lit(0)).cast("long").alias("tp"),
+                                           F.coalesce(F.sum("neg"), F.lit(0)).cast("long").alias("fp")))
+    if by:
+        cnt = cnt.filter(F.col(by[0]).isNotNull())
+        out = cnt.join(tot, by)
+    else:
+        out = attach_row(cnt, tot)
     out = (out.withColumn("fn", (F.col("P") - F.col("tp")).cast("long"))
               .withColumn("tn", (F.col("N") - F.col("fp")).cast("long"))
               .withColumn("threshold", F.col("g") / 100.0).drop("P", "N", "gi"))
     return with_rates(out)
 
 
-def best_threshold(sweep: DataFrame, metric: str = "f1") -> DataFrame:
-    """The threshold with the best metric; lowest threshold on ties."""
-    return sweep.orderBy(F.desc(metric), "threshold").limit(1)
+def best_threshold(sweep: DataFrame, metric: str = "f1", by: list[str] | None = None) -> DataFrame:
+    """The threshold with the best metric; lowest threshold on ties (per slice with ``by``)."""
+    if not by:
+        return sweep.orderBy(F.desc(metric), "threshold").limit(1)
+    w = Window.partitionBy(*by).orderBy(F.desc(metric), "threshold")
+    return sweep.withColumn("__r", F.row_number().over(w)).filter("__r = 1").drop("__r")
 
 
 def _score_groups(df: DataFrame, label: str, score: str) -> DataFrame:

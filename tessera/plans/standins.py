@@ -41,11 +41,12 @@ def click_rows(spark: SparkSession, sf: str) -> DataFrame:
            .join(cu, F.col("o_custkey") == F.col("c_custkey"))
            .join(pa, F.col("l_partkey") == F.col("p_partkey")))
     score = ((F.col("l_discount") * 5 + F.col("l_tax") * 4 + F.col("l_quantity") / 100
-              + F.col("p_size") / 125) / 1.5)
+              + F.col("p_size") / 125) / 1.75)
     return j.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_id"),
         (F.col("l_returnflag") == "R").cast("int").alias("label"),
         score.alias("score"),
+        ((F.col("p_retailprice") / 2000 + F.col("l_discount") * 5) / 2).alias("score2"),
         "l_quantity", "l_extendedprice", "l_discount", "l_tax", "p_size", "p_retailprice", "c_acctbal",
         "c_mktsegment", "p_brand", "p_type", "o_orderpriority", "c_nationkey")
 
@@ -53,7 +54,8 @@ def click_rows(spark: SparkSession, sf: str) -> DataFrame:
 CLICK_SQL = """clicks AS (
   SELECT l_orderkey * 10 + l_linenumber AS row_id,
          CAST(l_returnflag = 'R' AS INTEGER) AS label,
-         (l_discount * 5 + l_tax * 4 + l_quantity / 100 + p_size / 125) / 1.5 AS score,
+         (l_discount * 5 + l_tax * 4 + l_quantity / 100 + p_size / 125) / 1.75 AS score,
+         (p_retailprice / 2000 + l_discount * 5) / 2 AS score2,
          l_quantity, l_extendedprice, l_discount, l_tax, p_size, p_retailprice, c_acctbal,
          c_mktsegment, p_brand, p_type, o_orderpriority, c_nationkey
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
