@@ -41,28 +41,33 @@ def positive_pairs(df: DataFrame, id_col: str, group: str, seed: int = 42) -> Da
                     F.lit(1).alias("label"))
 
 
-def negative_pairs(df: DataFrame, id_col: str, group: str, n: int, seed: int = 42,
+def negative_pairs(df: DataFrame, id_col: str, group: str, n: "int | DataFrame", seed: int = 42,
                    shifts: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
     """N distinct pairs of rows from different groups, chosen deterministically.
 
     Rows get md5-ordered positions 0..N-1; row p is paired with p+s (mod N)
     for each shift s; pairs inside one group are dropped, mirrors merged and
-    the first n by md5 of the pair are kept (n is the wanted count: a feature).
+    the first n by md5 of the pair are kept (n is the wanted count, e.g. the
+    number of positives: a one-row DataFrame with column ``n`` or an int).
+    Positions come from a distributed dense index, so nothing is ranked in
+    one task.
     """
+    from tessera.functions.rows import attach_row
     d = df.select(F.col(id_col).alias("__id"), F.col(group).alias("__g")).withColumn("__o", md5_order(seed, "__id"))
     pos = dense_index(d, ["__o"], "__p").select("__id", "__g", "__p")
-    N = pos.agg(F.count(F.lit(1)).alias("N"))
-    from tessera.functions.rows import attach_row
-    pos = attach_row(pos, N)
-    cands = None
+    pos = attach_row(pos, pos.agg(F.count(F.lit(1)).alias("N")))
     other = pos.select(F.col("__id").alias("__id2"), F.col("__g").alias("__g2"), F.col("__p").alias("__p2"))
+    cands = None
     for s in shifts:
         c = pos.withColumn("__p2", F.pmod(F.col("__p") + s, F.col("N"))).join(other, "__p2")
         c = c.filter(F.col("__g") != F.col("__g2")).select(
             F.least("__id", "__id2").alias("id_a"), F.greatest("__id", "__id2").alias("id_b"))
         cands = c if cands is None else cands.unionByName(c)
     cands = cands.distinct().withColumn("__o", md5_order(seed, "id_a", "id_b"))
-    return cands.orderBy("__o").limit(n).select("id_a", "id_b", F.lit(0).alias("label"))
+    ranked = dense_index(cands, ["__o"], "__r")
+    want = n if isinstance(n, DataFrame) else df.sparkSession.range(1).select(F.lit(int(n)).alias("n"))
+    return (attach_row(ranked, want.select(F.col("n").cast("long").alias("__n")))
+            .filter(F.col("__r") < F.col("__n")).select("id_a", "id_b", F.lit(0).alias("label")))
 
 
 def labelled_pairs(pos: DataFrame, neg: DataFrame) -> DataFrame:

@@ -171,3 +171,26 @@ def paired_distance(a: DataFrame, b: DataFrame, key: str, vec: str = "embedding"
     j = a.select(key, F.col(vec).alias("__va")).join(b.select(key, F.col(vec).alias("__vb")), key)
     den = l2_norm("__va") * l2_norm("__vb")
     return j.select(key, F.when(den == 0, 0.0).otherwise(dot("__va", "__vb") / den).alias("cosine"))
+
+
+def class_centroids(vecs: DataFrame, label: str, vec: str = "embedding") -> DataFrame:
+    """Mean vector per class in long form ``(label, dim, value)`` (a partial aggregate)."""
+    return (vecs.select(label, F.posexplode(vec).alias("dim", "value"))
+                .groupBy(label, "dim").agg(F.avg(F.col("value").cast("double")).alias("value")))
+
+
+def nearest_centroid(vecs: DataFrame, centroids: DataFrame, id_col: str, label: str,
+                     vec: str = "embedding", tie_digits: int = 9) -> DataFrame:
+    """Class of the nearest class vector by cosine (ties by class), via a join on dimension.
+
+    Work is rows x classes x dims, linear in the rows; no row meets another row.
+    """
+    lv = vecs.select(id_col, F.posexplode(vec).alias("dim", "v")).withColumn("v", F.col("v").cast("double"))
+    cn = centroids.groupBy(label).agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("__cn"))
+    c = centroids.select(F.col(label).alias("cls"), "dim", F.col("value").alias("cv"))
+    s = (lv.join(c, "dim").groupBy(id_col, "cls").agg(F.sum(F.col("v") * F.col("cv")).alias("__dot"))
+           .join(cn.select(F.col(label).alias("cls"), "__cn"), "cls")
+           .withColumn("score", F.when(F.col("__cn") == 0, 0.0).otherwise(F.col("__dot") / F.col("__cn"))))
+    best = top_k_per_key(s.select(id_col, "cls", "score"), id_col,
+                         [F.desc(F.round("score", tie_digits)), F.col("cls")], 1, salt_cols=["cls"])
+    return best.select(id_col, F.col("cls").alias("predicted"), "score")
