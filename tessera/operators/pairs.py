@@ -103,7 +103,7 @@ def connected_groups(edges: DataFrame, a: str = "id_a", b: str = "id_b", max_rou
     component = smallest node id in the component.
     """
     e = edges.select(F.col(a).alias("src"), F.col(b).alias("dst"))
-    und = e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
+    und = cut_lineage(e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())
     lab = und.select(F.col("src").alias("node")).distinct().withColumn("comp", F.col("node"))
     for r in range(1, max_rounds + 1):
         prop = (und.join(lab.withColumnRenamed("node", "src"), "src")

@@ -32,6 +32,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         b = b.master(master)
     for k, v in BASE_CONF.items():
         b = b.config(k, v)
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the executor, so give it the memory
+        b = b.config("spark.driver.memory", (extra or {}).get("spark.driver.memory", "16g"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
