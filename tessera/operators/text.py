@@ -109,15 +109,20 @@ def ngram_rows(df: DataFrame, key: list[str], text: str, kind: str = "word", lo:
     return df.select(*key, F.explode(F.concat(*arrs)).alias("term"))
 
 
+def idf_table(tf: DataFrame, doc: str, min_df: int = 1, max_features: int | None = None) -> DataFrame:
+    """Smoothed idf ln((1+N)/(1+df)) + 1 per term from a ``(doc, term, tf)`` table."""
+    N = tf.select(doc).distinct().agg(F.count(F.lit(1)).alias("__N"))
+    st = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("__tot")).filter(F.col("df") >= min_df)
+    if max_features:
+        st = st.orderBy(F.desc("__tot"), "term").limit(max_features)  # the vocabulary cap is the feature
+    return attach_row(st, N).select("term", "df", (F.log((1 + F.col("__N")) / (1 + F.col("df"))) + 1).alias("idf"))
+
+
 def tfidf(term_rows: DataFrame, doc: str, min_df: int = 1, max_features: int | None = None) -> DataFrame:
     """Raw tf x (ln((1+N)/(1+df)) + 1), rows L2-normalised; min_df filter; keep the
     ``max_features`` terms of highest total count (ties by term). Long output ``(doc, term, weight)``."""
     tf = term_rows.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
-    N = term_rows.select(doc).distinct().agg(F.count(F.lit(1)).alias("__N"))
-    st = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("__tot")).filter(F.col("df") >= min_df)
-    if max_features:
-        st = st.orderBy(F.desc("__tot"), "term").limit(max_features)  # the vocabulary cap is the feature
-    st = attach_row(st, N).withColumn("idf", F.log((1 + F.col("__N")) / (1 + F.col("df"))) + 1)
+    st = idf_table(tf, doc, min_df, max_features)
     w = tf.join(st.select("term", "idf"), "term").withColumn("w", F.col("tf") * F.col("idf"))
     norm = w.groupBy(doc).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("__n"))
     return w.join(norm, doc).select(doc, "term", (F.col("w") / F.col("__n")).alias("weight"))
