@@ -69,10 +69,11 @@ def summarise_communities(labels: DataFrame, edges: DataFrame, top: int = 3) ->
     return size.join(names.select("label", F.array_join(F.transform("__s", lambda s: s["n"]), ", ").alias("top_entities")), "label")
 
 
-def graph_retrieve(q_entities: DataFrame, edges: DataFrame, doc_mentions: DataFrame, k: int,
+def graph_retrieve(q_entities: DataFrame, edges: DataFrame, doc_mentions: DataFrame, k: int | None,
                    query: str = "query", doc: str = "doc_id") -> DataFrame:
     """Query entities (weight 2) and their 1-hop neighbours (weight 1) -> documents ranked by
-    the summed weight of the distinct neighbourhood entities they mention; top k per query."""
+    the summed weight of the distinct neighbourhood entities they mention; top k per query
+    (``k=None``: every scored document)."""
     und = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     hop = (q_entities.join(und.withColumnRenamed("a", "entity"), "entity")
                      .select(query, F.col("b").alias("entity"), F.lit(1).alias("w")))
@@ -80,6 +81,8 @@ def graph_retrieve(q_entities: DataFrame, edges: DataFrame, doc_mentions: DataFr
                     .groupBy(query, "entity").agg(F.max("w").alias("w")))
     sc = nb.join(doc_mentions.select(doc, "entity").distinct(), "entity").groupBy(query, doc).agg(
         F.sum("w").cast("long").alias("score"))
+    if k is None:
+        return sc
     return top_k_per_key(sc, query, [F.desc("score"), F.col(doc)], k, rank_col="rank", salt_cols=[doc])
 
 
@@ -191,3 +194,14 @@ def route(df: DataFrame, rules: list[tuple[str, Column]], fallback: str = "direc
         r = F.when(cond, F.lit(name)) if r is None else r.when(cond, F.lit(name))
     trace = F.filter(F.array(*[F.when(cond, F.lit(name)) for name, cond in rules]), lambda x: x.isNotNull())
     return df.withColumn("route", r.otherwise(F.lit(fallback))).withColumn("trace", trace)
+
+
+def retrieve_rerank(cands: DataFrame, extra: DataFrame, w: float, k: int, query: str = "query", doc: str = "doc_id",
+                    tie_digits: int = 9) -> DataFrame:
+    """Re-rank cheap candidates by w * candidate score + (1 - w) * (extra score / the query's max extra score)."""
+    mx = extra.groupBy(query).agg(F.max("score").alias("__mx"))
+    e = extra.join(mx, query).select(query, doc, (F.col("score") / F.col("__mx")).alias("__x"))
+    j = cands.select(query, doc, F.col("score").alias("__c")).join(e, [query, doc], "left").fillna(0.0, ["__x"])
+    j = j.withColumn("score", F.lit(w) * F.col("__c") + F.lit(1 - w) * F.col("__x"))
+    return top_k_per_key(j.select(query, doc, "score"), query, [F.desc(F.round("score", tie_digits)), F.col(doc)], k,
+                         rank_col="rank", salt_cols=[doc])

@@ -129,27 +129,47 @@ def _block_topk(k: int, tie_digits: int, exclude_same: bool = False):
     return fn
 
 
+def _blocked_topk(queries: DataFrame, cands: DataFrame, k: int, block_rows: int, tie_digits: int,
+                  exclude_same: bool) -> DataFrame:
+    """Top-k candidates per query over (query block x candidate block) cogrouped NumPy products.
+
+    ``queries``/``cands`` have columns (id long, v array, g). Block counts come
+    from the row counts so a task holds at most ~block_rows rows of each side.
+    """
+    nq = max(1, -(-queries.count() // block_rows))
+    nc = max(1, -(-cands.count() // block_rows))
+    qb = F.pmod(F.xxhash64("id"), F.lit(nq))
+    cb = F.pmod(F.xxhash64("id"), F.lit(nc))
+    q = queries.select("id", "v", "g", qb.alias("qb"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nc - 1).cast("long"))).alias("cb"))
+    c_ = cands.select("id", "v", "g", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nq - 1).cast("long"))).alias("qb"), cb.alias("cb"))
+    part = (q.groupBy("qb", "cb").cogroup(c_.groupBy("qb", "cb"))
+              .applyInPandas(_block_topk(k, tie_digits, exclude_same), "a long, b long, sim double"))
+    return top_k_neighbours(part, k, tie_digits=tie_digits)
+
+
 def knn_join(vecs: DataFrame, k: int, id_col: str = "id", vec: str = "embedding",
              block_rows: int = 2048, tie_digits: int = 9, exclude_same: str | None = None) -> DataFrame:
-    """Exact top-k nearest rows by cosine for every row (self removed).
+    """Exact top-k nearest rows by cosine for every row (self removed).
 
     Rows are hashed into B blocks (B from the row count and ``block_rows``).
     Each (query block, candidate block) pair is one cogrouped task that runs
     a NumPy matrix product and keeps its own top-k per query; the final top-k
     per query then ranks at most B*k survivors. Memory per task is bounded by
     ``block_rows``^2 whatever the table size; no cross join, no pair table.
+    ``exclude_same`` names a group column whose members may not be partners
+    (hard negatives, J12).
     """
-    n = vecs.count()
-    nb = max(1, -(-n // block_rows))
     g = F.col(exclude_same) if exclude_same else F.lit(0)
-    base = vecs.select(F.col(id_col).cast("long").alias("id"), F.col(vec).alias("v"), g.alias("g"),
-                       F.pmod(F.xxhash64(id_col), F.lit(nb)).alias("__blk"))
-    allb = F.sequence(F.lit(0).cast("long"), F.lit(nb - 1).cast("long"))
-    q = base.select("id", "v", "g", F.col("__blk").alias("qb"), F.explode(allb).alias("cb"))
-    c_ = base.select("id", "v", "g", F.explode(allb).alias("qb"), F.col("__blk").alias("cb"))
-    part = (q.groupBy("qb", "cb").cogroup(c_.groupBy("qb", "cb"))
-              .applyInPandas(_block_topk(k, tie_digits, exclude_same is not None), "a long, b long, sim double"))
-    return top_k_neighbours(part, k, tie_digits=tie_digits)
+    base = vecs.select(F.col(id_col).cast("long").alias("id"), F.col(vec).alias("v"), g.alias("g"))
+    return _blocked_topk(base, base, k, block_rows, tie_digits, exclude_same is not None)
+
+
+def nearest(vecs: DataFrame, queries: DataFrame, k: int, id_col: str = "id", vec: str = "embedding",
+            q_id: str = "query", q_vec: str = "embedding", block_rows: int = 2048, tie_digits: int = 9) -> DataFrame:
+    """Top-k rows of ``vecs`` nearest (cosine) to each query vector; a row with the query's id is removed."""
+    c_ = vecs.select(F.col(id_col).cast("long").alias("id"), F.col(vec).alias("v"), F.lit(0).alias("g"))
+    q = queries.select(F.col(q_id).cast("long").alias("id"), F.col(q_vec).alias("v"), F.lit(0).alias("g"))
+    return _blocked_topk(q, c_, k, block_rows, tie_digits, False).withColumnRenamed("a", "query")
 
 
 def ann_join(vecs: DataFrame, k: int, id_col: str = "id", vec: str = "embedding",
@@ -194,3 +214,37 @@ def nearest_centroid(vecs: DataFrame, centroids: DataFrame, id_col: str, label:
     best = top_k_per_key(s.select(id_col, "cls", "score"), id_col,
                          [F.desc(F.round("score", tie_digits)), F.col("cls")], 1, salt_cols=["cls"])
     return best.select(id_col, F.col("cls").alias("predicted"), "score")
+
+
+def minhash_signatures(shingles: DataFrame, doc: str, n_hashes: int, seed: int = 0) -> DataFrame:
+    """MinHash signature rows (doc, h, min) with hash_h(s) = first 8 hex digits of md5('seed|h|s')."""
+    hs = F.explode(F.sequence(F.lit(0), F.lit(n_hashes - 1))).alias("h")
+    d = shingles.select(doc, "shingle", hs)
+    v = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("h").cast("string"), F.col("shingle"))), 1, 8),
+               16, 10).cast("long")
+    return d.groupBy(doc, "h").agg(F.min(v).alias("mh"))
+
+
+def minhash_links(shingles: DataFrame, doc: str, n_hashes: int = 16, rows_per_band: int = 4,
+                  threshold: float = 0.5, seed: int = 0) -> DataFrame:
+    """N09 (re-aimed to linear output): documents whose signatures agree on a whole band are linked
+    to the band bucket's representative (smallest doc id); a link is kept when the exact Jaccard
+    of the two shingle sets reaches ``threshold``. Output (id_a = doc, id_b = rep, jaccard).
+
+    Buckets become star edges, never all pairs; feeding the links to
+    ``connected_groups`` gives near-duplicate clusters.
+    """
+    sig = minhash_signatures(shingles, doc, n_hashes, seed).withColumn("band", (F.col("h") / rows_per_band).cast("int"))
+    bk = sig.groupBy(doc, "band").agg(F.md5(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("h", "mh"))), lambda x: x["mh"].cast("string")), ",")).alias("bkey"))
+    rep = bk.groupBy("band", "bkey").agg(F.min(doc).alias("rep"))
+    links = bk.join(rep, ["band", "bkey"]).filter(F.col(doc) != F.col("rep")).select(doc, "rep").distinct()
+    sh = shingles.select(doc, "shingle").distinct()
+    size = sh.groupBy(doc).agg(F.count(F.lit(1)).alias("n"))
+    inter = (links.join(sh, doc).join(sh.select(F.col(doc).alias("rep"), "shingle"), ["rep", "shingle"])
+                  .groupBy(doc, "rep").agg(F.count(F.lit(1)).alias("inter")))
+    j = (links.join(inter, [doc, "rep"], "left").fillna(0, ["inter"])
+              .join(size, doc).join(size.select(F.col(doc).alias("rep"), F.col("n").alias("n_rep")), "rep"))
+    jac = F.col("inter") / (F.col("n") + F.col("n_rep") - F.col("inter"))
+    return j.select(F.col(doc).alias("id_a"), F.col("rep").alias("id_b"), jac.alias("jaccard")).filter(
+        F.col("jaccard") >= threshold)

@@ -381,3 +381,17 @@ SELECT page_id, md5(trim(regexp_replace(
   '\s+', ' ', 'g'))) AS text_md5 FROM pages""")
 def q_g15p(spark, sf):
     return table(spark, sf, "pages").select("page_id", F.md5(gr.html_to_text("html")).alias("text_md5"))
+
+
+@register("N10_retrieve_rerank", "WITH " + GRAPH_RET_SQL + ",\n" + FLAT_SQL.replace("WHERE rank <= 5", "WHERE rank <= 20") + """,
+gx AS (SELECT query, doc_id, score / max(score) OVER (PARTITION BY query) AS x FROM gsc),
+rr AS (SELECT f.query, f.doc_id, 0.6 * f.score + 0.4 * coalesce(g.x, 0.0) AS score FROM ftop f LEFT JOIN gx g USING (query, doc_id))
+SELECT query, doc_id, round(score, 6) AS score, rank FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY round(score, 9) DESC, doc_id) AS BIGINT) AS rank FROM rr)
+WHERE rank <= 5""")
+def q_n10(spark, sf):
+    dv, idf = doc_vectors(spark, sf)
+    q = table(spark, sf, "benchmark").select(F.col("item_id").alias("query"), F.explode(word_tokens("text", 2)).alias("term"))
+    cands = gr.flat_retrieve(gr.query_vectors(q, "query", idf.select("term", "idf")), dv, 20)
+    gs = gr.graph_retrieve(q_entities(spark, sf), edges(spark, sf), mentions(spark, sf).select("doc_id", "entity"), None)
+    return round_doubles(gr.retrieve_rerank(cands, gs, 0.6, 5))

@@ -273,3 +273,133 @@ def q_n14(spark, sf):
         v.cast("double"))).alias("embedding"))
     d = sim.paired_distance(e, b, "vec_id")
     return d.select("vec_id", r6("cosine").alias("cosine"))
+
+
+SAMPLE_Q_SQL = """qs AS (SELECT vec_id FROM embeddings ORDER BY md5(concat_ws('|', '11', vec_id)) LIMIT 50)"""
+
+
+@register("N06_nearest_to_query_set", "WITH " + SAMPLE_Q_SQL + ",\n" + DENSE_SIMS_SQL + """
+SELECT a AS query, b, CAST(rnk AS BIGINT) AS rank, round(sim, 6) AS sim
+FROM (SELECT a, b, sim, row_number() OVER (PARTITION BY a ORDER BY round(sim, 9) DESC, b) AS rnk FROM sims
+      WHERE a IN (SELECT vec_id FROM qs)) WHERE rnk <= 5""")
+def q_n06(spark, sf):
+    from tessera.operators.splits import sample_distinct
+    e = _emb(spark, sf)
+    qs = sample_distinct(e, "vec_id", 50, seed=11).join(e, "vec_id")
+    n = sim.nearest(e, qs, 5, "vec_id", "embedding", "vec_id", "embedding")
+    return n.select("query", "b", "rank", r6("sim").alias("sim"))
+
+
+# hashed character 3-gram vectors of titles: bucket = md5 of the gram, 256 buckets
+HASHED_TITLES_SQL = LISTINGS_SQL + r""",
+tg AS (SELECT posting_id, label_group, substring(s, i, 3) AS g
+       FROM (SELECT posting_id, label_group, s, unnest(range(1, length(s) - 1)) AS i
+             FROM (SELECT posting_id, label_group, trim(regexp_replace(lower(title), '\s+', ' ', 'g')) AS s FROM listings))),
+hb AS (SELECT posting_id, CAST(('0x' || substring(md5(g), 1, 8))::BIGINT % 256 AS BIGINT) AS bucket, count(*) AS c FROM tg GROUP BY 1, 2),
+hn AS (SELECT posting_id, sqrt(sum(c * c)) AS n FROM hb GROUP BY 1),
+hs AS (SELECT x.posting_id AS a, y.posting_id AS b, sum(x.c * y.c) / (nx.n * ny.n) AS sim
+       FROM hb x JOIN hb y ON x.bucket = y.bucket AND x.posting_id <> y.posting_id
+       JOIN hn nx ON nx.posting_id = x.posting_id JOIN hn ny ON ny.posting_id = y.posting_id GROUP BY 1, 2, nx.n, ny.n),
+htop AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY round(sim, 9) DESC, b) AS rnk FROM hs) WHERE rnk <= 5)"""
+
+
+def hashed_title_vectors(spark, sf, dims=256):
+    from tessera.functions.exprs import char_ngrams, collapse_spaces
+    lst = listings(spark, sf)
+    g = lst.select("posting_id", F.explode(char_ngrams(collapse_spaces(F.lower("title")), 3)).alias("g"))
+    b = g.select("posting_id", F.pmod(F.conv(F.substring(F.md5("g"), 1, 8), 16, 10).cast("long"), F.lit(dims)).alias("bucket"))
+    c = b.groupBy("posting_id", "bucket").agg(F.count(F.lit(1)).cast("double").alias("c"))
+    v = c.groupBy("posting_id").agg(F.map_from_entries(F.collect_list(F.struct("bucket", "c"))).alias("m"))
+    return v.select("posting_id", F.transform(F.sequence(F.lit(0).cast("long"), F.lit(dims - 1).cast("long")),
+                                              lambda i: F.coalesce(F.col("m")[i], F.lit(0.0))).alias("embedding"))
+
+
+@register("E21_similar_title_conflicts", "WITH " + HASHED_TITLES_SQL + """
+SELECT t.a, t.b, round(t.sim, 6) AS sim FROM htop t JOIN listings la ON la.posting_id = t.a JOIN listings lb ON lb.posting_id = t.b
+WHERE t.sim >= 0.8 AND la.label_group <> lb.label_group""")
+def q_e21(spark, sf):
+    v = hashed_title_vectors(spark, sf)
+    k = sim.knn_join(v, 5, "posting_id", "embedding")
+    g = listings(spark, sf).select("posting_id", "label_group")
+    j = (k.join(g.select(F.col("posting_id").alias("a"), F.col("label_group").alias("ga")), "a")
+          .join(g.select(F.col("posting_id").alias("b"), F.col("label_group").alias("gb")), "b"))
+    return j.filter((F.col("sim") >= 0.8) & (F.col("ga") != F.col("gb"))).select("a", "b", r6("sim").alias("sim"))
+
+
+@register("M05_ablation_table", "WITH " + PAIR_COS_SQL + """,
+cfg AS (SELECT 'text_char' AS config, label, cosine AS s FROM scored
+        UNION ALL SELECT 'constant_half', label, 0.5 FROM scored
+        UNION ALL SELECT 'fused_half', label, 0.5 * cosine + 0.25 FROM scored),
+c AS (SELECT config, sum(CASE WHEN s >= 0.5 AND label = 1 THEN 1 ELSE 0 END) AS tp, sum(CASE WHEN s >= 0.5 AND label = 0 THEN 1 ELSE 0 END) AS fp,
+             sum(CASE WHEN s < 0.5 AND label = 1 THEN 1 ELSE 0 END) AS fn FROM cfg GROUP BY 1)
+SELECT config, round(CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END, 6) AS precision,
+       round(CASE WHEN tp + fn = 0 THEN 0 ELSE tp / (tp + fn) END, 6) AS recall,
+       round(CASE WHEN 2 * tp + fp + fn = 0 THEN 0 ELSE 2 * tp / (2 * tp + fp + fn) END, 6) AS f1 FROM c""")
+def q_m05(spark, sf):
+    from tessera.operators.basic import predict
+    sp = _scored_pairs(spark, sf)
+    runs = None
+    for name, expr in (("text_char", F.col("cosine")), ("constant_half", F.lit(0.5)),
+                       ("fused_half", 0.5 * F.col("cosine") + 0.25)):
+        d = predict(sp.withColumn("s", expr), 0.5, "s")
+        m = ev.classification_report(d).select(F.lit(name).alias("config"), "precision", "recall", "f1")
+        runs = m if runs is None else runs.unionByName(m)
+    return round_doubles(runs)
+
+
+@register("V25_semantic_similarity", """
+WITH b AS (SELECT vec_id, label, embedding AS x,
+                  list_transform(embedding, lambda v, i: CASE WHEN (i - 1) % 4 = 3 THEN -CAST(v AS DOUBLE) ELSE CAST(v AS DOUBLE) END) AS y
+           FROM embeddings),
+n AS (SELECT vec_id, label, x, y, sqrt(list_sum(list_transform(x, lambda v: CAST(v AS DOUBLE) * CAST(v AS DOUBLE)))) AS nx,
+             sqrt(list_sum(list_transform(y, lambda v: v * v))) AS ny FROM b),
+c AS (SELECT label, CASE WHEN nx * ny = 0 THEN 0.0 ELSE
+             list_sum(list_transform(list_zip(x, y), lambda z: CAST(z[1] AS DOUBLE) * z[2])) / (nx * ny) END AS cosine FROM n)
+SELECT CAST(label AS VARCHAR) AS bucket, count(*) AS n, round(avg(cosine), 6) AS mean_cosine FROM c GROUP BY label
+UNION ALL SELECT 'all', count(*), round(avg(cosine), 6) FROM c""")
+def q_v25(spark, sf):
+    e = _emb(spark, sf).select("vec_id", "label", "embedding")
+    b = e.select("vec_id", F.transform("embedding", lambda v, i: F.when(i % 4 == 3, -v.cast("double")).otherwise(
+        v.cast("double"))).alias("embedding"))
+    d = sim.paired_distance(e, b, "vec_id").join(e.select("vec_id", "label"), "vec_id")
+    per = d.groupBy(F.col("label").cast("string").alias("bucket")).agg(F.count(F.lit(1)).alias("n"), F.avg("cosine").alias("mean_cosine"))
+    allr = d.agg(F.lit("all").alias("bucket"), F.count(F.lit(1)).alias("n"), F.avg("cosine").alias("mean_cosine"))
+    return round_doubles(per.unionByName(allr))
+
+
+DOC_SHINGLE_SQL = r"""dw AS (SELECT doc_id, string_split(trim(regexp_replace(lower(text), '\s+', ' ', 'g')), ' ') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS shingle
+       FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM dw)),
+sig AS (SELECT doc_id, h, min(CAST(('0x' || substring(md5('0|' || h || '|' || shingle), 1, 8))::BIGINT AS BIGINT)) AS mh
+        FROM sh, range(0, 16) AS t(h) GROUP BY doc_id, h),
+bk AS (SELECT doc_id, h // 4 AS band, md5(string_agg(CAST(mh AS VARCHAR), ',' ORDER BY h)) AS bkey FROM sig GROUP BY doc_id, h // 4),
+rep AS (SELECT band, bkey, min(doc_id) AS rep FROM bk GROUP BY 1, 2),
+links AS (SELECT DISTINCT bk.doc_id, rep.rep FROM bk JOIN rep USING (band, bkey) WHERE bk.doc_id <> rep.rep),
+sz AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
+inter AS (SELECT l.doc_id, l.rep, count(*) AS inter FROM links l JOIN sh a ON a.doc_id = l.doc_id
+          JOIN sh b ON b.doc_id = l.rep AND b.shingle = a.shingle GROUP BY 1, 2),
+mlinks AS (SELECT l.doc_id AS id_a, l.rep AS id_b, coalesce(i.inter, 0) / (x.n + y.n - coalesce(i.inter, 0)) AS jaccard
+           FROM links l LEFT JOIN inter i USING (doc_id, rep) JOIN sz x ON x.doc_id = l.doc_id JOIN sz y ON y.doc_id = l.rep
+           WHERE coalesce(i.inter, 0) / (x.n + y.n - coalesce(i.inter, 0)) >= 0.5)"""
+
+
+def doc_shingles(spark, sf):
+    d = table(spark, sf, "documents")
+    w = F.split(F.trim(F.regexp_replace(F.lower("text"), r"\s+", " ")), " ")
+    from tessera.functions.exprs import word_ngrams
+    return d.select("doc_id", F.explode(word_ngrams(w, 3)).alias("shingle")).distinct()
+
+
+@register("N09_minhash_near_duplicate_links", "WITH " + DOC_SHINGLE_SQL + """
+SELECT id_a, id_b, round(jaccard, 6) AS jaccard FROM mlinks""")
+def q_n09(spark, sf):
+    return round_doubles(sim.minhash_links(doc_shingles(spark, sf), "doc_id", 16, 4, 0.5))
+
+
+@register("N09_near_duplicate_clusters", "WITH RECURSIVE " + DOC_SHINGLE_SQL + """,
+und AS (SELECT id_a AS a, id_b AS b FROM mlinks UNION SELECT id_b, id_a FROM mlinks),
+reach(node, root) AS (SELECT DISTINCT a, a FROM und UNION SELECT u.b, r.root FROM reach r JOIN und u ON u.a = r.node)
+SELECT node, min(root) AS component FROM reach GROUP BY node""")
+def q_n09c(spark, sf):
+    links = sim.minhash_links(doc_shingles(spark, sf), "doc_id", 16, 4, 0.5)
+    return pr.connected_groups(links)

@@ -293,3 +293,21 @@ FROM events""")
 def q_f12(spark, sf):
     g = fe.time_gaps(table(spark, sf, "events"), "user_id", "ts", "event_id")
     return g.select("event_id", r6("gap_seconds").alias("gap_seconds"))
+
+
+@register("S08_parse_json_props", """
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events""")
+def q_s08(spark, sf):
+    from tessera.sources.files import parse_json_col
+    e = parse_json_col(table(spark, sf, "events"), "props", "k int", "p")
+    return e.select("event_id", F.col("p.k").alias("k"))
+
+
+@register("J08_first_order_per_customer", """
+SELECT o_custkey, o_orderkey FROM (
+  SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS r FROM orders)
+WHERE r = 1""")
+def q_j08(spark, sf):
+    from tessera.operators.pairs import first_per_key
+    o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
+    return first_per_key(o, "o_custkey", [F.col("o_orderdate"), F.col("o_orderkey")]).select("o_custkey", "o_orderkey")

@@ -364,3 +364,56 @@ r AS (SELECT doc_id, exact_match, CASE WHEN np = 0 THEN 0.0 ELSE coalesce(common
 SELECT doc_id, exact_match, round(CASE WHEN p + r = 0 THEN 0.0 ELSE 2 * p * r / (p + r) END, 6) AS token_f1 FROM r""")
 def q_g14(spark, sf):
     return round_doubles(tm.qa_score(generated(spark, sf), ["doc_id"]))
+
+
+@register("V15_rouge_L")
+def q_v15l(spark, sf):
+    return round_doubles(tm.rouge_l(generated(spark, sf), ["doc_id"]))
+
+
+EXAMPLES_SQL = r"""c AS (SELECT conv_id, turn, trim(regexp_replace(regexp_replace(coalesce(text, ''), '[\r\n]+', ' ', 'g'), '\s+', ' ', 'g')) AS t,
+                  CASE role WHEN 'user' THEN '<USR1>' WHEN 'assistant' THEN '<USR2>' WHEN 'system' THEN '<SYS>' END AS tag
+           FROM conversations),
+h AS (SELECT conv_id, turn, t,
+             list(CASE WHEN t <> '' THEN concat_ws(' ', tag, t) END) OVER (PARTITION BY conv_id ORDER BY turn
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS hist
+      FROM c),
+ex AS (SELECT conv_id * 100000 + turn AS ex_id, conv_id, array_to_string(list_filter(hist, lambda x: x IS NOT NULL), ' ') AS history, t AS target,
+              CAST(('0x' || substring(md5(concat_ws('|', '42', conv_id)), 1, 8))::BIGINT % 10000 AS BIGINT) < 8000 AS is_train
+       FROM h WHERE t <> '' AND len(list_filter(hist, lambda x: x IS NOT NULL)) > 0),
+tt AS (SELECT ex_id, unnest(regexp_extract_all(lower(history), '[\p{L}\p{N}_]{2,}')) AS term FROM ex WHERE is_train),
+ttf AS (SELECT ex_id, term, count(*) AS tf FROM tt GROUP BY 1, 2),
+tnd AS (SELECT count(DISTINCT ex_id) AS n FROM tt),
+tidf AS (SELECT term, ln((1 + n) / (1 + count(*))) + 1 AS idf FROM ttf, tnd GROUP BY term, n),
+tw AS (SELECT ex_id, term, tf * idf AS w FROM ttf JOIN tidf USING (term)),
+tv AS (SELECT ex_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY ex_id)) AS weight FROM tw),
+qt AS (SELECT ex_id AS query, unnest(regexp_extract_all(lower(history), '[\p{L}\p{N}_]{2,}')) AS term FROM ex WHERE NOT is_train),
+qw AS (SELECT query, term, count(*) * idf AS w FROM qt JOIN tidf USING (term) GROUP BY query, term, idf),
+qv AS (SELECT query, term, w / sqrt(sum(w * w) OVER (PARTITION BY query)) AS weight FROM qw),
+sc AS (SELECT q.query, t.ex_id, sum(q.weight * t.weight) AS score FROM qv q JOIN tv t USING (term) GROUP BY 1, 2),
+pick AS (SELECT query, ex_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY round(score, 9) DESC, ex_id) AS r FROM sc)
+         WHERE r = 1)"""
+
+
+@register("C12_retrieve_reply", "WITH " + EXAMPLES_SQL + """
+SELECT p.query, p.ex_id AS reply_ex_id, round(p.score, 6) AS score, md5(e.target) AS reply_md5
+FROM pick p JOIN ex e ON e.ex_id = p.ex_id""")
+def q_c12(spark, sf):
+    from tessera.operators import graph as gr
+    c = table(spark, sf, "conversations")
+    ex = tx.dialogue_examples(c, "conv_id", "turn", "role", "text", TAGS)
+    ex = ex.select((F.col("conv_id") * 100000 + F.col("turn")).alias("ex_id"), "history", "target",
+                   (md5_bucket(42, 10000, "conv_id") < 8000).alias("is_train"))
+    rows = ex.filter("is_train").select("ex_id", F.explode(word_tokens_2("history")).alias("term"))
+    tf = rows.groupBy("ex_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    tv = tx.tfidf(rows, "ex_id")
+    idf = tx.idf_table(tf, "ex_id").select("term", "idf")
+    q = ex.filter("NOT is_train").select(F.col("ex_id").alias("query"), F.explode(word_tokens_2("history")).alias("term"))
+    pick = gr.flat_retrieve(gr.query_vectors(q, "query", idf), tv, 1, doc="ex_id")
+    out = pick.join(ex.select("ex_id", F.md5("target").alias("reply_md5")), "ex_id")
+    return out.select("query", F.col("ex_id").alias("reply_ex_id"), r6("score").alias("score"), "reply_md5")
+
+
+def word_tokens_2(col):
+    from tessera.functions.exprs import word_tokens
+    return word_tokens(col, 2)

@@ -55,9 +55,12 @@ def file_inventory(spark: SparkSession, root: str, n: int = 5) -> DataFrame:
              .select("path"))
     parts = files.select(F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("directory"),
                          F.regexp_extract("path", r"([^/]+)$", 1).alias("name"))
-    return parts.groupBy("directory").agg(
-        F.count("*").alias("n_files"),
-        F.slice(F.array_sort(F.collect_list("name")), 1, n).alias("first_names"))
+    from tessera.functions.skew import top_k_per_key
+    counts = parts.groupBy("directory").agg(F.count(F.lit(1)).alias("n_files"))
+    # only the first n names of a directory are ever gathered into one row
+    first = top_k_per_key(parts, "directory", [F.col("name")], n).groupBy("directory").agg(
+        F.array_sort(F.collect_list("name")).alias("first_names"))
+    return counts.join(first, "directory")
 
 
 def write_dataset(df: DataFrame, path: str, partition_by: list[str] | None = None,
