@@ -177,7 +177,8 @@ def ann_join(vecs: DataFrame, k: int, id_col: str = "id", vec: str = "embedding"
     """Approximate neighbours with MLlib random-projection LSH on unit vectors."""
     from pyspark.ml.feature import BucketedRandomProjectionLSH
     from pyspark.ml.functions import array_to_vector
-    u = vecs.select(id_col, array_to_vector(F.transform(vec, lambda x: x.cast("double") / l2_norm(vec))).alias("v"))
+    n = vecs.select(id_col, vec, l2_norm(vec).alias("__n"))
+    u = n.select(id_col, array_to_vector(F.transform(vec, lambda x: x.cast("double") / F.col("__n"))).alias("v"))
     model = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=bucket_length,
                                         numHashTables=num_tables, seed=seed).fit(u)
     j = model.approxSimilarityJoin(u, u, 2.0, distCol="dist")

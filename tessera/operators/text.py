@@ -100,13 +100,15 @@ def ngram_rows(df: DataFrame, key: list[str], text: str, kind: str = "word", lo:
                min_len: int = 2) -> DataFrame:
     """(key..., term) rows of word n-grams (tokens of >= min_len word chars) or
     character n-grams of the lower-cased, space-collapsed text (across word borders)."""
+    # the token array / normalised string is materialised as a column first: an expression used
+    # inside the n-gram lambda would otherwise be re-evaluated for every position
     if kind == "word":
-        toks = word_tokens(text, min_len)
-        arrs = [word_ngrams(toks, n) for n in range(lo, hi + 1)]
+        d = df.select(*key, word_tokens(text, min_len).alias("__src"))
+        arrs = [word_ngrams("__src", n) for n in range(lo, hi + 1)]
     else:
-        s = collapse_spaces(F.lower(F.col(text)))
-        arrs = [char_ngrams(s, n) for n in range(lo, hi + 1)]
-    return df.select(*key, F.explode(F.concat(*arrs)).alias("term"))
+        d = df.select(*key, collapse_spaces(F.lower(F.col(text))).alias("__src"))
+        arrs = [char_ngrams("__src", n) for n in range(lo, hi + 1)]
+    return d.select(*key, F.explode(F.concat(*arrs)).alias("term"))
 
 
 def idf_table(tf: DataFrame, doc: str, min_df: int = 1, max_features: int | None = None) -> DataFrame:

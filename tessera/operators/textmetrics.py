@@ -99,24 +99,30 @@ def qa_score(df: DataFrame, key: list[str], pred: str = "hyp", gold: str = "ref"
     return j.select(*key, "exact_match", F.when(p + r == 0, 0.0).otherwise(2 * p * r / (p + r)).alias("token_f1"))
 
 
-def _lcs_len(a, b) -> int:
+def _make_lcs_len():
     """LCS length of two token sequences by the bit-parallel recurrence (one big-int per row of b).
 
     V starts all ones over len(a) bits; for each token y of b with match mask
     M[y]: U = V & M[y]; V = (V + U) | (V - U). LCS = len(a) - popcount(V).
+    Built as a closure so it ships to Python workers by value.
     """
-    m = len(a)
-    if m == 0 or len(b) == 0:
-        return 0
-    masks: dict = {}
-    for i, x in enumerate(a):
-        masks[x] = masks.get(x, 0) | (1 << i)
-    full = (1 << m) - 1
-    v = full
-    for y in b:
-        u = v & masks.get(y, 0)
-        v = ((v + u) | (v - u)) & full
-    return m - bin(v).count("1")
+    def lcs_len(a, b) -> int:
+        m = len(a)
+        if m == 0 or len(b) == 0:
+            return 0
+        masks: dict = {}
+        for i, x in enumerate(a):
+            masks[x] = masks.get(x, 0) | (1 << i)
+        full = (1 << m) - 1
+        v = full
+        for y in b:
+            u = v & masks.get(y, 0)
+            v = ((v + u) | (v - u)) & full
+        return m - bin(v).count("1")
+    return lcs_len
+
+
+_lcs_len = _make_lcs_len()
 
 
 def rouge_l(df: DataFrame, key: list[str], hyp: str = "hyp", ref: str = "ref") -> DataFrame:
@@ -128,11 +134,16 @@ def rouge_l(df: DataFrame, key: list[str], hyp: str = "hyp", ref: str = "ref") -
     import pandas as pd
     from pyspark.sql.functions import pandas_udf
 
-    @pandas_udf("long")
-    def lcs(h: pd.Series, r: pd.Series) -> pd.Series:
-        return pd.Series([_lcs_len(list(x) if x is not None else [], list(y) if y is not None else [])
+    lcs_len = _make_lcs_len()
+
+    def lcs_batch(h, r):
+        return pd.Series([lcs_len(list(x) if x is not None else [], list(y) if y is not None else [])
                           for x, y in zip(h, r)], dtype="int64")
 
+    # real (not postponed) annotations so Spark recognises a Series -> Series pandas UDF
+    lcs_batch.__annotations__ = {"h": pd.Series, "r": pd.Series, "return": pd.Series}
+    lcs = pandas_udf(lcs_batch, "long")
+
     d = df.select(*key, F.size(hyp).alias("nh"), F.size(ref).alias("nr"), lcs(F.col(hyp), F.col(ref)).alias("lcs"))
     rec = F.when(F.col("nr") == 0, 0.0).otherwise(F.col("lcs") / F.col("nr"))
     prec = F.when(F.col("nh") == 0, 0.0).otherwise(F.col("lcs") / F.col("nh"))

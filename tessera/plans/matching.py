@@ -306,7 +306,8 @@ htop AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY rou
 def hashed_title_vectors(spark, sf, dims=256):
     from tessera.functions.exprs import char_ngrams, collapse_spaces
     lst = listings(spark, sf)
-    g = lst.select("posting_id", F.explode(char_ngrams(collapse_spaces(F.lower("title")), 3)).alias("g"))
+    t = lst.select("posting_id", collapse_spaces(F.lower("title")).alias("t"))
+    g = t.select("posting_id", F.explode(char_ngrams("t", 3)).alias("g"))
     b = g.select("posting_id", F.pmod(F.conv(F.substring(F.md5("g"), 1, 8), 16, 10).cast("long"), F.lit(dims)).alias("bucket"))
     c = b.groupBy("posting_id", "bucket").agg(F.count(F.lit(1)).cast("double").alias("c"))
     v = c.groupBy("posting_id").agg(F.map_from_entries(F.collect_list(F.struct("bucket", "c"))).alias("m"))
@@ -387,7 +388,10 @@ def doc_shingles(spark, sf):
     d = table(spark, sf, "documents")
     w = F.split(F.trim(F.regexp_replace(F.lower("text"), r"\s+", " ")), " ")
     from tessera.functions.exprs import word_ngrams
-    return d.select("doc_id", F.explode(word_ngrams(w, 3)).alias("shingle")).distinct()
+    # split once into a column, then slice it: an inline split inside the n-gram lambda would be
+    # re-evaluated for every position of the text
+    d = d.select("doc_id", w.alias("w"))
+    return d.select("doc_id", F.explode(word_ngrams("w", 3)).alias("shingle")).distinct()
 
 
 @register("N09_minhash_near_duplicate_links", "WITH " + DOC_SHINGLE_SQL + """
