@@ -32,7 +32,7 @@ def click_rows(spark: SparkSession, sf: str) -> DataFrame:
 
     The score uses only + - * / so both engines produce identical doubles.
     """
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
                                              "l_extendedprice", "l_discount", "l_tax", "l_returnflag")
     od = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")
     cu = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_acctbal", "c_nationkey")
@@ -42,8 +42,14 @@ def click_rows(spark: SparkSession, sf: str) -> DataFrame:
            .join(pa, F.col("l_partkey") == F.col("p_partkey")))
     score = ((F.col("l_discount") * 5 + F.col("l_tax") * 4 + F.col("l_quantity") / 100
               + F.col("p_size") / 125) / 1.75)
+    # (l_orderkey, l_linenumber) is not unique in these tables: the row id is a 60-bit md5 of the
+    # line's integer-valued fields, unique for distinct lines and equal in both engines
+    rid = F.conv(F.substring(F.md5(F.concat_ws(
+        "|", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")],
+        F.col("l_quantity").cast("long").cast("string"),
+        F.round(F.col("l_extendedprice") * 100).cast("long").cast("string"))), 1, 15), 16, 10).cast("long")
     return j.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_id"),
+        rid.alias("row_id"),
         (F.col("l_returnflag") == "R").cast("int").alias("label"),
         score.alias("score"),
         ((F.col("p_retailprice") / 2000 + F.col("l_discount") * 5) / 2).alias("score2"),
@@ -52,7 +58,8 @@ def click_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 CLICK_SQL = """clicks AS (
-  SELECT l_orderkey * 10 + l_linenumber AS row_id,
+  SELECT CAST(('0x' || substring(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS BIGINT),
+                                                CAST(round(l_extendedprice * 100) AS BIGINT))), 1, 15))::BIGINT AS BIGINT) AS row_id,
          CAST(l_returnflag = 'R' AS INTEGER) AS label,
          (l_discount * 5 + l_tax * 4 + l_quantity / 100 + p_size / 125) / 1.75 AS score,
          (p_retailprice / 2000 + l_discount * 5) / 2 AS score2,
