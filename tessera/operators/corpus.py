@@ -18,7 +18,7 @@ CLAUSES = ["private", "firstprivate", "lastprivate", "shared", "reduction", "sch
 
 def read_source_lines(spark: SparkSession, glob: str) -> DataFrame:
     """(file, line_no, line) for every line of every file (1-based line numbers)."""
-    raw = spark.read.option("wholetext", True).text(glob).select(F.input_file_name().alias("file"), "value")
+    raw = spark.read.text(glob, wholetext=True).select(F.input_file_name().alias("file"), "value")
     return raw.select("file", F.posexplode(F.split("value", "\n")).alias("pos", "line")).select(
         "file", (F.col("pos") + 1).alias("line_no"), "line")
 

@@ -23,7 +23,7 @@ def read_json_documents(spark: SparkSession, glob: str, id_col: str) -> DataFram
     object-valued section is flattened to its scalar / array values joined by
     a space (the grounding text of a section).
     """
-    raw = spark.read.option("wholetext", True).text(glob)
+    raw = spark.read.text(glob, wholetext=True)
     m = F.from_json(F.col("value"), "map<string,string>")
     doc = raw.select(m.alias("m"))
     exploded = doc.select(F.col("m")[id_col].alias("doc_key"),

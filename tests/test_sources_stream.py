@@ -34,7 +34,7 @@ def test_json_documents_keyed_inside_file(spark):
             {"wikiDocumentIdx": 9, "0": "other"}]
     for i, doc in enumerate(docs):
         with open(f"{d}/f{i}.json", "w") as f:
-            json.dump(doc, f)
+            json.dump(doc, f, indent=2)  # multi-line: the whole file is one document
     out = {(r.doc_key, r.section): r.text for r in fs.read_json_documents(spark, f"{d}/*.json", "wikiDocumentIdx").collect()}
     assert out[("7", "0")] == "plain text"
     assert set(out[("7", "1")].split()) == {"x", "y", "z"}
