@@ -94,7 +94,7 @@ def salted_self_join(left: DataFrame, right: DataFrame, key: str, left_id: str,
 
 
 def prefix_sums(df: DataFrame, order_col: str, sum_cols: list[str], buckets: int = 64,
-                prefix: str = "below_") -> DataFrame:
+                prefix: str = "below_", totals: bool = False) -> DataFrame:
     """Exclusive running sums in ``order_col`` order, without a global window.
 
     For each row, ``below_<c>`` = sum of ``c`` over rows with a smaller order
@@ -103,18 +103,22 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: list[str], buckets: int
     (a bounded list of ``buckets - 1`` numbers); bucket totals give offsets
     through a tiny window; the running sum then runs per bucket in parallel.
     """
+    from tessera.session import cut_lineage
+    df = cut_lineage(df)  # read by the quantile job, the bucket totals and the running sums
     probs = [i / buckets for i in range(1, buckets)]
     edges = sorted(set(df.approxQuantile(order_col, probs, 0.001))) if buckets > 1 else []
     edge_arr = F.array(*[F.lit(float(e)) for e in edges]) if edges else F.array().cast("array<double>")
     d = df.withColumn("__b", F.size(F.filter(edge_arr, lambda e: e <= F.col(order_col))))
     tot = d.groupBy("__b").agg(*[F.sum(x).alias(f"__t_{x}") for x in sum_cols])
     wb = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.select("__b", *[F.coalesce(F.sum(f"__t_{x}").over(wb), F.lit(0)).alias(f"__o_{x}") for x in sum_cols])
+    offs = tot.select("__b", *[F.coalesce(F.sum(f"__t_{x}").over(wb), F.lit(0)).alias(f"__o_{x}") for x in sum_cols],
+                      *[F.sum(f"__t_{x}").over(Window.partitionBy(F.lit(0))).alias(f"total_{x}") for x in sum_cols])
     wr = Window.partitionBy("__b").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
     out = d.join(F.broadcast(offs), "__b")  # offs has <= buckets rows
     for x in sum_cols:
         out = out.withColumn(f"{prefix}{x}", F.coalesce(F.sum(x).over(wr), F.lit(0)) + F.col(f"__o_{x}"))
-    return out.drop("__b", *[f"__o_{x}" for x in sum_cols])
+    out = out.drop("__b", *[f"__o_{x}" for x in sum_cols])
+    return out if totals else out.drop(*[f"total_{x}" for x in sum_cols])
 
 
 def dense_index(df: DataFrame, order: list, out: str = "index") -> DataFrame:

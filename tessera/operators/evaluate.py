@@ -75,17 +75,18 @@ def threshold_sweep(df: DataFrame, grid: list[int], label: str = "label", score:
     h = (df.select(*by, b.alias("b"), F.col(label).cast("long").alias("y"))
            .groupBy(*by, "b").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")))
     spark = df.sparkSession
-    gdf = spark.createDataFrame([(i + 1, x) for i, x in enumerate(g)], "gi int, g int")
-    tot = h.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    # bucket table has at most (slices x (len(grid)+1)) rows: the grid join stays tiny
+    # grid index 0 is "below every threshold": its counts are the totals P and N
+    gdf = spark.createDataFrame([(0, -1)] + [(i + 1, x) for i, x in enumerate(g)], "gi int, g int")
+    # the bucket table has at most (slices x (len(grid)+1)) rows: the grid join stays tiny
     cnt = (gdf.join(F.broadcast(h), F.col("b") >= F.col("gi"), "left")
               .groupBy(*by, "gi", "g").agg(F.coalesce(F.sum("pos"), F.lit(0)).cast("long").alias("tp"),
                                            F.coalesce(F.sum("neg"), F.lit(0)).cast("long").alias("fp")))
     if by:
         cnt = cnt.filter(F.col(by[0]).isNotNull())
-        out = cnt.join(tot, by)
-    else:
-        out = attach_row(cnt, tot)
+    w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))  # <= len(grid)+1 rows per slice
+    out = (cnt.withColumn("P", F.max(F.when(F.col("gi") == 0, F.col("tp"))).over(w))
+              .withColumn("N", F.max(F.when(F.col("gi") == 0, F.col("fp"))).over(w))
+              .filter(F.col("gi") > 0))
     out = (out.withColumn("fn", (F.col("P") - F.col("tp")).cast("long"))
               .withColumn("tn", (F.col("N") - F.col("fp")).cast("long"))
               .withColumn("threshold", F.col("g") / 100.0).drop("P", "N", "gi"))
@@ -119,10 +120,9 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFr
 
 def average_precision(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """Average precision = sum over distinct scores of (R_i - R_{i-1}) * P_i."""
-    g = prefix_sums(_score_groups(df, label, score), "s", ["pos", "neg"])
-    tot = g.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    g = prefix_sums(_score_groups(df, label, score), "s", ["pos", "neg"], totals=True)
     # predicted positive at threshold s: all rows with score >= s
-    j = attach_row(g, tot)
+    j = g.withColumnRenamed("total_pos", "P").withColumnRenamed("total_neg", "N")
     tp = F.col("P") - F.col("below_pos")
     fp = F.col("N") - F.col("below_neg")
     return j.agg(F.sum(F.col("pos") / F.col("P") * (tp / (tp + fp))).alias("average_precision"))

@@ -18,25 +18,51 @@ def vector_norms(long_df: DataFrame, ent: str, val: str, out: str = "norm") -> D
     return long_df.groupBy(ent).agg(F.sqrt(F.sum(F.col(val) * F.col(val))).alias(out))
 
 
+def _unit_rows(long_df: DataFrame, ent: str, key: str, val: str) -> DataFrame:
+    """Long rows scaled by their entity's L2 norm (norm over *all* the entity's values)."""
+    base = long_df.select(F.col(ent).alias("__e"), F.col(key).alias("__k"), F.col(val).cast("double").alias("__v"))
+    norms = base.groupBy("__e").agg(F.sqrt(F.sum(F.col("__v") * F.col("__v"))).alias("__n"))
+    return base.join(norms, "__e").select("__e", "__k", (F.col("__v") / F.col("__n")).alias("__u"))
+
+
+def _cosine_pairs(long_df: DataFrame, ent: str, key: str, val: str) -> DataFrame:
+    """(a, b, u_a * u_b) per shared key, a != b; hot keys split across salted tasks."""
+    u = _unit_rows(long_df, ent, key, val)
+    left = u.select(F.col("__e").alias("a"), "__k", F.col("__u").alias("ua"))
+    right = u.select(F.col("__e").alias("b"), "__k", F.col("__u").alias("ub"))
+    return (salted_self_join(left, right, "__k", "a").filter(F.col("a") != F.col("b"))
+            .select("a", "b", (F.col("ua") * F.col("ub")).alias("p")))
+
+
 def entity_cosine(long_df: DataFrame, ent: str, key: str, val: str) -> DataFrame:
     """Cosine of every pair of entities that share at least one key.
 
     ``sum_k v_ak * v_bk / (|a| |b|)`` with norms over *all* of an entity's
     values (absent = 0, so pairs with no shared key have cosine 0 and are not
-    emitted). Output ``(a, b, sim)`` for a != b, both directions.
-    The dot products are partially aggregated map-side before the shuffle on
-    (a, b); hot keys are split across salted tasks.
+    emitted). Values are scaled to unit vectors first, so the sum of products
+    is the cosine and no pair-sized join with the norms is needed. Partial
+    sums combine map-side before the shuffle; hot keys are salted.
+    Output ``(a, b, sim)`` for a != b, both directions.
+    """
+    return _cosine_pairs(long_df, ent, key, val).groupBy("a", "b").agg(F.sum("p").alias("sim"))
+
+
+def top_k_cosine(long_df: DataFrame, ent: str, key: str, val: str, k: int, tie_digits: int = 9,
+                 salts: int = 16) -> DataFrame:
+    """N01 + N03 fused: the k most similar partners of every entity, ties by partner id.
+
+    The pair sums are grouped by (a, salt(b), b) — salt a function of b — so
+    one hash partitioning on (a, salt) serves both the aggregation and the
+    first top-k phase; the final phase ranks at most salts * k rows per entity.
+    A popular entity's pairs are thus spread over ``salts`` tasks.
     """
-    base = long_df.select(F.col(ent).alias("__e"), F.col(key).alias("__k"), F.col(val).alias("__v"))
-    left = base.select(F.col("__e").alias("a"), "__k", F.col("__v").alias("va"))
-    right = base.select(F.col("__e").alias("b"), "__k", F.col("__v").alias("vb"))
-    pairs = salted_self_join(left, right, "__k", "a").filter(F.col("a") != F.col("b"))
-    dots = pairs.groupBy("a", "b").agg(F.sum(F.col("va") * F.col("vb")).alias("dot"))
-    norms = vector_norms(base, "__e", "__v")
-    na = norms.select(F.col("__e").alias("a"), F.col("norm").alias("na"))
-    nb = norms.select(F.col("__e").alias("b"), F.col("norm").alias("nb"))
-    return (dots.join(na, "a").join(nb, "b")
-                .select("a", "b", (F.col("dot") / (F.col("na") * F.col("nb"))).alias("sim")))
+    p = _cosine_pairs(long_df, ent, key, val).withColumn("__s", F.pmod(F.xxhash64("b"), F.lit(salts)))
+    sums = p.repartition("a", "__s").groupBy("a", "__s", "b").agg(F.sum("p").alias("sim"))
+    order = [F.desc(F.round("sim", tie_digits)), F.col("b")]
+    p1 = (sums.withColumn("__r", F.row_number().over(Window.partitionBy("a", "__s").orderBy(*order)))
+              .filter(F.col("__r") <= k).drop("__r", "__s"))
+    return (p1.withColumn("rank", F.row_number().over(Window.partitionBy("a").orderBy(*order)).cast("long"))
+              .filter(F.col("rank") <= k))
 
 
 def user_cosine(ratings: DataFrame, user: str = "user", item: str = "item", rating: str = "rating") -> DataFrame:

@@ -15,20 +15,81 @@ from tessera.functions.exprs import word_ngrams
 from tessera.functions.rows import attach_row
 
 
-def _grams(df: DataFrame, key: list[str], arr: str, ns: list[int]) -> DataFrame:
+def _tagged(arr: str, ns: list[int], side: int):
     def tag(n):
-        return F.transform(word_ngrams(arr, n), lambda g: F.struct(F.lit(n).alias("n"), g.alias("g")))
-    parts = [tag(n) for n in ns]
-    return (df.select(*key, F.explode(F.concat(*parts)).alias("x"))
+        return F.transform(word_ngrams(arr, n), lambda g: F.struct(F.lit(n).alias("n"), g.alias("g"),
+                                                                  F.lit(side).alias("s")))
+    return [tag(n) for n in ns]
+
+
+def _grams(df: DataFrame, key: list[str], arr: str, ns: list[int]) -> DataFrame:
+    """(key..., n, g, cnt): n-gram counts of one token array column."""
+    return (df.select(*key, F.explode(F.concat(*_tagged(arr, ns, 0))).alias("x"))
               .select(*key, F.col("x.n").alias("n"), F.col("x.g").alias("g"))
               .groupBy(*key, "n", "g").agg(F.count(F.lit(1)).alias("cnt")))
 
 
 def _clipped(df: DataFrame, key: list[str], hyp: str, ref: str, ns: list[int]) -> DataFrame:
-    h = _grams(df, key, hyp, ns)
-    r = _grams(df, key, ref, ns).withColumnRenamed("cnt", "rcnt")
-    return (h.join(r, [*key, "n", "g"], "left")
-             .withColumn("clip", F.least("cnt", F.coalesce("rcnt", F.lit(0)))))
+    """(key..., n, g, cnt, rcnt, clip) for every hypothesis n-gram.
+
+    Both sides' n-grams come out of one explode, tagged by side, and are
+    counted by a single aggregation (partial counts combine map-side), so
+    no join of two count tables is needed.
+    """
+    x = df.select(*key, F.explode(F.concat(*_tagged(hyp, ns, 0), *_tagged(ref, ns, 1))).alias("x"))
+    c = (x.select(*key, F.col("x.n").alias("n"), F.col("x.g").alias("g"), F.col("x.s").alias("s"))
+          .groupBy(*key, "n", "g").agg(F.sum(1 - F.col("s")).alias("cnt"), F.sum("s").alias("rcnt")))
+    return c.filter(F.col("cnt") > 0).withColumn("clip", F.least("cnt", "rcnt"))
+
+
+def _make_ngram_stats(ns: list[int]):
+    """Per-row n-gram statistics, built as a closure so it ships to Python workers by value.
+
+    For each n: [clipped matches, hypothesis n-grams, reference n-grams,
+    hypothesis n-grams (with multiplicity) whose gram occurs in the reference].
+    """
+    from collections import Counter
+
+    def stats(h, r) -> list:
+        h = list(h) if h is not None else []
+        r = list(r) if r is not None else []
+        out = []
+        for n in ns:
+            hc = Counter(tuple(h[i:i + n]) for i in range(len(h) - n + 1))
+            rc = Counter(tuple(r[i:i + n]) for i in range(len(r) - n + 1))
+            match = covered = 0
+            for g, c in hc.items():
+                rcg = rc.get(g)
+                if rcg:
+                    match += min(c, rcg)
+                    covered += c
+            out += [match, max(len(h) - n + 1, 0), max(len(r) - n + 1, 0), covered]
+        return out
+    return stats
+
+
+def ngram_stats(df: DataFrame, key: list[str], hyp: str, ref: str, ns: list[int]) -> DataFrame:
+    """(key..., n, match, nh, nr, covered) per row and n, from one Arrow-batched pandas UDF.
+
+    N-gram counting is per document, so it runs where the document already is:
+    no n-gram rows are materialised or shuffled; only the per-row numbers
+    leave the task. ``_clipped`` is the same statistic in long form.
+    """
+    import pandas as pd
+    from pyspark.sql.functions import pandas_udf
+
+    one = _make_ngram_stats(ns)
+
+    def batch(h, r):
+        return pd.Series([one(x, y) for x, y in zip(h, r)])
+
+    batch.__annotations__ = {"h": pd.Series, "r": pd.Series, "return": pd.Series}
+    udf = pandas_udf(batch, "array<long>")
+    d = df.select(*key, udf(F.col(hyp), F.col(ref)).alias("__st"))
+    parts = [F.struct(F.lit(n).alias("n"), *[F.col("__st")[4 * i + j].alias(nm)
+                                              for j, nm in enumerate(("match", "nh", "nr", "covered"))])
+             for i, n in enumerate(ns)]
+    return d.select(*key, F.explode(F.array(*parts)).alias("x")).select(*key, "x.*")
 
 
 def corpus_bleu(df: DataFrame, key: list[str], hyp: str = "hyp", ref: str = "ref", max_n: int = 4,
@@ -41,21 +102,19 @@ def corpus_bleu(df: DataFrame, key: list[str], hyp: str = "hyp", ref: str = "ref
     """
     ns = list(range(1, max_n + 1))
     d = df.filter(F.size(ref) > 0)
-    m = _clipped(d, key, hyp, ref, ns).groupBy("n").agg(F.sum("clip").alias("match"))
-    tot = d.select(F.explode(F.array(*[F.struct(F.lit(n).alias("n"), F.greatest(F.size(hyp) - n + 1, F.lit(0)).alias("c"))
-                                       for n in ns])).alias("x")).groupBy(F.col("x.n").alias("n")).agg(
-        F.sum("x.c").alias("total"))
-    per = F.broadcast(d.sparkSession.createDataFrame([(n,) for n in ns], "n int")).join(tot, "n", "left").join(m, "n", "left").fillna(0, ["match", "total"])
+    # one pass: the unigram totals are the corpus lengths
+    per = ngram_stats(d, key, hyp, ref, ns).groupBy("n").agg(
+        F.sum("match").alias("match"), F.sum("nh").alias("total"), F.sum("nr").alias("rtotal"))
     if smooth is None:
         p = F.when(F.col("match") == 0, F.lit(None)).otherwise(F.col("match") / F.col("total"))
     else:
         p = F.when(F.col("total") == 0, F.lit(None)).when(F.col("match") == 0, F.lit(smooth) / F.col("total")).otherwise(
             F.col("match") / F.col("total"))
     per = per.withColumn("p", p)
-    lens = d.agg(F.sum(F.size(hyp)).alias("hyp_len"), F.sum(F.size(ref)).alias("ref_len"))
-    agg = per.agg(F.sum(F.log("p")).alias("__slog"), F.count("p").alias("__np"),
-                  F.max(F.when(F.col("n") == 1, F.col("match"))).alias("__m1"))
-    j = attach_row(agg, lens)
+    j = per.agg(F.sum(F.log("p")).alias("__slog"), F.count("p").alias("__np"),
+                F.max(F.when(F.col("n") == 1, F.col("match"))).alias("__m1"),
+                F.max(F.when(F.col("n") == 1, F.col("total"))).alias("hyp_len"),
+                F.max(F.when(F.col("n") == 1, F.col("rtotal"))).alias("ref_len"))
     bp = F.when(F.col("hyp_len") > F.col("ref_len"), F.lit(1.0)).when(F.col("hyp_len") == 0, F.lit(0.0)).otherwise(
         F.exp(1 - F.col("ref_len") / F.col("hyp_len")))
     bleu = F.when((F.col("__np") < max_n) | (F.col("__m1") == 0), F.lit(0.0)).otherwise(bp * F.exp(F.col("__slog") / max_n))
@@ -71,31 +130,28 @@ def bleu_precisions(df: DataFrame, key: list[str], hyp: str = "hyp", ref: str =
 
 def rouge_n(df: DataFrame, key: list[str], n: int, hyp: str = "hyp", ref: str = "ref") -> DataFrame:
     """V15 (ROUGE-1/2): per-row n-gram overlap recall, precision and F1."""
-    c = _clipped(df, key, hyp, ref, [n]).groupBy(*key).agg(F.sum("clip").alias("overlap"))
-    base = df.select(*key, F.greatest(F.size(hyp) - n + 1, F.lit(0)).alias("nh"),
-                     F.greatest(F.size(ref) - n + 1, F.lit(0)).alias("nr"))
-    j = base.join(c, key, "left").fillna(0, ["overlap"])
-    rec = F.when(F.col("nr") == 0, 0.0).otherwise(F.col("overlap") / F.col("nr"))
-    prec = F.when(F.col("nh") == 0, 0.0).otherwise(F.col("overlap") / F.col("nh"))
+    j = ngram_stats(df, key, hyp, ref, [n])
+    rec = F.when(F.col("nr") == 0, 0.0).otherwise(F.col("match") / F.col("nr"))
+    prec = F.when(F.col("nh") == 0, 0.0).otherwise(F.col("match") / F.col("nh"))
     return j.select(*key, rec.alias("recall"), prec.alias("precision"),
                     F.when(rec + prec == 0, 0.0).otherwise(2 * rec * prec / (rec + prec)).alias("f1"))
 
 
 def copy_rate(df: DataFrame, key: list[str], n: int, summary: str = "hyp", source: str = "ref") -> DataFrame:
-    """Share of the summary's n-grams (with multiplicity) that occur anywhere in the source."""
-    h = _grams(df, key, summary, [n])
-    s = _grams(df, key, source, [n]).select(*key, "g", F.lit(1).alias("__in"))
-    j = h.join(s, [*key, "g"], "left")
-    return j.groupBy(*key).agg((F.sum(F.when(F.col("__in") == 1, F.col("cnt")).otherwise(0)) / F.sum("cnt")).alias("copy_rate"))
+    """Share of the summary's n-grams (with multiplicity) that occur anywhere in the source.
+
+    Rows whose summary has no n-gram give no value (they are dropped).
+    """
+    j = ngram_stats(df, key, summary, source, [n]).filter(F.col("nh") > 0)
+    return j.select(*key, (F.col("covered") / F.col("nh")).alias("copy_rate"))
 
 
 def qa_score(df: DataFrame, key: list[str], pred: str = "hyp", gold: str = "ref") -> DataFrame:
     """Exact match of the token sequences and token-multiset F1 per row."""
-    c = _clipped(df, key, pred, gold, [1]).groupBy(*key).agg(F.sum("clip").alias("common"))
-    j = df.select(*key, F.size(pred).alias("np"), F.size(gold).alias("ng"),
-                  (F.array_join(pred, " ") == F.array_join(gold, " ")).cast("int").alias("exact_match")).join(c, key, "left").fillna(0, ["common"])
-    p = F.when(F.col("np") == 0, 0.0).otherwise(F.col("common") / F.col("np"))
-    r = F.when(F.col("ng") == 0, 0.0).otherwise(F.col("common") / F.col("ng"))
+    j = ngram_stats(df, key, pred, gold, [1]).join(
+        df.select(*key, (F.array_join(pred, " ") == F.array_join(gold, " ")).cast("int").alias("exact_match")), key)
+    p = F.when(F.col("nh") == 0, 0.0).otherwise(F.col("match") / F.col("nh"))
+    r = F.when(F.col("nr") == 0, 0.0).otherwise(F.col("match") / F.col("nr"))
     return j.select(*key, "exact_match", F.when(p + r == 0, 0.0).otherwise(2 * p * r / (p + r)).alias("token_f1"))
 
 

@@ -10,8 +10,18 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazy Parquet scan; Catalyst prunes columns and pushes filters into it."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Lazy Parquet scan; Catalyst prunes columns and pushes filters into it.
+
+    A scan that yields fewer splits than the session's parallelism (a small
+    file with one row group) is spread round-robin over the cores, so the
+    narrow work before the first shuffle does not run in a single task. Large
+    inputs already have at least that many splits and are left alone.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    par = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        df = df.repartition(par)
+    return df
 
 
 def tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
