@@ -51,18 +51,20 @@ def psm_matches(df: DataFrame, id_col: str, t: str = "t", e: str = "e", caliper:
     with replacement. Output ``(id, control_id, distance)`` for matched treated units.
 
     Exact and distributed: controls are reduced to one candidate per distinct
-    score (the smallest id), replicated into the neighbouring caliper-wide
-    buckets, and each treated unit takes the last candidate at or below and
-    the first at or above its score inside its bucket (window per bucket).
+    score (the smallest id) and replicated into the neighbouring caliper-wide
+    buckets; the search runs once per distinct treated score (last candidate
+    at or below, first above, by a window per bucket over distinct scores
+    only) and the matches are joined back to the treated units.
     """
     b = F.floor(F.col(e) / caliper).cast("long")
     ctrl = (df.filter(F.col(t) == 0).groupBy(F.col(e).alias("__e")).agg(F.min(id_col).alias("__cid"))
               .withColumn("__b0", F.floor(F.col("__e") / caliper).cast("long"))
               .select("__e", "__cid", F.explode(F.array(F.col("__b0") - 1, F.col("__b0"), F.col("__b0") + 1)).alias("__b")))
-    tr = df.filter(F.col(t) == 1).select(F.col(id_col).alias("__tid"), F.col(e).alias("__e"), b.alias("__b"))
-    u = (tr.select("__b", "__e", "__tid", F.lit(None).cast("long").alias("__cid"), F.lit(1).alias("__is_t"))
-           .unionByName(ctrl.select("__b", "__e", F.lit(None).cast("long").alias("__tid"),
-                                    F.col("__cid").cast("long"), F.lit(0).alias("__is_t"))))
+    # the match depends only on the treated unit's score: search once per distinct treated score
+    tr = df.filter(F.col(t) == 1).select(F.col(e).alias("__e")).distinct().select(
+        F.col("__e").alias("__tid"), "__e", F.floor(F.col("__e") / caliper).cast("long").alias("__b"))
+    u = (tr.select("__b", "__e", F.lit(None).cast("long").alias("__cid"), F.lit(1).alias("__is_t"))
+           .unionByName(ctrl.select("__b", "__e", F.col("__cid").cast("long"), F.lit(0).alias("__is_t"))))
     # controls sort before treated at an equal score, so "below" includes equal scores
     w_dn = Window.partitionBy("__b").orderBy("__e", "__is_t").rowsBetween(Window.unboundedPreceding, -1)
     w_up = Window.partitionBy("__b").orderBy("__e", "__is_t").rowsBetween(1, Window.unboundedFollowing)
@@ -70,14 +72,16 @@ def psm_matches(df: DataFrame, id_col: str, t: str = "t", e: str = "e", caliper:
     u = u.withColumn("__lo", F.last(cand, ignorenulls=True).over(w_dn)).withColumn(
         "__hi", F.first(cand, ignorenulls=True).over(w_up))
     m = u.filter(F.col("__is_t") == 1).select(
-        "__tid", "__e", F.col("__lo.id").alias("lo_id"), (F.col("__e") - F.col("__lo.e")).alias("lo_d"),
+        "__e", F.col("__lo.id").alias("lo_id"), (F.col("__e") - F.col("__lo.e")).alias("lo_d"),
         F.col("__hi.id").alias("hi_id"), (F.col("__hi.e") - F.col("__e")).alias("hi_d"))
     pick_lo = F.col("hi_id").isNull() | (F.col("lo_d") < F.col("hi_d")) | (
         (F.col("lo_d") == F.col("hi_d")) & (F.col("lo_id") < F.col("hi_id")))
-    m = m.select(F.col("__tid").alias(id_col),
+    m = m.select("__e",
                  F.when(F.col("lo_id").isNotNull() & pick_lo, F.col("lo_id")).otherwise(F.col("hi_id")).alias("control_id"),
                  F.when(F.col("lo_id").isNotNull() & pick_lo, F.col("lo_d")).otherwise(F.col("hi_d")).alias("distance"))
-    return m.filter(F.col("control_id").isNotNull() & (F.col("distance") <= caliper))
+    m = m.filter(F.col("control_id").isNotNull() & (F.col("distance") <= caliper))
+    treated = df.filter(F.col(t) == 1).select(F.col(id_col), F.col(e).alias("__e"))
+    return treated.join(m, "__e").drop("__e")
 
 
 def psm_ate(df: DataFrame, matches: DataFrame, id_col: str, y: str = "y") -> DataFrame:

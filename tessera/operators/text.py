@@ -124,8 +124,12 @@ def tfidf(term_rows: DataFrame, doc: str, min_df: int = 1, max_features: int | N
     """Raw tf x (ln((1+N)/(1+df)) + 1), rows L2-normalised; min_df filter; keep the
     ``max_features`` terms of highest total count (ties by term). Long output ``(doc, term, weight)``."""
     tf = term_rows.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
-    st = idf_table(tf, doc, min_df, max_features)
-    w = tf.join(st.select("term", "idf"), "term").withColumn("w", F.col("tf") * F.col("idf"))
+    return tfidf_from_tf(tf, doc, idf_table(tf, doc, min_df, max_features))
+
+
+def tfidf_from_tf(tf: DataFrame, doc: str, idf: DataFrame) -> DataFrame:
+    """T12 from a ``(doc, term, tf)`` table and an idf table: tf x idf, L2-normalised per document."""
+    w = tf.join(idf.select("term", "idf"), "term").withColumn("w", F.col("tf") * F.col("idf"))
     norm = w.groupBy(doc).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("__n"))
     return w.join(norm, doc).select(doc, "term", (F.col("w") / F.col("__n")).alias("weight"))
 

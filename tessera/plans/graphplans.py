@@ -127,11 +127,13 @@ ftop AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query ORD
 
 
 def doc_vectors(spark, sf):
+    from tessera.session import cut_lineage
     rows = table(spark, sf, "documents").select("doc_id", word_tokens("text", 2).alias("t")).select(
         "doc_id", F.explode("t").alias("term"))
-    tf = rows.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    # term counts are read by the idf, the weights and the norms: tokenise the corpus once
+    tf = cut_lineage(rows.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
     idf = tx.idf_table(tf, "doc_id")
-    return tx.tfidf(rows, "doc_id"), idf
+    return tx.tfidf_from_tf(tf, "doc_id", idf), idf
 
 
 def flat_top(spark, sf):

@@ -177,7 +177,9 @@ strat AS (
 
 
 def stratified_clicks(spark, sf):
-    return splits.split_stratified(click_rows(spark, sf), "label", ["row_id"], 0.2, 42)
+    """Stratified split of the click rows, written once: fits read the train part, applies every row."""
+    from tessera.session import cut_lineage
+    return cut_lineage(splits.split_stratified(click_rows(spark, sf), "label", ["row_id"], 0.2, 42))
 
 
 @register("E19_class_balance_by_split", "WITH " + STRAT_SQL + """
