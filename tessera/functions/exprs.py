@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "c", "md5_order", "md5_bucket", "safe_div", "dot", "l2_norm", "scale_array",
     "WORD", "word_tokens", "simple_tokens", "word_ngrams", "char_ngrams",
-    "collapse_spaces", "r6", "r6_ieee",
+    "collapse_spaces", "r6", "r6_ieee", "r6_robust",
 ]
 
 # Fixed value: the word-character class used for tokenising. Java regex and
@@ -40,6 +40,17 @@ def r6_ieee(x) -> Column:
     return F.floor(c(x) * 1000000 + 0.5) / 1000000
 
 
+def r6_robust(x) -> Column:
+    """Tie-safe 6-place rounding of an aggregate: ``floor(round(x, 9) * 1e6 + 0.5) / 1e6``.
+
+    A mean of short decimals can sit exactly on a 7th-digit tie, and its
+    float sum lands a hair above or below the tie depending on summation
+    order; rounding to 9 places first removes that noise, and the IEEE form
+    rounds the half the same way in every engine.
+    """
+    return F.floor(F.round(c(x), 9) * 1000000 + 0.5) / 1000000
+
+
 def md5_order(seed, *cols) -> Column:
     """Deterministic pseudo-random sort key: md5 of ``seed|c1|c2...``.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import r6
+from tessera.functions.exprs import r6, r6_robust
 from tessera.operators import profile as pr
 from tessera.operators import splits
 from tessera.plans.registry import register
@@ -62,13 +62,16 @@ def q_e05(spark, sf):
 
 
 @register("E06_describe_lineitem", " UNION ALL ".join(f"""
-SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std,
+SELECT '{c}' AS "column", count({c}) AS count, floor(round(avg({c}), 9) * 1000000 + 0.5) / 1000000 AS mean,
+       floor(round(stddev_samp({c}), 9) * 1000000 + 0.5) / 1000000 AS std,
        round(min({c}), 6) AS min, round(quantile_cont({c}, 0.25), 6) AS p25, round(quantile_cont({c}, 0.5), 6) AS p50,
        round(quantile_cont({c}, 0.75), 6) AS p75, round(max({c}), 6) AS max FROM lineitem"""
     for c in ("l_quantity", "l_extendedprice", "l_discount")))
 def q_e06(spark, sf):
     d = pr.describe(table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"])
-    return d.select("column", "count", *[r6(c).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])
+    # mean / std are float sums of short decimals: round them tie-safely
+    return d.select("column", "count", r6_robust("mean").alias("mean"), r6_robust("std").alias("std"),
+                    *[r6(c).alias(c) for c in ("min", "p25", "p50", "p75", "max")])
 
 
 @register("E07_histogram_quantity", """
