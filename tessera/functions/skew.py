@@ -138,3 +138,37 @@ def dense_index(df: DataFrame, order: list, out: str = "index") -> DataFrame:
     return (s.join(F.broadcast(offs), "__pid")
              .withColumn(out, (F.col("__off") + F.col("__pos")).cast("long"))
              .drop("__mid", "__pid", "__pos", "__off"))
+
+
+def running_in_group(df: DataFrame, key: list[str] | str, order: list, value: str | None = None,
+                     out: str = "rn") -> DataFrame:
+    """Inclusive running sum of ``value`` (default 1 = the row number) inside each group, in a total
+    ``order``, without a window over whole groups.
+
+    A range sort on (key, order) lays every group out contiguously, a hot group
+    possibly over several partitions. Each (partition, key) piece gets its
+    offset from the pieces before it (a small window over at most
+    #partitions rows per key); inside a piece the running sum is a window
+    bounded by one partition's rows.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    v = F.col(value) if value else F.lit(1)
+    s = (df.withColumn("__v", v.cast("long")).orderBy(*keys, *order)
+           .withColumn("__mid", F.monotonically_increasing_id()))
+    s = s.withColumn("__pid", F.shiftright("__mid", 33)).withColumn("__pos", F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1)))
+    pieces = s.groupBy("__pid", *keys).agg(F.sum("__v").alias("__piece"))
+    wp = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = pieces.select("__pid", *keys, F.coalesce(F.sum("__piece").over(wp), F.lit(0)).alias("__off"))
+    wi = Window.partitionBy("__pid", *keys).orderBy("__pos").rowsBetween(Window.unboundedPreceding, 0)
+    return (s.join(offs, ["__pid", *keys])
+             .withColumn(out, (F.col("__off") + F.sum("__v").over(wi)).cast("long"))
+             .drop("__v", "__mid", "__pid", "__pos", "__off"))
+
+
+def previous_in_group(ranked: DataFrame, key: list[str] | str, rank: str, cols: list[str],
+                      prefix: str = "prev_") -> DataFrame:
+    """Attach the previous row's columns (rank - 1 in the same group) by an equi-join on
+    (key, rank): the join key is unique per row, so a hot group spreads like any other."""
+    keys = [key] if isinstance(key, str) else list(key)
+    prev = ranked.select(*keys, (F.col(rank) + 1).alias(rank), *[F.col(c).alias(prefix + c) for c in cols])
+    return ranked.join(prev, [*keys, rank], "left")

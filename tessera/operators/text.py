@@ -136,11 +136,15 @@ def tfidf_from_tf(tf: DataFrame, doc: str, idf: DataFrame) -> DataFrame:
 
 def sessionize_on_change(df: DataFrame, part: str, order: str, key: str, out: str = "session") -> DataFrame:
     """A new session starts whenever ``key`` differs from the previous row (in ``order``,
-    within ``part``); a key that comes back starts a new session. Session numbers count from 1."""
-    w = Window.partitionBy(part).orderBy(order)
-    chg = F.when(F.lag(key).over(w).isNull() | (F.lag(key).over(w) != F.col(key)), 1).otherwise(0)
-    return df.withColumn("__chg", chg).withColumn(
-        out, F.sum("__chg").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("long")).drop("__chg")
+    within ``part``); a key that comes back starts a new session. Session numbers count from 1.
+    Ranks, the previous row and the running count are skew-safe (no window over a whole part)."""
+    from tessera.functions.skew import previous_in_group, running_in_group
+    r = running_in_group(df, part, [F.col(order)], out="__rk")
+    p = previous_in_group(r, part, "__rk", [key], prefix="__prev_")
+    chg = F.when(F.col(f"__prev_{key}").isNull() | (F.col(f"__prev_{key}") != F.col(key)), 1).otherwise(0)
+    p = p.withColumn("__chg", chg).drop(f"__prev_{key}", "__rk")
+    # session number = running count of changes, again without a window over the whole group
+    return running_in_group(p, part, [F.col(order)], "__chg", out).drop("__chg")
 
 
 def dialogue_examples(df: DataFrame, session: str, turn: str, speaker: str, text: str,

@@ -18,9 +18,9 @@ FRAMES_SQL = """frames AS (
 
 
 def frames(spark, sf):
+    from tessera.functions.skew import running_in_group
     e = table(spark, sf, "events")
-    rn = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
-    return (e.withColumn("__rn", rn)
+    return (running_in_group(e, "user_id", [F.col("ts"), F.col("event_id")], out="__rn")
              .select(F.col("user_id").alias("sequence"), (F.col("__rn") + F.floor(F.col("__rn") / 7)).cast("long").alias("frame"),
                      F.col("event_type").alias("instance"), F.col("value").alias("area"), "event_id"))
 
@@ -248,9 +248,10 @@ te AS (SELECT s.user_id, s.rn - tr.last_rn AS horizon, s.value - tr.last_value A
 SELECT CAST((horizon > 5)::INT + (horizon > 20)::INT AS BIGINT) AS bucket, inside AS inside_range, count(*) AS n,
        round(sqrt(avg(err * err)), 6) AS rmse FROM te GROUP BY 1, 2""")
 def q_x08(spark, sf):
+    from tessera.functions.skew import running_in_group
     e = table(spark, sf, "events")
-    w = Window.partitionBy("user_id")
-    s = e.withColumn("rn", F.row_number().over(w.orderBy("ts", "event_id"))).withColumn("n", F.count(F.lit(1)).over(w))
+    n = e.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    s = running_in_group(e, "user_id", [F.col("ts"), F.col("event_id")], out="rn").join(n, "user_id")
     tr = s.filter(F.col("rn") <= F.floor(F.col("n") * 8 / 10)).groupBy("user_id").agg(
         F.max("rn").alias("last_rn"), F.max_by("value", "rn").alias("last_value"), F.min("value").alias("lo"),
         F.max("value").alias("hi"))

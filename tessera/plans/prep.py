@@ -311,3 +311,25 @@ def q_j08(spark, sf):
     from tessera.operators.pairs import first_per_key
     o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
     return first_per_key(o, "o_custkey", [F.col("o_orderdate"), F.col("o_orderkey")]).select("o_custkey", "o_orderkey")
+
+
+@register("F09_assemble_features", "WITH " + NULLED_SQL + r""",
+a AS (SELECT n.row_id, [CAST(n.l_extendedprice AS DOUBLE), CAST(n.c_acctbal AS DOUBLE)] || [CAST(coalesce(n.l_quantity, 0) AS DOUBLE)] AS f
+      FROM nulled n)
+SELECT row_id, CAST(len(f) AS INTEGER) AS n_features,
+       array_to_string(list_transform(f, lambda x: CAST(round(x, 2) AS VARCHAR)), ',') AS features FROM a""")
+def q_f09(spark, sf):
+    d = _nulled(spark, sf).select("row_id", F.array(F.col("l_extendedprice").cast("double"), F.col("c_acctbal")).alias("pair"),
+                                  F.coalesce(F.col("l_quantity"), F.lit(0.0)).alias("q"))
+    a = fe.assemble(d, ["pair", "q"], "f")
+    return a.select("row_id", F.size("f").alias("n_features"),
+                    F.array_join(F.transform("f", lambda x: F.round(x, 2).cast("string")), ",").alias("features"))
+
+
+@register("L09_shuffle_positions", """
+SELECT doc_id, CAST(row_number() OVER (ORDER BY md5(concat_ws('|', '9', doc_id))) - 1 AS BIGINT) AS position FROM documents""")
+def q_l09(spark, sf):
+    from tessera.functions.exprs import md5_order
+    from tessera.functions.skew import dense_index
+    d = table(spark, sf, "documents").select("doc_id").withColumn("__o", md5_order(9, "doc_id"))
+    return dense_index(d, ["__o"], "position").select("doc_id", "position")

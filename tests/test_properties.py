@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from tessera.functions.exprs import md5_order
-from tessera.functions.skew import dense_index, group_rank, prefix_sums, top_k_per_key
+from tessera.functions.skew import dense_index, group_rank, prefix_sums, previous_in_group, running_in_group, top_k_per_key
 from tessera.operators import evaluate as ev
 from tessera.operators import features as fe
 from tessera.operators import pairs as pr
@@ -185,3 +185,17 @@ def test_pick_best_patience(spark):
     h = spark.createDataFrame([(1, 0.5), (2, 0.6), (3, 0.55), (4, 0.58), (5, 0.59), (6, 0.7)], "epoch int, value double")
     r = rec.pick_best(h, "value", "max", 3).collect()[0]
     assert r.best_epoch == 2 and r.stop_epoch == 5
+
+
+def test_running_in_group_equals_window(spark):
+    d = _skewed(spark).repartition(6)
+    got = {(r.id, r.rn, r.rs) for r in running_in_group(running_in_group(d, "k", [F.col("v"), F.col("id")], out="rn"),
+                                                           "k", [F.col("v"), F.col("id")], "v", "rs").collect()}
+    w = Window.partitionBy("k").orderBy("v", "id")
+    want = {(r.id, r.rn, r.rs) for r in d.select("id", F.row_number().over(w).alias("rn"),
+                                                  F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("rs")).collect()}
+    assert got == want
+    prev = {r.id: r.prev_id for r in previous_in_group(running_in_group(d, "k", [F.col("v"), F.col("id")], out="rn"),
+                                                       "k", "rn", ["id"]).collect()}
+    lag = {r.id: r.p for r in d.select("id", F.lag("id").over(w).alias("p")).collect()}
+    assert prev == lag
