@@ -172,3 +172,36 @@ def previous_in_group(ranked: DataFrame, key: list[str] | str, rank: str, cols:
     keys = [key] if isinstance(key, str) else list(key)
     prev = ranked.select(*keys, (F.col(rank) + 1).alias(rank), *[F.col(c).alias(prefix + c) for c in cols])
     return ranked.join(prev, [*keys, rank], "left")
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: list[float], by: list[str] | None = None,
+                    prefix: str = "q") -> DataFrame:
+    """Exact linear-interpolation quantiles (position (n-1)p between the two nearest ranks), distributed.
+
+    Non-null values get their rank by a range sort (``dense_index`` globally,
+    ``running_in_group`` per group); only the at most two rows per
+    probability that bracket each position survive a filter, so nothing but a
+    handful of rows per group reaches the final aggregate. Output: ``by``
+    columns plus ``{prefix}0..`` (one per probability).
+    """
+    from functools import reduce
+    from tessera.functions.rows import attach_row
+    keys = list(by or [])
+    d = df.select(*keys, F.col(col).cast("double").alias("__x")).filter(F.col("__x").isNotNull())
+    if keys:
+        r = running_in_group(d, keys, [F.col("__x")], out="__r").join(
+            d.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")), keys)
+    else:
+        r = attach_row(dense_index(d, [F.col("__x")], "__r0").withColumn("__r", F.col("__r0") + 1).drop("__r0"),
+                       d.agg(F.count(F.lit(1)).alias("__n")))
+    conds, aggs, outs = [], [], []
+    for i, p in enumerate(probs):
+        pos = (F.col("__n") - 1) * F.lit(float(p))
+        lo, hi = F.floor(pos) + 1, F.ceil(pos) + 1
+        conds.append((F.col("__r") == lo) | (F.col("__r") == hi))
+        aggs += [F.max(F.when(F.col("__r") == lo, F.col("__x"))).alias(f"__lo{i}"),
+                 F.max(F.when(F.col("__r") == hi, F.col("__x"))).alias(f"__hi{i}"),
+                 F.max(pos - F.floor(pos)).alias(f"__f{i}")]
+        outs.append((F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * F.col(f"__f{i}")).alias(f"{prefix}{i}"))
+    sel = r.filter(reduce(lambda a, b: a | b, conds))
+    return sel.groupBy(*keys).agg(*aggs).select(*keys, *outs)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.exprs import safe_div
-from tessera.functions.skew import prefix_sums
+from tessera.functions.skew import exact_quantiles, prefix_sums
 from tessera.functions.rows import attach_row
 
 EPS_DOUBLE = 2.220446049250313e-16  # fixed value: machine epsilon of float64
@@ -157,9 +157,11 @@ def calibration_quantile(df: DataFrame, n_bins: int = 10, label: str = "label",
     the path for very large tables.
     """
     probs = [i / n_bins for i in range(1, n_bins)]
-    pa = F.array(*[F.lit(p) for p in probs])
-    e = F.percentile(score, pa) if exact else F.percentile_approx(score, pa, 10000)
-    edges = df.agg(e.alias("edges"))  # one row
+    if exact:  # distributed exact quantiles: one row of n_bins - 1 edges
+        q = exact_quantiles(df, score, probs)
+        edges = q.select(F.array(*[F.col(f"q{i}") for i in range(len(probs))]).alias("edges"))
+    else:
+        edges = df.agg(F.percentile_approx(score, F.array(*[F.lit(p) for p in probs]), 10000).alias("edges"))
     j = attach_row(df, edges)
     b = F.size(F.filter("edges", lambda x: x < F.col(score))).cast("long")
     return (j.groupBy(b.alias("bin"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.rows import attach_row
+from tessera.functions.skew import exact_quantiles
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -58,13 +59,17 @@ def describe(df: DataFrame, cols: list[str], exact: bool = True) -> DataFrame:
     """
     out = None
     for c in cols:
-        q = (F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if exact
-             else F.percentile_approx(c, [0.25, 0.5, 0.75], 10000).cast("array<double>"))
         one = df.agg(F.lit(c).alias("column"), F.count(c).alias("count"), F.avg(c).alias("mean"),
-                     F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"), q.alias("__q"),
+                     F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
                      F.max(c).cast("double").alias("max"))
-        one = one.select("column", "count", "mean", "std", "min", F.col("__q")[0].alias("p25"),
-                         F.col("__q")[1].alias("p50"), F.col("__q")[2].alias("p75"), "max")
+        if exact:  # distributed exact quantiles (no single-task value map)
+            q = exact_quantiles(df, c, [0.25, 0.5, 0.75]).select(
+                F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75"))
+            one = attach_row(one, q)
+        else:
+            one = one.join(df.agg(F.percentile_approx(c, [0.25, 0.5, 0.75], 10000).cast("array<double>").alias("__q")))
+            one = one.select("*", F.col("__q")[0].alias("p25"), F.col("__q")[1].alias("p50"), F.col("__q")[2].alias("p75"))
+        one = one.select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -182,12 +187,11 @@ def interaction_stats(df: DataFrame, user: str, item: str) -> DataFrame:
     pu = group_sizes(df, user).withColumn("entity", F.lit("user"))
     pi = group_sizes(df, item).withColumn("entity", F.lit("item"))
     u = pu.select("entity", "size").unionByName(pi.select("entity", "size"))
-    return u.groupBy("entity").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("size").alias("mean"), F.min("size").alias("min"),
-        F.percentile("size", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("__q"),
-        F.max("size").alias("max")).select(
-        "entity", "n", "mean", "min", F.col("__q")[0].alias("p25"), F.col("__q")[1].alias("p50"),
-        F.col("__q")[2].alias("p75"), "max")
+    base = u.groupBy("entity").agg(F.count(F.lit(1)).alias("n"), F.avg("size").alias("mean"),
+                                    F.min("size").alias("min"), F.max("size").alias("max"))
+    q = exact_quantiles(u, "size", [0.25, 0.5, 0.75], by=["entity"]).select(
+        "entity", F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75"))
+    return base.join(q, "entity").select("entity", "n", "mean", "min", "p25", "p50", "p75", "max")
 
 
 def noise_flags(df: DataFrame, id_col: str, text: str, dup_col: str, min_chars: int = 5) -> DataFrame:
