@@ -199,3 +199,23 @@ def test_running_in_group_equals_window(spark):
                                                        "k", "rn", ["id"]).collect()}
     lag = {r.id: r.p for r in d.select("id", F.lag("id").over(w).alias("p")).collect()}
     assert prev == lag
+
+
+def test_exact_quantiles_match_percentile(spark):
+    from tessera.functions.skew import exact_quantiles
+    d = _skewed(spark)
+    got = {r.k: (r.q0, r.q1, r.q2) for r in exact_quantiles(d, "v", [0.1, 0.5, 0.9], by=["k"]).collect()}
+    want = {r.k: tuple(r.q) for r in d.groupBy("k").agg(F.percentile("v", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9))).alias("q")).collect()}
+    assert got.keys() == want.keys()
+    for k in got:
+        assert all(abs(a - b) < 1e-9 for a, b in zip(got[k], want[k]))
+
+
+def test_salted_self_join_equals_plain_join(spark):
+    from tessera.functions.skew import salted_self_join
+    d = _skewed(spark, 600)
+    left = d.select(F.col("id").alias("a"), "k", F.col("v").alias("va"))
+    right = d.select(F.col("id").alias("b"), "k", F.col("v").alias("vb"))
+    got = sorted(tuple(r) for r in salted_self_join(left, right, "k", "a", threshold=50, salts=4).select("a", "b").collect())
+    want = sorted(tuple(r) for r in left.join(right, "k").select("a", "b").collect())
+    assert got == want
