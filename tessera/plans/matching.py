@@ -407,3 +407,17 @@ SELECT node, min(root) AS component FROM reach GROUP BY node""")
 def q_n09c(spark, sf):
     links = sim.minhash_links(doc_shingles(spark, sf), "doc_id", 16, 4, 0.5)
     return pr.connected_groups(links)
+
+
+@register("E21_dissimilar_same_group", "WITH " + POS_SQL + HASHED_TITLES_SQL[len(LISTINGS_SQL):] + """,
+pc AS (SELECT p.id_a, p.id_b, coalesce(sum(x.c * y.c), 0) AS d FROM positives p
+       LEFT JOIN hb x ON x.posting_id = p.id_a LEFT JOIN hb y ON y.posting_id = p.id_b AND y.bucket = x.bucket
+       GROUP BY 1, 2)
+SELECT pc.id_a, pc.id_b, round(d / (na.n * nb.n), 6) AS sim FROM pc JOIN hn na ON na.posting_id = pc.id_a
+JOIN hn nb ON nb.posting_id = pc.id_b WHERE d / (na.n * nb.n) < 0.8""")
+def q_e21r(spark, sf):
+    """E21 (reverse): members of one identity group whose titles are not similar (chained pairs,
+    cosine below the 0.8 similarity bar the forward query uses)."""
+    v = hashed_title_vectors(spark, sf)
+    c = sim.pair_cosine_dense(_pos(spark, sf).select("id_a", "id_b"), v, id_col="posting_id")
+    return c.filter(F.col("cosine") < 0.8).select("id_a", "id_b", r6("cosine").alias("sim"))
