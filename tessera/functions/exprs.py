@@ -26,8 +26,8 @@ def c(x) -> Column:
 
 
 def r6(x) -> Column:
-    """Round to 6 places: the cross-engine comparison precision."""
-    return F.round(c(x), 6)
+    """Round to 6 places, the cross-engine comparison precision, tie-safely (see ``r6_robust``)."""
+    return r6_robust(x)
 
 
 def r6_ieee(x) -> Column:
