@@ -129,7 +129,10 @@ def dense_index(df: DataFrame, order: list, out: str = "index") -> DataFrame:
     per-partition counts (one row per partition, a bounded table) give each
     partition its offset. No global window, no single task sees all rows.
     """
-    s = df.orderBy(*order).withColumn("__mid", F.monotonically_increasing_id())
+    from tessera.session import cut_lineage
+    # the ids depend on the physical partitioning of this sort: write them once, so both reads
+    # below (and any recomputation after an executor loss) see the same ids
+    s = cut_lineage(df.orderBy(*order).withColumn("__mid", F.monotonically_increasing_id()))
     s = s.withColumn("__pid", F.shiftright("__mid", 33)).withColumn(
         "__pos", F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1)))
     cnt = s.groupBy("__pid").agg(F.count(F.lit(1)).alias("__c"))
@@ -153,8 +156,10 @@ def running_in_group(df: DataFrame, key: list[str] | str, order: list, value: st
     """
     keys = [key] if isinstance(key, str) else list(key)
     v = F.col(value) if value else F.lit(1)
-    s = (df.withColumn("__v", v.cast("long")).orderBy(*keys, *order)
-           .withColumn("__mid", F.monotonically_increasing_id()))
+    from tessera.session import cut_lineage
+    # ids depend on the physical partitioning of the sort: materialise them once (see dense_index)
+    s = cut_lineage(df.withColumn("__v", v.cast("long")).orderBy(*keys, *order)
+                      .withColumn("__mid", F.monotonically_increasing_id()))
     s = s.withColumn("__pid", F.shiftright("__mid", 33)).withColumn("__pos", F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1)))
     pieces = s.groupBy("__pid", *keys).agg(F.sum("__v").alias("__piece"))
     wp = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
