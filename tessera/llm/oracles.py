@@ -1,3 +1,135 @@
-"""DuckDB SQL for the training-data queries that SQL can express."""
+"""DuckDB SQL for the training-data queries that SQL can express.
 
-ORACLES: dict[str, str] = {}
+The others are held against brute force or held-out accuracy in tests/llm:
+XXH64 (op5), patterns with look-around (op4), the fitted language and quality
+models (op7, op10) and the recursive median cuts (op8) have no SQL form.
+"""
+
+from __future__ import annotations
+
+from tessera.llm.licences import TEMPLATES, THRESHOLD
+
+_OP1 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+ok AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL
+    AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE CASE WHEN len(a.e) = len(b.e) THEN list_cosine_similarity(a.e, b.e) END >= 0.98),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM v
+  UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+comp AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+deg AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT v.vec_id, coalesce(deg.n, 0)::BIGINT AS n_links, comp.component_id, v.vec_id = comp.component_id AS kept
+FROM v JOIN comp ON comp.a = v.vec_id LEFT JOIN deg ON deg.a = v.vec_id
+"""
+
+# an alignment with at most one in five tokens differing always has two equal tokens in a row
+_OP2 = r"""
+WITH it AS (
+  SELECT DISTINCT item_id, t FROM (
+    SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS t
+    FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL) WHERE len(t) >= 5),
+dt AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS t FROM documents WHERE text IS NOT NULL),
+i1 AS (SELECT item_id, len(t) AS n, unnest(t) AS w, generate_subscripts(t, 1) - 1 AS p FROM it),
+d1 AS (SELECT doc_id, len(t) AS n, unnest(t) AS w, generate_subscripts(t, 1) - 1 AS p FROM dt),
+i2 AS (SELECT *, lead(w) OVER (PARTITION BY item_id ORDER BY p) AS nxt FROM i1),
+d2 AS (SELECT *, lead(w) OVER (PARTITION BY doc_id ORDER BY p) AS nxt FROM d1),
+diag AS (
+  SELECT DISTINCT d2.doc_id, i2.item_id, d2.p - i2.p AS diag FROM d2 JOIN i2 ON d2.w = i2.w AND d2.nxt = i2.nxt),
+aligned AS (
+  SELECT g.doc_id, g.item_id, g.diag, i1.p AS ip, least(13, i1.n) AS width, (d1.w = i1.w)::INT AS same
+  FROM diag g JOIN i1 ON i1.item_id = g.item_id JOIN d1 ON d1.doc_id = g.doc_id AND d1.p = i1.p + g.diag),
+scored AS (
+  SELECT doc_id, item_id, diag, ip, width,
+    list_sum((list(same) OVER (PARTITION BY doc_id, item_id, diag ORDER BY ip ROWS BETWEEN 12 PRECEDING AND CURRENT ROW))[-width:]) AS n,
+    row_number() OVER (PARTITION BY doc_id, item_id, diag ORDER BY ip) AS k
+  FROM aligned),
+best AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n DESC, ip + diag, ip) AS r
+  FROM scored WHERE k >= width AND n >= width * 0.8 - 1e-9)
+SELECT doc_id, item_id, width::BIGINT AS n_tokens, n::BIGINT AS n_match, n / width AS similarity,
+  (ip - width + 1 + diag)::BIGINT AS doc_pos, (ip - width + 1)::BIGINT AS item_pos
+FROM best WHERE r = 1
+"""
+_OP3 = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS i FROM d GROUP BY source),
+w AS (SELECT *, CASE i % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS w, 2.0::DOUBLE * source_size AS cap FROM s),
+r AS (
+  SELECT *, coalesce(sum(cap) OVER (ORDER BY cap / w, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS given,
+    sum(w) OVER (ORDER BY cap / w, i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open, sum(source_size) OVER () AS total FROM w),
+level AS (
+  SELECT (total::DOUBLE * 1.5::DOUBLE - given) / open AS level FROM r WHERE (total::DOUBLE * 1.5::DOUBLE - given) / open <= cap / w ORDER BY cap / w, i LIMIT 1),
+t AS (SELECT source, source_size, least(w * level, cap) AS target FROM w, level),
+m AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
+    ('0x' || substr(md5('mix|' || coalesce(d.doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target, size * (floor(rate)::BIGINT + (u < rate - floor(rate))::BIGINT) AS taken FROM m
+"""
+
+_OP6 = r"""
+WITH c AS (SELECT conv_id, coalesce(turn, -1) AS turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+last AS (
+  SELECT conv_id, turn AS last_turn, text AS last_text FROM (
+    SELECT conv_id, turn, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, coalesce(text, '') DESC) AS r
+    FROM c WHERE role = 'assistant') WHERE r = 1),
+ring AS (SELECT *, row_number() OVER (ORDER BY conv_id) - 1 AS i, count(*) OVER () AS n FROM last),
+swap AS (SELECT a.conv_id, a.last_turn, a.last_text, b.last_text AS donor_text FROM ring a JOIN ring b ON b.i = (a.i + 1) % a.n),
+t AS (
+  SELECT c.conv_id AS pair_id, 'chosen' AS side, turn, role, text FROM c JOIN swap USING (conv_id)
+  UNION ALL
+  SELECT c.conv_id, 'rejected', turn, role,
+    CASE WHEN turn = last_turn AND role = 'assistant' AND coalesce(text, '') = last_text THEN donor_text ELSE text END
+  FROM c JOIN swap USING (conv_id)),
+pos AS (SELECT *, row_number() OVER (PARTITION BY pair_id, side ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS pos FROM t),
+place AS (
+  SELECT coalesce(a.pair_id, b.pair_id) AS pair_id, coalesce(a.pos, b.pos) AS pos,
+    a.pos IS NULL OR b.pos IS NULL OR a.role IS DISTINCT FROM b.role OR a.text IS DISTINCT FROM b.text AS differs
+  FROM (SELECT * FROM pos WHERE side = 'chosen') a FULL JOIN (SELECT * FROM pos WHERE side = 'rejected') b ON a.pair_id = b.pair_id AND a.pos = b.pos),
+over AS (SELECT pair_id, coalesce(min(CASE WHEN differs THEN pos END), max(pos) + 1) AS over_at FROM place GROUP BY pair_id),
+seg AS (
+  SELECT pair_id, CASE WHEN pos < over_at THEN 'prompt' ELSE side END AS part, CASE WHEN pos < over_at THEN pos ELSE pos - over_at + 1 END AS seq,
+    '<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || '<|end|>' || chr(10) AS rendered,
+    CASE WHEN pos >= over_at AND role = 'assistant' THEN length(coalesce(text, '')) + 8 ELSE 0 END AS trained
+  FROM pos JOIN over USING (pair_id) WHERE pos >= over_at OR side = 'chosen')
+SELECT pair_id, coalesce(sum(1) FILTER (part = 'prompt'), 0)::BIGINT AS prompt_turns, coalesce(sum(1) FILTER (part = 'chosen'), 0)::BIGINT AS chosen_turns,
+  coalesce(sum(1) FILTER (part = 'rejected'), 0)::BIGINT AS rejected_turns, coalesce(sum(length(rendered)) FILTER (part = 'prompt'), 0)::BIGINT AS prompt_chars,
+  coalesce(sum(length(rendered)) FILTER (part = 'chosen'), 0)::BIGINT AS chosen_chars, coalesce(sum(length(rendered)) FILTER (part = 'rejected'), 0)::BIGINT AS rejected_chars,
+  coalesce(sum(trained) FILTER (part = 'chosen'), 0)::BIGINT AS chosen_trained, coalesce(sum(trained) FILTER (part = 'rejected'), 0)::BIGINT AS rejected_trained,
+  sum(('0x' || substr(md5(part || '|' || seq || '|' || rendered), 1, 8))::BIGINT)::BIGINT AS checksum
+FROM seg GROUP BY pair_id
+"""
+
+_VALUES = ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in t)) for t in TEMPLATES)
+_GRAMS = "CASE WHEN len(t) > 1 THEN list_distinct(list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])) ELSE t END"
+_OP9 = rf"""
+WITH tpl AS (
+  SELECT DISTINCT license_id, {_GRAMS} AS tb FROM (
+    SELECT license_id, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS t FROM (VALUES {_VALUES}) v(license_id, text))),
+lines AS (SELECT doc_id, 0 AS kind, generate_subscripts(l, 1) - 1 AS place, unnest(l) AS text FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)),
+parts AS (SELECT doc_id, 1 AS kind, generate_subscripts(l, 1) - 1 AS place, unnest(l) AS text FROM (SELECT doc_id, string_split_regex(text, '\n[ \t\r]*\n') AS l FROM documents)),
+units AS (
+  SELECT * FROM lines UNION ALL SELECT * FROM parts WHERE contains(text, chr(10))
+  UNION ALL SELECT doc_id, 2, 0, text FROM documents WHERE regexp_matches(text, '\n[ \t\r]*\n')),
+grams AS (
+  SELECT doc_id, kind, place, {_GRAMS} AS ub FROM (
+    SELECT *, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS t FROM units)),
+dice AS (
+  SELECT doc_id, license_id, kind, place, 2 * len(list_intersect(ub, tb)) / (len(ub) + len(tb)) AS dice
+  FROM grams JOIN tpl ON len(ub) BETWEEN len(tb) * {THRESHOLD / (2 - THRESHOLD)} - 1e-9 AND len(tb) * {(2 - THRESHOLD) / THRESHOLD} + 1e-9),
+hit AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, license_id ORDER BY dice DESC, kind, place) AS r FROM dice WHERE dice >= {THRESHOLD} - 1e-12)
+SELECT doc_id, license_id, max(dice) AS dice, max(CASE WHEN r = 1 THEN CASE kind WHEN 0 THEN 'line' WHEN 1 THEN 'paragraph' ELSE 'text' END END) AS unit,
+  max(CASE WHEN r = 1 THEN place END)::BIGINT AS place, count(DISTINCT (kind, place))::BIGINT AS n_units
+FROM hit GROUP BY doc_id, license_id
+"""
+
+ORACLES: dict[str, str] = {"op1_embedding_neardup": _OP1, "op2_decontamination": _OP2, "op3_mixing": _OP3, "op6_preference": _OP6, "op9_licences": _OP9}
