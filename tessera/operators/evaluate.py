@@ -65,31 +65,27 @@ def threshold_sweep(df: DataFrame, grid: list[int], label: str = "label", score:
     One pass over the rows: each row falls into the bucket of the largest grid
     threshold it reaches (exact comparisons against g/100.0), giving a tiny
     (by, bucket, pos, neg) table; counts per threshold are suffix sums of it.
-    ``by`` runs one sweep per slice (e.g. per fusion weight) in the same pass.
+    ``by`` runs one sweep per slice (e.g. per fusion weight) in the same pass;
+    every slice, a null one too, gets a row for every threshold.
     """
     by = by or []
+    if any(x in by for x in ("g", "threshold")):
+        raise ValueError("a slice column may not be called g or threshold: the result has these")
     g = sorted(grid)
     ths = F.array(*[F.lit(x / 100.0) for x in g])
     # index (1-based) of the largest threshold <= score; 0 = below all
-    b = F.size(F.filter(ths, lambda t: F.col(score) >= t))
-    h = (df.select(*by, b.alias("b"), F.col(label).cast("long").alias("y"))
-           .groupBy(*by, "b").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")))
-    spark = df.sparkSession
-    # grid index 0 is "below every threshold": its counts are the totals P and N
-    gdf = spark.createDataFrame([(0, -1)] + [(i + 1, x) for i, x in enumerate(g)], "gi int, g int")
-    # the bucket table has at most (slices x (len(grid)+1)) rows: the grid join stays tiny
-    cnt = (gdf.join(F.broadcast(h), F.col("b") >= F.col("gi"), "left")
-              .groupBy(*by, "gi", "g").agg(F.coalesce(F.sum("pos"), F.lit(0)).cast("long").alias("tp"),
-                                           F.coalesce(F.sum("neg"), F.lit(0)).cast("long").alias("fp")))
-    if by:
-        cnt = cnt.filter(F.col(by[0]).isNotNull())
-    w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))  # <= len(grid)+1 rows per slice
-    out = (cnt.withColumn("P", F.max(F.when(F.col("gi") == 0, F.col("tp"))).over(w))
-              .withColumn("N", F.max(F.when(F.col("gi") == 0, F.col("fp"))).over(w))
-              .filter(F.col("gi") > 0))
-    out = (out.withColumn("fn", (F.col("P") - F.col("tp")).cast("long"))
-              .withColumn("tn", (F.col("N") - F.col("fp")).cast("long"))
-              .withColumn("threshold", F.col("g") / 100.0).drop("P", "N", "gi"))
+    bucket = F.size(F.filter(ths, lambda t: F.col(score) >= t))
+    h = (df.select(*[F.col(x).alias(f"__by{k}") for k, x in enumerate(by)], bucket.alias("__b"), F.col(label).cast("long").alias("__y"))
+           .groupBy(*[f"__by{k}" for k in range(len(by))], "__b").agg(F.sum("__y").alias("__pos"), F.sum(1 - F.col("__y")).alias("__neg")))
+    keys = [f"__by{k}" for k in range(len(by))]
+    # a slice's bucket counts as one small map (at most grid + 1 entries), so that every slice gets every threshold
+    counts = h.groupBy(*keys).agg(F.collect_list(F.struct("__b", "__pos", "__neg")).alias("__h"))
+    upto = lambda k, f: F.aggregate(F.filter("__h", lambda x: x["__b"] >= k), F.lit(0).cast("long"), lambda s, x: s + x[f])
+    rows = F.explode(F.array(*[F.struct(F.lit(k + 1).alias("gi"), F.lit(x).alias("g")) for k, x in enumerate(g)]))
+    out = counts.withColumn("__g", rows).filter(F.size("__h") > 0)
+    tp, fp, pos, neg = upto(F.col("__g.gi"), "__pos"), upto(F.col("__g.gi"), "__neg"), upto(F.lit(0), "__pos"), upto(F.lit(0), "__neg")
+    out = out.select(*[F.col(f"__by{k}").alias(x) for k, x in enumerate(by)], F.col("__g.g").alias("g"), tp.alias("tp"), fp.alias("fp"),
+                     (pos - tp).alias("fn"), (neg - fp).alias("tn"), (F.col("__g.g") / 100.0).alias("threshold"))
     return with_rates(out)
 
 

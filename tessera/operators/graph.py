@@ -104,26 +104,43 @@ def flat_retrieve(q_vecs: DataFrame, doc_vecs: DataFrame, k: int, query: str = "
                          salt_cols=[doc])
 
 
-def shingles(df: DataFrame, key: list[str], text: str, n: int, first_only: bool = False) -> DataFrame:
-    """Whitespace-token n-word shingles (all of them, or only the first) -> (key..., shingle)."""
+def shingles(df: DataFrame, key: list[str], text: str, n: int) -> DataFrame:
+    """Whitespace-token n-word shingles -> (key..., shingle)."""
     w = F.split(F.trim(F.regexp_replace(F.col(text), r"\s+", " ")), " ")
     d = df.select(*key, w.alias("__w")).filter(F.size("__w") >= n)
-    if first_only:
-        return d.select(*key, F.array_join(F.slice("__w", 1, n), " ").alias("shingle"))
     return d.select(*key, F.explode(F.transform(F.sequence(F.lit(1), F.size("__w") - n + 1),
                                                 lambda i: F.array_join(F.slice("__w", i, n), " "))).alias("shingle"))
 
 
 def containment_truth(passages: DataFrame, pid: str, ptext: str, docs: DataFrame, doc: str, dtext: str,
                       n: int = 8) -> DataFrame:
-    """(passage, doc) pairs where the doc contains the whole passage: candidates by an equi-join on the
-    passage's first n-word shingle against every doc shingle, then an exact containment check."""
-    first = shingles(passages, [pid], ptext, n, first_only=True)
-    cand = first.join(shingles(docs, [doc], dtext, n), "shingle").select(pid, doc).distinct()
-    norm = lambda c: F.regexp_replace(F.col(c), r"\s+", " ")
-    return (cand.join(passages.select(pid, norm(ptext).alias("__p")), pid)
-                .join(docs.select(doc, norm(dtext).alias("__d")), doc)
-                .filter(F.instr("__d", F.col("__p")) > 0).select(pid, doc))
+    """(passage, doc) pairs where the doc contains the whole passage (white space collapsed).
+
+    A passage may begin or end inside a document's word, but the words between
+    its first and last are whole words of the document: their first n (or
+    all, if fewer) form a shingle that is joined with the document shingles of
+    that length; an exact containment check follows. Passages without an
+    inner word are a stated query set scanned against the documents.
+    """
+    norm = lambda x: F.regexp_replace(F.col(x), r"\s+", " ")
+    p = passages.select(pid, norm(ptext).alias("__p")).filter(F.trim("__p") != "")
+    p = cut_lineage(p.withColumn("__w", F.split(F.trim("__p"), " ")).withColumn(
+        "__n", F.greatest(F.lit(0), F.least(F.lit(n), F.size("__w") - 2))))
+    parts = []
+    for r in p.select("__n").distinct().collect():  # at most n + 1 lengths
+        some = p.filter(F.col("__n") == r["__n"])
+        if r["__n"]:
+            inner = some.select(pid, F.array_join(F.slice("__w", 2, r["__n"]), " ").alias("shingle"))
+            parts.append(inner.join(shingles(docs, [doc], dtext, r["__n"]), "shingle").select(pid, doc).distinct())
+        else:
+            parts.append(some.select(pid, "__p").join(docs.select(doc, norm(dtext).alias("__d")), F.expr("instr(__d, __p) > 0")).select(pid, doc))
+    if not parts:
+        return passages.select(pid).join(docs.select(doc), F.lit(False))
+    cand = parts[0]
+    for x in parts[1:]:
+        cand = cand.unionByName(x)
+    return (cand.distinct().join(p.select(pid, "__p"), pid).join(docs.select(doc, norm(dtext).alias("__d")), doc)
+                .filter(F.expr("instr(__d, __p) > 0")).select(pid, doc))
 
 
 def split_sentences(df: DataFrame, key: list[str], text: str) -> DataFrame:
@@ -133,10 +150,10 @@ def split_sentences(df: DataFrame, key: list[str], text: str) -> DataFrame:
     return df.select(*key, F.posexplode(s).alias("sent_id", "sentence")).filter(F.col("sentence") != "")
 
 
-def answer_passages(top: DataFrame, query: str, floor: float, score: str = "score") -> DataFrame:
-    """Keep retrieved passages with score >= floor; a query left with none gets one 'none' row."""
+def answer_passages(top: DataFrame, queries: DataFrame, query: str, floor: float, score: str = "score") -> DataFrame:
+    """Keep retrieved passages with score >= floor; every query of ``queries`` left with none gets one 'none' row."""
     kept = top.filter(F.col(score) >= floor)
-    qs = top.select(query).distinct().join(kept.select(query).distinct(), query, "left_anti")
+    qs = queries.select(query).distinct().join(kept.select(query).distinct(), query, "left_anti")
     return kept.withColumn("status", F.lit("answer")).unionByName(
         qs.withColumn("status", F.lit("none")), allowMissingColumns=True)
 

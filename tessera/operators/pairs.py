@@ -49,6 +49,8 @@ def negative_pairs(df: DataFrame, id_col: str, group: str, n: "int | DataFrame",
     for each shift s; pairs inside one group are dropped, mirrors merged and
     the first n by md5 of the pair are kept (n is the wanted count, e.g. the
     number of positives: a one-row DataFrame with column ``n`` or an int).
+    If the first shifts give too few pairs (a group may hold most rows),
+    further ones follow until there are n or every shift has been tried.
     Positions come from a distributed dense index, so nothing is ranked in
     one task.
     """
@@ -56,16 +58,27 @@ def negative_pairs(df: DataFrame, id_col: str, group: str, n: "int | DataFrame",
     d = df.select(F.col(id_col).alias("__id"), F.col(group).alias("__g")).withColumn("__o", md5_order(seed, "__id"))
     pos = dense_index(d, ["__o"], "__p").select("__id", "__g", "__p")
     pos = attach_row(pos, pos.agg(F.count(F.lit(1)).alias("N")))
+    want = n if isinstance(n, DataFrame) else df.sparkSession.range(1).select(F.lit(int(n)).alias("n"))
+    pos = cut_lineage(pos)
     other = pos.select(F.col("__id").alias("__id2"), F.col("__g").alias("__g2"), F.col("__p").alias("__p2"))
-    cands = None
-    for s in shifts:
-        c = pos.withColumn("__p2", F.pmod(F.col("__p") + s, F.col("N"))).join(other, "__p2")
-        c = c.filter(F.col("__g") != F.col("__g2")).select(
-            F.least("__id", "__id2").alias("id_a"), F.greatest("__id", "__id2").alias("id_b"))
-        cands = c if cands is None else cands.unionByName(c)
-    cands = cands.distinct().withColumn("__o", md5_order(seed, "id_a", "id_b"))
+    wanted, rows = want.first()["n"], pos.count()
+
+    def drawn(some) -> DataFrame:
+        c = None
+        for s in some:
+            x = (pos.withColumn("__p2", F.pmod(F.col("__p") + s, F.col("N"))).join(other, "__p2").filter(F.col("__g") != F.col("__g2"))
+                    .select(F.least("__id", "__id2").alias("id_a"), F.greatest("__id", "__id2").alias("id_b")))
+            c = x if c is None else c.unionByName(x)
+        return c.distinct()
+
+    # shifts s and N - s give the same pairs: half of the rows exhaust all pairs there are
+    shifts, cands = list(shifts), drawn(shifts)
+    while max(shifts) < rows // 2 and cands.count() < wanted:
+        more = list(range(max(shifts) + 1, min(rows // 2, 2 * max(shifts)) + 1))
+        shifts += more
+        cands = cut_lineage(cands.unionByName(drawn(more)).distinct())
+    cands = cands.withColumn("__o", md5_order(seed, "id_a", "id_b"))
     ranked = dense_index(cands, ["__o"], "__r")
-    want = n if isinstance(n, DataFrame) else df.sparkSession.range(1).select(F.lit(int(n)).alias("n"))
     return (attach_row(ranked, want.select(F.col("n").cast("long").alias("__n")))
             .filter(F.col("__r") < F.col("__n")).select("id_a", "id_b", F.lit(0).alias("label")))
 
@@ -92,29 +105,37 @@ def hash_block_links(df: DataFrame, id_col: str, hash_col: str) -> DataFrame:
               .select(F.col(id_col).alias("id_a"), F.col("rep_id").alias("id_b"), hash_col, "group_size"))
 
 
-def connected_groups(edges: DataFrame, a: str = "id_a", b: str = "id_b", max_rounds: int = 50,
-                     checkpoint_every: int = 3) -> DataFrame:
-    """Connected components by iterative min-label propagation.
+def connected_groups(edges: DataFrame, a: str = "id_a", b: str = "id_b") -> DataFrame:
+    """Connected components by alternating large-star and small-star steps.
 
-    Each round every node takes the smallest label among itself and its
-    neighbours (a join + group-by); it stops when no label changes (one
-    small count per round) or after ``max_rounds``. Lineage is cut with a
-    reliable checkpoint every few rounds. Output ``(node, component)``,
-    component = smallest node id in the component.
+    Large-star links every larger neighbour of a node to its smallest one;
+    small-star links the smaller neighbours among themselves. Both are a
+    partial aggregate plus an equi-join, so a hub's edges spread over tasks.
+    It runs until the edge set stops changing (the stars are then the
+    components), however long the paths; each round is written once
+    (reliable checkpoint). Output ``(node, component)``, component = smallest
+    node id in the component.
     """
-    e = edges.select(F.col(a).alias("src"), F.col(b).alias("dst"))
-    und = cut_lineage(e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())
-    lab = und.select(F.col("src").alias("node")).distinct().withColumn("comp", F.col("node"))
-    for r in range(1, max_rounds + 1):
-        prop = (und.join(lab.withColumnRenamed("node", "src"), "src")
-                   .groupBy(F.col("dst").alias("node")).agg(F.min("comp").alias("cand")))
-        new = (lab.join(prop, "node", "left")
-                  .select("node", F.least("comp", F.coalesce("cand", F.col("comp"))).alias("comp"),
-                          (F.coalesce("cand", F.col("comp")) < F.col("comp")).alias("changed")))
-        if r % checkpoint_every == 0:
-            new = cut_lineage(new)
-        changed = new.filter("changed").limit(1).count()
-        lab = new.drop("changed")
-        if changed == 0:
+    ends = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u is not null and v is not null")
+    alone = ends.filter("u = v").select("u").distinct()
+    e = cut_lineage(ends.filter("u <> v").select(F.greatest("u", "v").alias("hi"), F.least("u", "v").alias("lo")).distinct())
+
+    def state(x: DataFrame) -> tuple:
+        return tuple(x.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first())
+
+    seen = state(e)
+    while seen[0]:
+        both = e.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(e.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
+        low = large.groupBy("hi").agg(F.min("lo").alias("m"))
+        small = large.join(low, "hi").select(F.col("lo").alias("hi"), F.col("m").alias("lo")).unionByName(low.select("hi", F.col("m").alias("lo")))
+        e = cut_lineage(small.filter("hi <> lo").distinct())
+        now = state(e)
+        if now == seen:
             break
-    return lab.withColumnRenamed("comp", "component")
+        seen = now
+    stars = e.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(
+        e.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct())
+    rest = alone.join(stars.select(F.col("node").alias("u")), "u", "left_anti").select(F.col("u").alias("node"), F.col("u").alias("component"))
+    return stars.unionByName(rest)

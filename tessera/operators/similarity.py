@@ -187,7 +187,7 @@ def knn_join(vecs: DataFrame, k: int, id_col: str = "id", vec: str = "embedding"
     """
     g = F.col(exclude_same) if exclude_same else F.lit(0)
     base = vecs.select(F.col(id_col).cast("long").alias("id"), F.col(vec).alias("v"), g.alias("g"))
-    return _blocked_topk(base, base, k, block_rows, tie_digits, exclude_same is not None)
+    return _blocked_topk(base, base.toDF("id", "v", "g"), k, block_rows, tie_digits, exclude_same is not None)
 
 
 def nearest(vecs: DataFrame, queries: DataFrame, k: int, id_col: str = "id", vec: str = "embedding",

@@ -25,9 +25,10 @@ def tokenize_simple(col) -> Column:
 
 
 def tokenize_dialogue(col) -> Column:
-    """Lower, speaker tags <usr1>/<usr2> -> usr1speaker/usr2speaker, then words or single punctuation marks."""
+    """Lower, speaker tags <usr1>/<usr2> -> " usr1speaker "/" usr2speaker ", then words or single punctuation marks."""
+    # fixed values: the speaker tags and the words they become
     s = F.lower(c(col))
-    s = F.replace(F.replace(s, F.lit("<usr1>"), F.lit("usr1speaker")), F.lit("<usr2>"), F.lit("usr2speaker"))
+    s = F.replace(F.replace(s, F.lit("<usr1>"), F.lit(" usr1speaker ")), F.lit("<usr2>"), F.lit(" usr2speaker "))
     return F.regexp_extract_all(s, F.lit(f"{WORD}+|[^\\p{{L}}\\p{{N}}_\\s]"), 0)
 
 

@@ -147,13 +147,8 @@ def q_g06(spark, sf):
     return round_doubles(flat_top(spark, sf))
 
 
-TRUTH_SQL = r"""bs AS (SELECT item_id, array_to_string(ws[1:8], ' ') AS shingle, regexp_replace(text, '\s+', ' ', 'g') AS p
-       FROM (SELECT item_id, text, string_split(trim(regexp_replace(text, '\s+', ' ', 'g')), ' ') AS ws FROM benchmark) WHERE len(ws) >= 8),
-ds AS (SELECT doc_id, array_to_string(ws[i:i + 7], ' ') AS shingle
-       FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i
-             FROM (SELECT doc_id, string_split(trim(regexp_replace(text, '\s+', ' ', 'g')), ' ') AS ws FROM documents))),
-truth AS (SELECT DISTINCT bs.item_id AS query, ds.doc_id FROM bs JOIN ds USING (shingle) JOIN documents d ON d.doc_id = ds.doc_id
-          WHERE contains(regexp_replace(d.text, '\s+', ' ', 'g'), bs.p)),
+TRUTH_SQL = r"""truth AS (SELECT b.item_id AS query, d.doc_id FROM benchmark b, documents d
+          WHERE contains(regexp_replace(d.text, '\s+', ' ', 'g'), regexp_replace(b.text, '\s+', ' ', 'g'))),
 qtype AS (SELECT item_id AS query, CASE WHEN contains(text, chr(10)) THEN 'multi-hop' ELSE 'lookup' END AS qtype FROM benchmark)"""
 
 
@@ -235,26 +230,27 @@ top AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query ORDE
 kept AS (SELECT query, sid, score, rank, 'answer' AS status FROM top WHERE score >= 0.3)
 SELECT query, sid, round(score, 6) AS score, rank, status FROM kept
 UNION ALL
-SELECT DISTINCT query, '', 0.0, CAST(0 AS BIGINT), 'none' FROM top WHERE query NOT IN (SELECT query FROM kept)""")
+SELECT DISTINCT item_id, '', 0.0, CAST(0 AS BIGINT), 'none' FROM benchmark WHERE item_id NOT IN (SELECT query FROM kept)""")
 def q_g08(spark, sf):
     b = table(spark, sf, "benchmark").select(F.col("item_id").alias("query"), "text")
     top = retrieve_sentences(spark, sf, b, 3)
-    a = gr.answer_passages(top, "query", 0.3).select("query", "sid", "score", "rank", "status")
+    a = gr.answer_passages(top, b, "query", 0.3).select("query", "sid", "score", "rank", "status")
     # a 'none' row carries empty values rather than nulls
     a = a.fillna({"sid": "", "score": 0.0, "rank": 0})
     return round_doubles(a)
 
 
-CLAIMS_SQL = r"""claims AS (SELECT item_id AS query,
-                  CASE WHEN item_id % 2 = 1 THEN 'not ' ELSE '' END || string_split(regexp_replace(trim(regexp_replace(text, '\s+', ' ', 'g')), '([.!?]) ', '\1' || chr(10), 'g'), chr(10))[1] AS text
-           FROM benchmark)"""
+# every sentence of every passage is a claim; those of odd passages are negated
+CLAIMS_SQL = r"""claims AS (SELECT item_id || ':' || (k - 1) AS query, CASE WHEN item_id % 2 = 1 THEN 'not ' ELSE '' END || s AS text
+           FROM (SELECT item_id, unnest(a) AS s, generate_subscripts(a, 1) AS k
+                 FROM (SELECT item_id, string_split(regexp_replace(trim(regexp_replace(text, '\s+', ' ', 'g')), '([.!?]) ', '\1' || chr(10), 'g'), chr(10)) AS a
+                       FROM benchmark)) WHERE s <> '')"""
 
 
 def claims(spark, sf):
-    b = table(spark, sf, "benchmark")
-    first = F.split(F.regexp_replace(F.trim(F.regexp_replace("text", r"\s+", " ")), r"([.!?]) ", "$1\n"), "\n")[0]
-    return b.select(F.col("item_id").alias("query"),
-                    F.concat(F.when(F.col("item_id") % 2 == 1, F.lit("not ")).otherwise(F.lit("")), first).alias("text"))
+    s = gr.split_sentences(table(spark, sf, "benchmark"), ["item_id"], "text")
+    return s.select(F.concat_ws(":", F.col("item_id").cast("string"), F.col("sent_id").cast("string")).alias("query"),
+                    F.concat(F.when(F.col("item_id") % 2 == 1, F.lit("not ")).otherwise(F.lit("")), F.col("sentence")).alias("text"))
 
 
 @register("G09_claim_verdicts", "WITH " + SENT_RET_SQL + ",\n" + CLAIMS_SQL + r""",

@@ -275,18 +275,17 @@ def q_n14(spark, sf):
     return d.select("vec_id", r6("cosine").alias("cosine"))
 
 
-SAMPLE_Q_SQL = """qs AS (SELECT vec_id FROM embeddings ORDER BY md5(concat_ws('|', '11', vec_id)) LIMIT 50)"""
+# the query set: every vector whose id is divisible by 20
+QUERY_SET_SQL = """qs AS (SELECT vec_id FROM embeddings WHERE vec_id % 20 = 0)"""
 
 
-@register("N06_nearest_to_query_set", "WITH " + SAMPLE_Q_SQL + ",\n" + DENSE_SIMS_SQL + """
+@register("N06_nearest_to_query_set", "WITH " + QUERY_SET_SQL + ",\n" + DENSE_SIMS_SQL + """
 SELECT a AS query, b, CAST(rnk AS BIGINT) AS rank, round(sim, 6) AS sim
 FROM (SELECT a, b, sim, row_number() OVER (PARTITION BY a ORDER BY round(sim, 9) DESC, b) AS rnk FROM sims
       WHERE a IN (SELECT vec_id FROM qs)) WHERE rnk <= 5""")
 def q_n06(spark, sf):
-    from tessera.operators.splits import sample_distinct
     e = _emb(spark, sf)
-    qs = sample_distinct(e, "vec_id", 50, seed=11).join(e, "vec_id")
-    n = sim.nearest(e, qs, 5, "vec_id", "embedding", "vec_id", "embedding")
+    n = sim.nearest(e, e.filter("vec_id % 20 = 0"), 5, "vec_id", "embedding", "vec_id", "embedding")
     return n.select("query", "b", "rank", r6("sim").alias("sim"))
 
 
@@ -300,7 +299,8 @@ hn AS (SELECT posting_id, sqrt(sum(c * c)) AS n FROM hb GROUP BY 1),
 hs AS (SELECT x.posting_id AS a, y.posting_id AS b, sum(x.c * y.c) / (nx.n * ny.n) AS sim
        FROM hb x JOIN hb y ON x.bucket = y.bucket AND x.posting_id <> y.posting_id
        JOIN hn nx ON nx.posting_id = x.posting_id JOIN hn ny ON ny.posting_id = y.posting_id GROUP BY 1, 2, nx.n, ny.n),
-htop AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY round(sim, 9) DESC, b) AS rnk FROM hs) WHERE rnk <= 5)"""
+hother AS (SELECT hs.* FROM hs JOIN listings la ON la.posting_id = hs.a JOIN listings lb ON lb.posting_id = hs.b WHERE la.label_group <> lb.label_group),
+htop AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY round(sim, 9) DESC, b) AS rnk FROM hother) WHERE rnk <= 5)"""
 
 
 def hashed_title_vectors(spark, sf, dims=256):
@@ -316,15 +316,12 @@ def hashed_title_vectors(spark, sf, dims=256):
 
 
 @register("E21_similar_title_conflicts", "WITH " + HASHED_TITLES_SQL + """
-SELECT t.a, t.b, round(t.sim, 6) AS sim FROM htop t JOIN listings la ON la.posting_id = t.a JOIN listings lb ON lb.posting_id = t.b
-WHERE t.sim >= 0.8 AND la.label_group <> lb.label_group""")
+SELECT a, b, round(sim, 6) AS sim FROM htop WHERE sim >= 0.8""")
 def q_e21(spark, sf):
-    v = hashed_title_vectors(spark, sf)
-    k = sim.knn_join(v, 5, "posting_id", "embedding")
-    g = listings(spark, sf).select("posting_id", "label_group")
-    j = (k.join(g.select(F.col("posting_id").alias("a"), F.col("label_group").alias("ga")), "a")
-          .join(g.select(F.col("posting_id").alias("b"), F.col("label_group").alias("gb")), "b"))
-    return j.filter((F.col("sim") >= 0.8) & (F.col("ga") != F.col("gb"))).select("a", "b", r6("sim").alias("sim"))
+    """The five most similar titles of another identity of each title (k is the feature; the identity is ruled out before ranking)."""
+    v = hashed_title_vectors(spark, sf).join(listings(spark, sf).select("posting_id", F.xxhash64("label_group").alias("grp")), "posting_id")
+    k = sim.knn_join(v, 5, "posting_id", "embedding", exclude_same="grp")
+    return k.filter(F.col("sim") >= 0.8).select("a", "b", r6("sim").alias("sim"))
 
 
 @register("M05_ablation_table", "WITH " + PAIR_COS_SQL + """,

@@ -14,7 +14,7 @@ from tessera.sources.tables import table
 # ---------------------------------------------------------------- SQL pieces
 SIMPLE_TOKS_SQL = r"""CASE WHEN trim(regexp_replace(regexp_replace(lower({t}), '([?.!,])', ' \1 ', 'g'), '\s+', ' ', 'g')) = '' THEN []::VARCHAR[]
      ELSE string_split(trim(regexp_replace(regexp_replace(lower({t}), '([?.!,])', ' \1 ', 'g'), '\s+', ' ', 'g')), ' ') END"""
-DIALOG_TOKS_SQL = r"""regexp_extract_all(replace(replace(lower({t}), '<usr1>', 'usr1speaker'), '<usr2>', 'usr2speaker'), '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_\s]')"""
+DIALOG_TOKS_SQL = r"""regexp_extract_all(replace(replace(lower({t}), '<usr1>', ' usr1speaker '), '<usr2>', ' usr2speaker '), '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_\s]')"""
 
 TURN_TOKS_SQL = f"""toks AS (SELECT conv_id, turn, {DIALOG_TOKS_SQL.format(t='text')} AS toks FROM conversations),
 trows AS (SELECT conv_id, turn, unnest(toks) AS token, generate_subscripts(toks, 1) - 1 AS pos FROM toks)"""
@@ -98,15 +98,13 @@ def q_t07(spark, sf):
                     _ids_str(F.col("output_ids")).alias("output_ids"))
 
 
-@register("T08_decode_ids", "WITH " + SHIFT_SQL + """,
-e AS (SELECT conv_id, turn, unnest(output_ids) AS id, generate_subscripts(output_ids, 1) AS pos FROM padded),
-f AS (SELECT conv_id, turn, min(pos) AS eos FROM e WHERE id = 2 GROUP BY 1, 2)
+@register("T08_decode_ids", "WITH " + ENC_SQL + """,
+e AS (SELECT conv_id, turn, unnest(raw_ids) AS id, generate_subscripts(raw_ids, 1) AS pos FROM enc)
 SELECT conv_id, turn, string_agg(coalesce(v.token, '<UNK>'), ' ' ORDER BY pos) AS text
-FROM e LEFT JOIN f USING (conv_id, turn) LEFT JOIN vocab v USING (id)
-WHERE (f.eos IS NULL OR pos < f.eos) AND e.id NOT IN (0, 1)
-GROUP BY conv_id, turn""")
+FROM e LEFT JOIN vocab v USING (id) WHERE e.id NOT IN (0, 1) GROUP BY conv_id, turn""")
 def q_t08(spark, sf):
-    return tx.decode_ids(_shifted(spark, sf), ["conv_id", "turn"], "output_ids", _vocab(spark, sf))
+    e = tx.encode_tokens(_turn_rows(spark, sf), ["conv_id", "turn"], _vocab(spark, sf))
+    return tx.decode_ids(e, ["conv_id", "turn"], "ids", _vocab(spark, sf))
 
 
 @register("T09_oov_report_test_convs", f"""
