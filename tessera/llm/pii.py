@@ -163,9 +163,9 @@ def redact(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, text`` with every span replaced by ``<KIND>``; of overlapping spans the first in order stands."""
     d = pick(docs, "doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))
     # doc_id may repeat, so the spans are found on the row itself, not joined back to it
-    s = pii_spans(d.select(F.struct("doc_id", "text").alias("doc_id"), "text"), threshold)
-    text, spans = F.col("doc_id.text"), F.col("spans")
+    s = pii_spans(d.select(F.struct("doc_id", "text").alias("doc_id"), "text"), threshold).toDF("row", "spans")
+    text, spans = F.col("row.text"), F.col("spans")
     done = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), lambda acc, x: F.when(
         x["start"] < acc["at"], acc).otherwise(F.struct(x["end"].alias("at"), F.concat(
             acc["out"], F.substr(text, acc["at"] + 1, x["start"] - acc["at"]), F.lit("<"), F.upper(x["kind"]), F.lit(">")).alias("out"))))
-    return s.select(F.col("doc_id.doc_id").alias("doc_id"), F.concat(done["out"], F.substr(text, done["at"] + 1)).alias("text"))
+    return s.select(F.col("row.doc_id").alias("doc_id"), F.concat(done["out"], F.substr(text, done["at"] + 1)).alias("text"))

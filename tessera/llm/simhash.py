@@ -208,20 +208,24 @@ def link_fingerprints(classes: DataFrame, max_bits: int = MAX_BITS, group: int =
     """
     blocks = max_bits + 1
     rows = classes.select("fp")
-    masks, done = split_mask(0, blocks), None
-    nodes = rows.select("fp", F.explode(F.array(*[F.lit(_signed(m)) for m in masks])).alias("mask"))
+    done = None
+    nodes = rows.select("fp", F.explode(F.array(*[F.lit(_signed(m)) for m in split_mask(0, blocks)])).alias("mask"))
     while True:
         nodes = materialise(nodes.withColumn("pattern", F.col("fp").bitwiseAND(F.col("mask"))))
         hot = materialise(nodes.groupBy("mask", "pattern").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > group).drop("n"))
-        split = {m: split_mask(m, blocks) for m in masks if 64 - m.bit_count() > 12}
-        if hot.isEmpty() or not split:
-            return _edges(nodes if done is None else done.unionByName(nodes), max_bits)
-        # hot nodes are factored once more over their free bits; the others are ready
+        if hot.isEmpty():
+            break
+        # hot nodes are factored once more over their free bits (while these leave more members than a group); the others are ready
+        masks = [r["mask"] for r in hot.select("mask").distinct().collect()]  # at most (max_bits + 1) ** level
+        kids = [(m, [_signed(k) for k in split_mask(m & _FULL, blocks)]) for m in masks if 64 - (m & _FULL).bit_count() > 12]
+        if not kids:
+            break
+        table = F.broadcast(nodes.sparkSession.createDataFrame(kids, "mask long, kids array<long>"))
+        hot = hot.join(table, "mask")
         ready = nodes.join(hot, ["mask", "pattern"], "left_anti")
         done = ready if done is None else done.unionByName(ready)
-        table = F.create_map(*[x for m, kids in split.items() for x in (F.lit(_signed(m)), F.array(*[F.lit(_signed(k)) for k in kids]))])
-        nodes = nodes.join(hot, ["mask", "pattern"], "left_semi").select("fp", F.explode(table[F.col("mask")]).alias("mask")).distinct()
-        masks = sorted({k for kids in split.values() for k in kids})
+        nodes = nodes.join(hot, ["mask", "pattern"]).select("fp", F.explode("kids").alias("mask")).distinct()
+    return _edges(nodes if done is None else done.unionByName(nodes), max_bits)
 
 
 def _edges(nodes: DataFrame, max_bits: int) -> DataFrame:

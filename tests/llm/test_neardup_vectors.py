@@ -96,6 +96,7 @@ def test_lookups_reach_every_near_vector():
     la, lb = nv.lookups(a, limit), nv.lookups(b, limit)
     probe = lambda t: {(r, k, c) for r, k, c in zip(*t[:3])}
     home = lambda t: [(r, k, c) for r, k, c, o in zip(*t) if o]
-    found = {x[0] for x in home(lb) if x in probe(la)} | {x[0] for x in home(la) if x in probe(lb)}
+    pa, pb = probe(la), probe(lb)
+    found = {h[0] for h in home(lb) if h in pa} | {h[0] for h in home(la) if h in pb}
     near = {i for i in range(400) if x[i] @ y[i] >= 0.98}
     assert len(near) > 300 and near <= found
