@@ -123,6 +123,23 @@ def _keyed(docs: DataFrame, wide: bool) -> tuple[Wide, DataFrame]:
                              *[F.shiftleft(v, 32).bitwiseOR(crc).alias(k) for k, v in dimensions(w).items()])
 
 
+def one_place_per_text(points: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """A function that gives documents of equal text one place: the smallest of their coordinates.
+
+    Only groups whose documents differ (in source or language) are joined;
+    the table of these is usually small enough for Spark to broadcast.
+    """
+    mixed = ["d_source", "d_lang"]
+    low = points.groupBy("grp", "crc").agg(*[f(d).alias(f"{k}_{d}") for d in mixed for k, f in (("low", F.min), ("high", F.max))])
+    low = materialise(low.where(" or ".join(f"low_{d} <> high_{d}" for d in mixed)).select("grp", "crc", *[f"low_{d}" for d in mixed]))
+
+    def unify(keyed: DataFrame) -> DataFrame:
+        j = keyed.join(low, ["grp", "crc"], "left")
+        return j.withColumns({d: F.coalesce(f"low_{d}", d) for d in mixed}).drop(*[f"low_{d}" for d in mixed])
+
+    return unify
+
+
 def plan_shards(points: DataFrame, dims: list[str], shards: int = SHARDS) -> Callable[[DataFrame], DataFrame]:
     """The shard of every point as a function that adds ``shard`` to a table with the same key columns."""
     total = points.agg(F.sum("size")).first()[0] or 0
@@ -170,6 +187,7 @@ def shard_records(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """
     _, keyed = _keyed(docs, wide=False)
     points = materialise(keyed)
+    points = materialise(one_place_per_text(points)(points))
     put = plan_shards(points, list(DIMENSIONS), shards)(points).select("doc_id", "size", "crc", "shard")
     return running_in_group(materialise(put), "shard", [F.col("crc"), F.col("doc_id")], out="slot").select(
         "doc_id", "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard",
@@ -180,7 +198,9 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, out: str = "shard") ->
     """``docs``, texts and all, plus the same shard in column ``out`` (a column of that name gives way); texts aren't shuffled."""
     w, keyed = _keyed(docs, wide=True)
     _, narrow = _keyed(docs, wide=False)
-    place = plan_shards(materialise(narrow), list(DIMENSIONS), shards)
-    placed = place(keyed)
+    points = materialise(narrow)
+    unify = one_place_per_text(points)
+    place = plan_shards(materialise(unify(points)), list(DIMENSIONS), shards)
+    placed = place(unify(keyed))
     own = [i for i, n in enumerate(w.names) if n.lower() != out.lower()]
     return placed.select(*[F.col(f"c{i}") for i in own], "shard").toDF(*[w.names[i] for i in own], out)
