@@ -64,12 +64,9 @@ def negative_pairs(df: DataFrame, id_col: str, group: str, n: "int | DataFrame",
     wanted, rows = want.first()["n"], pos.count()
 
     def drawn(some) -> DataFrame:
-        c = None
-        for s in some:
-            x = (pos.withColumn("__p2", F.pmod(F.col("__p") + s, F.col("N"))).join(other, "__p2").filter(F.col("__g") != F.col("__g2"))
-                    .select(F.least("__id", "__id2").alias("id_a"), F.greatest("__id", "__id2").alias("id_b")))
-            c = x if c is None else c.unionByName(x)
-        return c.distinct()
+        shifted = pos.withColumn("__s", F.explode(F.array(*[F.lit(s) for s in some]))).withColumn("__p2", F.pmod(F.col("__p") + F.col("__s"), F.col("N")))
+        return (shifted.join(other, "__p2").filter(F.col("__g") != F.col("__g2"))
+                .select(F.least("__id", "__id2").alias("id_a"), F.greatest("__id", "__id2").alias("id_b")).distinct())
 
     # shifts s and N - s give the same pairs: half of the rows exhaust all pairs there are
     shifts, cands = list(shifts), drawn(shifts)

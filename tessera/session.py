@@ -47,7 +47,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests) do we make one under /tmp.
+    Outside local mode the setting is required. Only in local mode, where one
+    process is driver and executor, do we make a folder under /tmp.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -55,7 +56,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="tessera-ckpt-")
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = tempfile.mkdtemp(prefix="tessera-ckpt-")  # one process: local and shared are the same
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 

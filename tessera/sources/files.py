@@ -15,6 +15,11 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> Data
     return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
 
 
+def read_csv_quoted(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """S01 for files with quoted JSON cells (the counterpart of ``write_embeddings_csv``)."""
+    return spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"').csv(path)
+
+
 def read_json_documents(spark: SparkSession, glob: str, id_col: str) -> DataFrame:
     """A folder of JSON documents keyed by an id *inside* each file.
 

@@ -219,3 +219,54 @@ def test_salted_self_join_equals_plain_join(spark):
     got = sorted(tuple(r) for r in salted_self_join(left, right, "k", "a", threshold=50, salts=4).select("a", "b").collect())
     want = sorted(tuple(r) for r in left.join(right, "k").select("a", "b").collect())
     assert got == want
+
+
+def test_connected_groups_follow_long_paths(spark):
+    from tessera.operators import pairs as pr
+    path = [(i, i + 1) for i in range(500)] + [(1000, 1001), (1002, 1001), (2000, 2000)]
+    got = {r.node: r.component for r in pr.connected_groups(spark.createDataFrame(path, "id_a long, id_b long")).collect()}
+    assert got == {**{i: 0 for i in range(501)}, 1000: 1000, 1001: 1000, 1002: 1000, 2000: 2000}
+
+
+def test_sliced_sweep_gives_every_slice_every_threshold(spark):
+    from tessera.operators import evaluate as ev
+    rows = [("a", 1, 0.9), ("a", 0, 0.4), ("low", 1, 0.3), ("low", 0, 0.1), (None, 1, 0.6), (None, 0, 0.9)]
+    d = spark.createDataFrame(rows, "slice string, label int, score double")
+    got = {(r.slice, r.threshold): (r.tp, r.fp, r.fn, r.tn) for r in ev.threshold_sweep(d, [20, 50, 80], by=["slice"]).collect()}
+    want = {(s, t): tuple(sum(x == s and y == k and (v >= t) == p for x, y, v in rows) for k, p in ((1, True), (0, True), (1, False), (0, False)))
+            for s in ("a", "low", None) for t in (0.2, 0.5, 0.8)}
+    assert got == want
+    with pytest.raises(ValueError):
+        ev.threshold_sweep(d.withColumnRenamed("slice", "g"), [50], by=["g"])
+
+
+def test_queries_without_hits_get_a_none_row(spark):
+    from tessera.operators import graph as gr
+    top = spark.createDataFrame([(1, "s1", 0.9), (2, "s2", 0.1)], "query long, sid string, score double")
+    q = spark.createDataFrame([(1,), (2,), (3,)], "query long")
+    assert {(r.query, r.status) for r in gr.answer_passages(top, q, "query", 0.3).collect()} == {(1, "answer"), (2, "none"), (3, "none")}
+
+
+def test_negative_pairs_reach_n_beside_a_dominant_group(spark):
+    from tessera.operators import pairs as pr
+    rows = [(i, "big" if i < 180 else f"g{i}") for i in range(200)]
+    d = spark.createDataFrame(rows, "id long, grp string")
+    possible = 180 * 20 + 20 * 19 // 2
+    for n in (100, 2000, possible + 50):
+        got = {(r.id_a, r.id_b) for r in pr.negative_pairs(d, "id", "grp", n).collect()}
+        assert len(got) == min(n, possible) and all(rows[a][1] != rows[b][1] and a < b for a, b in got)
+
+
+def test_containment_of_short_and_mid_word_passages(spark):
+    from tessera.operators import graph as gr
+    docs = spark.createDataFrame([(1, "alpha beta  gamma delta epsilon zeta eta theta iota kappa lambda"), (2, "xbeta gamma deltay"), (3, "none")], "doc long, t string")
+    p = spark.createDataFrame([(10, "beta gamma delta"), (11, "ta gamma del"), (12, "pha be"), (13, "one"), (14, " "), (15, "lpha beta gamma delta epsilon zeta eta theta iota kappa lam"), (16, "beta delta gamma")],
+                              "pid long, t string")
+    got = {(r.pid, r.doc) for r in gr.containment_truth(p, "pid", "t", docs, "doc", "t").collect()}
+    assert got == {(10, 1), (10, 2), (11, 1), (11, 2), (12, 1), (13, 3), (15, 1)}
+
+
+def test_speaker_tags_are_words_of_their_own(spark):
+    from tessera.operators import text as tx
+    d = spark.createDataFrame([("hi<usr1>there",)], "t string")
+    assert d.select(tx.tokenize_dialogue("t")).first()[0] == ["hi", "usr1speaker", "there"]
