@@ -183,30 +183,32 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], by: list[str] |
                     prefix: str = "q") -> DataFrame:
     """Exact linear-interpolation quantiles (position (n-1)p between the two nearest ranks), distributed.
 
-    Non-null values get their rank by a range sort (``dense_index`` globally,
-    ``running_in_group`` per group); only the at most two rows per
-    probability that bracket each position survive a filter, so nothing but a
-    handful of rows per group reaches the final aggregate. Output: ``by``
-    columns plus ``{prefix}0..`` (one per probability).
+    Values are counted first, so a value that most rows hold is one row, and
+    the range sort (``running_in_group``) runs over distinct values only;
+    running sums of the counts give the ranks each value covers. Just the at
+    most two values per probability that bracket its position reach the final
+    aggregate. Output: ``by`` columns plus ``{prefix}0..`` (one per
+    probability).
     """
     from functools import reduce
-    from tessera.functions.rows import attach_row
-    keys = list(by or [])
-    d = df.select(*keys, F.col(col).cast("double").alias("__x")).filter(F.col("__x").isNotNull())
-    if keys:
-        r = running_in_group(d, keys, [F.col("__x")], out="__r").join(
-            d.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")), keys)
-    else:
-        r = attach_row(dense_index(d, [F.col("__x")], "__r0").withColumn("__r", F.col("__r0") + 1).drop("__r0"),
-                       d.agg(F.count(F.lit(1)).alias("__n")))
+    keys = list(by or ["__all"])
+    d = df if by else df.withColumn("__all", F.lit(0))
+    d = d.select(*keys, F.col(col).cast("double").alias("__x")).filter(F.col("__x").isNotNull())
+    r = running_in_group(d.groupBy(*keys, "__x").agg(F.count(F.lit(1)).alias("__c")), keys, [F.col("__x")], value="__c", out="__upto")
+    r = r.join(d.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")), keys)
     conds, aggs, outs = [], [], []
     for i, p in enumerate(probs):
         pos = (F.col("__n") - 1) * F.lit(float(p))
-        lo, hi = F.floor(pos) + 1, F.ceil(pos) + 1
-        conds.append((F.col("__r") == lo) | (F.col("__r") == hi))
-        aggs += [F.max(F.when(F.col("__r") == lo, F.col("__x"))).alias(f"__lo{i}"),
-                 F.max(F.when(F.col("__r") == hi, F.col("__x"))).alias(f"__hi{i}"),
+        covers = lambda k: (k < F.col("__upto")) & (k >= F.col("__upto") - F.col("__c"))
+        lo, hi = covers(F.floor(pos)), covers(F.ceil(pos))
+        conds.append(lo | hi)
+        aggs += [F.max(F.when(lo, F.col("__x"))).alias(f"__lo{i}"), F.max(F.when(hi, F.col("__x"))).alias(f"__hi{i}"),
                  F.max(pos - F.floor(pos)).alias(f"__f{i}")]
         outs.append((F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * F.col(f"__f{i}")).alias(f"{prefix}{i}"))
     sel = r.filter(reduce(lambda a, b: a | b, conds))
-    return sel.groupBy(*keys).agg(*aggs).select(*keys, *outs)
+    return sel.groupBy(*keys).agg(*aggs).select(*(by or []), *outs)
+
+
+def melt(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Numeric columns as rows ``(column, value double)``: one pass serves them all."""
+    return df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.rows import attach_row
-from tessera.functions.skew import exact_quantiles
+from tessera.functions.skew import exact_quantiles, melt
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -57,21 +57,15 @@ def describe(df: DataFrame, cols: list[str], exact: bool = True) -> DataFrame:
     ``exact=False`` swaps the exact ``percentile`` for ``percentile_approx``
     (bounded memory per group on very large tables).
     """
-    out = None
-    for c in cols:
-        one = df.agg(F.lit(c).alias("column"), F.count(c).alias("count"), F.avg(c).alias("mean"),
-                     F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
-                     F.max(c).cast("double").alias("max"))
-        if exact:  # distributed exact quantiles (no single-task value map)
-            q = exact_quantiles(df, c, [0.25, 0.5, 0.75]).select(
-                F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75"))
-            one = attach_row(one, q)
-        else:
-            one = one.join(df.agg(F.percentile_approx(c, [0.25, 0.5, 0.75], 10000).cast("array<double>").alias("__q")))
-            one = one.select("*", F.col("__q")[0].alias("p25"), F.col("__q")[1].alias("p50"), F.col("__q")[2].alias("p75"))
-        one = one.select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
-        out = one if out is None else out.unionByName(one)
-    return out
+    fns = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": lambda c: F.min(c).cast("double"), "max": lambda c: F.max(c).cast("double")}
+    one = df.agg(*[f(c).alias(f"{k}_{i}") for i, c in enumerate(cols) for k, f in fns.items()])
+    out = one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), *[F.col(f"{k}_{i}").alias(k) for k in fns]) for i, c in enumerate(cols)])))
+    if exact:  # distributed exact quantiles (no single-task value map), all columns in one sort
+        q = exact_quantiles(melt(df, cols), "value", [0.25, 0.5, 0.75], by=["column"]).toDF("column", "p25", "p50", "p75")
+    else:
+        q = melt(df, cols).groupBy("column").agg(F.percentile_approx("value", [0.25, 0.5, 0.75], 10000).alias("__q"))
+        q = q.select("column", *[F.col("__q")[i].alias(p) for i, p in enumerate(("p25", "p50", "p75"))])
+    return out.join(q, "column", "left").select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def histogram(df: DataFrame, col: str, bins: int | None = None) -> DataFrame:

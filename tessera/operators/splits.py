@@ -89,13 +89,13 @@ def shuffle(df: DataFrame, seed: int, key: list[str]) -> DataFrame:
 
 def poison_split(df: DataFrame, key: str, label: str, target, n: int, seed: int = 42) -> DataFrame:
     """Pick n rows whose label is not ``target``; relabel them and flag them."""
-    d = df.withColumn("__o", F.when(F.col(label) != F.lit(target), md5_order(seed, key)))
-    d = d.withColumn("__g", F.col("__o").isNotNull())
-    d = group_rank(d, "__g", "__o", "__rn", "__n")
-    flag = (F.col("__g") & (F.col("__rn") <= n))
-    return (d.withColumn("poisoned", flag.cast("int"))
-             .withColumn(label, F.when(flag, F.lit(target)).otherwise(F.col(label)))
-             .drop("__o", "__g", "__rn", "__n"))
+    rest = df.filter(~(F.coalesce(F.col(label) != F.lit(target), F.lit(False))))
+    d = df.filter(F.col(label) != F.lit(target)).withColumn("__o", md5_order(seed, key)).withColumn("__g", F.lit(0))
+    d = group_rank(d, "__g", "__o", "__rn", "__n")  # only rows that can be poisoned are ranked
+    flag = F.col("__rn") <= n
+    d = (d.withColumn("poisoned", flag.cast("int")).withColumn(label, F.when(flag, F.lit(target)).otherwise(F.col(label)))
+          .drop("__o", "__g", "__rn", "__n"))
+    return d.unionByName(rest.withColumn("poisoned", F.lit(0)))
 
 
 def scaling_grid(df: DataFrame, key: str, eval_keys: DataFrame, sizes: list[int], seed: int = 42) -> DataFrame:
