@@ -182,7 +182,7 @@ SELECT round(a.accuracy, 6) AS accuracy_train, round(a.f1, 6) AS f1_train, round
        round(b.f1, 6) AS f1_test, round(a.accuracy - b.accuracy, 6) AS accuracy_gap, round(a.f1 - b.f1, 6) AS f1_gap
 FROM r a, r b WHERE a.split = 'train' AND b.split = 'test'""")
 def q_v22(spark, sf):
-    d = predict(stratified_clicks(spark, sf), T)
+    d = predict(stratified_clicks(spark, sf, ["score"]), T)
     m = ev.classification_report(d, by=["split"])
     return round_doubles(ev.split_gap(m, "split", "train", "test", ["accuracy", "f1"]).drop())
 

@@ -77,7 +77,7 @@ def q_j03(spark, sf):
 @register("L02_stratified_split_clicks", "WITH " + STRAT_SQL + """
 SELECT row_id, label, split FROM strat""")
 def q_l02(spark, sf):
-    return stratified_clicks(spark, sf).select("row_id", "label", "split")
+    return stratified_clicks(spark, sf, []).select("row_id", "label", "split")
 
 
 @register("L03_head_100_orders", """
@@ -173,7 +173,8 @@ nulled AS (SELECT row_id, split, nullif(l_quantity, 25) AS l_quantity, nullif(p_
 
 
 def _nulled(spark, sf):
-    return stratified_clicks(spark, sf).select(
+    cols = ["l_quantity", "p_size", "l_extendedprice", "c_acctbal", "c_mktsegment", "p_brand", "o_orderpriority"]
+    return stratified_clicks(spark, sf, cols).select(
         "row_id", "split", F.expr("nullif(l_quantity, 25) AS l_quantity"), F.expr("nullif(p_size, 10) AS p_size"),
         "l_extendedprice", "c_acctbal", "c_mktsegment", F.expr("nullif(p_brand, 'Brand#1') AS p_brand"),
         "o_orderpriority")
@@ -212,8 +213,8 @@ vocab AS (
   FROM (SELECT DISTINCT coalesce(c_mktsegment, 'MISSING') AS value FROM nulled WHERE split = 'train'))"""
 
 
-def _vocab(spark, sf):
-    d = _nulled(spark, sf).filter("split = 'train'")
+def _vocab(spark, sf, rows=None):
+    d = (_nulled(spark, sf) if rows is None else rows).filter("split = 'train'")
     return fe.fit_vocab(d, "p_brand").unionByName(fe.fit_vocab(d, "c_mktsegment"))
 
 
@@ -230,8 +231,8 @@ LEFT JOIN vocab vb ON vb."column" = 'p_brand' AND vb.value = coalesce(n.p_brand,
 LEFT JOIN vocab vs ON vs."column" = 'c_mktsegment' AND vs.value = coalesce(n.c_mktsegment, 'MISSING')
 WHERE split = 'test'""")
 def q_f04(spark, sf):
-    v = _vocab(spark, sf)
-    t = _nulled(spark, sf).filter("split = 'test'")
+    rows = _nulled(spark, sf)
+    v, t = _vocab(spark, sf, rows), rows.filter("split = 'test'")
     t = fe.encode(fe.encode(t, v, "p_brand"), v, "c_mktsegment")
     return t.select("row_id", "p_brand_id", "c_mktsegment_id")
 

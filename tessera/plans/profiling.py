@@ -179,17 +179,24 @@ strat AS (
   FROM clicks)"""
 
 
-def stratified_clicks(spark, sf):
-    """Stratified split of the click rows, written once: fits read the train part, applies every row."""
+def stratified_clicks(spark, sf, cols=None):
+    """Stratified split of the click rows, written once: fits read the train part, applies every row.
+
+    ``cols`` names the columns a query reads beside row_id and label; nothing
+    else is written (pruning cannot cross a checkpoint).
+    """
     from tessera.session import cut_lineage
-    return cut_lineage(splits.split_stratified(click_rows(spark, sf), "label", ["row_id"], 0.2, 42))
+    rows = click_rows(spark, sf)
+    if cols is not None:
+        rows = rows.select("row_id", "label", *cols)
+    return cut_lineage(splits.split_stratified(rows, "label", ["row_id"], 0.2, 42))
 
 
 @register("E19_class_balance_by_split", "WITH " + STRAT_SQL + """
 SELECT split, label, n, round(n / sum(n) OVER (PARTITION BY split), 6) AS share
 FROM (SELECT split, label, count(*) AS n FROM strat GROUP BY 1, 2)""")
 def q_e19(spark, sf):
-    b = pr.class_balance(stratified_clicks(spark, sf), "label", "split")
+    b = pr.class_balance(stratified_clicks(spark, sf, []), "label", "split")
     return b.select("split", "label", "n", r6("share").alias("share"))
 
 
