@@ -94,6 +94,44 @@ def _strength(sites: DataFrame, mean: Column) -> float:
     return float(min(MOST_STRENGTH, max(LEAST_STRENGTH, r["var"] / r["n"] / between - 1)))
 
 
+class Fitted:
+    """The classifier's weights and the posterior of every site (a table: host, path, host_posterior, path_posterior)."""
+
+    def __init__(self, narrow: DataFrame, labels: DataFrame):
+        self.weights, self.bias, prior = fit_evidence(narrow, labels)
+        scored = narrow.withColumn("p_text", self.p_text(F.col("f")))
+        paths = materialise(scored.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("p_text").alias("s"),
+                                                               F.sum(F.pow(F.col("p_text") - F.lit(prior), 2)).alias("q")))
+        hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q"))
+        world = hosts.agg(F.sum("n").alias("n"), F.sum("s").alias("s")).first()
+        self.mean = mean = world["s"] / world["n"] if world["n"] else prior
+        k_host = _strength(hosts, F.lit(mean))
+        hosts = hosts.select(F.col("host").alias("h"), ((F.col("s") + k_host * mean) / (F.col("n") + k_host)).alias("host_posterior"))
+        sites = materialise(paths.join(hosts, F.col("host").eqNullSafe(F.col("h"))).drop("h"))
+        k_path = _strength(sites, F.col("host_posterior"))
+        self.sites = materialise(sites.select(F.col("host").alias("site_host"), F.col("path").alias("site_path"), "host_posterior",
+                                              ((F.col("s") + k_path * F.col("host_posterior")) / (F.col("n") + k_path)).alias("path_posterior")))
+
+    def p_text(self, f: Column) -> Column:
+        """Probability of good quality from the features alone."""
+        z = F.lit(self.bias)
+        for i, x in enumerate(self.weights):
+            z = z + F.get(f, F.lit(i)) * F.lit(x)
+        return 1 / (1 + F.exp(-z))
+
+    def scored(self, rows: DataFrame, host: Column, path: Column) -> DataFrame:
+        """``rows`` (with p_text) plus host_posterior, path_posterior and score."""
+        out = rows.join(self.sites, host.eqNullSafe(F.col("site_host")) & path.eqNullSafe(F.col("site_path")), "left")
+        odds = _logit(F.col("p_text")) - _logit(F.lit(self.mean)) + _logit(F.col("path_posterior"))
+        return out.withColumn("score", 1 / (1 + F.exp(-odds)))
+
+
+def _narrow(docs: DataFrame, host: str, path: str) -> DataFrame:
+    d = pick(docs, doc_id="doc_id", text="text", host=host, path=path)
+    return materialise(d.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), F.col("host").cast("string").alias("host"),
+                                F.col("path").cast("string").alias("path"), features(F.col("text")).alias("f")))
+
+
 def score_documents(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: ``doc_id, text_hash, p_text, host_posterior, path_posterior, score, keep``.
 
@@ -107,39 +145,20 @@ def score_documents(docs: DataFrame, labels: DataFrame, host: str = "source", pa
     labels give a flat classifier (prior one half, everything kept). Extra
     columns are ignored.
     """
-    d = pick(docs, doc_id="doc_id", text="text", host=host, path=path)
-    narrow = materialise(d.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), F.col("host").cast("string").alias("host"),
-                                  F.col("path").cast("string").alias("path"), features(F.col("text")).alias("f")))
-    weights, bias, prior = fit_evidence(narrow, labels)
-    z = F.lit(bias)
-    for i, x in enumerate(weights):
-        z = z + F.get("f", F.lit(i)) * F.lit(x)
-    scored = narrow.withColumn("p_text", 1 / (1 + F.exp(-z))).drop("f")
-    paths = materialise(scored.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("p_text").alias("s"),
-                                                           F.sum(F.pow(F.col("p_text") - F.lit(prior), 2)).alias("q")))
-    hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q"))
-    world = hosts.agg(F.sum("n").alias("n"), F.sum("s").alias("s")).first()
-    mean = world["s"] / world["n"] if world["n"] else prior
-    k_host = _strength(hosts, F.lit(mean))
-    hosts = hosts.select(F.col("host").alias("h"), ((F.col("s") + k_host * mean) / (F.col("n") + k_host)).alias("host_posterior"))
-    sites = materialise(paths.join(hosts, F.col("host").eqNullSafe(F.col("h"))).drop("h"))
-    k_path = _strength(sites, F.col("host_posterior"))
-    sites = materialise(sites.select(F.col("host").alias("h"), F.col("path").alias("p"), "host_posterior",
-                                     ((F.col("s") + k_path * F.col("host_posterior")) / (F.col("n") + k_path)).alias("path_posterior")))
-    out = scored.join(sites, F.col("host").eqNullSafe(F.col("h")) & F.col("path").eqNullSafe(F.col("p")), "left")
-    odds = _logit(F.col("p_text")) - _logit(F.lit(mean)) + _logit(F.col("path_posterior"))
-    score = 1 / (1 + F.exp(-odds))
-    return out.select("doc_id", "text_hash", "p_text", "host_posterior", "path_posterior", score.alias("score"), (score >= threshold).alias("keep"))
+    narrow = _narrow(docs, host, path)
+    m = Fitted(narrow, labels)
+    out = m.scored(narrow.withColumn("p_text", m.p_text(F.col("f"))), F.col("host"), F.col("path"))
+    return out.select("doc_id", "text_hash", "p_text", "host_posterior", "path_posterior", "score", (F.col("score") >= threshold).alias("keep"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the documents the classifier rejects; all columns pass through.
 
-    Documents are told apart by doc_id and a hash of the text; rows that share
-    both but differ in host or path go only if every one of them is rejected.
+    Once fitted, a row is judged by its own text and its site, so the features
+    are computed a second time beside the text instead of shuffling the texts
+    to a table of decisions.
     """
+    m = Fitted(_narrow(docs, host, path), labels)
     w = Wide(docs)
-    s = score_documents(docs, labels, host, path, threshold)
-    bad = materialise(s.groupBy("doc_id", "text_hash").agg(F.max("keep").alias("keep")).where("not keep").select(F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash")))
-    same = w.col("doc_id").eqNullSafe(F.col("bad_id")) & (F.xxhash64(F.coalesce(w.col("text"), F.lit(""))) == F.col("bad_hash"))
-    return w.restore(w.frame.join(bad, same, "left_anti"))
+    rows = w.frame.withColumn("f", features(w.col("text"))).withColumn("p_text", m.p_text(F.col("f")))
+    return w.restore(m.scored(rows, w.col(host).cast("string"), w.col(path).cast("string")).where(F.col("score") >= threshold))
