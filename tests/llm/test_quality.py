@@ -22,7 +22,7 @@ def fixture(n=400):
         rows.append((i, " ".join(words), rng.choice(["en", None]), "hot" if i % 3 else rng.choice(["a", "b", None])))
         if i % 2:
             labels.append((i, 0 if bad else 1, 0))
-    rows += [(n, None, "en", "a"), (n + 1, "", None, None), (None, "some words", "en", "a"), (0, rows[0][1], "en", "a"), (n + 2, "long $$$ " * 30000, "en", "tiny"), (n + 3, "long words. " * 30000, "en", "tiny")]
+    rows += [(n, None, "en", "a"), (n + 1, "", None, None), (None, "some words", "en", "a"), (0, *rows[0][1:]), (n + 2, "long $$$ " * 30000, "en", "tiny"), (n + 3, "long words. " * 30000, "en", "tiny")]
     return rows, labels + [(None, 1, 0), (3, None, 0), (5, 7, 0)]
 
 
