@@ -2,31 +2,34 @@
 
 Known words score by their log frequency in each language; an unseen word
 falls back to its character n-grams, the longest order of which any n-gram is
-known, down to single letters.
+known, down to single letters. The counts are tables, whole whatever their
+size, and the words of the texts are joined to them.
 """
 
 from __future__ import annotations
 
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.llm.common import materialise, pick
 
-#: Size of the model, whatever the size of the corpus: the most frequent words, n-grams of each order, languages.
-WORDS = 100_000
-GRAMS = 20_000
-LANGUAGES = 64
 ORDERS = (4, 3, 2, 1)
 SMOOTH = 0.1
-#: Distinct (language, feature) counts a task holds before it hands them on.
+#: Distinct (language, n-gram) counts a task holds before it hands them on, and texts of a batch it hands on.
 FLUSH = 400_000
+TEXTS = 256
+#: Most (feature, language) entries of the commonest features that are broadcast; texts meet the others by shuffle.
+HOT = 200_000
 _WORD = regex.compile(r"\p{L}+")
 
 
@@ -43,33 +46,8 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def _count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Partial counts of a task's texts: kind 0 words, kind n the n-grams of those words, weighted by the word's count."""
-    def flush(by_lang):
-        out = []
-        for lang, words in by_lang.items():
-            out += [(lang, 0, w, n) for w, n in words.items()]
-            for order in ORDERS:
-                c = Counter()
-                for w, n in words.items():
-                    for g in grams(w, order):
-                        c[g] += n
-                out += [(lang, order, g, n) for g, n in c.items()]
-        return pd.DataFrame(out, columns=["lang", "kind", "feature", "n"])
-
-    by_lang = defaultdict(Counter)
-    for pdf in parts:
-        for lang, text in zip(pdf["lang"], pdf["text"]):
-            by_lang[lang].update(_WORD.findall(text.lower()))
-            if sum(map(len, by_lang.values())) > FLUSH:
-                yield flush(by_lang)
-                by_lang.clear()
-    if by_lang:
-        yield flush(by_lang)
-
-
 class Backoff:
-    """The fitted model: per feature a row of log probabilities, one column per language."""
+    """The rule for one text with all counts in memory, one column per language: what ``predict`` must give, for tests and small use."""
 
     def __init__(self, rows: list[tuple[int, str, dict[str, int]]], totals: dict[tuple[int, str], int], langs: list[str]):
         self.langs = langs
@@ -100,50 +78,176 @@ class Backoff:
                 return self.score[order][known].mean(axis=0)
         return np.zeros(len(self.langs))
 
-    def predict(self, text: str | None, cache: dict | None = None) -> tuple[str, float]:
+    def predict(self, text: str | None) -> tuple[str, float]:
         """(language, posterior under equal priors); ``und``, 0 if the text has no letter or nothing was learned."""
         words = _WORD.findall(text.lower()) if text else []
         if not words or not self.langs:
             return "und", 0.0
-        get = self.index[0].get
-        at = [get(w, -1) for w in words]
-        known = np.array([i for i in at if i >= 0], dtype=np.int64)
-        total = self.score[0][known].sum(axis=0) if len(known) else np.zeros(len(self.langs))
-        for w in (w for w, i in zip(words, at) if i < 0):
-            if cache is None:
-                total = total + self.word(w)
-                continue
-            s = cache.get(w)
-            if s is None:
-                if len(cache) > 200_000:
-                    cache.clear()
-                s = cache[w] = self.word(w)
-            total = total + s
-        best = int(np.argmax(total))  # of equal scores the first language by code point
-        return self.langs[best], float(1.0 / np.exp(total - total[best]).sum())
-
-
-def fit(docs: DataFrame) -> Backoff:
-    """Learn from the text and non-null lang of all documents of ``docs`` that are not held out.
-
-    Counts cover every such document; the model keeps the WORDS most frequent
-    words and the GRAMS most frequent n-grams of each order (ties by the
-    feature itself), so what is sent to the tasks is bounded.
+        total = sum((n * self.word(w) for w, n in Counter(words).items()), np.zeros(len(self.langs)))
+        return best_of(total, self.langs)
+
+
+def best_of(total: np.ndarray, langs: list[str]) -> tuple[str, float]:
+    """Language of the highest score, of equal ones (but for rounding) the first by code point, and its posterior."""
+    top = total.max()
+    best = int(np.argmax(total >= top - 1e-12 * (1 + abs(top))))
+    return langs[best], float(1.0 / np.exp(total - total[best]).sum())
+
+
+@dataclass
+class Model:
+    """All counts, as tables: of every learned word and n-gram ``by_lang``, what each language that has it adds to ``base``, and its ``total`` count.
+
+    ``base`` (order, 0 for words, by language) is the log score of a feature
+    the language lacks; it is all that goes through the driver.
     """
-    d = pick(docs, "doc_id", "text", "lang").where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = materialise(d.select("lang", "text").mapInPandas(_count, "lang string, kind int, feature string, n long")
-                         .groupBy("lang", "kind", "feature").agg(F.sum("n").alias("n")))
-    sums = counts.groupBy("kind", "lang").agg(F.sum("n").alias("n"))
-    langs = sorted(r["lang"] for r in sums.where("kind = 0").orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect())
-    counts = counts.where(F.col("lang").isin(langs))
-    totals = {(r["kind"], r["lang"]): r["n"] for r in sums.where(F.col("lang").isin(langs)).collect()}
-    per = counts.groupBy("kind", "feature").agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by_lang"))
-    top = reduce(DataFrame.unionByName, [per.where(F.col("kind") == k).orderBy(F.desc("n"), "feature").limit(WORDS if k == 0 else GRAMS) for k in (0, *ORDERS)])
-    rows = [(r["kind"], r["feature"], r["by_lang"]) for r in top.collect()]  # at most WORDS + 4 * GRAMS rows
-    return Backoff(rows, totals, langs)
-
-
-def predict(docs: DataFrame, model: Backoff) -> DataFrame:
+
+    words: DataFrame
+    grams: DataFrame
+    base: np.ndarray
+    langs: list[str]
+
+
+def counted(docs: DataFrame, teach: bool = True) -> DataFrame:
+    """``row, doc_id, held_out, lang, words, counts``: the distinct words of each row; lang is null if the row doesn't teach."""
+    d = pick(docs, "doc_id", "text", "lang") if teach else pick(docs, "doc_id", "text").withColumn("lang", F.lit(None).cast("string"))
+    d = d.select(F.monotonically_increasing_id().alias("row"), "doc_id", held_out(F.col("doc_id")).alias("held_out"),
+                 F.when(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull(), F.col("lang")).alias("lang"), "text")
+    keep = d.columns[:-1]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, TEXTS):
+                b = whole.slice(at, TEXTS)
+                c = [Counter(_WORD.findall(t.lower())) if t else {} for t in b.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([*[b.column(k) for k in keep], pa.array([list(x) for x in c], pa.list_(pa.string())),
+                                                  pa.array([list(x.values()) for x in c], pa.list_(pa.int64()))], names=[*keep, "words", "counts"])
+
+    schema = T.StructType([*d.schema.fields[:-1], T.StructField("words", T.ArrayType(T.StringType())), T.StructField("counts", T.ArrayType(T.LongType()))])
+    return materialise(d.mapInArrow(count, schema))
+
+
+def _uses(c: DataFrame, *cols: str) -> DataFrame:
+    return c.select(*cols, F.inline(F.arrays_zip("words", "counts"))).withColumnsRenamed({"words": "word", "counts": "n"})
+
+
+def _count_grams(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Partial counts of the n-grams of a task's words, weighted by the word's count."""
+    def flush(c):
+        return pd.DataFrame([(*k, n) for k, n in c.items()], columns=["lang", "kind", "feature", "n"])
+
+    c = Counter()
+    for pdf in parts:
+        for lang, word, n in zip(pdf["lang"], pdf["word"], pdf["n"]):
+            for order in ORDERS:
+                for g in grams(word, order):
+                    c[lang, order, g] += n
+            if len(c) > FLUSH:
+                yield flush(c)
+                c.clear()
+    if c:
+        yield flush(c)
+
+
+def _fit(c: DataFrame) -> Model:
+    spark = c.sparkSession
+    words = materialise(_uses(c.where("lang is not null"), "lang").groupBy("lang", "word").agg(F.sum("n").alias("n")))
+    count = materialise(words.mapInPandas(_count_grams, "lang string, kind int, feature string, n long")
+                        .groupBy("lang", "kind", "feature").agg(F.sum("n").alias("n")))
+    sums = [(0, r["lang"], r["n"]) for r in words.groupBy("lang").agg(F.sum("n").alias("n")).collect()]
+    langs = sorted(x for _, x, _ in sums)
+    sums += [(r["kind"], r["lang"], r["n"]) for r in count.groupBy("kind", "lang").agg(F.sum("n").alias("n")).collect()]
+    place = F.broadcast(spark.createDataFrame(list(enumerate(langs)), "l int, lang string"))  # one row per language
+
+    def by_lang(d: DataFrame, *key: str) -> DataFrame:
+        gain = F.log((F.col("n") + SMOOTH) / SMOOTH)
+        return materialise(d.join(place, "lang").groupBy(*key).agg(F.collect_list(F.struct("l", gain.alias("b"))).alias("by_lang"), F.sum("n").alias("total")))
+
+    words, kinds = by_lang(words, "word"), by_lang(count, "kind", "feature")
+    size = {0: words.count()} | {r["kind"]: r["count"] for r in kinds.groupBy("kind").count().collect()}
+    total, at = np.zeros((1 + max(ORDERS), len(langs))), {x: i for i, x in enumerate(langs)}
+    for kind, lang, n in sums:
+        total[kind, at[lang]] = n
+    return Model(words, kinds, np.log(SMOOTH / (total + SMOOTH * (np.array([[size.get(k, 0)] for k in range(len(total))]) + 1))), langs)
+
+
+def fit(docs: DataFrame) -> Model:
+    """Learn from the text and non-null lang of all documents of ``docs`` that are not held out: every word, n-gram and language."""
+    return _fit(counted(docs))
+
+
+def _meet(left: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """``left`` joined to the whole ``table``: its commonest keys are broadcast, the rows of ``left`` with others are joined by shuffle."""
+    bucket = F.floor(4 * F.log2("total"))
+    sizes = sorted(table.groupBy(bucket.alias("at")).agg(F.sum(F.size("by_lang")).alias("n")).collect(), reverse=True)
+    fit = 0
+    while fit < len(sizes) and sum(r["n"] for r in sizes[:fit + 1]) <= HOT:
+        fit += 1
+    if not fit:
+        return left.join(table.drop("total").hint("shuffle_hash"), key)
+    hot = table.where(bucket >= sizes[fit - 1]["at"]).drop("total")
+    out = left.join(F.broadcast(hot), key)
+    if fit == len(sizes):
+        return out
+    cold = table.where(bucket < sizes[fit - 1]["at"]).drop("total")
+    return out.unionByName(left.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold.hint("shuffle_hash"), key))
+
+
+def _unseen(c: DataFrame, model: Model) -> list[DataFrame]:
+    """``word, kind, by_lang, total`` of the words the model lacks, by the longest order of which it has an n-gram (the mean over those it has)."""
+    # a row that teaches has no word the model lacks
+    rest = materialise(_uses(c.where("lang is null")).select("word").distinct().join(model.words, "word", "left_anti"))
+    out = []
+    for order in ORDERS:
+        if rest.isEmpty():
+            break
+
+        def cut(parts: Iterator[pd.DataFrame], order: int = order) -> Iterator[pd.DataFrame]:
+            for pdf in parts:
+                yield pd.DataFrame([(w, g) for w in pdf["word"] for g in grams(w, order)], columns=["word", "feature"])
+
+        known = model.grams.where(F.col("kind") == order).select("feature", "by_lang", "total")
+        # language -1 counts the n-grams
+        each = (_meet(rest.mapInPandas(cut, "word string, feature string"), known, "feature")
+                .select("word", F.inline(F.concat(F.array(F.struct(F.lit(-1).alias("l"), F.lit(1.0).alias("b"))), "by_lang")))
+                .groupBy("word", "l").agg(F.sum("b").alias("b")))
+        found = each.groupBy("word").agg(F.sum(F.when(F.col("l") < 0, F.col("b"))).alias("m"), F.collect_list(F.when(F.col("l") >= 0, F.struct("l", "b"))).alias("g"))
+        found = materialise(found.select("word", F.lit(order).alias("kind"), F.transform("g", lambda x: F.struct(
+            x["l"].alias("l"), (x["b"] / F.col("m")).alias("b"))).alias("by_lang"), F.lit(1).cast("long").alias("total")))
+        out.append(found)
+        rest = materialise(rest.join(found, "word", "left_anti"))
+    return out
+
+
+def _predict(c: DataFrame, model: Model) -> DataFrame:
+    langs, base = model.langs, model.base
+    scores = reduce(DataFrame.unionByName, [model.words.withColumn("kind", F.lit(0)), *_unseen(c, model)])
+    # language -1 - kind counts the text's words of that kind
+    each = (_meet(_uses(c, "row"), scores, "word")
+            .select("row", "n", F.inline(F.concat(F.array(F.struct((-1 - F.col("kind")).alias("l"), F.lit(1.0).alias("b"))), "by_lang"))))
+    total = each.groupBy("row", "l").agg(F.sum(F.col("n") * F.col("b")).alias("s")).groupBy("row").agg(F.collect_list(F.struct("l", "s")).alias("t"))
+
+    @F.pandas_udf("lang_pred string, score double")
+    def score(some: pd.Series, l: pd.Series, s: pd.Series) -> pd.DataFrame:  # noqa: E741
+        out = []
+        for any_word, at, x in zip(some, l, s):
+            if not any_word or not langs:
+                out.append(("und", 0.0))
+                continue
+            total = np.zeros(len(langs))
+            for i, v in zip(at, x) if at is not None else ():
+                if i < 0:
+                    total += v * base[-1 - i]
+                else:
+                    total[i] += v
+            out.append(best_of(total, langs))
+        return pd.DataFrame(out, columns=["lang_pred", "score"])
+
+    d = c.select("row", "doc_id", "held_out", (F.size("words") > 0).alias("some")).join(total, "row", "left")
+    return d.select("doc_id", "held_out", score("some", F.col("t.l"), F.col("t.s")).alias("p")).select("doc_id", "held_out", "p.lang_pred", "p.score")
+
+
+def predict(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` of every document, from its whole text alone.
 
     ``und`` with score 0 if the text is null or has no letter (or nothing was
@@ -152,19 +256,10 @@ def predict(docs: DataFrame, model: Backoff) -> DataFrame:
     count as not held out (and teach nothing); repeated rows come out once
     each; an empty table gives an empty result; extra columns are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(vars(model))  # bounded, see fit()
-
-    def score(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        m, cache = Backoff.__new__(Backoff), {}
-        vars(m).update(shared.value)
-        for s in parts:
-            yield pd.DataFrame([m.predict(t, cache) for t in s], columns=["lang_pred", "score"])
-
-    udf = F.pandas_udf(score, "lang_pred string, score double")
-    d = pick(docs, "doc_id", "text").select("doc_id", udf("text").alias("p"))
-    return d.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "p.lang_pred", "p.score")
+    return _predict(counted(docs, teach=False), model)
 
 
 def identify(docs: DataFrame) -> DataFrame:
-    """Fit on the documents that aren't held out, predict all (see ``fit`` and ``predict``)."""
-    return predict(docs, fit(docs))
+    """Fit on the documents that aren't held out, predict all (see ``fit`` and ``predict``); every text is cut into words once."""
+    c = counted(docs)
+    return _predict(c, _fit(c))

@@ -1,5 +1,6 @@
 import zlib
 
+import pytest
 from conftest_sf import SF_SMALL
 from helpers_llm import clashing, docs_of
 
@@ -38,6 +39,12 @@ def test_against_a_plain_model(spark):
     assert all(0 <= g[3] <= 1 for g in got) and ("und", 0.0) in {g[2:] for g in got}
 
 
+@pytest.mark.parametrize("hot", [0, 40])
+def test_shuffled_features_give_the_same(spark, monkeypatch, hot):
+    monkeypatch.setattr(langid, "HOT", hot)
+    test_against_a_plain_model(spark)
+
+
 def test_labels_and_sources_of_the_predicted_documents_are_not_used(spark):
     other = [(i, t, lang if i is None or zlib.crc32(str(i).encode()) % 4 != 2 else "xx") for i, t, lang in ROWS]
     a = langid.identify(docs_of(spark, ROWS)).collect()
@@ -58,6 +65,23 @@ def test_held_out_accuracy(spark):
     assert len(j) > 30 and sum(r.lang == r.lang_pred for r in j) / len(j) >= 0.95
 
 
+def test_every_word_gram_and_language_is_kept(spark):
+    """More languages, words and n-grams than a model of fixed size held (64, 100,000, 20,000): the rare ones count too."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda i: "".join(letters[i // 26 ** k % 26] for k in range(4))
+    common = " ".join(word(i) for i in range(110_000))
+    taught = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 != 2][:72]
+    rows = [(taught[0], common, "l00"), (taught[1], common, "l00")]
+    rows += [(i, f"ж{chr(0x4e00 + k)}ф " + f"я{chr(0x5e00 + k)}дл", f"l{k:02d}") for k, i in enumerate(taught[2:], 1)]
+    asked = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 == 2][:70]
+    rows += [(i, f"ж{chr(0x4e00 + k)}ф" if k % 2 else f"оя{chr(0x5e00 + k)}дл", None) for k, i in enumerate(asked, 1)]
+    m = plain(rows)
+    assert len(m.langs) > 64 and len(m.index[0]) > 100_000 and len(m.index[4]) > 20_000
+    got = {r.doc_id: (r.lang_pred, round(r.score, 9)) for r in langid.identify(docs_of(spark, rows)).collect()}
+    assert [got[i][0] for i in asked] == [f"l{k:02d}" for k in range(1, 71)]
+    assert all(got[i] == ((p := m.predict(t))[0], round(p[1], 9)) for i, t, _ in rows)
+
+
 def test_empty(spark):
     assert langid.identify(docs_of(spark, [])).collect() == []
     untaught = langid.identify(docs_of(spark, [(1, "some words", None)])).collect()
