@@ -53,6 +53,18 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     a null doc_id is reported as null. Repeated rows give one row per
     (doc_id, item_id). Either table may be empty; extra columns are ignored.
     """
+    out = _verified(docs, benchmark).groupBy("doc_id", "item_id").agg(F.max("r").alias("r"))
+    n_tokens = -F.col("r.w")
+    return out.select("doc_id", "item_id", n_tokens.cast("long").alias("n_tokens"), F.col("r.n_match").cast("long").alias("n_match"),
+                      (F.col("r.n_match") / n_tokens).alias("similarity"), (-F.col("r.d")).cast("long").alias("doc_pos"), (-F.col("r.i")).cast("long").alias("item_pos"))
+
+
+def _text_key(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def _verified(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``doc_id, doc_key, item_id, r``: the best window of every verified alignment, ``doc_key`` the text's hash (see ``overlaps``)."""
     b = pick(benchmark, "item_id", "text").where("item_id is not null")
     items = materialise(b.select("item_id", tokens(F.col("text")).alias("t")).where(F.size("t") >= LEAST).distinct()
                         .select("item_id", "t", _hashes(F.col("t")).alias("h"), F.xxhash64("t").alias("item_key")))
@@ -98,16 +110,12 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.aggregate(F.slice(a, i + 1, F.col("width")), F.lit(0), lambda s, x: s + x).alias("n"), (-i).alias("back")))))
     best = ready.withColumn("best", best).drop("ih", "dh").where(F.col("best.n") >= F.col("width") * F.lit(SIMILARITY) - F.lit(1e-9))
     doc_pos = F.col("first") + F.col("diag") - F.col("best.back")
-    out = best.select("doc_id", "item_id", F.struct(F.col("best.n").alias("n_match"), (-F.col("width")).alias("w"), (-doc_pos).alias("d"),
-                                                    (-(F.col("first") - F.col("best.back"))).alias("i")).alias("r"))
-    out = out.groupBy("doc_id", "item_id").agg(F.max("r").alias("r"))
-    n_tokens = -F.col("r.w")
-    return out.select("doc_id", "item_id", n_tokens.cast("long").alias("n_tokens"), F.col("r.n_match").cast("long").alias("n_match"),
-                      (F.col("r.n_match") / n_tokens).alias("similarity"), (-F.col("r.d")).cast("long").alias("doc_pos"), (-F.col("r.i")).cast("long").alias("item_pos"))
+    return best.select("doc_id", "doc_key", "item_id", F.struct(F.col("best.n").alias("n_match"), (-F.col("width")).alias("w"), (-doc_pos).alias("d"),
+                                                                (-(F.col("first") - F.col("best.back"))).alias("i")).alias("r"))
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that overlap an item; all columns pass through (a null doc_id never matches away another)."""
+    """``docs`` without the rows that overlap an item; all columns pass through (rows of one or no doc_id are judged by their own text)."""
     w = Wide(docs)
-    bad = materialise(overlaps(docs, benchmark).select(F.col("doc_id").alias("bad_id")).distinct())
-    return w.restore(w.frame.join(bad, w.col("doc_id").eqNullSafe(F.col("bad_id")), "left_anti"))
+    bad = materialise(_verified(docs, benchmark).select(F.col("doc_id").alias("bad_id"), F.col("doc_key").alias("bad_key")).distinct())
+    return w.restore(w.frame.join(bad, w.col("doc_id").eqNullSafe(F.col("bad_id")) & (_text_key(w.col("text")) == F.col("bad_key")), "left_anti"))

@@ -83,6 +83,14 @@ def test_remove_contaminated(spark):
     assert sorted((str(r[0]) for r in got.collect())) == sorted(str(i) for i, _ in docs if i not in bad)
 
 
+def test_clean_rows_of_a_null_or_repeated_id_stay(spark):
+    _, items = fixture()
+    bad = items[8][1]
+    docs = [(None, bad), (None, "clean and null"), (None, None), (7, bad), (7, "clean and repeated"), (7, "clean and repeated"), (8, "alone")]
+    got = dc.remove_contaminated(docs_of(spark, docs), spark.createDataFrame(items, SCHEMA)).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(((i, t) for i, t in docs if t != bad), key=str)
+
+
 def test_empty_tables(spark):
     docs, items = fixture()
     none = spark.createDataFrame([], SCHEMA)
