@@ -24,7 +24,7 @@ PATTERNS = {
     # country, two check digits, 11 to 30 letters or digits, single spaces between groups of four allowed
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "secret": r"(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{16}(?![A-Za-z0-9])|(?i:password|passwd|token|secret|api_?key)[ ]?[=:][ ]?[\"']?[A-Za-z0-9_+/.-]{8,256})",
+    "secret": r"(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{16}(?![A-Za-z0-9])|(?i:password|passwd|token|secret|api_?key)[ ]?[=:][ ]?[\"']?[A-Za-z0-9_+/.-]{8,}+)",
 }
 
 #: Score a kind starts with once its validator agrees, and the words near a span (either side) that raise it.
@@ -160,12 +160,12 @@ def span_text(spans: Column) -> Column:
 
 
 def redact(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``doc_id, text`` with every span replaced by ``<KIND>``; of overlapping spans the first in order stands."""
+    """``doc_id, text`` with every span replaced by ``<KIND>``; overlapping spans merge to the furthest end under the first one's kind."""
     d = pick(docs, "doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))
     # doc_id may repeat, so the spans are found on the row itself, not joined back to it
     s = pii_spans(d.select(F.struct("doc_id", "text").alias("doc_id"), "text"), threshold).toDF("row", "spans")
     text, spans = F.col("row.text"), F.col("spans")
     done = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), lambda acc, x: F.when(
-        x["start"] < acc["at"], acc).otherwise(F.struct(x["end"].alias("at"), F.concat(
+        x["start"] < acc["at"], F.struct(F.greatest(acc["at"], x["end"]).alias("at"), acc["out"].alias("out"))).otherwise(F.struct(x["end"].alias("at"), F.concat(
             acc["out"], F.substr(text, acc["at"] + 1, x["start"] - acc["at"]), F.lit("<"), F.upper(x["kind"]), F.lit(">")).alias("out"))))
     return s.select(F.col("row.doc_id").alias("doc_id"), F.concat(done["out"], F.substr(text, done["at"] + 1)).alias("text"))

@@ -87,3 +87,16 @@ def test_empty(spark):
 def test_mod97(spark, text, ok):
     from pyspark.sql import functions as F
     assert spark.createDataFrame([(text,)], "t string").select(pii.mod97(F.col("t"))).first()[0] == ok
+
+
+def test_long_secrets_are_whole(spark):
+    rows = [(1, "token=" + "k" * 5000 + " end"), (2, "api_key: " + "Ab9/" * 1250)]
+    got = {r.doc_id: [tuple(s)[:3] for s in r.spans] for r in pii.pii_spans(docs_of(spark, rows)).collect()}
+    assert got == {1: [("secret", 0, 5006)], 2: [("secret", 0, 5009)]}
+    assert sorted((r.doc_id, r.text) for r in pii.redact(docs_of(spark, rows)).collect()) == [(1, "<SECRET> end"), (2, "<SECRET>")]
+
+
+def test_redact_merges_overlapping_spans(spark):
+    rows = [(1, "password=longname@bar.com ok"), (2, "password=longname@bar.com, a@b.c"), (3, "x secret: 1.2.3.4.a@b.cd.e y")]
+    assert sorted((r.doc_id, r.text) for r in pii.redact(docs_of(spark, rows)).collect()) == [
+        (1, "<SECRET> ok"), (2, "<SECRET>, <EMAIL>"), (3, "x <SECRET> y")]
