@@ -6,9 +6,9 @@ import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_ORACLE = os.environ.get("TESSERA_TEST_SF", SF_SMALL)
+from helpers import SF_ORACLE  # noqa: E402
 
 
 @pytest.fixture(scope="session")

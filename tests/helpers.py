@@ -1,5 +1,10 @@
+import os
+
 import pandas as pd
 
+SF_SMALL = "/root/testdata/sf0.001"
+SF_ORACLE = os.environ.get("TESSERA_TEST_SF", SF_SMALL)
+
 
 def normalise(df: pd.DataFrame, cols: list[str]) -> pd.DataFrame:
     """Order-free, null-normalised string form of a result (NaN / None / NA -> NULL)."""

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_ORACLE
+from helpers import SF_ORACLE
 from helpers import same_result
 
 import __spark_entry__ as entry_mod

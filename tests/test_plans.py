@@ -11,7 +11,7 @@
 
 import pytest
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 import __spark_entry__ as entry_mod
 
 from tessera.plans import QUERIES as LIBRARY_QUERIES

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from tessera.functions.exprs import md5_order
 from tessera.functions.skew import dense_index, group_rank, prefix_sums, previous_in_group, running_in_group, top_k_per_key
 from tessera.operators import evaluate as ev

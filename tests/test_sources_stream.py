@@ -6,7 +6,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from tessera.operators import corpus
 from tessera.operators.evaluate import threshold_sweep
 from tessera.plans.standins import click_rows
