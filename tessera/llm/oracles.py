@@ -132,4 +132,32 @@ SELECT doc_id, license_id, max(dice) AS dice, max(CASE WHEN r = 1 THEN CASE kind
 FROM hit GROUP BY doc_id, license_id
 """
 
-ORACLES: dict[str, str] = {"op1_embedding_neardup": _OP1, "op2_decontamination": _OP2, "op3_mixing": _OP3, "op6_preference": _OP6, "op9_licences": _OP9}
+# books c0 (seeds), c1, c2; assignments a0, a1 (rounds) and a2 (final)
+_NEAREST = """a{i} AS MATERIALIZED (
+  SELECT vec_id, label, x.part, x.v, arg_min(entry, (list_sum(list_transform(list_zip(x.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), entry)) AS entry,
+    min(list_sum(list_transform(list_zip(x.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))))::BIGINT AS d
+  FROM x JOIN c{i} c ON c.part = x.part GROUP BY ALL)"""
+_UPDATE = """l{j} AS (SELECT part, entry, unnest(v) AS v, unnest(range(1, len(v) + 1)) AS j FROM a{i}),
+m{j} AS (SELECT part, entry, j, sum(v)::BIGINT AS s, count(*)::BIGINT AS n FROM l{j} GROUP BY ALL),
+n{j} AS (SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY j) AS v FROM m{j} GROUP BY ALL),
+c{j} AS MATERIALIZED (SELECT c.part, c.entry, coalesce(n{j}.v, c.v) AS v FROM c{i} c LEFT JOIN n{j} ON n{j}.part = c.part AND n{j}.entry = c.entry)"""
+_OP12 = f"""
+WITH k AS (
+  SELECT vec_id, label, list_transform(embedding, lambda e: floor(e::DOUBLE * 256)::BIGINT) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+x AS MATERIALIZED (
+  SELECT vec_id, label, p AS part, e[p * len(e) // 16 + 1:(p + 1) * len(e) // 16] AS v FROM (SELECT *, unnest(range(16)) AS p FROM k)),
+seed AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM k ORDER BY vec_id LIMIT 64),
+c0 AS MATERIALIZED (SELECT part, entry, v FROM x JOIN seed USING (vec_id)),
+{_NEAREST.format(i=0)},
+{_UPDATE.format(i=0, j=1)},
+{_NEAREST.format(i=1)},
+{_UPDATE.format(i=1, j=2)},
+{_NEAREST.format(i=2)},
+book AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM c2),
+r AS (SELECT vec_id, label, lower(string_agg(printf('%02x', entry), '' ORDER BY part)) AS code, sum(d)::BIGINT AS error FROM a2 GROUP BY vec_id, label)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM r, book
+"""
+
+ORACLES: dict[str, str] = {"op1_embedding_neardup": _OP1, "op2_decontamination": _OP2, "op3_mixing": _OP3, "op6_preference": _OP6, "op9_licences": _OP9,
+                           "op12_vector_codes": _OP12}
