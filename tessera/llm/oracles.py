@@ -132,6 +132,32 @@ SELECT doc_id, license_id, max(dice) AS dice, max(CASE WHEN r = 1 THEN CASE kind
 FROM hit GROUP BY doc_id, license_id
 """
 
+_OP11 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+w AS MATERIALIZED (SELECT id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS MATERIALIZED (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT id) >= 10),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS MATERIALIZED (SELECT lang, source, term, count(*)::HUGEINT AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL),
+gt AS (SELECT g.lang, g.source, coalesce(sum(n), 0)::HUGEINT AS total FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+gp AS MATERIALIZED (
+  SELECT gt.lang, gt.source, k.term, coalesce(c.n, 0) AS n, (1 + 1000000000 * (coalesce(c.n, 0) + 2) // (total + 2 * v))::BIGINT AS p
+  FROM gt JOIN v USING (lang) JOIN kept k USING (lang) LEFT JOIN c ON c.lang = gt.lang AND c.source = gt.source AND c.term = k.term),
+lt AS (SELECT lang, sum(total) AS total FROM gt GROUP BY lang),
+lp AS (SELECT c.lang, c.term, (1 + 1000000000 * (sum(n) + 2) // (any_value(total) + 2 * any_value(v)))::BIGINT AS q
+  FROM c JOIN lt USING (lang) JOIN v USING (lang) GROUP BY c.lang, c.term),
+pv AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p))::BIGINT AS value
+  FROM gp a JOIN gp b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pv ON pv.lang = a.lang AND pv.source = a.source AND pv.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value
+  FROM gp JOIN lp USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM (FROM pairs UNION ALL FROM terms))
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
 # books c0 (seeds), c1, c2; assignments a0, a1 (rounds) and a2 (final)
 _NEAREST = """a{i} AS MATERIALIZED (
   SELECT vec_id, label, x.part, x.v, arg_min(entry, (list_sum(list_transform(list_zip(x.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), entry)) AS entry,
@@ -160,4 +186,4 @@ SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS la
 """
 
 ORACLES: dict[str, str] = {"op1_embedding_neardup": _OP1, "op2_decontamination": _OP2, "op3_mixing": _OP3, "op6_preference": _OP6, "op9_licences": _OP9,
-                           "op12_vector_codes": _OP12}
+                           "op11_source_divergence": _OP11, "op12_vector_codes": _OP12}

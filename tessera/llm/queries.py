@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, langid, licences, mixing, neardup_vectors, pii, preference, quality, sharding, simhash, vector_codes
+from tessera.llm import decontaminate, divergence, langid, licences, mixing, neardup_vectors, pii, preference, quality, sharding, simhash, vector_codes
 from tessera.llm.common import read
 
 QUERIES: dict = {}
@@ -71,6 +71,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).drop("text_hash")
 
 
+@query
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
 @query
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(read(spark, sf_dir, "embeddings")).drop("label")
