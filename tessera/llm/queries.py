@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, divergence, langid, licences, mixing, neardup_vectors, pii, preference, quality, sharding, simhash, vector_codes
+from tessera.llm import decontaminate, divergence, langid, licences, mixing, neardup_vectors, outliers, pii, preference, quality, sharding, simhash, vector_codes
 from tessera.llm.common import read
 
 QUERIES: dict = {}
@@ -79,3 +79,8 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(read(spark, sf_dir, "embeddings")).drop("label")
+
+
+@query
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.judge(read(spark, sf_dir, "documents")).drop("n_lines")
