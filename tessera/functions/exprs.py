@@ -119,3 +119,12 @@ def char_ngrams(text, n: int) -> Column:
     return F.when(F.length(s) < n, F.array().cast("array<string>")).otherwise(
         F.transform(F.sequence(F.lit(1), F.length(s) - n + 1),
                     lambda i: F.substring(s, i, n)))
+
+
+def bind(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once per row.
+
+    The optimizer may copy a column's definition into an expression that uses it, lambdas included, where it would
+    run again for every element; the variable of a lambda is not copied.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -241,37 +241,3 @@ def nearest_centroid(vecs: DataFrame, centroids: DataFrame, id_col: str, label:
     best = top_k_per_key(s.select(id_col, "cls", "score"), id_col,
                          [F.desc(F.round("score", tie_digits)), F.col("cls")], 1, salt_cols=["cls"])
     return best.select(id_col, F.col("cls").alias("predicted"), "score")
-
-
-def minhash_signatures(shingles: DataFrame, doc: str, n_hashes: int, seed: int = 0) -> DataFrame:
-    """MinHash signature rows (doc, h, min) with hash_h(s) = first 8 hex digits of md5('seed|h|s')."""
-    hs = F.explode(F.sequence(F.lit(0), F.lit(n_hashes - 1))).alias("h")
-    d = shingles.select(doc, "shingle", hs)
-    v = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("h").cast("string"), F.col("shingle"))), 1, 8),
-               16, 10).cast("long")
-    return d.groupBy(doc, "h").agg(F.min(v).alias("mh"))
-
-
-def minhash_links(shingles: DataFrame, doc: str, n_hashes: int = 16, rows_per_band: int = 4,
-                  threshold: float = 0.5, seed: int = 0) -> DataFrame:
-    """N09 (re-aimed to linear output): documents whose signatures agree on a whole band are linked
-    to the band bucket's representative (smallest doc id); a link is kept when the exact Jaccard
-    of the two shingle sets reaches ``threshold``. Output (id_a = doc, id_b = rep, jaccard).
-
-    Buckets become star edges, never all pairs; feeding the links to
-    ``connected_groups`` gives near-duplicate clusters.
-    """
-    sig = minhash_signatures(shingles, doc, n_hashes, seed).withColumn("band", (F.col("h") / rows_per_band).cast("int"))
-    bk = sig.groupBy(doc, "band").agg(F.md5(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("h", "mh"))), lambda x: x["mh"].cast("string")), ",")).alias("bkey"))
-    rep = bk.groupBy("band", "bkey").agg(F.min(doc).alias("rep"))
-    links = bk.join(rep, ["band", "bkey"]).filter(F.col(doc) != F.col("rep")).select(doc, "rep").distinct()
-    sh = shingles.select(doc, "shingle").distinct()
-    size = sh.groupBy(doc).agg(F.count(F.lit(1)).alias("n"))
-    inter = (links.join(sh, doc).join(sh.select(F.col(doc).alias("rep"), "shingle"), ["rep", "shingle"])
-                  .groupBy(doc, "rep").agg(F.count(F.lit(1)).alias("inter")))
-    j = (links.join(inter, [doc, "rep"], "left").fillna(0, ["inter"])
-              .join(size, doc).join(size.select(F.col(doc).alias("rep"), F.col("n").alias("n_rep")), "rep"))
-    jac = F.col("inter") / (F.col("n") + F.col("n_rep") - F.col("inter"))
-    return j.select(F.col(doc).alias("id_a"), F.col("rep").alias("id_b"), jac.alias("jaccard")).filter(
-        F.col("jaccard") >= threshold)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tessera.functions.exprs import r6
 from tessera.operators import evaluate as ev
 from tessera.operators import pairs as pr
+from tessera.operators import setjoin as sj
 from tessera.operators import similarity as sim
 from tessera.plans.common import round_doubles
 from tessera.plans.registry import register
@@ -365,45 +366,30 @@ def q_v25(spark, sf):
     return round_doubles(per.unionByName(allr))
 
 
-DOC_SHINGLE_SQL = r"""dw AS (SELECT doc_id, string_split(trim(regexp_replace(lower(text), '\s+', ' ', 'g')), ' ') AS w FROM documents),
-sh AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS shingle
-       FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM dw)),
-sig AS (SELECT doc_id, h, min(CAST(('0x' || substring(md5('0|' || h || '|' || shingle), 1, 8))::BIGINT AS BIGINT)) AS mh
-        FROM sh, range(0, 16) AS t(h) GROUP BY doc_id, h),
-bk AS (SELECT doc_id, h // 4 AS band, md5(string_agg(CAST(mh AS VARCHAR), ',' ORDER BY h)) AS bkey FROM sig GROUP BY doc_id, h // 4),
-rep AS (SELECT band, bkey, min(doc_id) AS rep FROM bk GROUP BY 1, 2),
-links AS (SELECT DISTINCT bk.doc_id, rep.rep FROM bk JOIN rep USING (band, bkey) WHERE bk.doc_id <> rep.rep),
+# brute force over all pairs that share a shingle; equal sets are one class, represented by the smallest id
+NEAR_DUPLICATE_SQL = r"""dw AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '\s+'), lambda x: x <> '') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+       FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM dw WHERE len(w) > 0)),
 sz AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
-inter AS (SELECT l.doc_id, l.rep, count(*) AS inter FROM links l JOIN sh a ON a.doc_id = l.doc_id
-          JOIN sh b ON b.doc_id = l.rep AND b.shingle = a.shingle GROUP BY 1, 2),
-mlinks AS (SELECT l.doc_id AS id_a, l.rep AS id_b, coalesce(i.inter, 0) / (x.n + y.n - coalesce(i.inter, 0)) AS jaccard
-           FROM links l LEFT JOIN inter i USING (doc_id, rep) JOIN sz x ON x.doc_id = l.doc_id JOIN sz y ON y.doc_id = l.rep
-           WHERE coalesce(i.inter, 0) / (x.n + y.n - coalesce(i.inter, 0)) >= 0.5)"""
+inter AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id > b.doc_id GROUP BY 1, 2),
+sim AS (SELECT a, b, m / (x.n + y.n - m) AS jaccard FROM inter JOIN sz x ON x.doc_id = a JOIN sz y ON y.doc_id = b WHERE m / (x.n + y.n - m) >= 0.8),
+rep AS (SELECT sz.doc_id, coalesce(min(b), sz.doc_id) AS rep FROM sz LEFT JOIN sim ON a = sz.doc_id AND jaccard = 1 GROUP BY sz.doc_id),
+links AS (SELECT doc_id AS id_a, rep AS id_b, CAST(1 AS DOUBLE) AS jaccard FROM rep WHERE doc_id <> rep
+          UNION ALL SELECT a, b, jaccard FROM sim JOIN rep x ON x.doc_id = a AND x.rep = a JOIN rep y ON y.doc_id = b AND y.rep = b)"""
 
 
-def doc_shingles(spark, sf):
-    d = table(spark, sf, "documents")
-    w = F.split(F.trim(F.regexp_replace(F.lower("text"), r"\s+", " ")), " ")
-    from tessera.functions.exprs import word_ngrams
-    # split once into a column, then slice it: an inline split inside the n-gram lambda would be
-    # re-evaluated for every position of the text
-    d = d.select("doc_id", w.alias("w"))
-    return d.select("doc_id", F.explode(word_ngrams("w", 3)).alias("shingle")).distinct()
-
-
-@register("N09_minhash_near_duplicate_links", "WITH " + DOC_SHINGLE_SQL + """
-SELECT id_a, id_b, round(jaccard, 6) AS jaccard FROM mlinks""")
+@register("N09_near_duplicate_links", "WITH " + NEAR_DUPLICATE_SQL + """
+SELECT id_a, id_b, round(jaccard, 6) AS jaccard FROM links""")
 def q_n09(spark, sf):
-    return round_doubles(sim.minhash_links(doc_shingles(spark, sf), "doc_id", 16, 4, 0.5))
+    return round_doubles(sj.near_duplicate_links(table(spark, sf, "documents")))
 
 
-@register("N09_near_duplicate_clusters", "WITH RECURSIVE " + DOC_SHINGLE_SQL + """,
-und AS (SELECT id_a AS a, id_b AS b FROM mlinks UNION SELECT id_b, id_a FROM mlinks),
+@register("N09_near_duplicate_clusters", "WITH RECURSIVE " + NEAR_DUPLICATE_SQL + """,
+und AS (SELECT id_a AS a, id_b AS b FROM links UNION SELECT id_b, id_a FROM links),
 reach(node, root) AS (SELECT DISTINCT a, a FROM und UNION SELECT u.b, r.root FROM reach r JOIN und u ON u.a = r.node)
 SELECT node, min(root) AS component FROM reach GROUP BY node""")
 def q_n09c(spark, sf):
-    links = sim.minhash_links(doc_shingles(spark, sf), "doc_id", 16, 4, 0.5)
-    return pr.connected_groups(links)
+    return pr.connected_groups(sj.near_duplicate_links(table(spark, sf, "documents")))
 
 
 @register("E21_dissimilar_same_group", "WITH " + POS_SQL + HASHED_TITLES_SQL[len(LISTINGS_SQL):] + """,
