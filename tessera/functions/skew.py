@@ -1,7 +1,7 @@
 """Skew-safe building blocks.
 
 Any key may hold a third of all rows, so nothing here puts one group into one
-task: ranks are computed over md5 sub-ranges of a group, top-k runs in two
+task: ranks of a large group are computed over md5 sub-ranges, top-k runs in two
 phases (salted partial top-k, then a final top-k over at most ``salts * k``
 rows per key), and self-joins split hot keys across salted tasks.
 """
@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Sub-range prefix length of an md5 hex order key: 2 hex digits = 256 slices.
-SUB_HEX = 2
+# A group with more rows than this is ranked in md5 sub-ranges of about this many rows at most.
+SLICE_ROWS = 50000
 # Salt fan-out of the partial phase of a per-key top-k.
 TOPK_SALTS = 16
 # A key with more rows than this is split across salted tasks in self-joins.
@@ -26,22 +26,23 @@ def group_rank(df: DataFrame, key: list[str] | str, order_hex: str,
     """Exact 1-based rank of each row inside its group by an md5 hex column.
 
     Equivalent to ``row_number() over (partition by key order by order_hex)``
-    plus ``count(*) over (partition by key)``, but a group is spread over 256
-    md5 sub-ranges: per-(key, slice) counts give each slice its offset (a tiny
-    window over <= 256 rows per key), then the row number runs per slice.
+    plus ``count(*) over (partition by key)``. Groups of more than
+    ``SLICE_ROWS`` rows are cut into md5 sub-ranges, with as many leading hex
+    digits as their size asks for, so tasks grow with the group; counts per
+    (key, sub-range) give each its offset and the row number runs inside it.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    d = df.join(df.groupBy(*keys).agg(F.count(F.lit(1)).alias(size_col)), keys)
+    digits = F.greatest(F.lit(0), F.ceil(F.log(16.0, F.col(size_col) / SLICE_ROWS))).cast("int")
     sl = "__slice"
-    d = df.withColumn(sl, F.coalesce(F.substring(F.col(order_hex), 1, SUB_HEX), F.lit("")))
-    cnt = d.groupBy(*keys, sl).agg(F.count(F.lit(1)).alias("__cnt"))
-    wk = Window.partitionBy(*keys).orderBy(sl)
-    offs = (cnt.withColumn("__off", F.sum("__cnt").over(wk.rowsBetween(Window.unboundedPreceding, -1)))
-               .withColumn(size_col, F.sum("__cnt").over(Window.partitionBy(*keys)))
-               .select(*keys, sl, F.coalesce("__off", F.lit(0)).alias("__off"), size_col))
+    d = d.withColumn(sl, F.substring(F.coalesce(F.col(order_hex), F.lit("")), F.lit(1), digits))
+    cnt = d.filter(F.col(size_col) > SLICE_ROWS).groupBy(*keys, sl).agg(F.count(F.lit(1)).alias("__cnt"))
+    wk = Window.partitionBy(*keys).orderBy(sl).rowsBetween(Window.unboundedPreceding, -1)
+    offs = cnt.select(*keys, sl, F.coalesce(F.sum("__cnt").over(wk), F.lit(0)).alias("__off"))
     ws = Window.partitionBy(*keys, sl).orderBy(order_hex)
-    return (d.join(offs, [*keys, sl])
-             .withColumn(rank_col, (F.row_number().over(ws) + F.col("__off")).cast("long"))
-             .drop(sl, "__off"))
+    return (d.withColumn("__in_slice", F.row_number().over(ws)).join(offs, [*keys, sl], "left")
+             .withColumn(rank_col, (F.col("__in_slice") + F.coalesce("__off", F.lit(0))).cast("long"))
+             .select(*df.columns, rank_col, size_col))
 
 
 def top_k_per_key(df: DataFrame, key: list[str] | str, order: list[Column], k: int,

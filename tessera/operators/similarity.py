@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.exprs import dot, l2_norm
 from tessera.functions.skew import salted_self_join, top_k_per_key
+from tessera.session import cut_lineage
 
 
 def vector_norms(long_df: DataFrame, ent: str, val: str, out: str = "norm") -> DataFrame:
@@ -47,22 +48,87 @@ def entity_cosine(long_df: DataFrame, ent: str, key: str, val: str) -> DataFrame
     return _cosine_pairs(long_df, ent, key, val).groupBy("a", "b").agg(F.sum("p").alias("sim"))
 
 
-def top_k_cosine(long_df: DataFrame, ent: str, key: str, val: str, k: int, tie_digits: int = 9,
-                 salts: int = 16) -> DataFrame:
-    """N01 + N03 fused: the k most similar partners of every entity, ties by partner id.
+#: Entities of one block of a sparse product, and products that are expanded at a time.
+SPARSE_BLOCK = 2048
+SPARSE_STEP = 4_000_000
+
+
+def _best_of_rows(sims, names_a, names_b, k: int, tie_digits: int):
+    """(a, b, sim) of the k largest finite entries of each row; ties by column (columns ascend by name)."""
+    import numpy as np
+    r = np.where(np.isfinite(sims), np.round(sims, tie_digits), -np.inf)
+    kk = min(k, r.shape[1])
+    at_least = np.partition(r, r.shape[1] - kk, axis=1)[:, r.shape[1] - kk]
+    row, col = np.nonzero((r >= at_least[:, None]) & np.isfinite(r))
+    order = np.lexsort((col, -r[row, col], row))
+    row, col = row[order], col[order]
+    start = np.searchsorted(row, np.arange(len(r)))
+    keep = np.arange(len(row)) - start[row] < kk
+    row, col = row[keep], col[keep]
+    return names_a[row], names_b[col], sims[row, col]
+
+
+def _sparse_product(k: int, tie_digits: int):
+    import numpy as np
+    import pandas as pd
 
-    The pair sums are grouped by (a, salt(b), b) — salt a function of b — so
-    one hash partitioning on (a, salt) serves both the aggregation and the
-    first top-k phase; the final phase ranks at most salts * k rows per entity.
-    A popular entity's pairs are thus spread over ``salts`` tasks.
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        low, high = pdf["low"].iloc[0], pdf["high"].iloc[0]
+        key = pd.factorize(pdf["k"])[0]
+        own = pdf["own"].to_numpy()
+
+        def side(block):
+            m = own == block
+            names, row = np.unique(pdf["e"].to_numpy()[m], return_inverse=True)
+            order = np.argsort(key[m], kind="stable")
+            return names, row[order], key[m][order], pdf["u"].to_numpy()[m][order]
+
+        na, ra, ka, ua = side(low)
+        nb, rb, kb, ub = (na, ra, ka, ua) if low == high else side(high)
+        if not len(na) or not len(nb):
+            return pd.DataFrame({"a": pd.Series([], dtype=pdf["e"].dtype), "b": pd.Series([], dtype=pdf["e"].dtype), "sim": pd.Series([], dtype="float64")})
+        first, last = np.searchsorted(kb, ka, "left"), np.searchsorted(kb, ka, "right")
+        upto = np.cumsum(last - first)
+        total, met = np.zeros(len(na) * len(nb)), np.zeros(len(na) * len(nb), bool)
+        at = 0
+        while at < len(ka):
+            end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + SPARSE_STEP, "right")))
+            n = (last - first)[at:end]
+            left = np.repeat(np.arange(at, end), n)
+            right = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[at:end], n)
+            cell = ra[left] * len(nb) + rb[right]
+            total += np.bincount(cell, weights=ua[left] * ub[right], minlength=len(total))
+            met[cell] = True
+            at = end
+        sims = np.where(met, total, -np.inf).reshape(len(na), len(nb))
+        if low == high:
+            np.fill_diagonal(sims, -np.inf)
+        out = [_best_of_rows(sims, na, nb, k, tie_digits)] + ([] if low == high else [_best_of_rows(sims.T, nb, na, k, tie_digits)])
+        return pd.DataFrame({c: np.concatenate([o[i] for o in out]) for i, c in enumerate(("a", "b", "sim"))})
+    return fn
+
+
+def top_k_cosine(long_df: DataFrame, ent: str, key: str, val: str, k: int, tie_digits: int = 9,
+                 block_rows: int = SPARSE_BLOCK) -> DataFrame:
+    """N01 + N03 fused: the k most similar partners of every entity (sharing a key), ties by partner id.
+
+    Entities are dealt over blocks. A row is sent to the blocks that hold its
+    key at all, once each (never once per partner), and a task multiplies two
+    sparse blocks: what it ships is k rows per entity, not the co-rating
+    pairs. A popular key's rows are salted on the way; a block holds about
+    ``block_rows`` entities, fewer if they have very many rows.
     """
-    p = _cosine_pairs(long_df, ent, key, val).withColumn("__s", F.pmod(F.xxhash64("b"), F.lit(salts)))
-    sums = p.repartition("a", "__s").groupBy("a", "__s", "b").agg(F.sum("p").alias("sim"))
+    u = cut_lineage(_unit_rows(long_df, ent, key, val).select(F.col("__e").alias("e"), F.col("__k").alias("k"), F.col("__u").alias("u")))
+    entities, rows = u.agg(F.countDistinct("e"), F.count(F.lit(1))).first()
+    blocks = max(1, -(-entities // block_rows), -(-rows // (500 * block_rows)))
+    u = u.withColumn("own", F.pmod(F.xxhash64("e"), F.lit(blocks)))
+    sent = salted_self_join(u, u.select("k", F.col("own").alias("other")).distinct(), "k", "e") if blocks > 1 else u.withColumn("other", F.col("own"))
+    pair = sent.select("e", "k", "u", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    e = u.schema["e"].dataType.simpleString()
+    part = pair.groupBy("low", "high").applyInPandas(_sparse_product(k, tie_digits), f"a {e}, b {e}, sim double")
     order = [F.desc(F.round("sim", tie_digits)), F.col("b")]
-    p1 = (sums.withColumn("__r", F.row_number().over(Window.partitionBy("a", "__s").orderBy(*order)))
-              .filter(F.col("__r") <= k).drop("__r", "__s"))
-    return (p1.withColumn("rank", F.row_number().over(Window.partitionBy("a").orderBy(*order)).cast("long"))
-              .filter(F.col("rank") <= k))
+    return (part.withColumn("rank", F.row_number().over(Window.partitionBy("a").orderBy(*order)).cast("long"))
+                .filter(F.col("rank") <= k))
 
 
 def user_cosine(ratings: DataFrame, user: str = "user", item: str = "item", rating: str = "rating") -> DataFrame:
@@ -120,7 +186,7 @@ def vectors_long(vecs: DataFrame, id_col: str, vec: str) -> DataFrame:
         "value", F.col("value").cast("double"))
 
 
-def _block_topk(k: int, tie_digits: int, exclude_same: bool = False):
+def _block_topk(k: int, tie_digits: int, exclude_same: bool = False, keep_own: bool = False):
     import numpy as np
     import pandas as pd
 
@@ -137,7 +203,8 @@ def _block_topk(k: int, tie_digits: int, exclude_same: bool = False):
             sims = np.where(den == 0, 0.0, (qa @ ca.T) / den)
         qid = q["id"].to_numpy()
         cid = cands["id"].to_numpy()
-        sims[qid[:, None] == cid[None, :]] = -np.inf  # the query itself is removed
+        if not keep_own:
+            sims[qid[:, None] == cid[None, :]] = -np.inf  # the query itself is removed
         if exclude_same:  # hard negatives: only partners of another group compete
             sims[q["g"].to_numpy()[:, None] == cands["g"].to_numpy()[None, :]] = -np.inf
         key = np.round(sims, tie_digits)
@@ -156,7 +223,7 @@ def _block_topk(k: int, tie_digits: int, exclude_same: bool = False):
 
 
 def _blocked_topk(queries: DataFrame, cands: DataFrame, k: int, block_rows: int, tie_digits: int,
-                  exclude_same: bool) -> DataFrame:
+                  exclude_same: bool, keep_own: bool = False) -> DataFrame:
     """Top-k candidates per query over (query block x candidate block) cogrouped NumPy products.
 
     ``queries``/``cands`` have columns (id long, v array, g). Block counts come
@@ -169,13 +236,14 @@ def _blocked_topk(queries: DataFrame, cands: DataFrame, k: int, block_rows: int,
     q = queries.select("id", "v", "g", qb.alias("qb"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nc - 1).cast("long"))).alias("cb"))
     c_ = cands.select("id", "v", "g", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nq - 1).cast("long"))).alias("qb"), cb.alias("cb"))
     part = (q.groupBy("qb", "cb").cogroup(c_.groupBy("qb", "cb"))
-              .applyInPandas(_block_topk(k, tie_digits, exclude_same), "a long, b long, sim double"))
-    return top_k_neighbours(part, k, tie_digits=tie_digits)
+              .applyInPandas(_block_topk(k, tie_digits, exclude_same, keep_own), "a long, b long, sim double"))
+    order = [F.desc(F.round("sim", tie_digits)), F.col("b")]
+    return top_k_per_key(part, "a", order, k, rank_col="rank", salt_cols=["b"])
 
 
 def knn_join(vecs: DataFrame, k: int, id_col: str = "id", vec: str = "embedding",
-             block_rows: int = 2048, tie_digits: int = 9, exclude_same: str | None = None) -> DataFrame:
-    """Exact top-k nearest rows by cosine for every row (self removed).
+             block_rows: int = 2048, tie_digits: int = 9, exclude_same: str | None = None, asked=None) -> DataFrame:
+    """Exact top-k nearest rows by cosine (self removed), for every row or those where ``asked`` holds.
 
     Rows are hashed into B blocks (B from the row count and ``block_rows``).
     Each (query block, candidate block) pair is one cogrouped task that runs
@@ -187,30 +255,18 @@ def knn_join(vecs: DataFrame, k: int, id_col: str = "id", vec: str = "embedding"
     """
     g = F.col(exclude_same) if exclude_same else F.lit(0)
     base = vecs.select(F.col(id_col).cast("long").alias("id"), F.col(vec).alias("v"), g.alias("g"))
-    return _blocked_topk(base, base.toDF("id", "v", "g"), k, block_rows, tie_digits, exclude_same is not None)
+    q = base if asked is None else vecs.filter(asked).select(F.col(id_col).cast("long").alias("id"), F.col(vec).alias("v"), g.alias("g"))
+    return _blocked_topk(q, base.toDF("id", "v", "g"), k, block_rows, tie_digits, exclude_same is not None)
 
 
 def nearest(vecs: DataFrame, queries: DataFrame, k: int, id_col: str = "id", vec: str = "embedding",
-            q_id: str = "query", q_vec: str = "embedding", block_rows: int = 2048, tie_digits: int = 9) -> DataFrame:
-    """Top-k rows of ``vecs`` nearest (cosine) to each query vector; a row with the query's id is removed."""
+            q_id: str = "query", q_vec: str = "embedding", block_rows: int = 2048, tie_digits: int = 9,
+            keep_own: bool = False) -> DataFrame:
+    """Top-k rows of ``vecs`` nearest (cosine) to each query vector; a row with the query's id is removed
+    (``keep_own`` for two tables of counterparts, where it is the one looked for)."""
     c_ = vecs.select(F.col(id_col).cast("long").alias("id"), F.col(vec).alias("v"), F.lit(0).alias("g"))
     q = queries.select(F.col(q_id).cast("long").alias("id"), F.col(q_vec).alias("v"), F.lit(0).alias("g"))
-    return _blocked_topk(q, c_, k, block_rows, tie_digits, False).withColumnRenamed("a", "query")
-
-
-def ann_join(vecs: DataFrame, k: int, id_col: str = "id", vec: str = "embedding",
-             bucket_length: float = 1.0, num_tables: int = 4, seed: int = 7) -> DataFrame:
-    """Approximate neighbours with MLlib random-projection LSH on unit vectors."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
-    n = vecs.select(id_col, vec, l2_norm(vec).alias("__n"))
-    u = n.select(id_col, array_to_vector(F.transform(vec, lambda x: x.cast("double") / F.col("__n"))).alias("v"))
-    model = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=bucket_length,
-                                        numHashTables=num_tables, seed=seed).fit(u)
-    j = model.approxSimilarityJoin(u, u, 2.0, distCol="dist")
-    s = j.select(F.col(f"datasetA.{id_col}").alias("a"), F.col(f"datasetB.{id_col}").alias("b"),
-                 (1 - F.col("dist") * F.col("dist") / 2).alias("sim"))
-    return top_k_neighbours(s, k)
+    return _blocked_topk(q, c_, k, block_rows, tie_digits, False, keep_own).withColumnRenamed("a", "query")
 
 
 def paired_distance(a: DataFrame, b: DataFrame, key: str, vec: str = "embedding") -> DataFrame:

@@ -171,39 +171,66 @@ def _emb(spark, sf):
 
 @register("N07_knn_top5_embeddings", "WITH " + DENSE_SIMS_SQL + """
 SELECT a, b, CAST(rnk AS BIGINT) AS rank, round(sim, 6) AS sim
-FROM (SELECT a, b, sim, row_number() OVER (PARTITION BY a ORDER BY round(sim, 9) DESC, b) AS rnk FROM sims) WHERE rnk <= 5""",
+FROM (SELECT a, b, sim, row_number() OVER (PARTITION BY a ORDER BY round(sim, 9) DESC, b) AS rnk FROM sims WHERE a % 20 = 0) WHERE rnk <= 5""",
           headline=True)
 def q_n07(spark, sf):
-    k = sim.knn_join(_emb(spark, sf), 5, "vec_id", "embedding")
+    """Neighbours among all rows, asked by every row whose id is divisible by 20."""
+    k = sim.knn_join(_emb(spark, sf), 5, "vec_id", "embedding", asked=F.col("vec_id") % 20 == 0)
     return k.select("a", "b", "rank", r6("sim").alias("sim"))
 
 
 @register("J12_hard_negatives_top3", "WITH " + DENSE_SIMS_SQL + """
 SELECT a, b, CAST(rnk AS BIGINT) AS rank, round(sim, 6) AS sim
-FROM (SELECT a, b, sim, row_number() OVER (PARTITION BY a ORDER BY round(sim, 9) DESC, b) AS rnk FROM sims WHERE la <> lb)
+FROM (SELECT a, b, sim, row_number() OVER (PARTITION BY a ORDER BY round(sim, 9) DESC, b) AS rnk FROM sims WHERE la <> lb AND a % 20 = 0)
 WHERE rnk <= 3""")
 def q_j12(spark, sf):
-    k = sim.knn_join(_emb(spark, sf), 3, "vec_id", "embedding", exclude_same="label")
+    k = sim.knn_join(_emb(spark, sf), 3, "vec_id", "embedding", exclude_same="label", asked=F.col("vec_id") % 20 == 0)
     return k.select("a", "b", "rank", r6("sim").alias("sim"))
 
 
 @register("V16_same_label_recall_at_k", "WITH " + DENSE_SIMS_SQL + """,
-r AS (SELECT a, b, la, lb, row_number() OVER (PARTITION BY a ORDER BY round(sim, 9) DESC, b) AS rnk FROM sims),
+r AS (SELECT a, b, la, lb, row_number() OVER (PARTITION BY a ORDER BY round(sim, 9) DESC, b) AS rnk FROM sims WHERE a % 20 = 0),
 f AS (SELECT a, min(CASE WHEN la = lb THEN rnk END) AS first_hit FROM r WHERE rnk <= 10 GROUP BY a)
 SELECT round(avg(CASE WHEN first_hit <= 1 THEN 1.0 ELSE 0.0 END), 6) AS recall_at_1,
        round(avg(CASE WHEN first_hit <= 5 THEN 1.0 ELSE 0.0 END), 6) AS recall_at_5,
        round(avg(CASE WHEN first_hit <= 10 THEN 1.0 ELSE 0.0 END), 6) AS recall_at_10 FROM f""")
 def q_v16(spark, sf):
     e = _emb(spark, sf)
-    k = sim.knn_join(e, 10, "vec_id", "embedding")
+    k = sim.knn_join(e, 10, "vec_id", "embedding", asked=F.col("vec_id") % 20 == 0)
     lab = e.select("vec_id", "label")
     ranked = (k.join(lab.select(F.col("vec_id").alias("a"), F.col("label").alias("la")), "a")
                .join(lab.select(F.col("vec_id").alias("b"), F.col("label").alias("lb")), "b")
                .withColumn("query", F.col("a")).withColumn("item", F.col("lb")))
-    truth = lab.select(F.col("vec_id").alias("query"), F.col("label").alias("item"))
+    truth = lab.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query"), F.col("label").alias("item"))
     return round_doubles(ev.recall_at_k(ranked, truth, [1, 5, 10], "query", "item", "rank"))
 
 
+# the other side of a vector: itself with three of four components' signs turned (a hard counterpart)
+OTHER_SIDE_SQL = """sides AS (SELECT vec_id, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS x,
+                 list_transform(embedding, lambda v, i: CASE WHEN (i - 1) % 3 = 2 THEN -CAST(v AS DOUBLE) ELSE CAST(v AS DOUBLE) END) AS y FROM embeddings),
+both_ways AS (SELECT 'forward' AS direction, vec_id, x AS q, y AS o FROM sides UNION ALL SELECT 'backward', vec_id, y, x FROM sides),
+near AS (SELECT a.direction, a.vec_id AS a, b.vec_id AS b,
+                list_sum(list_transform(list_zip(a.q, b.o), lambda z: z[1] * z[2])) / sqrt(list_sum(list_transform(a.q, lambda v: v * v)) * list_sum(list_transform(b.o, lambda v: v * v))) AS sim
+         FROM both_ways a JOIN both_ways b ON a.direction = b.direction WHERE a.vec_id % 20 = 0),
+place AS (SELECT direction, a, b, row_number() OVER (PARTITION BY direction, a ORDER BY round(sim, 9) DESC, b) AS rnk FROM near)"""
+
+
+@register("V16_recall_both_ways", "WITH " + OTHER_SIDE_SQL + """
+SELECT direction, round(avg(CASE WHEN rnk <= 1 THEN 1.0 ELSE 0.0 END), 6) AS recall_at_1, round(avg(CASE WHEN rnk <= 5 THEN 1.0 ELSE 0.0 END), 6) AS recall_at_5,
+       round(avg(CASE WHEN rnk <= 10 THEN 1.0 ELSE 0.0 END), 6) AS recall_at_10 FROM place WHERE a = b GROUP BY direction""")
+def q_v16_both(spark, sf):
+    """Each side of a vector asks for its counterpart among all of the other side."""
+    x = _emb(spark, sf).select("vec_id", F.transform("embedding", lambda v: v.cast("double")).alias("embedding"))
+    y = x.select("vec_id", F.transform("embedding", lambda v, i: F.when(i % 3 == 2, -v).otherwise(v)).alias("embedding"))
+    asked, out = F.col("vec_id") % 20 == 0, None
+    for name, q, o in (("forward", x, y), ("backward", y, x)):
+        found = sim.nearest(o, q.filter(asked), 10, "vec_id", "embedding", "vec_id", "embedding", keep_own=True)
+        truth = q.filter(asked).select(F.col("vec_id").alias("query"), F.col("vec_id").alias("b"))
+        r = ev.recall_at_k(found, truth, [1, 5, 10], "query", "b", "rank").select(F.lit(name).alias("direction"), "recall_at_1", "recall_at_5", "recall_at_10")
+        out = r if out is None else out.unionByName(r)
+    return round_doubles(out)
+
+
 CENTROID_SQL = EMB_LONG_SQL + """,
 cent AS (SELECT label AS cls, dim, avg(v) AS cv FROM el GROUP BY 1, 2),
 cn AS (SELECT cls, sqrt(sum(cv * cv)) AS n FROM cent GROUP BY cls),
@@ -300,7 +327,7 @@ hn AS (SELECT posting_id, sqrt(sum(c * c)) AS n FROM hb GROUP BY 1),
 hs AS (SELECT x.posting_id AS a, y.posting_id AS b, sum(x.c * y.c) / (nx.n * ny.n) AS sim
        FROM hb x JOIN hb y ON x.bucket = y.bucket AND x.posting_id <> y.posting_id
        JOIN hn nx ON nx.posting_id = x.posting_id JOIN hn ny ON ny.posting_id = y.posting_id GROUP BY 1, 2, nx.n, ny.n),
-hother AS (SELECT hs.* FROM hs JOIN listings la ON la.posting_id = hs.a JOIN listings lb ON lb.posting_id = hs.b WHERE la.label_group <> lb.label_group),
+hother AS (SELECT hs.* FROM hs JOIN listings la ON la.posting_id = hs.a JOIN listings lb ON lb.posting_id = hs.b WHERE la.label_group <> lb.label_group AND hs.a % 20 = 0),
 htop AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY round(sim, 9) DESC, b) AS rnk FROM hother) WHERE rnk <= 5)"""
 
 
@@ -319,9 +346,9 @@ def hashed_title_vectors(spark, sf, dims=256):
 @register("E21_similar_title_conflicts", "WITH " + HASHED_TITLES_SQL + """
 SELECT a, b, round(sim, 6) AS sim FROM htop WHERE sim >= 0.8""")
 def q_e21(spark, sf):
-    """The five most similar titles of another identity of each title (k is the feature; the identity is ruled out before ranking)."""
+    """The five most similar titles of another identity (k is the feature; the identity is ruled out before ranking), asked by every title whose id is divisible by 20."""
     v = hashed_title_vectors(spark, sf).join(listings(spark, sf).select("posting_id", F.xxhash64("label_group").alias("grp")), "posting_id")
-    k = sim.knn_join(v, 5, "posting_id", "embedding", exclude_same="grp")
+    k = sim.knn_join(v, 5, "posting_id", "embedding", exclude_same="grp", asked=F.col("posting_id") % 20 == 0)
     return k.filter(F.col("sim") >= 0.8).select("a", "b", r6("sim").alias("sim"))
 
 

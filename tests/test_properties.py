@@ -26,7 +26,9 @@ def _skewed(spark, n=3000):
                                  (F.col("id") * 7919 % 1000).alias("v"))
 
 
-def test_group_rank_equals_window(spark):
+@pytest.mark.parametrize("slice_rows", [50000, 40, 3])
+def test_group_rank_equals_window(spark, monkeypatch, slice_rows):
+    monkeypatch.setattr("tessera.functions.skew.SLICE_ROWS", slice_rows)
     d = _skewed(spark).withColumn("o", md5_order(1, "id"))
     got = {(r.id, r.rn, r.n) for r in group_rank(d, "k", "o").collect()}
     w = Window.partitionBy("k").orderBy("o")
