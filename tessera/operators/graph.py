@@ -86,24 +86,6 @@ def graph_retrieve(q_entities: DataFrame, edges: DataFrame, doc_mentions: DataFr
     return top_k_per_key(sc, query, [F.desc("score"), F.col(doc)], k, rank_col="rank", salt_cols=[doc])
 
 
-def query_vectors(q_terms: DataFrame, query: str, idf: DataFrame) -> DataFrame:
-    """TF-IDF vectors of queries under the corpus idf (terms unknown to the corpus dropped), unit length."""
-    tf = q_terms.groupBy(query, "term").agg(F.count(F.lit(1)).alias("tf"))
-    w = tf.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf"))
-    n = w.groupBy(query).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("__n"))
-    return w.join(n, query).select(query, "term", (F.col("w") / F.col("__n")).alias("weight"))
-
-
-def flat_retrieve(q_vecs: DataFrame, doc_vecs: DataFrame, k: int, query: str = "query", doc: str = "doc_id",
-                  tie_digits: int = 9) -> DataFrame:
-    """Top-k documents per query by cosine of unit TF-IDF vectors (inverted-index join on term)."""
-    s = (q_vecs.select(query, "term", F.col("weight").alias("qw"))
-               .join(doc_vecs.select(doc, "term", F.col("weight").alias("dw")), "term")
-               .groupBy(query, doc).agg(F.sum(F.col("qw") * F.col("dw")).alias("score")))
-    return top_k_per_key(s, query, [F.desc(F.round("score", tie_digits)), F.col(doc)], k, rank_col="rank",
-                         salt_cols=[doc])
-
-
 def shingles(df: DataFrame, key: list[str], text: str, n: int) -> DataFrame:
     """Whitespace-token n-word shingles -> (key..., shingle)."""
     w = F.split(F.trim(F.regexp_replace(F.col(text), r"\s+", " ")), " ")

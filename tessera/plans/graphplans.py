@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tessera.functions.exprs import r6, word_ngrams, word_tokens
 from tessera.functions.skew import top_k_per_key
 from tessera.operators import graph as gr
+from tessera.operators import retrieval as rt
 from tessera.operators import text as tx
 from tessera.plans.common import round_doubles
 from tessera.plans.registry import register
@@ -127,19 +128,18 @@ ftop AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query ORD
 
 
 def doc_vectors(spark, sf):
-    from tessera.session import cut_lineage
-    rows = table(spark, sf, "documents").select("doc_id", word_tokens("text", 2).alias("t")).select(
-        "doc_id", F.explode("t").alias("term"))
-    # term counts are read by the idf, the weights and the norms: tokenise the corpus once
-    tf = cut_lineage(rows.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
+    tf = doc_counts(spark, sf)
     idf = tx.idf_table(tf, "doc_id")
     return tx.tfidf_from_tf(tf, "doc_id", idf), idf
 
 
-def flat_top(spark, sf):
-    dv, idf = doc_vectors(spark, sf)
+def doc_counts(spark, sf):
+    return rt.term_counts(table(spark, sf, "documents").select("doc_id", F.explode(word_tokens("text", 2)).alias("term")), "doc_id")
+
+
+def flat_top(spark, sf, k=5):
     q = table(spark, sf, "benchmark").select(F.col("item_id").alias("query"), F.explode(word_tokens("text", 2)).alias("term"))
-    return gr.flat_retrieve(gr.query_vectors(q, "query", idf.select("term", "idf")), dv, 5)
+    return rt.retrieve(doc_counts(spark, sf), q, k)
 
 
 @register("G06_flat_retrieve_top5", "WITH " + FLAT_SQL + " SELECT query, doc_id, round(score, 6) AS score, rank FROM ftop")
@@ -206,18 +206,14 @@ sw AS (SELECT sid, term, tf * idf AS w FROM stf JOIN sidf USING (term)),
 sv AS (SELECT sid, term, w / sqrt(sum(w * w) OVER (PARTITION BY sid)) AS weight FROM sw)"""
 
 
-def sentence_vectors(spark, sf):
+def sentences(spark, sf):
     s = gr.split_sentences(table(spark, sf, "documents"), ["doc_id"], "text")
-    s = s.withColumn("sid", F.concat_ws(":", F.col("doc_id").cast("string"), F.col("sent_id").cast("string")))
-    rows = s.select("sid", F.explode(word_tokens("sentence", 2)).alias("term"))
-    tf = rows.groupBy("sid", "term").agg(F.count(F.lit(1)).alias("tf"))
-    return tx.tfidf(rows, "sid"), tx.idf_table(tf, "sid"), s
+    return s.withColumn("sid", F.concat_ws(":", F.col("doc_id").cast("string"), F.col("sent_id").cast("string")))
 
 
 def retrieve_sentences(spark, sf, queries, k):
-    sv, idf, _ = sentence_vectors(spark, sf)
-    q = queries.select("query", F.explode(word_tokens("text", 2)).alias("term"))
-    return gr.flat_retrieve(gr.query_vectors(q, "query", idf.select("term", "idf")), sv, k, doc="sid")
+    tf = rt.term_counts(sentences(spark, sf).select("sid", F.explode(word_tokens("sentence", 2)).alias("term")), "sid")
+    return rt.retrieve(tf, queries.select("query", F.explode(word_tokens("text", 2)).alias("term")), k, doc="sid")
 
 
 @register("G08_answer_passages", "WITH " + SENT_RET_SQL + r""",
@@ -276,8 +272,7 @@ FROM f""")
 def q_g09(spark, sf):
     c = claims(spark, sf)
     top1 = retrieve_sentences(spark, sf, c, 1)
-    _, _, sents = sentence_vectors(spark, sf)
-    ev = top1.join(sents.select("sid", F.col("sentence").alias("evidence")), "sid").select("query", "sid", "evidence")
+    ev = top1.join(sentences(spark, sf).select("sid", F.col("sentence").alias("evidence")), "sid").select("query", "sid", "evidence")
     v = gr.claim_verdicts(c, ev, "query", "text", "evidence")
     return v.select("query", "sid", r6("overlap").alias("overlap"), "verdict")
 
@@ -293,8 +288,7 @@ ranked AS (SELECT x.doc_id, x.sent_id, x.sentence, c.score,
 
 def sentence_scores(spark, sf):
     dv, _ = doc_vectors(spark, sf)
-    _, _, sents = sentence_vectors(spark, sf)
-    s = sents.select("doc_id", "sent_id", "sentence")
+    s = sentences(spark, sf).select("doc_id", "sent_id", "sentence")
     return s, gr.sentence_scores(s, ["doc_id"], dv.select("doc_id", "term", "weight"))
 
 
@@ -388,8 +382,6 @@ SELECT query, doc_id, round(score, 6) AS score, rank FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY round(score, 9) DESC, doc_id) AS BIGINT) AS rank FROM rr)
 WHERE rank <= 5""")
 def q_n10(spark, sf):
-    dv, idf = doc_vectors(spark, sf)
-    q = table(spark, sf, "benchmark").select(F.col("item_id").alias("query"), F.explode(word_tokens("text", 2)).alias("term"))
-    cands = gr.flat_retrieve(gr.query_vectors(q, "query", idf.select("term", "idf")), dv, 20)
+    cands = flat_top(spark, sf, 20)
     gs = gr.graph_retrieve(q_entities(spark, sf), edges(spark, sf), mentions(spark, sf).select("doc_id", "entity"), None)
     return round_doubles(gr.retrieve_rerank(cands, gs, 0.6, 5))

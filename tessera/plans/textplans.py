@@ -397,17 +397,14 @@ pick AS (SELECT query, ex_id, score FROM (SELECT *, row_number() OVER (PARTITION
 SELECT p.query, p.ex_id AS reply_ex_id, round(p.score, 6) AS score, md5(e.target) AS reply_md5
 FROM pick p JOIN ex e ON e.ex_id = p.ex_id""")
 def q_c12(spark, sf):
-    from tessera.operators import graph as gr
+    from tessera.operators import retrieval as rt
     c = table(spark, sf, "conversations")
     ex = tx.dialogue_examples(c, "conv_id", "turn", "role", "text", TAGS)
     ex = ex.select((F.col("conv_id") * 100000 + F.col("turn")).alias("ex_id"), "history", "target",
                    (md5_bucket(42, 10000, "conv_id") < 8000).alias("is_train"))
-    rows = ex.filter("is_train").select("ex_id", F.explode(word_tokens_2("history")).alias("term"))
-    tf = rows.groupBy("ex_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    tv = tx.tfidf(rows, "ex_id")
-    idf = tx.idf_table(tf, "ex_id").select("term", "idf")
+    tf = rt.term_counts(ex.filter("is_train").select("ex_id", F.explode(word_tokens_2("history")).alias("term")), "ex_id")
     q = ex.filter("NOT is_train").select(F.col("ex_id").alias("query"), F.explode(word_tokens_2("history")).alias("term"))
-    pick = gr.flat_retrieve(gr.query_vectors(q, "query", idf), tv, 1, doc="ex_id")
+    pick = rt.retrieve(tf, q, 1, doc="ex_id")
     out = pick.join(ex.select("ex_id", F.md5("target").alias("reply_md5")), "ex_id")
     return out.select("query", F.col("ex_id").alias("reply_ex_id"), r6("score").alias("score"), "reply_md5")
 
