@@ -176,11 +176,25 @@ def test_knn_matches_brute_force(spark):
     assert got == want
 
 
-def test_mf_gradient_loss_falls(spark):
-    r = ratings(spark, SF_SMALL)
-    _, _, trace = rec.mf_gradient(r, 5, 0.01, 4, 42, "user_id", "item_id", "rating")
-    mse = [x.mse for x in trace.orderBy("epoch").collect()]
-    assert all(b < a for a, b in zip(mse, mse[1:]))
+def test_mf_sgd_learns_planted_factors(spark):
+    import numpy as np
+    rng = np.random.default_rng(8)
+    U, V = rng.normal(size=(120, 3)), rng.normal(size=(90, 3))
+    rows = [(int(u), int(i), float(U[u] @ V[i] * 2 + 3 + rng.normal() * 0.1), bool(rng.random() < 0.2))
+            for u in range(120) for i in range(90) if rng.random() < 0.4 or u == 0]  # user 0 rates everything
+    d = spark.createDataFrame(rows, "u long, i long, r double, test boolean")
+    runs = [rec.mf_sgd(d.filter("NOT test"), 6, 0.02, 12, 0.02, True, user="u", item="i", rating="r", blocks=3) for _ in range(2)]
+    (fu, fv, trace, mean), again = runs[0], runs[1]
+    mse = [r.mse for r in trace.orderBy("epoch").collect()]
+    assert mse == [r.mse for r in again[2].orderBy("epoch").collect()]  # reruns agree
+    assert mse[9] < mse[0] / 2
+    assert fu.count() == 120 and fv.count() == 90
+    p = rec.predict_factors(d.filter("test"), fu, fv, "u", "i", mean=mean).collect()
+    rmse = math.sqrt(sum((r.r - r.prediction) ** 2 for r in p) / len(p))
+    assert rmse < 0.5 * math.sqrt(sum((r.r - mean) ** 2 for r in p) / len(p))
+    # an empty table gives no factors and a trace of zeros
+    none = rec.mf_sgd(d.limit(0), 2, 0.1, 1, user="u", item="i", rating="r")
+    assert none[0].collect() == [] and [r.mse for r in none[2].collect()] == [0.0]
 
 
 def test_pick_best_patience(spark):
