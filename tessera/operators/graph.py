@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.exprs import word_tokens
-from tessera.functions.skew import top_k_per_key
+from tessera.functions.skew import salted_self_join, top_k_per_key
 from tessera.session import cut_lineage
 
 # Fixed value: a capitalised word, optionally followed by more capitalised words.
@@ -49,8 +49,9 @@ def communities(edges: DataFrame, rounds: int = 3, checkpoint_every: int = 2) ->
         edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "weight")))
     lab = und.select(F.col("a").alias("node")).distinct().withColumn("label", F.col("node"))
     for r in range(1, rounds + 1):
-        votes = (und.join(lab.select(F.col("node").alias("b"), "label"), "b")
-                    .groupBy(F.col("a").alias("node"), "label").agg(F.sum("weight").alias("score")))
+        # a hub's edges are salted on the way to its label; its votes are summed map-side first
+        votes = (salted_self_join(und, lab.select(F.col("node").alias("b"), "label"), "b", "a")
+                 .groupBy(F.col("a").alias("node"), "label").agg(F.sum("weight").alias("score")))
         lab = top_k_per_key(votes, "node", [F.desc("score"), F.col("label")], 1, salt_cols=["label"]).select(
             "node", "label")
         if r % checkpoint_every == 0:
@@ -69,18 +70,54 @@ def summarise_communities(labels: DataFrame, edges: DataFrame, top: int = 3) ->
     return size.join(names.select("label", F.array_join(F.transform("__s", lambda s: s["n"]), ", ").alias("top_entities")), "label")
 
 
+def community_terms(labels: DataFrame, chunks: DataFrame, mentions: DataFrame, chunk_key: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(TF-IDF vectors ``(label, term, weight)`` with each community as one document, its chunks ``(label, chunk_text)``).
+
+    A community's text is every chunk that mentions one of its entities, once.
+    """
+    own = mentions.join(labels.select(F.col("node").alias("entity"), "label"), "entity").select("label", *chunk_key).distinct()
+    own = cut_lineage(own.join(chunks, chunk_key).select("label", "chunk_text"))
+    tf = own.select("label", F.explode(word_tokens("chunk_text", 2)).alias("term")).groupBy("label", "term").agg(F.count(F.lit(1)).alias("tf"))
+    from tessera.operators.text import idf_table, tfidf_from_tf
+    tf = cut_lineage(tf)
+    return tfidf_from_tf(tf, "label", idf_table(tf, "label")), own
+
+
+def community_digest(vectors: DataFrame, chunks: DataFrame, terms: int = 5, sentences: int = 2) -> DataFrame:
+    """``(label, top_terms, best_sentences)`` of each community, lists in order.
+
+    A sentence scores the sum of its distinct terms' weights in the
+    community's vector over the root of their number (its cosine to the
+    centroid but for the community's constant); ties go by text.
+    """
+    listed = lambda d, v, name: d.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("rank", v))).alias("__l")).select(
+        "label", F.transform("__l", lambda x: x[v]).alias(name))
+    t = top_k_per_key(vectors.select("label", "term", "weight"), "label", [F.desc(F.round("weight", 9)), F.col("term")], terms, rank_col="rank", salt_cols=["term"])
+    s = split_sentences(chunks, ["label"], "chunk_text").select("label", "sentence").distinct()
+    w = s.select("label", "sentence", F.explode(F.array_distinct(word_tokens("sentence", 2))).alias("term")).join(vectors, ["label", "term"])
+    sc = w.groupBy("label", "sentence").agg((F.sum("weight") / F.sqrt(F.count(F.lit(1)))).alias("score"))
+    best = top_k_per_key(sc, "label", [F.desc(F.round("score", 9)), F.col("sentence")], sentences, rank_col="rank", salt_cols=["sentence"])
+    return listed(t, "term", "top_terms").join(listed(best, "sentence", "best_sentences"), "label", "left")
+
+
 def graph_retrieve(q_entities: DataFrame, edges: DataFrame, doc_mentions: DataFrame, k: int | None,
-                   query: str = "query", doc: str = "doc_id") -> DataFrame:
-    """Query entities (weight 2) and their 1-hop neighbours (weight 1) -> documents ranked by
-    the summed weight of the distinct neighbourhood entities they mention; top k per query
-    (``k=None``: every scored document)."""
-    und = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    hop = (q_entities.join(und.withColumnRenamed("a", "entity"), "entity")
-                     .select(query, F.col("b").alias("entity"), F.lit(1).alias("w")))
-    nb = (q_entities.select(query, "entity", F.lit(2).alias("w")).unionByName(hop)
-                    .groupBy(query, "entity").agg(F.max("w").alias("w")))
-    sc = nb.join(doc_mentions.select(doc, "entity").distinct(), "entity").groupBy(query, doc).agg(
-        F.sum("w").cast("long").alias("score"))
+                   query: str = "query", doc: str = "doc_id", hops: int = 1, decay: float = 0.5) -> DataFrame:
+    """Documents ranked by the summed weight of the distinct entities they mention near the query's.
+
+    A query's own entities weigh 2, those first reached after h steps
+    2 * decay^h. Each hop joins the frontier with the edges and drops what the
+    query has visited; edges and mentions of a hot entity are salted. Top k
+    per query (``k=None``: every scored document).
+    """
+    und = cut_lineage(edges.select(F.col("a").alias("entity"), F.col("b").alias("near")).unionByName(edges.select(F.col("b").alias("entity"), F.col("a").alias("near"))))
+    frontier = cut_lineage(q_entities.select(query, "entity").distinct())
+    reached = frontier.withColumn("w", F.lit(2.0))
+    for h in range(1, hops + 1):
+        step = salted_self_join(und, frontier, "entity", "near").select(query, F.col("near").alias("entity")).distinct()
+        frontier = cut_lineage(step.join(reached.select(query, "entity"), [query, "entity"], "left_anti"))
+        reached = reached.unionByName(frontier.withColumn("w", F.lit(2.0 * decay ** h)))
+    sc = (salted_self_join(doc_mentions.select(doc, "entity").distinct(), reached, "entity", doc)
+          .groupBy(query, doc).agg(F.sum("w").alias("score")))
     if k is None:
         return sc
     return top_k_per_key(sc, query, [F.desc("score"), F.col(doc)], k, rank_col="rank", salt_cols=[doc])
@@ -177,6 +214,41 @@ def summarise(sents: DataFrame, scores: DataFrame, key: list[str], n: int) -> Da
                                                           lambda x: x["sentence"]), " ").alias("summary"))
 
 
+def drop_redundant(cands: DataFrame, key: str, n: int, limit: float = 0.7) -> DataFrame:
+    """Greedy choice of n sentences per document from ``(key, sent_id, sentence, score)``, best first (earlier on ties);
+    a sentence whose word set has a cosine of ``limit`` or more with a chosen one is passed over.
+
+    n rounds, each a top-1 per document and an equi-join with its choice; a document's candidates never meet in pairs.
+    """
+    left = cut_lineage(cands.withColumn("__t", F.array_distinct(word_tokens("sentence", 2))))
+    chosen = None
+    for _ in range(n):
+        best = cut_lineage(top_k_per_key(left, key, [F.desc(F.round("score", 9)), F.col("sent_id")], 1, salt_cols=["sent_id"]))
+        chosen = best if chosen is None else chosen.unionByName(best)
+        b = best.select(key, F.col("sent_id").alias("__s"), F.col("__t").alias("__b"))
+        cosine = F.size(F.array_intersect("__t", "__b")) / F.sqrt(F.size("__t") * F.size("__b"))
+        left = cut_lineage(left.join(b, key).filter((F.col("sent_id") != F.col("__s")) & ~F.coalesce(cosine >= limit - 1e-9, F.lit(False))).drop("__s", "__b"))
+    return chosen.drop("__t")
+
+
+def best_support(summary: DataFrame, source: DataFrame, key: str, floor: float = 0.5) -> DataFrame:
+    """For every summary sentence ``(key, sent_id, words)`` the source sentence of the same document that holds the
+    largest share of its distinct word pairs (the first on ties): ``(key, sent_id, passage, share, supported)``.
+
+    Postings of word pairs inside a document are joined, so only sentences that share a pair meet; a sentence
+    without a match (or without two words) has passage -1 and share 0.
+    """
+    pairs = lambda d: d.select(key, "sent_id", F.explode(F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.size("words") - 1), lambda i: F.concat_ws(" ", F.get("words", i - 1), F.get("words", i))))).alias("pair")) if d is not None else None
+    h, p = cut_lineage(pairs(summary.filter(F.size("words") > 1))), pairs(source.filter(F.size("words") > 1)).withColumnRenamed("sent_id", "passage")
+    met = h.join(p, [key, "pair"]).groupBy(key, "sent_id", "passage").agg(F.count(F.lit(1)).alias("m"))
+    best = top_k_per_key(met, [key, "sent_id"], [F.desc("m"), F.col("passage")], 1, salt_cols=["passage"])
+    size = h.groupBy(key, "sent_id").agg(F.count(F.lit(1)).alias("n"))
+    out = summary.select(key, "sent_id").join(size, [key, "sent_id"], "left").join(best, [key, "sent_id"], "left")
+    share = F.coalesce(F.col("m") / F.col("n"), F.lit(0.0))
+    return out.select(key, "sent_id", F.coalesce("passage", F.lit(-1)).alias("passage"), share.alias("share"), (share >= floor).alias("supported"))
+
+
 def html_to_text(col) -> Column:
     """Visible text of an HTML page: drop script/style/comments, tags -> space, common entities, collapse spaces."""
     s = F.regexp_replace(F.col(col) if isinstance(col, str) else col, r"(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->", " ")

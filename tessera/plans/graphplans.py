@@ -11,6 +11,7 @@ from tessera.operators import retrieval as rt
 from tessera.operators import text as tx
 from tessera.plans.common import round_doubles
 from tessera.plans.registry import register
+from tessera.session import cut_lineage
 from tessera.sources.tables import table
 
 STOP_SQL = "stop AS (SELECT unnest([" + ", ".join(f"'{w}'" for w in gr.ENTITY_STOPWORDS) + "]) AS word)"
@@ -32,13 +33,16 @@ def _stop(spark):
     return spark.createDataFrame([(w,) for w in gr.ENTITY_STOPWORDS], "word string")
 
 
+def chunks(spark, sf):
+    return tx.chunk_words(table(spark, sf, "documents"), "doc_id", "text", 50, 10)
+
+
 def mentions(spark, sf):
-    ch = tx.chunk_words(table(spark, sf, "documents"), "doc_id", "text", 50, 10)
-    return gr.extract_entities(ch, ["doc_id", "chunk_id"], "chunk_text", _stop(spark))
+    return gr.extract_entities(chunks(spark, sf), ["doc_id", "chunk_id"], "chunk_text", _stop(spark))
 
 
-def edges(spark, sf):
-    return gr.build_edges(mentions(spark, sf), ["doc_id", "chunk_id"])
+def edges(spark, sf, m=None):
+    return gr.build_edges(m if m is not None else mentions(spark, sf), ["doc_id", "chunk_id"])
 
 
 @register("G01_entity_mentions", "WITH " + MENTION_SQL + " SELECT doc_id, chunk_id, entity FROM mentions")
@@ -73,14 +77,34 @@ def q_g03(spark, sf):
     return labels(spark, sf)
 
 
-@register("G04_community_summary", "WITH " + LPA_SQL + """,
+@register("G04_community_summary", "WITH " + LPA_SQL + r""",
 deg AS (SELECT node, sum(weight) AS degree FROM (SELECT a AS node, weight FROM edges UNION ALL SELECT b, weight FROM edges) GROUP BY 1),
 d AS (SELECT l3.label, l3.node, deg.degree FROM l3 JOIN deg USING (node)),
-t AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY degree DESC, node) AS r FROM d)
-SELECT label, count(*) AS size, string_agg(CASE WHEN r <= 3 THEN node END, ', ' ORDER BY degree DESC, node) AS top_entities
-FROM t GROUP BY label""")
+t AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY degree DESC, node) AS r FROM d),
+ents AS (SELECT label, count(*) AS size, string_agg(CASE WHEN r <= 3 THEN node END, ', ' ORDER BY degree DESC, node) AS top_entities FROM t GROUP BY label),
+own AS (SELECT DISTINCT l3.label, m.doc_id, m.chunk_id FROM mentions m JOIN l3 ON l3.node = m.entity),
+txt AS (SELECT own.label, c.chunk_text FROM own JOIN chunks c USING (doc_id, chunk_id)),
+ctok AS (SELECT label, unnest(regexp_extract_all(lower(chunk_text), '[\p{L}\p{N}_]{2,}')) AS term FROM txt),
+ctf AS (SELECT label, term, count(*) AS tf FROM ctok GROUP BY 1, 2),
+cidf AS (SELECT term, ln((1 + (SELECT count(DISTINCT label) FROM ctf)) / (1 + count(*))) + 1 AS idf FROM ctf GROUP BY term),
+cw AS (SELECT label, term, tf * idf AS w FROM ctf JOIN cidf USING (term)),
+cv AS (SELECT label, term, w / sqrt(sum(w * w) OVER (PARTITION BY label)) AS weight FROM cw),
+tt AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY round(weight, 9) DESC, term) AS r FROM cv),
+terms AS (SELECT label, string_agg(term, ' ' ORDER BY r) AS top_terms FROM tt WHERE r <= 5 GROUP BY label),
+cs AS (SELECT DISTINCT label, unnest(string_split(regexp_replace(trim(regexp_replace(chunk_text, '\s+', ' ', 'g')), '([.!?]) ', '\1' || chr(10), 'g'), chr(10))) AS sentence FROM txt),
+cst AS (SELECT label, sentence, unnest(list_distinct(regexp_extract_all(lower(sentence), '[\p{L}\p{N}_]{2,}'))) AS term FROM cs WHERE sentence <> ''),
+csc AS (SELECT label, sentence, sum(weight) / sqrt(count(*)) AS score FROM cst JOIN cv USING (label, term) GROUP BY 1, 2),
+cr AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY round(score, 9) DESC, sentence) AS r FROM csc),
+best AS (SELECT label, md5(string_agg(sentence, ' ' ORDER BY r)) AS best_sentences_md5 FROM cr WHERE r <= 2 GROUP BY label)
+SELECT label, size, top_entities, top_terms, best_sentences_md5 FROM ents JOIN terms USING (label) LEFT JOIN best USING (label)""")
 def q_g04(spark, sf):
-    return gr.summarise_communities(labels(spark, sf), edges(spark, sf), 3)
+    ch, m = cut_lineage(chunks(spark, sf)), cut_lineage(mentions(spark, sf))
+    e = cut_lineage(edges(spark, sf, m))
+    lab = cut_lineage(gr.communities(e, 3))
+    v, own = gr.community_terms(lab, ch, m, ["doc_id", "chunk_id"])
+    digest = gr.community_digest(cut_lineage(v), own).select("label", F.array_join("top_terms", " ").alias("top_terms"),
+                                                              F.md5(F.array_join("best_sentences", " ")).alias("best_sentences_md5"))
+    return gr.summarise_communities(lab, e, 3).join(digest, "label")
 
 
 QENT_SQL = STOP_SQL.replace("stop AS", "qstop AS") + r""",
@@ -103,9 +127,13 @@ def q_entities(spark, sf):
     return gr.extract_entities(b, ["query"], "text", _stop(spark)).select("query", "entity")
 
 
+def graph_scores(spark, sf, k, hops=1):
+    m = cut_lineage(mentions(spark, sf))
+    return gr.graph_retrieve(q_entities(spark, sf), edges(spark, sf, m), m.select("doc_id", "entity"), k, hops=hops)
+
+
 def graph_top(spark, sf):
-    dm = mentions(spark, sf).select("doc_id", "entity")
-    return gr.graph_retrieve(q_entities(spark, sf), edges(spark, sf), dm, 5)
+    return graph_scores(spark, sf, 5).withColumn("score", F.col("score").cast("long"))
 
 
 @register("G05_graph_retrieve_top5", "WITH " + GRAPH_RET_SQL + " SELECT query, doc_id, score, rank FROM gtop")
@@ -113,6 +141,17 @@ def q_g05(spark, sf):
     return graph_top(spark, sf)
 
 
+@register("G05_graph_retrieve_two_hops", "WITH RECURSIVE " + MENTION_SQL + ",\n" + QENT_SQL + """,
+und AS (SELECT a, b FROM edges UNION ALL SELECT b, a FROM edges),
+walk(query, entity, hop) AS (SELECT query, entity, 0 FROM qe UNION SELECT w.query, u.b, w.hop + 1 FROM walk w JOIN und u ON u.a = w.entity WHERE w.hop < 2),
+nb AS (SELECT query, entity, 2.0::DOUBLE / power(2, min(hop)) AS w FROM walk GROUP BY 1, 2),
+dm AS (SELECT DISTINCT doc_id, entity FROM mentions),
+gsc AS (SELECT query, doc_id, sum(w) AS score FROM nb JOIN dm USING (entity) GROUP BY 1, 2)
+SELECT query, doc_id, score, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, doc_id) AS BIGINT) AS rank FROM gsc) WHERE rank <= 5""")
+def q_g05_two(spark, sf):
+    return graph_scores(spark, sf, 5, hops=2)
+
+
 FLAT_SQL = r"""dt AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')) AS term FROM documents),
 tf AS (SELECT doc_id, term, count(*) AS tf FROM dt GROUP BY 1, 2),
 nd AS (SELECT count(DISTINCT doc_id) AS n FROM dt),
@@ -299,21 +338,46 @@ def q_g10(spark, sf):
     return gr.summarise(s, sc, ["doc_id"], 3).select("doc_id", F.md5("summary").alias("summary_md5"))
 
 
-@register("G13_two_level_summary", "WITH " + SUMMARY_SQL + """,
-l1 AS (SELECT * FROM (SELECT x.doc_id, x.sent_id, x.sentence, c.score,
+def _greedy_round(prev: str, i: int) -> str:
+    """One choice per document from ``prev`` and what it leaves."""
+    return f"""p{i} AS (SELECT doc_id, sent_id, sentence, t FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 9) DESC, sent_id) AS r FROM {prev}) WHERE r = 1),
+c{i} AS (SELECT l.* FROM {prev} l JOIN p{i} p USING (doc_id) WHERE l.sent_id <> p.sent_id
+       AND NOT coalesce(len(list_intersect(l.t, p.t)) / nullif(sqrt(len(l.t) * len(p.t)), 0) >= 0.7 - 1e-9, FALSE))"""
+
+
+@register("G13_two_level_summary", "WITH " + SUMMARY_SQL + r""",
+c0 AS (SELECT doc_id, sent_id, sentence, score, list_distinct(regexp_extract_all(lower(sentence), '[\p{L}\p{N}_]{2,}')) AS t
+       FROM (SELECT x.doc_id, x.sent_id, x.sentence, c.score,
               row_number() OVER (PARTITION BY x.doc_id, x.sent_id // 10 ORDER BY round(c.score, 9) DESC, x.sent_id) AS r1
               FROM sents x JOIN ssc c USING (doc_id, sent_id)) WHERE r1 = 1),
-dd AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, lower(sentence) ORDER BY sent_id) AS dup FROM l1) WHERE dup = 1),
-l2 AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 9) DESC, sent_id) AS r2 FROM dd)
-SELECT doc_id, md5(string_agg(sentence, ' ' ORDER BY sent_id)) AS summary_md5 FROM l2 WHERE r2 <= 3 GROUP BY doc_id""")
+""" + ",\n".join(_greedy_round(f"c{i}", i + 1) for i in range(3)) + """,
+picked AS (SELECT doc_id, sent_id, sentence FROM p1 UNION ALL SELECT doc_id, sent_id, sentence FROM p2 UNION ALL SELECT doc_id, sent_id, sentence FROM p3)
+SELECT doc_id, count(*) AS n_sentences, md5(string_agg(sentence, ' ' ORDER BY sent_id)) AS summary_md5 FROM picked GROUP BY doc_id""")
 def q_g13(spark, sf):
+    """Winners of chunks of ten sentences, then three of them per document that do not repeat each other."""
     s, sc = sentence_scores(spark, sf)
-    j = s.join(sc, ["doc_id", "sent_id"]).withColumn("chunk", (F.col("sent_id") / 10).cast("long"))
+    j = s.join(sc, ["doc_id", "sent_id"]).withColumn("chunk", F.floor(F.col("sent_id") / 10).cast("long"))
     l1 = top_k_per_key(j, ["doc_id", "chunk"], [F.desc(F.round("score", 9)), F.col("sent_id")], 1, salt_cols=["sent_id"])
-    dd = top_k_per_key(l1.withColumn("__norm", F.lower("sentence")), ["doc_id", "__norm"], [F.col("sent_id")], 1,
-                       salt_cols=["sent_id"]).drop("__norm", "chunk")
-    return gr.summarise(dd.select("doc_id", "sent_id", "sentence"), dd.select("doc_id", "sent_id", "score"),
-                        ["doc_id"], 3).select("doc_id", F.md5("summary").alias("summary_md5"))
+    picked = gr.drop_redundant(l1.select("doc_id", "sent_id", "sentence", "score"), "doc_id", 3)
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("sent_id", "sentence"))), lambda x: x["sentence"]), " ")
+    return picked.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_sentences"), F.md5(text).alias("summary_md5"))
+
+
+@register("G12_supporting_passage", "WITH " + SENT_SQL + """,
+sw AS (SELECT doc_id, sent_id, string_split(sentence, ' ') AS words FROM sents),
+hw AS (SELECT doc_id, sent_id, CASE WHEN sent_id % 5 = 4 THEN list_reverse(words) ELSE list_filter(words, lambda x, i: (i - 1) % 7 <> 6) END AS words FROM sw),
+hb AS (SELECT DISTINCT doc_id, sent_id, array_to_string(words[i:i + 1], ' ') AS pair FROM (SELECT *, unnest(range(1, len(words))) AS i FROM hw)),
+sb AS (SELECT DISTINCT doc_id, sent_id AS passage, array_to_string(words[i:i + 1], ' ') AS pair FROM (SELECT *, unnest(range(1, len(words))) AS i FROM sw)),
+met AS (SELECT doc_id, sent_id, passage, count(*) AS m FROM hb JOIN sb USING (doc_id, pair) GROUP BY 1, 2, 3),
+top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, sent_id ORDER BY m DESC, passage) AS r FROM met) WHERE r = 1),
+n AS (SELECT doc_id, sent_id, count(*) AS n FROM hb GROUP BY 1, 2)
+SELECT hw.doc_id, hw.sent_id, coalesce(top.passage, -1) AS passage, round(coalesce(m / n, 0), 6) AS share, coalesce(m / n, 0) >= 0.5 AS supported
+FROM hw LEFT JOIN n USING (doc_id, sent_id) LEFT JOIN top USING (doc_id, sent_id)""")
+def q_g12_passage(spark, sf):
+    """Every sentence with each seventh word dropped is the summary; every fifth one is reversed, which its source does not support."""
+    w = sentences(spark, sf).select("doc_id", "sent_id", F.split("sentence", " ").alias("words"))
+    h = w.withColumn("words", F.when(F.col("sent_id") % 5 == 4, F.reverse("words")).otherwise(F.filter("words", lambda x, i: i % 7 != 6)))
+    return round_doubles(gr.best_support(h, w, "doc_id"))
 
 
 @register("G12_faithfulness_bigram_support", r"""
@@ -383,5 +447,5 @@ SELECT query, doc_id, round(score, 6) AS score, rank FROM (
 WHERE rank <= 5""")
 def q_n10(spark, sf):
     cands = flat_top(spark, sf, 20)
-    gs = gr.graph_retrieve(q_entities(spark, sf), edges(spark, sf), mentions(spark, sf).select("doc_id", "entity"), None)
+    gs = cut_lineage(graph_scores(spark, sf, None))
     return round_doubles(gr.retrieve_rerank(cands, gs, 0.6, 5))
