@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.rows import attach_row
+from tessera.session import cut_lineage
 
 
 def naive_ate(df: DataFrame, t: str = "t", y: str = "y") -> DataFrame:
@@ -31,7 +32,7 @@ def propensity_logistic(df: DataFrame, covariates: list[str], t: str = "t", out:
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
     d = VectorAssembler(inputCols=covariates, outputCol="__x").transform(df.withColumn("__t", F.col(t).cast("double")))
-    m = LogisticRegression(featuresCol="__x", labelCol="__t", maxIter=100).fit(d)
+    m = LogisticRegression(featuresCol="__x", labelCol="__t", maxIter=200, tol=1e-10).fit(d)
     return m.transform(d).withColumn(out, vector_to_array("probability")[1]).drop("__x", "__t", "rawPrediction",
                                                                                     "probability", "prediction")
 
@@ -50,27 +51,26 @@ def psm_matches(df: DataFrame, id_col: str, t: str = "t", e: str = "e", caliper:
     """1-nearest control by propensity distance (ties: smaller control id), within a caliper,
     with replacement. Output ``(id, control_id, distance)`` for matched treated units.
 
-    Exact and distributed: controls are reduced to one candidate per distinct
-    score (the smallest id) and replicated into the neighbouring caliper-wide
-    buckets; the search runs once per distinct treated score (last candidate
-    at or below, first above, by a window per bucket over distinct scores
-    only) and the matches are joined back to the treated units.
+    An as-of join over a range sort: controls are reduced to one candidate per
+    distinct score (the smallest id) and the search runs once per distinct
+    treated score. Scores are sorted across partitions, so tasks grow with the
+    data; inside a partition the last control at or below and the first above
+    come from windows, and each partition gets the nearest controls of the
+    partitions before and after it (a table of one row per partition).
     """
-    b = F.floor(F.col(e) / caliper).cast("long")
-    ctrl = (df.filter(F.col(t) == 0).groupBy(F.col(e).alias("__e")).agg(F.min(id_col).alias("__cid"))
-              .withColumn("__b0", F.floor(F.col("__e") / caliper).cast("long"))
-              .select("__e", "__cid", F.explode(F.array(F.col("__b0") - 1, F.col("__b0"), F.col("__b0") + 1)).alias("__b")))
-    # the match depends only on the treated unit's score: search once per distinct treated score
-    tr = df.filter(F.col(t) == 1).select(F.col(e).alias("__e")).distinct().select(
-        F.col("__e").alias("__tid"), "__e", F.floor(F.col("__e") / caliper).cast("long").alias("__b"))
-    u = (tr.select("__b", "__e", F.lit(None).cast("long").alias("__cid"), F.lit(1).alias("__is_t"))
-           .unionByName(ctrl.select("__b", "__e", F.col("__cid").cast("long"), F.lit(0).alias("__is_t"))))
+    ctrl = df.filter(F.col(t) == 0).groupBy(F.col(e).alias("__e")).agg(F.min(id_col).cast("long").alias("__cid")).withColumn("__is_t", F.lit(0))
+    tr = df.filter(F.col(t) == 1).select(F.col(e).alias("__e")).distinct().select("__e", F.lit(None).cast("long").alias("__cid"), F.lit(1).alias("__is_t"))
     # controls sort before treated at an equal score, so "below" includes equal scores
-    w_dn = Window.partitionBy("__b").orderBy("__e", "__is_t").rowsBetween(Window.unboundedPreceding, -1)
-    w_up = Window.partitionBy("__b").orderBy("__e", "__is_t").rowsBetween(1, Window.unboundedFollowing)
-    cand = F.when(F.col("__is_t") == 0, F.struct(F.col("__e").alias("e"), F.col("__cid").alias("id")))
-    u = u.withColumn("__lo", F.last(cand, ignorenulls=True).over(w_dn)).withColumn(
-        "__hi", F.first(cand, ignorenulls=True).over(w_up))
+    u = cut_lineage(ctrl.unionByName(tr).filter(F.col("__e").isNotNull()).orderBy("__e", "__is_t").withColumn("__mid", F.monotonically_increasing_id()))
+    u = u.withColumn("__pid", F.shiftright("__mid", 33)).withColumn("__c", F.when(F.col("__is_t") == 0, F.struct(F.col("__e").alias("e"), F.col("__cid").alias("id"))))
+    near = Window.partitionBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    across = Window.rowsBetween(Window.unboundedPreceding, -1)
+    ends = u.groupBy("__pid").agg(F.min_by("__c", F.when(F.col("__is_t") == 0, F.col("__mid"))).alias("__first"), F.max_by("__c", F.when(F.col("__is_t") == 0, F.col("__mid"))).alias("__last"))
+    ends = ends.select("__pid", F.last("__last", ignorenulls=True).over(across.orderBy("__pid")).alias("__before"),
+                       F.last("__first", ignorenulls=True).over(across.orderBy(F.desc("__pid"))).alias("__after"))
+    u = (u.withColumn("__lo", F.last("__c", ignorenulls=True).over(near.orderBy("__mid")))
+          .withColumn("__hi", F.last("__c", ignorenulls=True).over(near.orderBy(F.desc("__mid")))).join(F.broadcast(ends), "__pid")
+          .withColumn("__lo", F.coalesce("__lo", "__before")).withColumn("__hi", F.coalesce("__hi", "__after")))
     m = u.filter(F.col("__is_t") == 1).select(
         "__e", F.col("__lo.id").alias("lo_id"), (F.col("__e") - F.col("__lo.e")).alias("lo_d"),
         F.col("__hi.id").alias("hi_id"), (F.col("__hi.e") - F.col("__e")).alias("hi_d"))
@@ -98,20 +98,26 @@ def ite_strata(df: DataFrame, strata: list[str], t: str = "t", y: str = "y", out
     return df.join(s, strata)
 
 
-def ite_forest(df: DataFrame, covariates: list[str], t: str = "t", y: str = "y", num_trees: int = 20,
+def ite_forest(train: DataFrame, test: DataFrame, covariates: list[str], t: str = "t", y: str = "y", num_trees: int = 20,
                seed: int = 42, out: str = "ite") -> DataFrame:
-    """T-learner, one random forest per arm (MLlib); effect = difference of their predictions."""
-    from pyspark.ml.feature import VectorAssembler
+    """T-learner, one random forest per arm (MLlib) fitted on ``train``; the effect on the rows of ``test`` is the
+    difference of their predictions. String covariates are one-hot coded over the values that ``train`` holds."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
     from pyspark.ml.regression import RandomForestRegressor
-    d = VectorAssembler(inputCols=covariates, outputCol="__x").transform(df)
-    preds = {}
+    words = [c for c, kind in train.dtypes if c in covariates and kind == "string"]
+    stages, cols = [], [c for c in covariates if c not in words]
+    if words:
+        stages = [StringIndexer(inputCols=words, outputCols=[f"__i_{c}" for c in words], handleInvalid="keep", stringOrderType="alphabetAsc"),
+                  OneHotEncoder(inputCols=[f"__i_{c}" for c in words], outputCols=[f"__h_{c}" for c in words])]
+        cols += [f"__h_{c}" for c in words]
+    d = cut_lineage(train)
+    prep = Pipeline(stages=[*stages, VectorAssembler(inputCols=cols, outputCol="__x")]).fit(d)
+    d, scored = prep.transform(d), prep.transform(test)
     for arm in (0, 1):
-        m = RandomForestRegressor(featuresCol="__x", labelCol=y, numTrees=num_trees, seed=seed, maxDepth=6).fit(
-            d.filter(F.col(t) == arm))
-        preds[arm] = m
-    p1 = preds[1].setPredictionCol("__m1").transform(d)
-    both = preds[0].setPredictionCol("__m0").transform(p1)
-    return both.withColumn(out, F.col("__m1") - F.col("__m0")).drop("__x", "__m1", "__m0")
+        m = RandomForestRegressor(featuresCol="__x", labelCol=y, numTrees=num_trees, seed=seed, maxDepth=6).fit(d.filter(F.col(t) == arm))
+        scored = m.setPredictionCol(f"__m{arm}").transform(scored)
+    return scored.select(*test.columns, (F.col("__m1") - F.col("__m0")).alias(out))
 
 
 def effect_error(df: DataFrame, est: str = "ite", truth: str = "tau") -> DataFrame:
@@ -138,17 +144,13 @@ def balance(df: DataFrame, covariates: list[str], t: str = "t", e: str = "e", cl
     """Standardised mean difference per covariate, before and after inverse-propensity weighting."""
     ec = F.least(F.greatest(F.col(e), F.lit(clip)), F.lit(1 - clip))
     w = F.when(F.col(t) == 1, 1 / ec).otherwise(1 / (1 - ec))
-    out = None
-    for c in covariates:
-        x = F.col(c).cast("double")
-        a = df.agg(
-            F.lit(c).alias("covariate"),
-            F.avg(F.when(F.col(t) == 1, x)).alias("m1"), F.avg(F.when(F.col(t) == 0, x)).alias("m0"),
-            F.var_samp(F.when(F.col(t) == 1, x)).alias("v1"), F.var_samp(F.when(F.col(t) == 0, x)).alias("v0"),
-            (F.sum(F.when(F.col(t) == 1, w * x)) / F.sum(F.when(F.col(t) == 1, w))).alias("wm1"),
-            (F.sum(F.when(F.col(t) == 0, w * x)) / F.sum(F.when(F.col(t) == 0, w))).alias("wm0"))
-        pooled = F.sqrt((F.col("v1") + F.col("v0")) / 2)
-        a = a.select("covariate", F.when(pooled == 0, 0.0).otherwise((F.col("m1") - F.col("m0")) / pooled).alias("smd_before"),
-                     F.when(pooled == 0, 0.0).otherwise((F.col("wm1") - F.col("wm0")) / pooled).alias("smd_after"))
-        out = a if out is None else out.unionByName(a)
-    return out
+    # one pass: every covariate is a row of (covariate, x)
+    x = df.select(F.col(t).alias("__t"), w.alias("__w"), F.explode(F.array(*[F.struct(F.lit(c).alias("covariate"), F.col(c).cast("double").alias("x")) for c in covariates])).alias("v"))
+    arm = lambda k, v: F.when(F.col("__t") == k, v)
+    xv, wv = F.col("v.x"), F.col("__w")
+    a = x.groupBy(F.col("v.covariate").alias("covariate")).agg(
+        F.avg(arm(1, xv)).alias("m1"), F.avg(arm(0, xv)).alias("m0"), F.var_samp(arm(1, xv)).alias("v1"), F.var_samp(arm(0, xv)).alias("v0"),
+        (F.sum(arm(1, wv * xv)) / F.sum(arm(1, wv))).alias("wm1"), (F.sum(arm(0, wv * xv)) / F.sum(arm(0, wv))).alias("wm0"))
+    pooled = F.sqrt((F.col("v1") + F.col("v0")) / 2)
+    smd = lambda p, q: F.when(pooled == 0, 0.0).otherwise((F.col(p) - F.col(q)) / pooled)
+    return a.select("covariate", smd("m1", "m0").alias("smd_before"), smd("wm1", "wm0").alias("smd_after"))

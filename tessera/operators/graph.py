@@ -139,7 +139,8 @@ def containment_truth(passages: DataFrame, pid: str, ptext: str, docs: DataFrame
     its first and last are whole words of the document: their first n (or
     all, if fewer) form a shingle that is joined with the document shingles of
     that length; an exact containment check follows. Passages without an
-    inner word are a stated query set scanned against the documents.
+    inner word are joined on the end of a document's word and the start of the
+    next (two words) or on a stretch of a word (one), in their own lengths.
     """
     norm = lambda x: F.regexp_replace(F.col(x), r"\s+", " ")
     p = passages.select(pid, norm(ptext).alias("__p")).filter(F.trim("__p") != "")
@@ -152,7 +153,7 @@ def containment_truth(passages: DataFrame, pid: str, ptext: str, docs: DataFrame
             inner = some.select(pid, F.array_join(F.slice("__w", 2, r["__n"]), " ").alias("shingle"))
             parts.append(inner.join(shingles(docs, [doc], dtext, r["__n"]), "shingle").select(pid, doc).distinct())
         else:
-            parts.append(some.select(pid, "__p").join(docs.select(doc, norm(dtext).alias("__d")), F.expr("instr(__d, __p) > 0")).select(pid, doc))
+            parts.append(_short_passages(some, pid, docs, doc, norm(dtext)))
     if not parts:
         return passages.select(pid).join(docs.select(doc), F.lit(False))
     cand = parts[0]
@@ -162,6 +163,26 @@ def containment_truth(passages: DataFrame, pid: str, ptext: str, docs: DataFrame
                 .filter(F.expr("instr(__d, __p) > 0")).select(pid, doc))
 
 
+def _short_passages(short: DataFrame, pid: str, docs: DataFrame, doc: str, text: Column) -> DataFrame:
+    """(pid, doc) candidates for passages of one or two words: equi-joins on pieces of the asked lengths."""
+    words = docs.select(doc, F.split(F.trim(text), " ").alias("__w"))
+    q = cut_lineage(short.select(pid, F.get("__w", F.lit(0)).alias("a"), F.get("__w", F.lit(1)).alias("b")))
+    lengths = [(r["x"], r["y"]) for r in q.select(F.length("a").alias("x"), F.length("b").alias("y")).distinct().collect()]  # few: lengths of words
+    one, two = sorted({x for x, y in lengths if y is None}), sorted((x, y) for x, y in lengths if y is not None)
+    out = q.select(pid).join(docs.select(doc), F.lit(False))
+    if one:
+        w = words.select(doc, F.explode(F.array_distinct("__w")).alias("w")).select(doc, "w", F.explode(F.array(*[F.lit(n) for n in one])).alias("n"))
+        piece = w.filter(F.length("w") >= F.col("n")).select(doc, F.explode(F.transform(F.sequence(F.lit(1), F.length("w") - F.col("n") + 1), lambda i: F.substring("w", i, F.col("n")))).alias("a"))
+        out = out.unionByName(q.filter("b is null").join(piece, "a").select(pid, doc))
+    if two:
+        pair = words.filter(F.size("__w") > 1).select(doc, F.explode(F.transform(F.sequence(F.lit(1), F.size("__w") - 1), lambda i: F.struct(
+            F.get("__w", i - 1).alias("l"), F.get("__w", i).alias("r")))).alias("x")).select(doc, "x.l", "x.r").distinct()
+        pair = pair.select(doc, "l", "r", F.explode(F.array(*[F.struct(F.lit(m).alias("m"), F.lit(n).alias("n")) for m, n in two])).alias("z"))
+        pair = pair.select(doc, F.right("l", F.col("z.m")).alias("a"), F.left("r", F.col("z.n")).alias("b"))
+        out = out.unionByName(q.join(pair, ["a", "b"]).select(pid, doc))
+    return out.distinct()
+
+
 def split_sentences(df: DataFrame, key: list[str], text: str) -> DataFrame:
     """Sentences (after . ! ? followed by a space) with their 0-based position -> (key..., sent_id, sentence)."""
     one = F.trim(F.regexp_replace(F.col(text), r"\s+", " "))
@@ -226,7 +247,7 @@ def drop_redundant(cands: DataFrame, key: str, n: int, limit: float = 0.7) -> Da
         best = cut_lineage(top_k_per_key(left, key, [F.desc(F.round("score", 9)), F.col("sent_id")], 1, salt_cols=["sent_id"]))
         chosen = best if chosen is None else chosen.unionByName(best)
         b = best.select(key, F.col("sent_id").alias("__s"), F.col("__t").alias("__b"))
-        cosine = F.size(F.array_intersect("__t", "__b")) / F.sqrt(F.size("__t") * F.size("__b"))
+        cosine = F.try_divide(F.size(F.array_intersect("__t", "__b")).cast("double"), F.sqrt(F.size("__t") * F.size("__b")))
         left = cut_lineage(left.join(b, key).filter((F.col("sent_id") != F.col("__s")) & ~F.coalesce(cosine >= limit - 1e-9, F.lit(False))).drop("__s", "__b"))
     return chosen.drop("__t")
 

@@ -49,31 +49,41 @@ def negative_pairs(df: DataFrame, id_col: str, group: str, n: "int | DataFrame",
     for each shift s; pairs inside one group are dropped, mirrors merged and
     the first n by md5 of the pair are kept (n is the wanted count, e.g. the
     number of positives: a one-row DataFrame with column ``n`` or an int).
-    If the first shifts give too few pairs (a group may hold most rows),
-    further ones follow until there are n or every shift has been tried.
+    If the first shifts give too few pairs (a group may hold most rows), the
+    largest group is paired, turn by turn, with the rows outside it: each turn
+    gives one new pair per member and only as many turns run as are missing.
+    A group whose pairs are exhausted is set aside and the next one follows.
     Positions come from a distributed dense index, so nothing is ranked in
     one task.
     """
     from tessera.functions.rows import attach_row
     d = df.select(F.col(id_col).alias("__id"), F.col(group).alias("__g")).withColumn("__o", md5_order(seed, "__id"))
-    pos = dense_index(d, ["__o"], "__p").select("__id", "__g", "__p")
+    pos = dense_index(d, ["__o"], "__p").select("__id", "__g", "__o", "__p")
     pos = attach_row(pos, pos.agg(F.count(F.lit(1)).alias("N")))
     want = n if isinstance(n, DataFrame) else df.sparkSession.range(1).select(F.lit(int(n)).alias("n"))
     pos = cut_lineage(pos)
     other = pos.select(F.col("__id").alias("__id2"), F.col("__g").alias("__g2"), F.col("__p").alias("__p2"))
-    wanted, rows = want.first()["n"], pos.count()
+    wanted = want.first()["n"]
 
     def drawn(some) -> DataFrame:
         shifted = pos.withColumn("__s", F.explode(F.array(*[F.lit(s) for s in some]))).withColumn("__p2", F.pmod(F.col("__p") + F.col("__s"), F.col("N")))
         return (shifted.join(other, "__p2").filter(F.col("__g") != F.col("__g2"))
                 .select(F.least("__id", "__id2").alias("id_a"), F.greatest("__id", "__id2").alias("id_b")).distinct())
 
-    # shifts s and N - s give the same pairs: half of the rows exhaust all pairs there are
-    shifts, cands = list(shifts), drawn(shifts)
-    while max(shifts) < rows // 2 and cands.count() < wanted:
-        more = list(range(max(shifts) + 1, min(rows // 2, 2 * max(shifts)) + 1))
-        shifts += more
-        cands = cut_lineage(cands.unionByName(drawn(more)).distinct())
+    cands, rest = cut_lineage(drawn(shifts)), pos.select("__id", "__g", "__o")
+    while (have := cands.count()) < wanted:
+        top = rest.filter(F.col("__g").isNotNull()).groupBy("__g").agg(F.count(F.lit(1)).alias("m")).orderBy(F.desc("m"), "__g").limit(2).collect()
+        if len(top) < 2:
+            break  # every pair there is has been given
+        largest = F.col("__g").eqNullSafe(F.lit(top[0]["__g"]))
+        inside, outside = dense_index(rest.filter(largest), ["__o"], "__i"), cut_lineage(dense_index(rest.filter(~largest), ["__o"], "__j"))
+        others = outside.count()
+        # pairs drawn before may come up again, so as many more turns as they could fill
+        turns = min(others, -(-(wanted + have) // top[0]["m"]))
+        t = inside.withColumn("__t", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(turns - 1).cast("long")))).withColumn("__j", F.pmod(F.col("__i") + F.col("__t"), F.lit(others)))
+        more = (t.join(outside.select("__j", F.col("__id").alias("__id2"), F.col("__g").alias("__g2")), "__j").filter("__g2 is not null")
+                .select(F.least("__id", "__id2").alias("id_a"), F.greatest("__id", "__id2").alias("id_b")))
+        cands, rest = cut_lineage(cands.unionByName(more).distinct()), cut_lineage(outside.select("__id", "__g", "__o"))
     cands = cands.withColumn("__o", md5_order(seed, "id_a", "id_b"))
     ranked = dense_index(cands, ["__o"], "__r")
     return (attach_row(ranked, want.select(F.col("n").cast("long").alias("__n")))

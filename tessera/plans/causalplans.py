@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.functions.exprs import md5_bucket
 from tessera.operators import causal as ca
 from tessera.plans.common import round_doubles
 from tessera.plans.registry import register
@@ -81,11 +82,24 @@ def q_k04(spark, sf):
     return round_doubles(ca.psm_ate(p, ca.psm_matches(p, "id", caliper=0.05), "id"))
 
 
-@register("K05_ite_forest_error")
+@register("K05_ite_forest_error", "WITH " + UNITS_SQL + """,
+h AS (SELECT * FROM units WHERE CAST(('0x' || substring(md5(concat_ws('|', '42', id)), 1, 8))::BIGINT % 2 AS BIGINT) = 1)
+SELECT count(*) AS n_scored, round(avg(tau), 6) AS mean_true_effect, TRUE AS mean_within_a_third FROM h""")
 def q_k05(spark, sf):
-    u = units(spark, sf).withColumn("seg_code", F.xxhash64("c_mktsegment") % 97)
-    f = ca.ite_forest(u, ["c_acctbal", "region", "seg_code"], num_trees=10)
-    return round_doubles(ca.effect_error(f, "ite", "tau"))
+    """Fitted on one half of the units (by md5), scored on the other; the mean estimate is held to the mean true effect."""
+    u = units(spark, sf).withColumn("half", md5_bucket(42, 2, "id"))
+    f = ca.ite_forest(u.filter("half = 0"), u.filter("half = 1"), ["c_acctbal", "region", "c_mktsegment"], num_trees=10)
+    m = f.agg(F.count(F.lit(1)).alias("n_scored"), F.avg("tau").alias("mean_true_effect"), F.avg("ite").alias("e"))
+    return round_doubles(m.select("n_scored", "mean_true_effect", (F.abs(F.col("e") - F.col("mean_true_effect")) < F.col("mean_true_effect") / 3).alias("mean_within_a_third")))
+
+
+@register("K02_propensity_logistic", "WITH " + UNITS_SQL + """
+SELECT count(*) AS n, round(avg(CAST(t AS DOUBLE)), 3) AS mean_propensity, round(avg(CASE WHEN t = 1 THEN c_acctbal ELSE 0 END) / 1000, 3) AS mean_weighted_balance FROM units""")
+def q_k02l(spark, sf):
+    """Logistic propensities on balance and region. At the maximum of the likelihood they add up to the treated units, and
+    weighted by a covariate to that covariate over the treated units, which SQL can state."""
+    p = ca.propensity_logistic(units(spark, sf).withColumn("c_acctbal", F.col("c_acctbal") / 1000), ["c_acctbal", "region"])
+    return p.agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("e"), 3).alias("mean_propensity"), F.round(F.avg(F.col("e") * F.col("c_acctbal")), 3).alias("mean_weighted_balance"))
 
 
 @register("K06_effect_error_strata", "WITH " + UNITS_SQL + """,
