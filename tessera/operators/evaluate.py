@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tessera.functions.exprs import safe_div
 from tessera.functions.skew import exact_quantiles, prefix_sums
 from tessera.functions.rows import attach_row
+from tessera.session import cut_lineage
 
 EPS_DOUBLE = 2.220446049250313e-16  # fixed value: machine epsilon of float64
 
@@ -165,26 +166,47 @@ def calibration_quantile(df: DataFrame, n_bins: int = 10, label: str = "label",
                   F.avg(F.col(label).cast("double")).alias("fraction_positive")))
 
 
-def per_class_report(df: DataFrame, label: str = "label", pred: str = "pred") -> DataFrame:
-    """Per-class precision / recall / F1 for multi-class predictions, plus macro and micro rows."""
-    classes = df.select(F.col(label).alias("cls")).union(df.select(F.col(pred).alias("cls"))).distinct()
-    tp = df.filter(F.col(label) == F.col(pred)).groupBy(F.col(label).alias("cls")).agg(F.count(F.lit(1)).alias("tp"))
-    npred = df.groupBy(F.col(pred).alias("cls")).agg(F.count(F.lit(1)).alias("n_pred"))
-    ntrue = df.groupBy(F.col(label).alias("cls")).agg(F.count(F.lit(1)).alias("n_true"))
-    t = (classes.join(tp, "cls", "left").join(npred, "cls", "left").join(ntrue, "cls", "left")
-                .fillna(0, ["tp", "n_pred", "n_true"]))
-    per = t.select(F.col("cls").cast("string").alias("cls"),
-                   safe_div("tp", "n_pred").alias("precision"), safe_div("tp", "n_true").alias("recall"),
+def _class_report(t: DataFrame) -> DataFrame:
+    """Rows per class, macro and micro from ``(cls, tp, n_pred, n_true)``."""
+    per = t.select(F.col("cls").cast("string").alias("cls"), safe_div("tp", "n_pred").alias("precision"), safe_div("tp", "n_true").alias("recall"),
                    safe_div(2 * F.col("tp"), F.col("n_pred") + F.col("n_true")).alias("f1"))
-    macro = per.agg(F.lit("macro").alias("cls"), F.avg("precision").alias("precision"),
-                    F.avg("recall").alias("recall"), F.avg("f1").alias("f1"))
+    macro = per.agg(F.lit("macro").alias("cls"), F.avg("precision").alias("precision"), F.avg("recall").alias("recall"), F.avg("f1").alias("f1"))
     s = t.agg(F.sum("tp").alias("tp"), F.sum("n_pred").alias("np"), F.sum("n_true").alias("nt"))
-    micro = s.select(F.lit("micro").alias("cls"), safe_div("tp", "np").alias("precision"),
-                     safe_div("tp", "nt").alias("recall"),
+    micro = s.select(F.lit("micro").alias("cls"), safe_div("tp", "np").alias("precision"), safe_div("tp", "nt").alias("recall"),
                      safe_div(2 * F.col("tp"), F.col("np") + F.col("nt")).alias("f1"))
     return per.unionByName(macro).unionByName(micro)
 
 
+def _class_counts(rows: DataFrame) -> DataFrame:
+    """``(cls, tp, n_pred, n_true)`` of rows (cls, t, p), written once for the three parts of a report."""
+    n = lambda c, name: F.sum(c.cast("long")).alias(name)
+    return cut_lineage(rows.groupBy("cls").agg(n(F.col("t") & F.col("p"), "tp"), n(F.col("p"), "n_pred"), n(F.col("t"), "n_true")))
+
+
+def per_class_report(df: DataFrame, label: str = "label", pred: str = "pred") -> DataFrame:
+    """Per-class precision / recall / F1 for multi-class predictions, plus macro and micro rows, in one pass over the rows."""
+    hit = F.col(label).eqNullSafe(F.col(pred))
+    sides = F.array(F.struct(F.col(label).alias("cls"), F.lit(True).alias("t"), hit.alias("p")), F.struct(F.col(pred).alias("cls"), F.lit(False).alias("t"), F.lit(True).alias("p")))
+    # a right prediction is one row that is both, a wrong one a row of either class
+    return _class_report(_class_counts(df.select(F.inline(F.filter(sides, lambda x: x["t"] | ~hit)))))
+
+
+def multi_label_report(df: DataFrame, labels: str = "labels", preds: str = "preds") -> DataFrame:
+    """V12 for label sets: precision / recall / F1 of each label, plus macro and micro rows; repeated labels of a row count once."""
+    row = df.select(F.coalesce(labels, F.array().cast("array<string>")).alias("l"), F.coalesce(preds, F.array().cast("array<string>")).alias("q"))
+    return _class_report(_class_counts(row.select(F.inline(F.transform(F.array_union("l", "q"), lambda c: F.struct(
+        c.alias("cls"), F.array_contains("l", c).alias("t"), F.array_contains("q", c).alias("p")))))))
+
+
+def cube_report(df: DataFrame, by: list[str], label: str = "label", pred: str = "pred") -> DataFrame:
+    """V23 for several conditions: the V03 report of every combination of slices and totals in one pass.
+
+    ``level`` has a bit set (the first condition's is the highest) where a condition is summed over, which tells a
+    total from a slice whose value is null.
+    """
+    return with_rates(df.cube(*by).agg(F.grouping_id().cast("long").alias("level"), *_confusion_cols(label, pred)))
+
+
 def recall_at_k(ranked: DataFrame, truth: DataFrame, ks: list[int], query: str = "query",
                 item: str = "item", rank: str = "rank") -> DataFrame:
     """Share of queries whose best-ranked true item is within k, for each k."""
@@ -254,3 +276,9 @@ def agreement(df: DataFrame, a: str, b: str) -> DataFrame:
     pe = F.col("ab") / (F.col("n") * F.col("n"))
     return j.select("n", "observed", pe.alias("expected"),
                     F.when(pe == 1, F.lit(1.0)).otherwise((F.col("observed") - pe) / (1 - pe)).alias("kappa"))
+
+
+def agreement_matrix(df: DataFrame, a: str, b: str) -> DataFrame:
+    """Rows of every pair of verdicts with their share of all rows: ``(a, b, n, share)``."""
+    m = df.groupBy(F.col(a).cast("string").alias("a"), F.col(b).cast("string").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    return attach_row(m, df.agg(F.count(F.lit(1)).alias("__all"))).select("a", "b", "n", (F.col("n") / F.col("__all")).alias("share"))

@@ -276,6 +276,31 @@ def paired_distance(a: DataFrame, b: DataFrame, key: str, vec: str = "embedding"
     return j.select(key, F.when(den == 0, 0.0).otherwise(dot("__va", "__vb") / den).alias("cosine"))
 
 
+def matched_against_random(a: DataFrame, b: DataFrame, key: str, group: str, vec: str = "embedding", seed: int = 0) -> DataFrame:
+    """Per group and overall, the mean cosine of items of ``a`` with their own counterparts in ``b`` and with another
+    item's: ``(bucket, n, mean_matched, mean_random, correlation)``.
+
+    The other is the next item in md5 order (round to the first from the last), so every item serves once; the order is a
+    distributed index and the partner an equi-join on it.
+    """
+    from tessera.functions.exprs import md5_order
+    from tessera.functions.rows import attach_row
+    from tessera.functions.skew import dense_index
+    j = a.select(key, group, F.col(vec).alias("x")).join(b.select(key, F.col(vec).alias("y")), key)
+    i = dense_index(j.withColumn("__o", md5_order(seed, key)), ["__o", key], "__i")
+    i = attach_row(i, i.agg(F.count(F.lit(1)).alias("__n")))
+    nxt = i.select(F.col("__i").alias("__p"), F.col("y").alias("z"))
+    d = i.withColumn("__p", F.pmod(F.col("__i") + 1, F.col("__n"))).join(nxt, "__p")
+
+    def cosine(p, q):
+        den = l2_norm(p) * l2_norm(q)
+        return F.when(den == 0, 0.0).otherwise(dot(p, q) / den)
+
+    d = cut_lineage(d.select(F.col(group).cast("string").alias("bucket"), cosine("x", "y").alias("m"), cosine("x", "z").alias("r")))
+    aggs = [F.count(F.lit(1)).alias("n"), F.avg("m").alias("mean_matched"), F.avg("r").alias("mean_random"), F.corr("m", "r").alias("correlation")]
+    return d.groupBy("bucket").agg(*aggs).unionByName(d.agg(F.lit("all").alias("bucket"), *aggs))
+
+
 def class_centroids(vecs: DataFrame, label: str, vec: str = "embedding") -> DataFrame:
     """Mean vector per class in long form ``(label, dim, value)`` (a partial aggregate)."""
     return (vecs.select(label, F.posexplode(vec).alias("dim", "value"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import WORD, c, char_ngrams, collapse_spaces, simple_tokens, word_ngrams, word_tokens
+from tessera.functions.exprs import WORD, bind, c, char_ngrams, collapse_spaces, simple_tokens, word_ngrams, word_tokens
 from tessera.functions.rows import attach_row
 from tessera.functions.skew import dense_index
 
@@ -187,6 +187,12 @@ def chunk_sentences(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(key, F.posexplode(s).alias("chunk_id", "chunk_text")).filter(F.col("chunk_text") != "")
 
 
+def chunk_paragraphs(df: DataFrame, key: str, text: str) -> DataFrame:
+    """T16 (paragraph mode): split at blank lines -> (key, chunk_id, chunk_text), trimmed, empty paragraphs left out of the numbering."""
+    p = F.filter(F.transform(F.split(F.col(text), r"\n[ \t\r]*\n"), lambda x: F.btrim(x, F.lit(" \t\r\n"))), lambda x: x != "")
+    return df.select(key, F.posexplode(p).alias("chunk_id", "chunk_text"))
+
+
 def mix_ratio(tok_rows: DataFrame, key: list[str], wordlist: DataFrame, bins: list[float]) -> DataFrame:
     """Share of a row's tokens found in a word list, and its bucket (index of the bin it reaches)."""
     j = tok_rows.join(wordlist.select("token", F.lit(1).alias("__in")), "token", "left")
@@ -195,18 +201,25 @@ def mix_ratio(tok_rows: DataFrame, key: list[str], wordlist: DataFrame, bins: li
     return r.withColumn("bucket", F.size(F.filter(arr, lambda b: F.col("mix_ratio") >= b)).cast("long"))
 
 
-def repetition_report(tok_rows: DataFrame, key: list[str], n: int = 2) -> DataFrame:
-    """Distinct-1 and distinct-n ratios and the longest run of one repeated token per row."""
-    w = Window.partitionBy(*key).orderBy("pos")
-    t = tok_rows.withColumn("__chg", F.when(F.lag("token").over(w) == F.col("token"), 0).otherwise(1))
-    t = t.withColumn("__run", F.sum("__chg").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    runs = t.groupBy(*key, "__run").agg(F.count(F.lit(1)).alias("__len")).groupBy(*key).agg(
-        F.max("__len").cast("long").alias("longest_run"))
-    nxt = tok_rows.select(*key, (F.col("pos") - 1).alias("pos"), F.col("token").alias("__next"))
-    bi = tok_rows.join(nxt, [*key, "pos"]).select(*key, F.concat_ws(" ", "token", "__next").alias("__g"))
-    d1 = tok_rows.groupBy(*key).agg((F.countDistinct("token") / F.count(F.lit(1))).alias("distinct_1"))
-    d2 = bi.groupBy(*key).agg((F.countDistinct("__g") / F.count(F.lit(1))).alias(f"distinct_{n}"))
-    return d1.join(d2, key, "left").join(runs, key)
+def repetition_report(texts: DataFrame, key: list[str], tokens: str, n: int = 2) -> DataFrame:
+    """Per row of ``(key, tokens array)`` distinct-1 and distinct-n ratios, the longest run of one repeated token, and
+    whether it is empty. One pass over the rows' own arrays: nothing is exploded or shuffled.
+
+    An empty row has null ratios and a run of 0; a row of fewer than n tokens has a null distinct-n.
+    """
+    def of(t):
+        grams = F.when(F.size(t) >= n, F.transform(F.sequence(F.lit(1), F.size(t) - (n - 1)), lambda i: F.array_join(F.slice(t, i, n), " ")))
+        # (length of the run that ends here, longest so far)
+        run = F.aggregate(F.sequence(F.lit(1), F.size(t)), F.struct(F.lit(0).cast("long").alias("now"), F.lit(0).cast("long").alias("best")), lambda s, i: bind(
+            F.when((i > 1) & (F.get(t, i - 1) == F.get(t, i - 2)), s["now"] + 1).otherwise(F.lit(1).cast("long")),
+            lambda now: F.struct(now.alias("now"), F.greatest(now, s["best"]).alias("best"))))
+        empty = F.size(t) == 0
+        return F.struct(F.when(~empty, F.size(F.array_distinct(t)) / F.size(t)).alias("distinct_1"),
+                        bind(grams, lambda g: F.when(g.isNotNull(), F.size(F.array_distinct(g)) / F.size(g))).alias(f"distinct_{n}"),
+                        F.when(empty, F.lit(0).cast("long")).otherwise(run["best"]).alias("longest_run"), empty.alias("is_empty"))
+
+    d = texts.select(*key, bind(F.coalesce(tokens, F.array().cast("array<string>")), of).alias("r"))
+    return d.select(*key, "r.*")
 
 
 def bag_of_words(tok_rows: DataFrame, key: list[str]) -> DataFrame:

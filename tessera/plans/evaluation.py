@@ -246,3 +246,42 @@ FROM clicks""")
 def q_m07(spark, sf):
     r = sc.rank_fusion(click_rows(spark, sf), "row_id", ["score", "score2"])
     return r.select("row_id", r6("mean_rank").alias("mean_rank"))
+
+
+@register("V23_sliced_report_cube", "WITH " + PRED_SQL + """,
+c AS (SELECT c_mktsegment, o_orderpriority, CAST(grouping_id(c_mktsegment, o_orderpriority) AS BIGINT) AS level, """ + CONF_SQL + """
+      FROM preds GROUP BY CUBE (c_mktsegment, o_orderpriority))
+SELECT c_mktsegment, o_orderpriority, level, tn, fp, fn, tp, """ + RATES_SQL + " FROM c")
+def q_v23c(spark, sf):
+    return round_doubles(ev.cube_report(_preds(spark, sf), ["c_mktsegment", "o_orderpriority"]))
+
+
+@register("V12_multi_label_report", r"""
+WITH d AS (SELECT list_filter([CASE WHEN lang <> 'en' THEN 'foreign' END, CASE WHEN n_chars > 2000 THEN 'long' END, CASE WHEN contains(text, '@') THEN 'address' END], lambda x: x IS NOT NULL) AS l,
+                  list_filter([CASE WHEN NOT contains(lower(text), 'the') THEN 'foreign' END, CASE WHEN length(text) - length(replace(text, ' ', '')) > 300 THEN 'long' END,
+                               CASE WHEN contains(text, '.com') THEN 'address' END], lambda x: x IS NOT NULL) AS q FROM documents),
+r AS (SELECT c.cls, list_contains(l, c.cls) AS t, list_contains(q, c.cls) AS p FROM d, (VALUES ('foreign'), ('long'), ('address')) c(cls)),
+t AS (SELECT cls, sum((t AND p)::INT) AS tp, sum(p::INT) AS np, sum(t::INT) AS nt FROM r WHERE t OR p GROUP BY cls),
+per AS (SELECT cls, CASE WHEN np = 0 THEN 0 ELSE tp / np END AS precision, CASE WHEN nt = 0 THEN 0 ELSE tp / nt END AS recall, 2 * tp / (np + nt) AS f1 FROM t),
+al AS (SELECT * FROM per UNION ALL SELECT 'macro', avg(precision), avg(recall), avg(f1) FROM per
+       UNION ALL SELECT 'micro', sum(tp) / sum(np), sum(tp) / sum(nt), 2 * sum(tp) / (sum(np) + sum(nt)) FROM t)
+SELECT cls, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1 FROM al""")
+def q_v12m(spark, sf):
+    """Labels from the tables' columns against rules that only read the text."""
+    from tessera.sources.tables import table
+    tags = lambda **rules: F.filter(F.array(*[F.when(c, F.lit(n)) for n, c in rules.items()]), lambda x: x.isNotNull())
+    d = table(spark, sf, "documents").filter("text is not null").select(
+        tags(foreign=F.col("lang") != "en", long=F.col("n_chars") > 2000, address=F.contains("text", F.lit("@"))).alias("labels"),
+        tags(foreign=~F.contains(F.lower("text"), F.lit("the")), long=F.length("text") - F.length(F.replace("text", F.lit(" "), F.lit(""))) > 300,
+             address=F.contains("text", F.lit(".com"))).alias("preds"))
+    return round_doubles(ev.multi_label_report(d))
+
+
+@register("V24_agreement_matrix", """
+WITH j AS (SELECT CAST(n_chars > 2000 AS INTEGER) AS auto, quality AS manual FROM documents JOIN labels USING (doc_id))
+SELECT CAST(auto AS VARCHAR) AS a, CAST(manual AS VARCHAR) AS b, count(*) AS n, round(count(*) / (SELECT count(*) FROM j), 6) AS share FROM j GROUP BY 1, 2""")
+def q_v24m(spark, sf):
+    from tessera.sources.tables import table
+    j = (table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
+         .select((F.col("n_chars") > 2000).cast("int").alias("auto"), F.col("quality").alias("manual")))
+    return round_doubles(ev.agreement_matrix(j, "auto", "manual"))

@@ -109,6 +109,23 @@ def q_v18p(spark, sf):
     return d.groupBy("error_type").agg(F.count(F.lit(1)).alias("count"))
 
 
+@register("V20_changed_pairs_with_titles", "WITH " + PAIR_COS_SQL + """,
+h AS (SELECT s.*, CAST(a.image_phash = b.image_phash AS INTEGER) AS same_image FROM scored s JOIN listings a ON a.posting_id = id_a JOIN listings b ON b.posting_id = id_b),
+m AS (SELECT *, CAST(cosine >= 0.6 AS INTEGER) AS pred_a, CAST(0.5 * cosine + 0.5 * same_image >= 0.6 AS INTEGER) AS pred_b FROM h)
+SELECT id_a, id_b, CASE WHEN pred_b = label THEN 'rescued' ELSE 'hurt' END AS change, ta.title AS title_a, tb.title AS title_b
+FROM m JOIN titles ta ON ta.posting_id = id_a JOIN titles tb ON tb.posting_id = id_b WHERE (pred_a = label) <> (pred_b = label)""")
+def q_v20p(spark, sf):
+    """Pairs whose verdict turns right or wrong when the image hash joins the text score, with both titles."""
+    from tessera.plans.textplans import _titles
+    im = listings(spark, sf).select("posting_id", "image_phash")
+    p = (_scored_pairs(spark, sf).join(im.toDF("id_a", "ha"), "id_a").join(im.toDF("id_b", "hb"), "id_b")
+         .withColumn("pred_a", (F.col("cosine") >= 0.6).cast("int"))
+         .withColumn("pred_b", (0.5 * F.col("cosine") + 0.5 * (F.col("ha") == F.col("hb")).cast("int") >= 0.6).cast("int")))
+    d = ev.model_disagreement(p, "label", "pred_a", "pred_b").filter(F.col("change").isin("rescued", "hurt"))
+    t = _titles(spark, sf).select("posting_id", "title")
+    return d.join(t.toDF("id_a", "title_a"), "id_a").join(t.toDF("id_b", "title_b"), "id_b").select("id_a", "id_b", "change", "title_a", "title_b")
+
+
 @register("V19_pair_worst_errors_with_titles", "WITH " + PAIR_COS_SQL + """,
 e AS ((SELECT id_a, id_b, cosine, 'False Positive' AS error_type FROM scored WHERE cosine >= 0.5 AND label = 0
        ORDER BY cosine DESC, id_a, id_b LIMIT 5)
@@ -303,6 +320,18 @@ def q_n14(spark, sf):
     return d.select("vec_id", r6("cosine").alias("cosine"))
 
 
+@register("N14_matched_against_random", """
+WITH s AS (SELECT vec_id, label, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS x, row_number() OVER (ORDER BY md5(concat_ws('|', '14', vec_id)), vec_id) - 1 AS i, count(*) OVER () AS n,
+                  list_transform(embedding, lambda v, i: CASE WHEN (i - 1) % 4 = 3 THEN -CAST(v AS DOUBLE) ELSE CAST(v AS DOUBLE) END) AS y FROM embeddings),
+p AS (SELECT a.label, list_cosine_similarity(a.x, a.y) AS matched, list_cosine_similarity(a.x, b.y) AS random FROM s a JOIN s b ON b.i = (a.i + 1) % a.n)
+SELECT coalesce(CAST(label AS VARCHAR), 'all') AS bucket, count(*) AS n, round(avg(matched), 6) AS mean_matched, round(avg(random), 6) AS mean_random, round(corr(matched, random), 6) AS correlation
+FROM p GROUP BY GROUPING SETS ((label), ())""")
+def q_n14r(spark, sf):
+    e = _emb(spark, sf)
+    other = e.select("vec_id", F.transform("embedding", lambda v, i: F.when(i % 4 == 3, -v.cast("double")).otherwise(v.cast("double"))).alias("embedding"))
+    return round_doubles(sim.matched_against_random(e, other, "vec_id", "label", seed=14))
+
+
 # the query set: every vector whose id is divisible by 20
 QUERY_SET_SQL = """qs AS (SELECT vec_id FROM embeddings WHERE vec_id % 20 = 0)"""
 

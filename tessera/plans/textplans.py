@@ -228,6 +228,15 @@ def q_t16s(spark, sf):
     return ch.select("doc_id", "chunk_id", F.md5("chunk_text").alias("chunk_md5"))
 
 
+@register("T16_chunk_paragraphs", r"""
+SELECT doc_id, CAST(k - 1 AS INTEGER) AS chunk_id, md5(s) AS chunk_md5
+FROM (SELECT doc_id, unnest(a) AS s, generate_subscripts(a, 1) AS k
+      FROM (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(text, '\n[ \t\r]*\n'), lambda x: trim(x, ' ' || chr(9) || chr(13) || chr(10))), lambda x: x <> '') AS a FROM documents))""")
+def q_t16p(spark, sf):
+    ch = tx.chunk_paragraphs(table(spark, sf, "documents"), "doc_id", "text")
+    return ch.select("doc_id", "chunk_id", F.md5("chunk_text").alias("chunk_md5"))
+
+
 # Function words whose share marks a French turn (code-mix share).
 FRENCH_FUNCTION_WORDS = ["le", "la", "les", "de", "des", "du", "et", "un", "une", "en"]
 
@@ -253,10 +262,11 @@ d1 AS (SELECT conv_id, turn, count(DISTINCT token) / count(*) AS distinct_1 FROM
 bi AS (SELECT a.conv_id, a.turn, concat_ws(' ', a.token, b.token) AS g FROM trows a JOIN trows b
        ON a.conv_id = b.conv_id AND a.turn = b.turn AND b.pos = a.pos + 1),
 d2 AS (SELECT conv_id, turn, count(DISTINCT g) / count(*) AS distinct_2 FROM bi GROUP BY 1, 2)
-SELECT conv_id, turn, round(distinct_1, 6) AS distinct_1, round(distinct_2, 6) AS distinct_2, longest_run
-FROM d1 LEFT JOIN d2 USING (conv_id, turn) JOIN runs USING (conv_id, turn)""")
+SELECT t.conv_id, t.turn, round(distinct_1, 6) AS distinct_1, round(distinct_2, 6) AS distinct_2, coalesce(longest_run, 0) AS longest_run, longest_run IS NULL AS is_empty
+FROM toks t LEFT JOIN d1 USING (conv_id, turn) LEFT JOIN d2 USING (conv_id, turn) LEFT JOIN runs USING (conv_id, turn)""")
 def q_t18(spark, sf):
-    return round_doubles(tx.repetition_report(_turn_rows(spark, sf), ["conv_id", "turn"]))
+    t = table(spark, sf, "conversations").select("conv_id", "turn", tx.tokenize_dialogue("text").alias("tokens"))
+    return round_doubles(tx.repetition_report(t, ["conv_id", "turn"], "tokens"))
 
 
 @register("T19_bag_of_words", "WITH " + TURN_TOKS_SQL + """
