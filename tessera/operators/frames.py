@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import cut_lineage
+
 
 def consecutive(df: DataFrame, seq: str = "sequence", frame: str = "frame", keys: list[str] | None = None) -> DataFrame:
     """Pairs of rows whose frame numbers differ by exactly 1 inside a sequence (and instance)."""
@@ -29,13 +31,14 @@ def temporal_stability(df: DataFrame, value: str, seq: str = "sequence", frame:
 
 
 def excess_change(pred: DataFrame, truth: DataFrame, value: str, seq: str = "sequence", frame: str = "frame",
-                  instance: str = "instance") -> DataFrame:
-    """Model change minus true change between consecutive frames, only where both frames have truth."""
-    k = [seq, frame, instance]
-    j = pred.select(*k, F.col(value).alias("p")).join(truth.select(*k, F.col(value).alias("t")), k)
-    c = consecutive(j, seq, frame, [instance])
+                  instance: str = "instance", variant: str | None = None) -> DataFrame:
+    """Model change minus true change between consecutive frames, only where both frames have truth; per sequence and,
+    with ``variant`` naming a column of ``pred``, per model precision (truth is joined once for all of them)."""
+    k, v = [seq, frame, instance], [variant] if variant else []
+    j = pred.select(*k, *v, F.col(value).alias("p")).join(truth.select(*k, F.col(value).alias("t")), k)
+    c = consecutive(j, seq, frame, [instance, *v])
     d = c.withColumn("excess", F.abs(F.col("p") - F.col("prev_p")) - F.abs(F.col("t") - F.col("prev_t")))
-    return d.groupBy(seq).agg(F.count(F.lit(1)).alias("n_pairs"), F.avg("excess").alias("mean_excess"))
+    return d.groupBy(seq, *v).agg(F.count(F.lit(1)).alias("n_pairs"), F.avg("excess").alias("mean_excess"))
 
 
 def instance_churn(df: DataFrame, seq: str = "sequence", frame: str = "frame", instance: str = "instance") -> DataFrame:
@@ -54,24 +57,37 @@ def variant_report(df: DataFrame, by: str, variant: str, metric: str, variants:
     return df.groupBy(by).pivot(variant, variants).agg(F.avg(metric))
 
 
+def variant_reports(df: DataFrame, by: list[str], variant: str, metric: str, variants: list[str]) -> DataFrame:
+    """I06 for several conditions (size bucket, density, sequence): ``(condition, slice, n, one column per variant)``.
+
+    Each row is counted under every condition's slice in the same pass; the
+    declared variants are conditional averages, so nothing is collected.
+    """
+    sides = F.array(*[F.struct(F.lit(c).alias("condition"), F.col(c).cast("string").alias("slice")) for c in by])
+    d = df.select(F.col(variant).alias("__v"), F.col(metric).alias("__m"), F.inline(sides))
+    return d.groupBy("condition", "slice").agg(F.count(F.lit(1)).alias("n"), *[F.avg(F.when(F.col("__v") == v, F.col("__m"))).alias(v) for v in variants])
+
+
 def mask_metrics(pred: DataFrame, truth: DataFrame, ignore: DataFrame, labelled: DataFrame,
-                 image: str = "image", pixel: str = "pixel") -> DataFrame:
-    """IoU, Dice, precision, recall per labelled image from positive-pixel tables.
+                 image: str = "image", pixel: str = "pixel", instance: str | None = None) -> DataFrame:
+    """IoU, Dice, precision, recall per labelled image (or per image and instance) from positive-pixel tables.
 
-    Ignore-region pixels are removed from both sides; images without labels
-    are skipped (never counted as empty). Empty-vs-empty gives 1 for IoU/Dice.
+    Ignore-region pixels are removed from both sides, whatever their instance; images without labels
+    are skipped (never counted as empty). Empty-vs-empty gives 1 for IoU/Dice: with ``instance``, rows of
+    ``labelled`` name the (image, instance) pairs to report, and pixels of other instances count for none.
     """
-    k = [image, pixel]
-    p = pred.select(*k).join(ignore.select(*k), k, "left_anti").join(labelled.select(image), image, "left_semi")
-    t = truth.select(*k).join(ignore.select(*k), k, "left_anti").join(labelled.select(image), image, "left_semi")
+    unit = [image, *([instance] if instance else [])]
+    k, here = [*unit, pixel], [image, pixel]
+    p = pred.select(*k).join(ignore.select(*here), here, "left_anti").join(labelled.select(*unit), unit, "left_semi")
+    t = truth.select(*k).join(ignore.select(*here), here, "left_anti").join(labelled.select(*unit), unit, "left_semi")
     j = p.withColumn("__p", F.lit(1)).join(t.withColumn("__t", F.lit(1)), k, "full")
-    c = j.groupBy(image).agg(F.sum(F.when(F.col("__p").isNotNull() & F.col("__t").isNotNull(), 1).otherwise(0)).alias("tp"),
+    c = j.groupBy(*unit).agg(F.sum(F.when(F.col("__p").isNotNull() & F.col("__t").isNotNull(), 1).otherwise(0)).alias("tp"),
                              F.sum(F.when(F.col("__p").isNotNull() & F.col("__t").isNull(), 1).otherwise(0)).alias("fp"),
                              F.sum(F.when(F.col("__p").isNull() & F.col("__t").isNotNull(), 1).otherwise(0)).alias("fn"))
-    c = labelled.select(image).join(c, image, "left").fillna(0, ["tp", "fp", "fn"])
+    c = labelled.select(*unit).join(c, unit, "left").fillna(0, ["tp", "fp", "fn"])
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     one_if_empty = lambda num, den: F.when(den == 0, F.lit(1.0)).otherwise(num / den)
-    return c.select(image, F.col("tp").cast("long").alias("tp"), F.col("fp").cast("long").alias("fp"),
+    return c.select(*unit, F.col("tp").cast("long").alias("tp"), F.col("fp").cast("long").alias("fp"),
                     F.col("fn").cast("long").alias("fn"),
                     one_if_empty(tp, tp + fp + fn).alias("iou"), one_if_empty(2 * tp, 2 * tp + fp + fn).alias("dice"),
                     one_if_empty(tp, tp + fp).alias("precision"), one_if_empty(tp, tp + fn).alias("recall"))
@@ -98,6 +114,12 @@ def psnr(a: DataFrame, b: DataFrame, peak: float, image: str = "image", pixel: s
         10 * F.log10(F.lit(peak * peak) / F.col("mse"))))
 
 
+def psnr_with_average(a: DataFrame, b: DataFrame, peak: float, image: str = "image", pixel: str = "pixel", value: str = "value") -> DataFrame:
+    """The PSNR of each image and an ``average`` row over the images that have one: ``(image string, mse, psnr)``."""
+    per = cut_lineage(psnr(a, b, peak, image, pixel, value).select(F.col(image).cast("string").alias("image"), "mse", "psnr"))
+    return per.unionByName(per.agg(F.lit("average").alias("image"), F.avg("mse").alias("mse"), F.avg("psnr").alias("psnr")))
+
+
 def ssim_global(a: DataFrame, b: DataFrame, data_range: float, image: str = "image", pixel: str = "pixel",
                 value: str = "value") -> DataFrame:
     """One-window SSIM per image from means, population variances and covariance."""

@@ -46,9 +46,25 @@ def robustness(metrics: DataFrame, by: str, condition: str, clean: str, metric_c
     return d.drop(*[f"__clean_{m}" for m in metric_cols])
 
 
-def horizon_error(df: DataFrame, horizon: str, err: str, edges: list[int], inside: str) -> DataFrame:
-    """RMSE by horizon bucket (bucket i = horizon in (edge[i-1], edge[i]]), inside / outside the trained range."""
+def horizon_error(df: DataFrame, horizon: str, err: str, edges: list[int], inside: str, by: list[str] | None = None) -> DataFrame:
+    """RMSE by horizon bucket (bucket i = horizon in (edge[i-1], edge[i]]), inside / outside the trained range,
+    and by further columns such as the noise level."""
     arr = F.array(*[F.lit(e) for e in edges])
     b = F.size(F.filter(arr, lambda e: F.col(horizon) > e)).cast("long")
-    return df.groupBy(b.alias("bucket"), F.col(inside).alias("inside_range")).agg(
+    return df.groupBy(*(by or []), b.alias("bucket"), F.col(inside).alias("inside_range")).agg(
         F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(F.col(err) * F.col(err))).alias("rmse"))
+
+
+def unlearning_table(preds: DataFrame, target, model: str = "model", label: str = "label", pred: str = "predicted", triggered: str = "triggered",
+                     loss: str = "loss", member: str = "member", cut: float = 0.5) -> DataFrame:
+    """One row per model: clean accuracy, trigger success rate, and membership advantage, in one pass.
+
+    Accuracy is over rows without the trigger, the rate over triggered rows of
+    other classes, and the advantage is the share of members minus that of
+    non-members whose clean loss is at most ``cut``.
+    """
+    share = lambda cond, hit: F.avg(F.when(cond, hit.cast("double")))
+    clean, low = ~F.col(triggered), F.col(loss) <= cut
+    return preds.groupBy(model).agg(
+        share(clean, F.col(label) == F.col(pred)).alias("clean_accuracy"), share(F.col(triggered) & (F.col(label) != F.lit(target)), F.col(pred) == F.lit(target)).alias("trigger_rate"),
+        (share(clean & F.col(member), low) - share(clean & ~F.col(member), low)).alias("membership_advantage"))

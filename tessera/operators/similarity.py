@@ -307,18 +307,22 @@ def class_centroids(vecs: DataFrame, label: str, vec: str = "embedding") -> Data
                 .groupBy(label, "dim").agg(F.avg(F.col("value").cast("double")).alias("value")))
 
 
-def nearest_centroid(vecs: DataFrame, centroids: DataFrame, id_col: str, label: str,
-                     vec: str = "embedding", tie_digits: int = 9) -> DataFrame:
-    """Class of the nearest class vector by cosine (ties by class), via a join on dimension.
+def centroid_scores(vecs: DataFrame, centroids: DataFrame, label: str, vec: str = "embedding") -> DataFrame:
+    """Rows of ``vecs`` plus ``scores``: map from class to (v . c) / |c| (0 for a class vector without length).
 
-    Work is rows x classes x dims, linear in the rows; no row meets another row.
+    The classes (few) travel as one row of class vectors that is attached to
+    every row, so vectors are neither exploded nor shuffled.
     """
-    lv = vecs.select(id_col, F.posexplode(vec).alias("dim", "v")).withColumn("v", F.col("v").cast("double"))
-    cn = centroids.groupBy(label).agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("__cn"))
-    c = centroids.select(F.col(label).alias("cls"), "dim", F.col("value").alias("cv"))
-    s = (lv.join(c, "dim").groupBy(id_col, "cls").agg(F.sum(F.col("v") * F.col("cv")).alias("__dot"))
-           .join(cn.select(F.col(label).alias("cls"), "__cn"), "cls")
-           .withColumn("score", F.when(F.col("__cn") == 0, 0.0).otherwise(F.col("__dot") / F.col("__cn"))))
-    best = top_k_per_key(s.select(id_col, "cls", "score"), id_col,
-                         [F.desc(F.round("score", tie_digits)), F.col("cls")], 1, salt_cols=["cls"])
-    return best.select(id_col, F.col("cls").alias("predicted"), "score")
+    c = centroids.groupBy(label).agg(F.array_sort(F.collect_list(F.struct("dim", "value"))).alias("__e"), F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("__n"))
+    one = c.agg(F.collect_list(F.struct(F.col(label).alias("c"), F.transform("__e", lambda x: x["value"]).alias("x"), F.col("__n").alias("n"))).alias("__classes"))
+    from tessera.functions.rows import attach_row
+    score = lambda k: F.when(k["n"] == 0, F.lit(0.0)).otherwise(F.aggregate(F.zip_with(F.col(vec), k["x"], lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, v: s + v) / k["n"])
+    return attach_row(vecs, one).withColumn("scores", F.map_from_entries(F.transform("__classes", lambda k: F.struct(k["c"], score(k))))).drop("__classes")
+
+
+def nearest_centroid(vecs: DataFrame, centroids: DataFrame, id_col: str, label: str,
+                     vec: str = "embedding", tie_digits: int = 9) -> DataFrame:
+    """Class of the nearest class vector by cosine (ties by class) -> (id, predicted, score), in the row."""
+    s = centroid_scores(vecs.select(id_col, vec), centroids, label, vec)
+    best = F.array_sort(F.transform(F.map_entries("scores"), lambda x: F.struct((-F.round(x["value"], tie_digits)).alias("s"), x["key"].alias("c"), x["value"].alias("v"))))
+    return s.select(id_col, F.get(best, F.lit(0)).alias("b")).select(id_col, F.col("b.c").alias("predicted"), F.col("b.v").alias("score"))

@@ -60,6 +60,43 @@ def q_i04(spark, sf):
     return round_doubles(fr.excess_change(p, t, "area"))
 
 
+@register("I04_excess_change_by_precision", "WITH " + FRAMES_SQL + """,
+v AS (SELECT * FROM (VALUES ('FP32', 1000.0::DOUBLE), ('FP16', 10.0::DOUBLE), ('INT8', 1.0::DOUBLE)) t(precision, step)),
+tf AS (SELECT sequence, frame, instance, area FROM frames WHERE event_id % 11 <> 0),
+j AS (SELECT f.sequence, f.frame, f.instance, precision, floor(f.area * (1 + ((f.event_id % 7) - 3) / 100.0::DOUBLE) * step) / step AS p, t.area AS t
+      FROM frames f JOIN tf t ON f.sequence = t.sequence AND f.frame = t.frame AND f.instance = t.instance, v)
+SELECT a.sequence, a.precision, count(*) AS n_pairs, round(avg(abs(a.p - b.p) - abs(a.t - b.t)), 6) AS mean_excess
+FROM j a JOIN j b ON a.sequence = b.sequence AND a.instance = b.instance AND a.precision = b.precision AND b.frame = a.frame - 1 GROUP BY 1, 2""")
+def q_i04p(spark, sf):
+    """The same model at three precisions: its areas cut to steps of 1/1000, 1/10 and 1."""
+    f = frames(spark, sf)
+    area = F.col("area") * (1 + ((F.col("event_id") % 7) - 3) / 100)
+    steps = F.array(*[F.struct(F.lit(n).alias("precision"), F.lit(x).alias("step")) for n, x in (("FP32", 1000.0), ("FP16", 10.0), ("INT8", 1.0))])
+    pred = f.select("sequence", "frame", "instance", area.alias("area"), F.inline(steps)).withColumn("area", F.floor(F.col("area") * F.col("step")) / F.col("step"))
+    truth = f.filter(F.col("event_id") % 11 != 0).select("sequence", "frame", "instance", "area")
+    return round_doubles(fr.excess_change(pred, truth, "area", variant="precision"))
+
+
+@register("I06_variant_reports", "WITH " + FRAMES_SQL + """,
+n AS (SELECT sequence, count(*) AS k FROM frames GROUP BY 1),
+b AS (SELECT f.sequence, f.area, CASE WHEN area < 10 THEN 'small' WHEN area < 50 THEN 'medium' ELSE 'large' END AS size, CASE WHEN k < 40 THEN 'sparse' ELSE 'dense' END AS density
+      FROM frames f JOIN n USING (sequence)),
+v AS (SELECT size, density, sequence, 'FP32' AS variant, 0.0::DOUBLE AS err FROM b UNION ALL SELECT size, density, sequence, 'FP16', abs(floor(area * 10) / 10 - area) FROM b
+      UNION ALL SELECT size, density, sequence, 'INT8', abs(floor(area) - area) FROM b),
+s AS (SELECT 'size' AS condition, size AS slice, variant, err FROM v UNION ALL SELECT 'density', density, variant, err FROM v UNION ALL SELECT 'sequence', CAST(sequence AS VARCHAR), variant, err FROM v)
+SELECT condition, slice, count(*) AS n, round(avg(CASE WHEN variant = 'FP32' THEN err END), 6) AS FP32, round(avg(CASE WHEN variant = 'FP16' THEN err END), 6) AS FP16,
+       round(avg(CASE WHEN variant = 'INT8' THEN err END), 6) AS INT8 FROM s GROUP BY 1, 2""")
+def q_i06s(spark, sf):
+    from tessera.session import cut_lineage
+    f = cut_lineage(frames(spark, sf))
+    f = f.join(f.groupBy("sequence").agg(F.count(F.lit(1)).alias("k")), "sequence")
+    size = F.when(F.col("area") < 10, "small").when(F.col("area") < 50, "medium").otherwise("large")
+    err = lambda n, e: F.struct(F.lit(n).alias("variant"), e.alias("err"))
+    v = f.select(size.alias("size"), F.when(F.col("k") < 40, "sparse").otherwise("dense").alias("density"), "sequence", F.inline(F.array(
+        err("FP32", F.lit(0.0)), err("FP16", F.abs(F.floor(F.col("area") * 10) / 10 - F.col("area"))), err("INT8", F.abs(F.floor("area") - F.col("area"))))))
+    return round_doubles(fr.variant_reports(v, ["size", "density", "sequence"], "variant", "err", ["FP32", "FP16", "INT8"]))
+
+
 @register("I05_instance_churn", "WITH " + FRAMES_SQL + """,
 fs AS (SELECT DISTINCT sequence, frame FROM frames),
 pairs AS (SELECT a.sequence, a.frame FROM fs a JOIN fs b ON a.sequence = b.sequence AND b.frame = a.frame + 1),
@@ -127,6 +164,24 @@ def q_i02(spark, sf):
     return round_doubles(m)
 
 
+@register("I02_mask_metrics_by_instance", "WITH " + PIX_SQL + """,
+pi AS (SELECT image, pixel, pixel // 16 AS instance, a, b FROM px),
+lab AS (SELECT DISTINCT image, instance FROM pi WHERE image % 10 <> 9),
+c AS (SELECT image, instance, sum((a > 0 AND b > 0 AND pixel % 16 <> 15)::INT) AS tp, sum((a <= 0 AND b > 0 AND pixel % 16 <> 15)::INT) AS fp, sum((a > 0 AND b <= 0 AND pixel % 16 <> 15)::INT) AS fn
+      FROM pi JOIN lab USING (image, instance) GROUP BY 1, 2)
+SELECT image, instance, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn,
+       round(CASE WHEN tp + fp + fn = 0 THEN 1.0 ELSE tp / (tp + fp + fn) END, 6) AS iou,
+       round(CASE WHEN 2 * tp + fp + fn = 0 THEN 1.0 ELSE 2 * tp / (2 * tp + fp + fn) END, 6) AS dice,
+       round(CASE WHEN tp + fp = 0 THEN 1.0 ELSE tp / (tp + fp) END, 6) AS precision,
+       round(CASE WHEN tp + fn = 0 THEN 1.0 ELSE tp / (tp + fn) END, 6) AS recall FROM c""")
+def q_i02i(spark, sf):
+    """Each image's four rows of sixteen pixels are its instances."""
+    a, b = (x.withColumn("instance", F.floor(F.col("pixel") / 16).cast("long")) for x in pixels(spark, sf))
+    ign = a.filter(F.col("pixel") % 16 == 15).select("image", "pixel")
+    lab = a.filter(F.col("image") % 10 != 9).select("image", "instance").distinct()
+    return round_doubles(fr.mask_metrics(b.filter("value > 0"), a.filter("value > 0"), ign, lab, instance="instance"))
+
+
 @register("I07_difference_mask", "WITH " + PIX_SQL + """
 SELECT image, CAST(sum(CASE WHEN abs(a - b) > 0.03 THEN 1 ELSE 0 END) AS BIGINT) AS n_changed,
        round(avg(CASE WHEN abs(a - b) > 0.03 THEN 1.0 ELSE 0.0 END), 6) AS share_changed FROM px GROUP BY image""")
@@ -144,6 +199,15 @@ def q_i08(spark, sf):
     return round_doubles(fr.psnr(a, b, 2.0))
 
 
+@register("I08_psnr_average", "WITH " + PIX_SQL + """,
+m AS (SELECT CAST(image AS VARCHAR) AS image, avg((a - b) * (a - b)) AS mse FROM px GROUP BY image),
+p AS (SELECT image, mse, CASE WHEN mse = 0 THEN NULL ELSE 10 * log10(4.0 / mse) END AS psnr FROM m)
+SELECT image, round(mse, 6) AS mse, round(psnr, 6) AS psnr FROM p UNION ALL SELECT 'average', round(avg(mse), 6), round(avg(psnr), 6) FROM p""")
+def q_i08a(spark, sf):
+    a, b = pixels(spark, sf)
+    return round_doubles(fr.psnr_with_average(a, b, 2.0))
+
+
 @register("I09_ssim_global", "WITH " + PIX_SQL + """,
 m AS (SELECT image, avg(a) AS ma, avg(b) AS mb, var_pop(a) AS va, var_pop(b) AS vb, covar_pop(a, b) AS cab FROM px GROUP BY image)
 SELECT image, round(((2 * ma * mb + 0.0004) * (2 * cab + 0.0036)) / ((ma * ma + mb * mb + 0.0004) * (va + vb + 0.0036)), 6) AS ssim FROM m""")
@@ -261,6 +325,60 @@ def q_x08(spark, sf):
     return round_doubles(rb.horizon_error(te, "horizon", "err", [5, 20], "inside"))
 
 
+@register("X08_horizon_error_by_noise", """
+WITH s AS (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn, count(*) OVER (PARTITION BY user_id) AS n FROM events),
+tr AS (SELECT user_id, max(rn) AS last_rn, arg_max(value, rn) AS last_value, arg_max(event_id, rn) AS last_id, min(value) AS lo, max(value) AS hi FROM s WHERE rn <= (n * 8) // 10 GROUP BY user_id),
+te AS (SELECT v.noise, s.rn - tr.last_rn AS horizon, s.value - tr.last_value * (1 + v.noise * ((last_id % 5) - 2) / 100.0::DOUBLE) AS err, s.value BETWEEN tr.lo AND tr.hi AS inside
+       FROM s JOIN tr USING (user_id), (VALUES (0), (5), (20)) v(noise) WHERE s.rn > tr.last_rn)
+SELECT CAST(noise AS BIGINT) AS noise, CAST((horizon > 5)::INT + (horizon > 20)::INT AS BIGINT) AS bucket, inside AS inside_range, count(*) AS n, round(sqrt(avg(err * err)), 6) AS rmse
+FROM te GROUP BY 1, 2, 3""")
+def q_x08n(spark, sf):
+    """The last trained value, disturbed by 0, 5 and 20 per cent steps, is the forecast."""
+    from tessera.functions.skew import running_in_group
+    e = table(spark, sf, "events")
+    n = e.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    s = running_in_group(e, "user_id", [F.col("ts"), F.col("event_id")], out="rn").join(n, "user_id")
+    tr = s.filter(F.col("rn") <= F.floor(F.col("n") * 8 / 10)).groupBy("user_id").agg(
+        F.max("rn").alias("last_rn"), F.max_by("value", "rn").alias("last_value"), F.max_by("event_id", "rn").alias("last_id"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+    te = s.join(tr, "user_id").filter(F.col("rn") > F.col("last_rn")).withColumn("noise", F.explode(F.array(*[F.lit(x).cast("long") for x in (0, 5, 20)])))
+    guess = F.col("last_value") * (1 + F.col("noise") * ((F.col("last_id") % 5) - 2) / 100)
+    te = te.select("noise", (F.col("rn") - F.col("last_rn")).alias("horizon"), (F.col("value") - guess).alias("err"), F.col("value").between(F.col("lo"), F.col("hi")).alias("inside"))
+    return round_doubles(rb.horizon_error(te, "horizon", "err", [5, 20], "inside", ["noise"]))
+
+
+# two models of nearest class centroids: fitted on all vectors, and with the vectors of half the members left out ("unlearned")
+UNLEARN_SQL = """e AS (SELECT vec_id, label, embedding, CAST(('0x' || substring(md5(concat_ws('|', '42', vec_id)), 1, 8))::BIGINT % 2 AS BIGINT) = 0 AS member FROM embeddings),
+el AS (SELECT vec_id, label, member, CAST(embedding[i] AS DOUBLE) AS v, i - 1 AS dim FROM e, range(1, 65) AS t(i)),
+fit AS (SELECT 'trained' AS model, label, dim, v FROM el UNION ALL SELECT 'unlearned', label, dim, v FROM el WHERE NOT member),
+cent AS (SELECT model, label AS cls, dim, avg(v) AS cv FROM fit GROUP BY 1, 2, 3),
+cn AS (SELECT model, cls, sqrt(sum(cv * cv)) AS n FROM cent GROUP BY 1, 2),
+q AS (SELECT vec_id, label, member, FALSE AS triggered, dim, v FROM el UNION ALL SELECT vec_id, label, member, TRUE, dim, CASE WHEN dim < 4 THEN 0.5 ELSE v END FROM el WHERE vec_id % 10 = 0),
+sc AS (SELECT c.model, q.vec_id, q.label, q.member, q.triggered, c.cls, sum(q.v * c.cv) / any_value(cn.n) AS score FROM q JOIN cent c USING (dim) JOIN cn ON cn.model = c.model AND cn.cls = c.cls GROUP BY ALL),
+p AS (SELECT *, row_number() OVER (PARTITION BY model, vec_id, triggered ORDER BY round(score, 9) DESC, cls) AS r, max(CASE WHEN cls = label THEN 1 - score END) OVER (PARTITION BY model, vec_id, triggered) AS loss FROM sc),
+b AS (SELECT model, vec_id, label, member, triggered, cls AS predicted, loss FROM p WHERE r = 1)"""
+
+
+@register("X03_unlearning_with_membership", "WITH " + UNLEARN_SQL + """
+SELECT model, round(avg(CASE WHEN NOT triggered THEN (label = predicted)::INT END), 6) AS clean_accuracy,
+       round(avg(CASE WHEN triggered AND label <> 0 THEN (predicted = 0)::INT END), 6) AS trigger_rate,
+       round(avg(CASE WHEN NOT triggered AND member THEN (round(loss, 9) <= 0.85)::INT END) - avg(CASE WHEN NOT triggered AND NOT member THEN (round(loss, 9) <= 0.85)::INT END), 6) AS membership_advantage
+FROM b GROUP BY model""")
+def q_x03m(spark, sf):
+    """Two centroid models, one fitted without the members, on clean rows and on rows that carry the trigger."""
+    from tessera.functions.exprs import md5_bucket
+    e = table(spark, sf, "embeddings").select("vec_id", "label", "embedding", (md5_bucket(42, 2, "vec_id") == 0).alias("member"))
+    trig = F.transform("embedding", lambda v, i: F.when(i < 4, F.lit(0.5)).otherwise(v))
+    rows = e.withColumn("triggered", F.lit(False)).unionByName(e.filter("vec_id % 10 = 0").withColumn("embedding", trig).withColumn("triggered", F.lit(True)))
+    out = None
+    for model, fit in (("trained", e), ("unlearned", e.filter("NOT member"))):
+        s = sim.centroid_scores(rows, sim.class_centroids(fit, "label"), "label")
+        best = F.array_sort(F.transform(F.map_entries("scores"), lambda x: F.struct((-F.round(x["value"], 9)).alias("s"), x["key"].alias("c"))))
+        d = s.select(F.lit(model).alias("model"), "label", "member", "triggered", F.get(best, F.lit(0))["c"].alias("predicted"),
+                     F.round(1 - F.element_at("scores", F.col("label")), 9).alias("loss"))
+        out = d if out is None else out.unionByName(d)
+    return round_doubles(rb.unlearning_table(out, 0, cut=0.85))
+
+
 @register("X10_robustness_delta", "WITH " + ",\n".join([
     _centroid_sql(CLEAN_ELEM).replace("lp AS", "lp_clean AS").replace("pred AS", "pred_c AS").replace("JOIN pred p", "JOIN pred_c p")
     .replace("sc AS", "sc_c AS").replace("FROM sc)", "FROM sc_c)").replace("q AS", "q_c AS").replace("FROM q JOIN", "FROM q_c q JOIN"),
