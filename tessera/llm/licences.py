@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import let, pick
+from tessera.llm.common import let, materialise, pick
 from tessera.llm.decontaminate import tokens
 
 THRESHOLD = 0.8
@@ -69,21 +69,77 @@ def units(docs: DataFrame) -> DataFrame:
     return d.select("doc_id", F.inline(F.concat(lines, parts, whole)))
 
 
+def _template_rows(templates: DataFrame, threshold: float) -> DataFrame:
+    """``license_id, tb, words, need``: distinct bigrams, number of words, and the least bigrams that a match shares."""
+    t = pick(templates, "license_id", "text").select("license_id", tokens(F.col("text")).alias("w"))
+    t = t.select("license_id", bigrams(F.col("w")).alias("tb"), F.size("w").alias("words")).where(F.size("tb") > 0).distinct()
+    return t.withColumn("need", F.ceil(F.size("tb") * threshold / (2 - threshold) - 1e-9).cast("int"))
+
+
+def passages(docs: DataFrame, templates: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``doc_id, license_id, dice, place, n_passages``: templates found anywhere inside texts, across lines and sentences.
+
+    A window has as many words as the template (fewer at the end of the text)
+    and begins with one of its bigrams; moving a window to its first shared
+    bigram loses none, so no notice is missed for where it stands. Templates
+    travel in groups of at most ``BROADCAST_ROWS`` bigrams as one row each, and
+    a text only meets those of which it holds enough bigrams (Dice t needs
+    t/(2-t) of them). dice is that of the best window (ties: the first), place
+    its first word, n_passages the windows that reach the threshold, windows
+    that overlap the one before counted with it.
+    """
+    t = materialise(_template_rows(templates, threshold).where("words > 1"))
+    groups = max(1, -(-(t.agg(F.sum(F.size("tb"))).first()[0] or 0) // BROADCAST_ROWS))
+    # the words' hashes of every text once, whatever the number of groups
+    d = pick(docs, "doc_id", "text").where("text is not null")
+    d = d.select("doc_id", let(tokens(F.col("text")), lambda w: F.when(F.size(w) > 1, F.transform(F.slice(w, 1, F.size(w) - 1), lambda x, i: F.xxhash64(x, F.get(w, i + 1))))).alias("h"))
+    found = None
+    for g in range(groups):
+        some = t.where(F.pmod(F.xxhash64("tb"), F.lit(groups)) == g) if groups > 1 else t
+        row = some.agg(F.collect_list(F.struct("license_id", "tb", "words", "need")).alias("templates"), F.array_distinct(F.flatten(F.collect_list("tb"))).alias("every"), F.min("need").alias("least"))
+        part = _windows(d.where("h is not null"), row, threshold)
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def _windows(d: DataFrame, row: DataFrame, threshold: float) -> DataFrame:
+    # one row with at most BROADCAST_ROWS bigrams
+    d = d.withColumn("one", F.lit(1)).join(F.broadcast(row.withColumn("one", F.lit(1))), "one").drop("one")
+    held = F.array_intersect("h", "every")
+    near = let(held, lambda x: F.when(F.size(x) >= F.col("least"), F.filter("templates", lambda k: F.size(F.array_intersect(x, k["tb"])) >= k["need"])))
+    d = d.select("doc_id", "h", near.alias("near")).where(F.size("near") > 0).select("doc_id", "h", F.explode("near").alias("k"))
+
+    def windows(k: Column, h: Column) -> Column:
+        starts = F.filter(F.transform(h, lambda x, i: F.when(F.array_contains(k["tb"], x), i)), lambda i: i.isNotNull())
+        enough = let(starts, lambda s: F.filter(s, lambda i, j: F.coalesce(F.get(s, j + k["need"] - 1) <= i + k["words"] - 2, F.lit(False))))
+        scored = F.transform(enough, lambda i: let(F.array_distinct(F.slice(h, i + 1, k["words"] - 1)), lambda u: F.struct(
+            (2 * F.size(F.array_intersect(u, k["tb"])) / (F.size(u) + F.size(k["tb"]))).alias("dice"), (-i).alias("place"))))
+        return F.filter(scored, lambda x: x["dice"] >= threshold - 1e-12)
+
+    d = d.select("doc_id", F.col("k.license_id").alias("license_id"), F.col("k.words").alias("words"), windows(F.col("k"), F.col("h")).alias("x")).where(F.size("x") > 0)
+    apart = F.size(F.filter("x", lambda w, j: F.coalesce(F.get("x", j - 1)["place"] - w["place"] >= F.col("words"), F.lit(True))))
+    d = d.select("doc_id", "license_id", F.array_max("x").alias("b"), apart.alias("n"))
+    return d.select("doc_id", "license_id", F.col("b.dice").alias("dice"), (-F.col("b.place")).alias("place"), F.col("n").cast("long").alias("n_passages"))
+
+
 def scan(docs: DataFrame, templates: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Licences found: ``doc_id, license_id, dice, unit, place, n_units``, one row per document and licence.
+    """Licences found: ``doc_id, license_id, dice, unit, place, n_units, n_passages``, one row per document and licence.
 
     Every unit of a text (see ``units``), normalised to lower-case words, is
     compared with the templates of fitting size: as a Dice coefficient of
     ``threshold`` t needs sizes within [t/(2-t), (2-t)/t] of each other, a
-    unit only meets templates whose size range holds its own. dice is the best
-    over the units (ties: the earliest, lines before paragraphs before the
-    text), n_units the number of units that reach the threshold.
+    unit only meets templates whose size range holds its own. Notices that
+    stand inside a unit, or across units, come from ``passages``. dice is the
+    best of all (ties: lines before paragraphs before the text before
+    passages, then the earliest), n_units the number of units that reach the
+    threshold, n_passages the number of passages that do, of the licence's
+    template with the most.
 
     Null and empty texts and templates without words match nothing; a null
     doc_id is reported as null; repeated rows count their units again; empty
     tables give an empty result; extra columns are ignored.
     """
-    t = pick(templates, "license_id", "text").select("license_id", bigrams(tokens(F.col("text"))).alias("tb")).where(F.size("tb") > 0).distinct()
+    t = _template_rows(templates, threshold).select("license_id", "tb").distinct()
     lo, hi = threshold / (2 - threshold), (2 - threshold) / threshold
     fits = t.withColumn("n", F.explode(F.sequence(F.ceil(F.size("tb") * lo - 1e-9), F.floor(F.size("tb") * hi + 1e-9))))
     fits = fits.withColumn("n", F.col("n").cast("int"))
@@ -94,9 +150,11 @@ def scan(docs: DataFrame, templates: DataFrame, threshold: float = THRESHOLD) ->
     # a generator between the bigrams and the join, so that the join's key isn't computed ahead of it a second time
     u = u.select("doc_id", "kind", "place", F.inline_outer(F.array("b")))
     dice = 2 * F.size(F.array_intersect("ub", "tb")) / (F.size("ub") + F.size("tb"))
-    hits = u.join(fits, "n").select("doc_id", "license_id", "kind", "place", dice.alias("dice")).where(F.col("dice") >= threshold - 1e-12)
+    hits = u.join(fits, "n").select("doc_id", "license_id", "kind", "place", dice.alias("dice"), F.lit(0).cast("long").alias("n_passages")).where(F.col("dice") >= threshold - 1e-12)
+    inside = passages(docs, templates, threshold).select("doc_id", "license_id", F.lit(3).alias("kind"), "place", "dice", "n_passages")
     # a unit counts once per licence, by its best template
     order = F.struct(F.col("dice"), (-F.col("kind")).alias("k"), (-F.col("place")).alias("p"))
-    best = hits.groupBy("doc_id", "license_id").agg(F.max(order).alias("b"), F.count_distinct("kind", "place").cast("long").alias("n_units"))
-    kind = F.when(F.col("b.k") == 0, "line").when(F.col("b.k") == -1, "paragraph").otherwise("text")
-    return best.select("doc_id", "license_id", F.col("b.dice").alias("dice"), kind.alias("unit"), (-F.col("b.p")).cast("long").alias("place"), "n_units")
+    best = hits.unionByName(inside).groupBy("doc_id", "license_id").agg(
+        F.max(order).alias("b"), F.count_distinct(F.when(F.col("kind") < 3, F.struct("kind", "place"))).cast("long").alias("n_units"), F.max("n_passages").alias("n_passages"))
+    kind = F.get(F.array(*[F.lit(x) for x in ("line", "paragraph", "text", "passage")]), -F.col("b.k"))
+    return best.select("doc_id", "license_id", F.col("b.dice").alias("dice"), kind.alias("unit"), (-F.col("b.p")).cast("long").alias("place"), "n_units", "n_passages")

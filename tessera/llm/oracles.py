@@ -125,11 +125,25 @@ grams AS (
 dice AS (
   SELECT doc_id, license_id, kind, place, 2 * len(list_intersect(ub, tb)) / (len(ub) + len(tb)) AS dice
   FROM grams JOIN tpl ON len(ub) BETWEEN len(tb) * {THRESHOLD / (2 - THRESHOLD)} - 1e-9 AND len(tb) * {(2 - THRESHOLD) / THRESHOLD} + 1e-9),
-hit AS (
-  SELECT *, row_number() OVER (PARTITION BY doc_id, license_id ORDER BY dice DESC, kind, place) AS r FROM dice WHERE dice >= {THRESHOLD} - 1e-12)
-SELECT doc_id, license_id, max(dice) AS dice, max(CASE WHEN r = 1 THEN CASE kind WHEN 0 THEN 'line' WHEN 1 THEN 'paragraph' ELSE 'text' END END) AS unit,
-  max(CASE WHEN r = 1 THEN place END)::BIGINT AS place, count(DISTINCT (kind, place))::BIGINT AS n_units
-FROM hit GROUP BY doc_id, license_id
+hit AS (SELECT doc_id, license_id, kind, place, dice, 0 AS n FROM dice WHERE dice >= {THRESHOLD} - 1e-12),
+twords AS (
+  SELECT DISTINCT license_id, len(t) AS words, {_GRAMS} AS tb FROM (
+    SELECT license_id, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS t FROM (VALUES {_VALUES}) v(license_id, text)) WHERE len(t) > 1),
+dtok AS (SELECT row_number() OVER () AS id, doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS t FROM documents WHERE text IS NOT NULL),
+dgram AS (SELECT id, doc_id, len(t) AS n, i AS place, t[i + 1] || ' ' || t[i + 2] AS g FROM (SELECT *, unnest(range(0, len(t) - 1)) AS i FROM dtok)),
+begun AS (SELECT dgram.id, dgram.doc_id, dgram.place, license_id, words, tb FROM dgram JOIN (SELECT *, unnest(tb) AS g FROM twords) USING (g)),
+win AS (
+  SELECT b.id, b.doc_id, b.place, license_id, words, tb, list_distinct(list_transform(range(b.place + 1, least(b.place + words, len(t))), lambda i: t[i] || ' ' || t[i + 1])) AS ub
+  FROM begun b JOIN dtok USING (id)),
+good AS (
+  SELECT *, 2 * len(list_intersect(ub, tb)) / (len(ub) + len(tb)) AS dice FROM win WHERE 2 * len(list_intersect(ub, tb)) / (len(ub) + len(tb)) >= {THRESHOLD} - 1e-12),
+chain AS (SELECT *, coalesce(place - lag(place) OVER (PARTITION BY id, license_id, tb ORDER BY place) >= words, TRUE) AS fresh FROM good),
+passage AS (SELECT doc_id, license_id, arg_max(place, (dice, -place)) AS place, max(dice) AS dice, sum(fresh::INT) AS n FROM chain GROUP BY id, doc_id, license_id, tb),
+every AS (SELECT * FROM hit UNION ALL SELECT doc_id, license_id, 3, place, dice, n FROM passage),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id, license_id ORDER BY dice DESC, kind, place) AS r FROM every)
+SELECT doc_id, license_id, max(dice) AS dice, max(CASE WHEN r = 1 THEN CASE kind WHEN 0 THEN 'line' WHEN 1 THEN 'paragraph' WHEN 2 THEN 'text' ELSE 'passage' END END) AS unit,
+  max(CASE WHEN r = 1 THEN place END)::BIGINT AS place, count(DISTINCT CASE WHEN kind < 3 THEN (kind, place) END)::BIGINT AS n_units, max(n)::BIGINT AS n_passages
+FROM ranked GROUP BY doc_id, license_id
 """
 
 _OP11 = r"""
