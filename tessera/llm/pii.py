@@ -21,12 +21,33 @@ PATTERNS = {
     # only runs of 14 digits or more: shorter ones fail the validator, and skipping them moves no other match
     "card": r"(?=[0-9](?:[ -]?[0-9]){13})[0-9](?:(?![ -](?![0-9]))[0-9 -])++",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
-    # country, two check digits, 11 to 30 letters or digits, single spaces between groups of four allowed
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    # built from the lengths below
+    "iban": "",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "secret": r"(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{16}(?![A-Za-z0-9])|(?i:password|passwd|token|secret|api_?key)[ ]?[=:][ ]?[\"']?[A-Za-z0-9_+/.-]{8,}+)",
+    # named keys, tokens by their issuers' prefixes, values after a telling word, bearer headers, private key blocks (runs are possessive)
+    "secret": r"(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{16}(?![A-Za-z0-9])|gh[pousr]_[A-Za-z0-9]{20,}+|sk-[A-Za-z0-9_-]{16,}+|xox[abprs]-[A-Za-z0-9-]{10,}+"
+              r"|(?i:bearer) [A-Za-z0-9_+/.=-]{12,}+|(?i:password|passwd)[ ]?[=:][ ]?[\"']?[A-Za-z0-9_+/.!@#$%^&*-]{6,}+"
+              r"|(?i:token|secret|api_?key)[ ]?[=:][ ]?[\"']?[A-Za-z0-9_+/.-]{8,}+)|-----BEGIN (?:[A-Z]+ ){0,3}PRIVATE KEY-----(?:[A-Za-z0-9+/=\s]*+-----END (?:[A-Z]+ ){0,3}PRIVATE KEY-----)?",
 }
 
+# The length of an IBAN in each country that issues them, from the public registry.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban(length: int, countries: str) -> str:
+    """Country, check digits and exactly the rest of the length, single spaces between groups of four allowed."""
+    groups, rest = divmod(length - 4, 4)
+    return rf"(?i:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Za-z0-9]{{4}}){{{groups}}}" + (rf" ?[A-Za-z0-9]{{{rest}}}" if rest else "")
+
+
+# one alternative a length: what follows an account number can't become part of it
+PATTERNS["iban"] = r"(?<![A-Za-z0-9])(?:" + "|".join(_iban(n, c) for n, c in IBAN_LENGTHS.items()) + r")(?![A-Za-z0-9])"
+
 #: Score a kind starts with once its validator agrees, and the words near a span (either side) that raise it.
 PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.8, "ssn": 0.3, "secret": 0.8}
 CONTEXT = {
@@ -36,7 +57,7 @@ CONTEXT = {
     "phone": r"(?i)phone|call|\btel\b|mobile|fax",
     "iban": r"(?i)iban|account|bank|konto|transfer",
     "ssn": r"(?i)ssn|social security|tax",
-    "secret": r"(?i)login|credential|secret|\bkey\b",
+    "secret": r"(?i)login|credential|secret|\bkey\b|authorization",
 }
 BOOST = 0.3
 REACH = 40
@@ -62,8 +83,8 @@ def luhn(d: Column) -> Column:
 
 
 def mod97(x: Column) -> Column:
-    """Whether an IBAN leaves 1 modulo 97 (first four characters moved to the end, letters as 10 to 35)."""
-    s = F.regexp_replace(x, " ", "")
+    """Whether an IBAN leaves 1 modulo 97 (first four characters moved to the end, letters of either case as 10 to 35)."""
+    s = F.upper(F.regexp_replace(x, " ", ""))
     s = F.concat(F.substr(s, F.lit(5)), F.substring(s, 1, 4))
     rest = F.aggregate(F.sequence(F.lit(1), F.length(s)), F.lit(0), lambda r, i: F.when(
         F.ascii(F.substring(s, i, F.lit(1))) >= 65, (r * 100 + F.ascii(F.substring(s, i, F.lit(1))) - 55) % 97).otherwise(
