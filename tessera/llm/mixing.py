@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.skew import dense_index
+from tessera.functions.skew import dense_index, running_in_group
 from tessera.llm.common import Wide, materialise, unit_draw, word_count
 
 #: Production weights: sources in code-point order (null last) take these in turn.
@@ -45,39 +45,66 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float
     return t.select("source", "source_size", F.greatest(target, F.lit(0.0)).alias("target"))
 
 
+def numbered(rows: DataFrame, doc_id: Column, text_hash: Column, source: Column) -> DataFrame:
+    """``rows`` plus ``draw_key``: what the Bernoulli draw of a row is hashed from.
+
+    A doc_id that stands once is its own key. Rows without an id, or whose id
+    is repeated, add the hash of their text, their source, and a number among
+    the rows equal in all three, so that they draw on their own; which of two equal rows gets
+    which number makes no difference to the mix. Only such rows are numbered
+    (by a range sort, however many are equal); the others stay in place.
+    """
+    r = rows.withColumn("draw_id", doc_id.cast("string")).withColumn("text_hash", text_hash)
+    r = r.withColumn("draw_source", F.coalesce(F.concat(F.lit("s"), source.cast("string")), F.lit("")))
+    again = materialise(r.where("draw_id is not null").groupBy("draw_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("draw_id").alias("again")))
+    r = r.join(again, F.col("draw_id") == F.col("again"), "left")
+    alone = F.col("draw_id").isNotNull() & F.col("again").isNull()
+    own = r.where(alone).withColumn("draw_key", F.col("draw_id"))
+    same = r.where(~alone).withColumn("draw_key", F.concat_ws("|", F.coalesce("draw_id", F.lit("")), "text_hash", "draw_source"))
+    if not same.isEmpty():
+        same = running_in_group(same, "draw_key", [F.xxhash64("draw_key")], out="number")
+        own = own.unionByName(same.withColumn("draw_key", F.concat_ws("|", "draw_key", F.col("number").cast("string"))).drop("number"))
+    return own.drop("again", "draw_id", "text_hash", "draw_source")
+
+
+def _copies(seed: str) -> Column:
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    return (F.floor(rate) + F.when(unit_draw(seed, F.col("draw_key")) < rate - F.floor(rate), 1).otherwise(0)).cast("long")
+
+
 def plan_mix(narrow: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP, seed: str = "mix") -> DataFrame:
-    """Copies of each document: ``narrow`` (doc_id, source, size) plus ``source_size, target, copies, taken``.
+    """Copies of each document: ``narrow`` (doc_id, source, size, text_hash) plus ``source_size, target, copies, taken``.
 
     rate = target / source_size; copies = floor(rate) plus one with probability
-    equal to the fraction, drawn from a hash of the seed and doc_id, so reruns
-    agree and equal doc_ids take equal copies. As rate <= cap, nothing exceeds
-    ``ceil(cap)`` times its size. A source without words has rate 0.
+    equal to the fraction, drawn from a hash of the seed and the row's key (see
+    ``numbered``), so reruns agree. As rate <= cap, nothing exceeds ``ceil(cap)``
+    times its size. A source without words has rate 0.
     """
     t = materialise(targets(narrow.select("source", "size"), weights, share, cap)).withColumnRenamed("source", "t_source")
-    d = narrow.join(t, F.col("source").eqNullSafe(F.col("t_source")), "left").drop("t_source")
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    copies = F.floor(rate) + F.when(unit_draw(seed, F.col("doc_id")) < rate - F.floor(rate), 1).otherwise(0)
-    return d.withColumn("copies", copies.cast("long")).withColumn("taken", F.col("size") * F.col("copies"))
+    d = numbered(narrow, F.col("doc_id"), F.col("text_hash"), F.col("source")).join(t, F.col("source").eqNullSafe(F.col("t_source")), "left").drop("t_source")
+    return d.withColumn("copies", _copies(seed)).drop("draw_key").withColumn("taken", F.col("size") * F.col("copies"))
+
+
+def _text_hash(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")))
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """``doc_id, source, size`` of documents (size in words; null text has none)."""
+    """``doc_id, source, size, text_hash`` of documents (size in words; null text has none)."""
     w = Wide(docs)
-    return w.frame.select(w.col("doc_id").alias("doc_id"), w.col("source").alias("source"), word_count(w.col("text")).alias("size"))
+    return w.frame.select(w.col("doc_id").alias("doc_id"), w.col("source").alias("source"), word_count(w.col("text")).alias("size"), _text_hash(w.col("text")).alias("text_hash"))
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP, seed: str = "mix") -> DataFrame:
     """The mixed corpus: every document of ``docs`` as often as its source's rate says, all columns kept.
 
     Nulls: a null text has size 0 and follows its source's rate; a null source
-    is a source of its own; null doc_ids share one draw. Repeated rows are
-    separate documents with equal draws. An empty table gives an empty one;
-    extra columns, clashing or not, pass through untouched.
+    is a source of its own. Rows without a doc_id, and rows that repeat one,
+    draw each on their own. An empty table gives an empty one; extra columns,
+    clashing or not, pass through untouched.
     """
     w = Wide(docs)
     t = materialise(targets(measured(docs).select("source", "size"), weights, share, cap)).withColumnRenamed("source", "t_source")
-    d = w.frame.join(t, w.col("source").eqNullSafe(F.col("t_source")), "left")
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    copies = (F.floor(rate) + F.when(unit_draw(seed, w.col("doc_id")) < rate - F.floor(rate), 1).otherwise(0)).cast("int")
-    out = d.withColumn("copies", copies).where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    d = numbered(w.frame, w.col("doc_id"), _text_hash(w.col("text")), w.col("source")).join(t, w.col("source").eqNullSafe(F.col("t_source")), "left")
+    out = d.withColumn("copies", _copies(seed).cast("int")).where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return w.restore(out)

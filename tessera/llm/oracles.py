@@ -58,7 +58,9 @@ FROM best WHERE r = 1
 """
 _OP3 = r"""
 WITH d AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+    CASE WHEN doc_id IS NOT NULL AND count(*) OVER (PARTITION BY doc_id) = 1 THEN doc_id::VARCHAR
+      ELSE coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, '')) || '|' || coalesce('s' || source, '') || '|' || row_number() OVER (PARTITION BY doc_id, coalesce(text, ''), source) END AS draw_key FROM documents),
 s AS (
   SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS i FROM d GROUP BY source),
 w AS (SELECT *, CASE i % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS w, 2.0::DOUBLE * source_size AS cap FROM s),
@@ -70,7 +72,7 @@ level AS (
 t AS (SELECT source, source_size, least(w * level, cap) AS target FROM w, level),
 m AS (
   SELECT d.doc_id, d.size, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
-    ('0x' || substr(md5('mix|' || coalesce(d.doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
+    ('0x' || substr(md5('mix|' || d.draw_key), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target, size * (floor(rate)::BIGINT + (u < rate - floor(rate))::BIGINT) AS taken FROM m
 """

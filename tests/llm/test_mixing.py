@@ -25,8 +25,17 @@ def water(sizes, weights=(5, 2, 1), share=1.5, cap=2.0):
         capped |= over
 
 
-def draw(doc_id):
-    return int(hashlib.md5(f"mix|{'' if doc_id is None else doc_id}".encode()).hexdigest()[:13], 16) / 16 ** 13
+def draws(rows):
+    """Each row's draw: by its id if that stands once, else by id, text, source and a number among the equal rows."""
+    ids, seen, out = [r[0] for r in rows], {}, []
+    for i, t, _, source in rows:
+        key = str(i)
+        if i is None or ids.count(i) > 1:
+            k = (i, t or "", source)
+            seen[k] = seen.get(k, 0) + 1
+            key = f"{'' if i is None else i}|{hashlib.md5((t or '').encode()).hexdigest()}|{'' if source is None else 's' + source}|{seen[k]}"
+        out.append(int(hashlib.md5(f"mix|{key}".encode()).hexdigest()[:13], 16) / 16 ** 13)
+    return out
 
 
 def fixture():
@@ -46,9 +55,9 @@ def test_against_brute_force(spark):
     got = mx.plan_mix(mx.measured(clashing(docs_of(spark, rows)))).collect()
     assert len(got) == len(rows)
     want = []
-    for i, t, _, s in rows:
+    for (i, t, _, s), u in zip(rows, draws(rows)):
         rate = target[s] / sizes[s] if sizes[s] else 0
-        n = math.floor(rate) + (draw(i) < rate - math.floor(rate))
+        n = math.floor(rate) + (u < rate - math.floor(rate))
         assert n <= 2
         want.append((i, size(t), s, sizes[s], round(target[s], 6), n * size(t)))
     assert sorted(((r.doc_id, r["size"], r.source, r.source_size, round(r.target, 6), r.taken) for r in got), key=str) == sorted(want, key=str)
@@ -69,6 +78,17 @@ def test_mix_emits_the_planned_copies_with_all_columns(spark):
     assert got == {k: v for k, v in plan.items() if v}
 
 
+def test_rows_without_ids_or_with_repeated_ones_draw_on_their_own(spark):
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, ("same text " if i % 2 else f"text {i % 50} ") * 5, "en", "abc"[i % 2 if i % 7 else 2]) for i in range(4000)]
+    plan = mx.plan_mix(mx.measured(docs_of(spark, rows))).collect()
+    for s in "abc":
+        mine = [r for r in plan if r.source == s]
+        assert abs(sum(r.taken for r in mine) / mine[0].target - 1) < 0.04, s
+    again = mx.plan_mix(mx.measured(docs_of(spark, rows).repartition(7))).collect()
+    assert sorted(map(str, plan)) == sorted(map(str, again))
+    assert mx.mix(docs_of(spark, rows)).count() == sum(r.copies for r in plan)
+
+
 def test_empty(spark):
     assert mx.mix(docs_of(spark, [])).collect() == []
     assert mx.plan_mix(mx.measured(docs_of(spark, []))).collect() == []
