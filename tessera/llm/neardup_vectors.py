@@ -12,16 +12,20 @@ computed anew in double precision. The bound holds always, not just with high
 probability, so no pair at or above the threshold is lost.
 
 Candidates come from the codes themselves. Vectors with cosine >= t lie within
-``R^2 = 2 - 2t``; cut into blocks of 16 rotated coordinates, one block holds
-at most ``R^2 / blocks`` of it. There a coordinate whose sign differs moved by
+``R^2 = 2 - 2t``; cut into blocks of rotated coordinates, one block holds at
+most ``R^2 / blocks`` of it. There a coordinate whose sign differs moved by
 ``|a_i| + |b_i|``, so one of the two vectors reaches the other's block code by
 flipping coordinates whose squares sum to at most ``R^2 / (2 blocks)``: each
 vector is stored under its own block codes and looked up under all such
-flipped ones. This too loses no pair.
+flipped ones. This too loses no pair. Wide blocks have more flipped codes, narrow
+ones more vectors under each code: the width is chosen from the size of the
+largest label (``block_width``), so that work per vector grows far slower than
+the label.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,11 +37,12 @@ from tessera.llm.common import components, materialise, pick
 
 THRESHOLD = 0.98
 ROTATION_SEED = 20240521
-BLOCK = 16
+#: Block widths that are weighed up.
+WIDTHS = (8, 12, 16, 20, 24, 28, 32)
 #: Room for floating-point rounding in bounds (cosines are exact to about 1e-15).
 SLACK = 1e-9
 
-_CODES = "cls string, label string, dim int, block int, key int, home boolean, code binary, c double, planes binary, lo double, step double, err double"
+_CODES = "cls string, label string, dim int, block int, key long, home boolean, code binary, c double, planes binary, lo double, step double, err double"
 
 
 _ROTATIONS: dict[tuple[int, int], np.ndarray] = {}
@@ -51,14 +56,34 @@ def rotation(dim: int, seed: int = ROTATION_SEED) -> np.ndarray:
     return _ROTATIONS[dim, seed]
 
 
-def padded(dim: int) -> int:
-    return -(-dim // BLOCK) * BLOCK
+def padded(dim: int, width: int) -> int:
+    """Least multiple of the width that holds ``dim`` coordinates, a multiple of 8 too (codes are bytes)."""
+    return -(-dim // math.lcm(width, 8)) * math.lcm(width, 8) if width % 8 else -(-dim // width) * width
 
 
-def encode(x: np.ndarray) -> dict[str, np.ndarray]:
+def reach(dim: int, width: int, threshold: float) -> float:
+    """Sum of squares that flipped coordinates of one block may have."""
+    return (2 - 2 * threshold) / (2 * (padded(dim, width) // width)) * (1 + 1e-6) + SLACK
+
+
+def block_width(dim: int, rows: int, threshold: float) -> int:
+    """The width with the least work for ``rows`` vectors of a label: flipped codes per vector, each of which meets
+    rows / 2^width vectors. The number of codes is measured on a few random directions of that dimension."""
+    x = np.random.default_rng(1).standard_normal((32, dim))
+    work = {}
+    for w in WIDTHS:
+        if w <= dim or w == WIDTHS[0]:
+            codes = len(lookups(encode(x, w)["v"], reach(dim, w, threshold), w)[0]) / len(x)
+            work[w] = codes * (1 + rows / 2.0 ** w)
+            if codes > 1e5:
+                break
+    return min(work, key=work.get)
+
+
+def encode(x: np.ndarray, width: int = 16) -> dict[str, np.ndarray]:
     """Codes and correction factors of vectors (rows of ``x``, none zero), after normalising and rotating."""
     n, dim = x.shape
-    d = padded(dim)
+    d = padded(dim, width)
     unit = np.zeros((n, d))
     unit[:, :dim] = x / np.abs(x).max(axis=1, keepdims=True)
     unit /= np.linalg.norm(unit, axis=1, keepdims=True)
@@ -88,17 +113,17 @@ def estimate_bound(code, c, planes, lo, step, err, threshold: float):
     return raw / c, width
 
 
-def lookups(v: np.ndarray, limit: float):
+def lookups(v: np.ndarray, limit: float, width: int = 16):
     """All block codes under which each vector is looked up: (row, block, key, is its own code)."""
     n, d = v.shape
     rows, blocks, keys, own = [], [], [], []
-    weight = 1 << np.arange(BLOCK)
-    for b in range(d // BLOCK):
-        part = v[:, b * BLOCK:(b + 1) * BLOCK]
+    weight = 1 << np.arange(width)
+    for b in range(d // width):
+        part = v[:, b * width:(b + 1) * width]
         key, sq = (part >= 0) @ weight, part * part
         row, total = np.arange(n), np.zeros(n)
         first = np.ones(n, dtype=bool)
-        for k in range(BLOCK):
+        for k in range(width):
             more = total + sq[row, k]
             take = more <= limit
             row, total, key, first = (np.concatenate([row, row[take]]), np.concatenate([total, more[take]]),
@@ -107,14 +132,15 @@ def lookups(v: np.ndarray, limit: float):
     return tuple(np.concatenate(x) for x in (rows, blocks, keys, own))
 
 
-def _code_rows(parts: Iterator[pd.DataFrame], threshold: float) -> Iterator[pd.DataFrame]:
+def _code_rows(parts: Iterator[pd.DataFrame], threshold: float, widths: dict[int, int]) -> Iterator[pd.DataFrame]:
     for pdf in parts:
         for dim, same in pdf.groupby("dim", sort=False):
-            for s in range(0, len(same), 1024):
-                some = same.iloc[s:s + 1024]
-                e = encode(np.stack(some["vec"].to_numpy()).astype(np.float64))
-                limit = (2 - 2 * threshold) / (2 * (padded(int(dim)) // BLOCK)) * (1 + 1e-6) + SLACK
-                row, block, key, home = lookups(e["v"], limit)
+            width = widths[int(dim)]
+            step = 1024 if width <= 16 else 64
+            for s in range(0, len(same), step):
+                some = same.iloc[s:s + step]
+                e = encode(np.stack(some["vec"].to_numpy()).astype(np.float64), width)
+                row, block, key, home = lookups(e["v"], reach(int(dim), width, threshold), width)
                 cls, label = some["cls"].to_numpy(), some["label"].to_numpy()
                 code = np.array([x.tobytes() for x in e["code"]], dtype=object)
                 planes = np.array([x.tobytes() for x in e["planes"]], dtype=object)
@@ -149,8 +175,11 @@ def vector_links(vectors: DataFrame, threshold: float = THRESHOLD) -> tuple[Data
     members = materialise(v.select("vec_id", F.when(F.coalesce(fit, F.lit(False)), cls).alias("cls"), "label", F.when(fit, x).alias("vec")))
     classes = materialise(members.where("cls is not null").groupBy("cls").agg(
         F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("low"), F.any_value("label").alias("label"), F.any_value("vec").alias("vec")))
+    # one row per length of vector: the most classes that a label has of it
+    most = classes.groupBy("label", F.size("vec").alias("dim")).count().groupBy("dim").agg(F.max("count").alias("most")).collect()
+    widths = {r["dim"]: block_width(r["dim"], r["most"], threshold) for r in most}
     codes = materialise(classes.select("cls", "label", F.size("vec").alias("dim"), "vec")
-                        .mapInPandas(lambda parts: _code_rows(parts, threshold), _CODES))
+                        .mapInPandas(lambda parts: _code_rows(parts, threshold, widths), _CODES))
     place = ["label", "dim", "block", "key"]
     homes = codes.where("home").select(*place, F.col("cls").alias("other"), "planes", "lo", "step", "err")
     looks = codes.select(*place, "cls", "code", "c")

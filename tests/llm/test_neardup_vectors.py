@@ -51,6 +51,27 @@ def test_against_brute_force(spark, dim, noise):
     assert sorted([tuple(r) for r in got.select("vec_id", "n_links", "component_id", "kept").collect()], key=str) == brute(rows, nv.THRESHOLD)
 
 
+@pytest.mark.parametrize("width", [8, 12, 20, 24])
+def test_any_block_width_gives_the_same(spark, monkeypatch, width):
+    monkeypatch.setattr(nv, "WIDTHS", (width,))
+    rows = cloud(width, 24, 90, 0.06)
+    got = nv.near_duplicate_vectors(spark.createDataFrame(rows, SCHEMA))
+    assert sorted([tuple(r) for r in got.select("vec_id", "n_links", "component_id", "kept").collect()], key=str) == brute(rows, nv.THRESHOLD)
+
+
+def test_wider_blocks_for_larger_labels_keep_the_work_per_vector_down():
+    def work(rows):
+        w = nv.block_width(64, rows, 0.98)
+        x = np.random.default_rng(1).standard_normal((32, 64))
+        return w, len(nv.lookups(nv.encode(x, w)["v"], nv.reach(64, w, 0.98), w)[0]) / 32 * (1 + rows / 2 ** w)
+
+    sizes = [10 ** k for k in range(3, 9)]
+    got = [work(n) for n in sizes]
+    assert [w for w, _ in got] == sorted(w for w, _ in got) and got[-1][0] > got[0][0]
+    # 100,000 times the rows: work per vector grows with a power under one half
+    assert got[-1][1] / got[0][1] < (sizes[-1] / sizes[0]) ** 0.5
+
+
 def test_empty(spark):
     assert nv.near_duplicate_vectors(spark.createDataFrame([], SCHEMA)).collect() == []
 
