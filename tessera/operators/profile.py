@@ -99,10 +99,18 @@ def group_size_buckets(df: DataFrame, key: str | list[str]) -> DataFrame:
 
 
 def duplicate_count(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Rows repeating an earlier value = rows - distinct (null counts as one value)."""
-    d = df.select(*cols).distinct().agg(F.count(F.lit(1)).alias("__d"))
-    n = df.agg(F.count(F.lit(1)).alias("n_rows"))
-    return attach_row(n, d).select("n_rows", (F.col("n_rows") - F.col("__d")).alias("n_duplicates"))
+    """Rows repeating an earlier value = rows - distinct (null counts as one value).
+
+    One pass; rows are grouped by a SHA-256 digest of the columns, so long texts are never a shuffle key.
+    """
+    per = df.select(_digest(cols).alias("__d")).groupBy("__d").agg(F.count(F.lit(1)).alias("n"))
+    return per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n_duplicates"))
+
+
+def _digest(cols: list[str]):
+    """SHA-256 of the columns' values; lengths and nulls are part of what is hashed, so no two rows of values share a digest."""
+    one = lambda c: F.coalesce(F.concat(F.octet_length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")), F.lit("-"))
+    return F.unhex(F.sha2(F.concat(*[one(c) for c in cols]), 256))
 
 
 def top_values(df: DataFrame, col: str, n: int) -> DataFrame:
@@ -189,7 +197,7 @@ def interaction_stats(df: DataFrame, user: str, item: str) -> DataFrame:
 def noise_flags(df: DataFrame, id_col: str, text: str, dup_col: str, min_chars: int = 5) -> DataFrame:
     """Flags for null/blank/short text and for a value repeated in other rows."""
     t = F.trim(F.col(text))
-    dup = group_sizes(df, dup_col).select(dup_col, (F.col("size") > 1).alias("repeated"))
-    return (df.join(dup, dup_col, "left")
-              .select(id_col, F.col(text).isNull().alias("is_null"), (t == "").alias("is_blank"),
-                      (F.char_length(t) < min_chars).alias("is_short"), F.coalesce("repeated", F.lit(False)).alias("is_repeated")))
+    # only the flags and a digest of the value go through the join, never the texts
+    d = df.select(id_col, F.col(text).isNull().alias("is_null"), (t == "").alias("is_blank"), (F.char_length(t) < min_chars).alias("is_short"), _digest([dup_col]).alias("__d"))
+    dup = d.groupBy("__d").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("__d", F.lit(True).alias("is_repeated"))
+    return d.join(dup, "__d", "left").select(id_col, "is_null", "is_blank", "is_short", F.coalesce("is_repeated", F.lit(False)).alias("is_repeated"))

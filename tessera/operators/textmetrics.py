@@ -1,9 +1,8 @@
 """Text-generation metrics (V13-V15, G11, G14) over token arrays, in long form.
 
 Inputs are tables with a row key and two token arrays (hypothesis and
-reference). N-grams are exploded to rows, counted per row and clipped by a
-join: everything is a group-by, so corpora of any size and texts of any
-length are processed whole.
+reference). N-grams are counted where the row is, a batch of rows at a time,
+and only the counts are summed by Spark; texts of any length are whole.
 """
 
 from __future__ import annotations
@@ -11,84 +10,65 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import word_ngrams
-from tessera.functions.rows import attach_row
-
-
-def _tagged(arr: str, ns: list[int], side: int):
-    def tag(n):
-        return F.transform(word_ngrams(arr, n), lambda g: F.struct(F.lit(n).alias("n"), g.alias("g"),
-                                                                  F.lit(side).alias("s")))
-    return [tag(n) for n in ns]
-
-
-def _grams(df: DataFrame, key: list[str], arr: str, ns: list[int]) -> DataFrame:
-    """(key..., n, g, cnt): n-gram counts of one token array column."""
-    return (df.select(*key, F.explode(F.concat(*_tagged(arr, ns, 0))).alias("x"))
-              .select(*key, F.col("x.n").alias("n"), F.col("x.g").alias("g"))
-              .groupBy(*key, "n", "g").agg(F.count(F.lit(1)).alias("cnt")))
-
-
-def _clipped(df: DataFrame, key: list[str], hyp: str, ref: str, ns: list[int]) -> DataFrame:
-    """(key..., n, g, cnt, rcnt, clip) for every hypothesis n-gram.
-
-    Both sides' n-grams come out of one explode, tagged by side, and are
-    counted by a single aggregation (partial counts combine map-side), so
-    no join of two count tables is needed.
-    """
-    x = df.select(*key, F.explode(F.concat(*_tagged(hyp, ns, 0), *_tagged(ref, ns, 1))).alias("x"))
-    c = (x.select(*key, F.col("x.n").alias("n"), F.col("x.g").alias("g"), F.col("x.s").alias("s"))
-          .groupBy(*key, "n", "g").agg(F.sum(1 - F.col("s")).alias("cnt"), F.sum("s").alias("rcnt")))
-    return c.filter(F.col("cnt") > 0).withColumn("clip", F.least("cnt", "rcnt"))
 
 
 def _make_ngram_stats(ns: list[int]):
-    """Per-row n-gram statistics, built as a closure so it ships to Python workers by value.
+    """Per-row n-gram statistics of a batch of token lists, built as a closure so it ships to Python workers by value.
 
-    For each n: [clipped matches, hypothesis n-grams, reference n-grams,
-    hypothesis n-grams (with multiplicity) whose gram occurs in the reference].
+    For each n: clipped matches, hypothesis n-grams, reference n-grams,
+    hypothesis n-grams (with multiplicity) whose gram occurs in the reference.
+    The batch's tokens are numbered once; an n-gram's number comes from those
+    of its first n-1 tokens and its last, so equal numbers mean equal n-grams
+    exactly, and whole batches are counted by sorting numbers.
     """
-    from collections import Counter
-
-    def stats(h, r) -> list:
-        h = list(h) if h is not None else []
-        r = list(r) if r is not None else []
-        out = []
-        for n in ns:
-            hc = Counter(tuple(h[i:i + n]) for i in range(len(h) - n + 1))
-            rc = Counter(tuple(r[i:i + n]) for i in range(len(r) - n + 1))
-            match = covered = 0
-            for g, c in hc.items():
-                rcg = rc.get(g)
-                if rcg:
-                    match += min(c, rcg)
-                    covered += c
-            out += [match, max(len(h) - n + 1, 0), max(len(r) - n + 1, 0), covered]
-        return out
+    import numpy as np
+    import pyarrow as pa
+
+    def stats(h: pa.Array, r: pa.Array) -> pa.Array:
+        rows = len(h)
+        token = pa.concat_arrays([h.flatten(), r.flatten()]).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        size = np.concatenate([x.value_lengths().fill_null(0).to_numpy(zero_copy_only=False) for x in (h, r)]).astype(np.int64)
+        # side 0 is rows 0.., side 1 rows ``rows``..
+        row = np.repeat(np.arange(2 * rows), size)
+        width, gram, out = int(token.max(initial=0)) + 2, token, []
+        for n in range(1, max(ns) + 1):
+            if n > 1:
+                gram, row = gram[:-1], row[:-1]
+                inside = row == whole[n - 1:]
+                gram = np.unique(gram * width + (token[n - 1:] + 1), return_inverse=True)[1]
+            else:
+                whole, inside = row, np.ones(len(row), bool)
+            if n in ns:
+                g, at = gram[inside], row[inside]
+                span = int(g.max(initial=0)) + 1
+                key, count = np.unique(at * span + g, return_counts=True)
+                hyp = key < rows * span
+                both, i, j = np.intersect1d(key[hyp], key[~hyp] - rows * span, assume_unique=True, return_indices=True)
+                of, ch, cr = both // span, count[hyp][i], count[~hyp][j]
+                left = np.maximum(size - n + 1, 0)
+                out += [np.bincount(of, weights=np.minimum(ch, cr), minlength=rows), left[:rows], left[rows:], np.bincount(of, weights=ch, minlength=rows)]
+        table = np.stack(out, axis=1).astype(np.int64) if rows else np.zeros((0, 4 * len(ns)), np.int64)
+        return pa.ListArray.from_arrays(np.arange(rows + 1, dtype=np.int32) * table.shape[1], pa.array(table.ravel()))
     return stats
 
 
 def ngram_stats(df: DataFrame, key: list[str], hyp: str, ref: str, ns: list[int]) -> DataFrame:
-    """(key..., n, match, nh, nr, covered) per row and n, from one Arrow-batched pandas UDF.
+    """(key..., n, match, nh, nr, covered) per row and n, from one Arrow UDF that counts whole batches.
 
     N-gram counting is per document, so it runs where the document already is:
     no n-gram rows are materialised or shuffled; only the per-row numbers
-    leave the task. ``_clipped`` is the same statistic in long form.
+    leave the task.
     """
-    import pandas as pd
-    from pyspark.sql.functions import pandas_udf
-
-    one = _make_ngram_stats(ns)
-
-    def batch(h, r):
-        return pd.Series([one(x, y) for x, y in zip(h, r)])
+    import pyarrow as pa
+    from pyspark.sql.functions import arrow_udf
 
-    batch.__annotations__ = {"h": pd.Series, "r": pd.Series, "return": pd.Series}
-    udf = pandas_udf(batch, "array<long>")
+    batch = _make_ngram_stats(ns)
+    batch.__annotations__ = {"h": pa.Array, "r": pa.Array, "return": pa.Array}
+    udf = arrow_udf(batch, "array<long>")
     d = df.select(*key, udf(F.col(hyp), F.col(ref)).alias("__st"))
     parts = [F.struct(F.lit(n).alias("n"), *[F.col("__st")[4 * i + j].alias(nm)
                                               for j, nm in enumerate(("match", "nh", "nr", "covered"))])
-             for i, n in enumerate(ns)]
+             for i, n in enumerate(sorted(ns))]
     return d.select(*key, F.explode(F.array(*parts)).alias("x")).select(*key, "x.*")
 
 
@@ -121,13 +101,6 @@ def corpus_bleu(df: DataFrame, key: list[str], hyp: str = "hyp", ref: str = "ref
     return j.select(bleu.alias("bleu"), bp.alias("brevity_penalty"), "hyp_len", "ref_len")
 
 
-def bleu_precisions(df: DataFrame, key: list[str], hyp: str = "hyp", ref: str = "ref", max_n: int = 4) -> DataFrame:
-    """Per-n clipped matches and totals (the modified precisions behind V13)."""
-    ns = list(range(1, max_n + 1))
-    c = _clipped(df.filter(F.size(ref) > 0), key, hyp, ref, ns)
-    return c.groupBy("n").agg(F.sum("clip").alias("match"), F.sum("cnt").alias("total"))
-
-
 def rouge_n(df: DataFrame, key: list[str], n: int, hyp: str = "hyp", ref: str = "ref") -> DataFrame:
     """V15 (ROUGE-1/2): per-row n-gram overlap recall, precision and F1."""
     j = ngram_stats(df, key, hyp, ref, [n])
