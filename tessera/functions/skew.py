@@ -94,31 +94,41 @@ def salted_self_join(left: DataFrame, right: DataFrame, key: str, left_id: str,
     return l.join(r, [key, "__salt"]).drop("__salt")
 
 
-def prefix_sums(df: DataFrame, order_col: str, sum_cols: list[str], buckets: int = 64,
-                prefix: str = "below_", totals: bool = False) -> DataFrame:
+def salted_left_join(left: DataFrame, right: DataFrame, key: str, spread: list[str], threshold: int = HOT_KEY_ROWS, salts: int = HOT_SALTS) -> DataFrame:
+    """Left join to a lookup table with one row per ``key``; a hot key's left rows are dealt over ``salts`` tasks by a hash of ``spread``.
+
+    The lookup rows of hot keys are repeated once per salt; the others join as they are.
+    """
+    hk = F.broadcast(hot_keys(left, key, threshold))
+    l = (left.join(hk, key, "left")
+             .withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(*spread), F.lit(salts))).otherwise(F.lit(0)).cast("long")).drop("__hot"))
+    r = (right.join(hk, key, "left")
+              .withColumn("__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
+                                              .otherwise(F.array(F.lit(0).cast("long"))))).drop("__hot"))
+    return l.join(r, [key, "__salt"], "left").drop("__salt")
+
+
+def prefix_sums(df: DataFrame, order_col: str, sum_cols: list[str], prefix: str = "below_", totals: bool = False) -> DataFrame:
     """Exclusive running sums in ``order_col`` order, without a global window.
 
     For each row, ``below_<c>`` = sum of ``c`` over rows with a smaller order
     value (``df`` should hold one row per distinct order value, e.g. after a
-    group-by score). Rows are range-bucketed by approximate quantile edges
-    (a bounded list of ``buckets - 1`` numbers); bucket totals give offsets
-    through a tiny window; the running sum then runs per bucket in parallel.
+    group-by score). A range sort lays the rows out over as many partitions as
+    the shuffle has; partition totals give offsets through a window over one
+    row per partition, and the running sum runs inside each partition.
     """
     from tessera.session import cut_lineage
-    df = cut_lineage(df)  # read by the quantile job, the bucket totals and the running sums
-    probs = [i / buckets for i in range(1, buckets)]
-    edges = sorted(set(df.approxQuantile(order_col, probs, 0.001))) if buckets > 1 else []
-    edge_arr = F.array(*[F.lit(float(e)) for e in edges]) if edges else F.array().cast("array<double>")
-    d = df.withColumn("__b", F.size(F.filter(edge_arr, lambda e: e <= F.col(order_col))))
+    # ids depend on the physical partitioning of the sort: materialise them once (see dense_index)
+    d = cut_lineage(df.orderBy(order_col).withColumn("__mid", F.monotonically_increasing_id())).withColumn("__b", F.shiftright("__mid", 33))
     tot = d.groupBy("__b").agg(*[F.sum(x).alias(f"__t_{x}") for x in sum_cols])
     wb = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.select("__b", *[F.coalesce(F.sum(f"__t_{x}").over(wb), F.lit(0)).alias(f"__o_{x}") for x in sum_cols],
                       *[F.sum(f"__t_{x}").over(Window.partitionBy(F.lit(0))).alias(f"total_{x}") for x in sum_cols])
-    wr = Window.partitionBy("__b").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-    out = d.join(F.broadcast(offs), "__b")  # offs has <= buckets rows
+    wr = Window.partitionBy("__b").orderBy("__mid").rowsBetween(Window.unboundedPreceding, -1)
+    out = d.join(F.broadcast(offs), "__b")  # one row per partition
     for x in sum_cols:
         out = out.withColumn(f"{prefix}{x}", F.coalesce(F.sum(x).over(wr), F.lit(0)) + F.col(f"__o_{x}"))
-    out = out.drop("__b", *[f"__o_{x}" for x in sum_cols])
+    out = out.drop("__b", "__mid", *[f"__o_{x}" for x in sum_cols])
     return out if totals else out.drop(*[f"total_{x}" for x in sum_cols])
 
 

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from tessera.functions.exprs import WORD, bind, c, char_ngrams, collapse_spaces, simple_tokens, word_ngrams, word_tokens
 from tessera.functions.rows import attach_row
-from tessera.functions.skew import dense_index
+from tessera.functions.skew import dense_index, salted_left_join, salted_self_join
+from tessera.session import cut_lineage
 
 # Special token ids of the sequence models.
 PAD, SOS, EOS, UNK = 0, 1, 2, 3
@@ -51,7 +52,7 @@ def build_vocab(tok_rows: DataFrame, min_freq: int = 2) -> DataFrame:
 def encode_tokens(tok_rows: DataFrame, key: list[str], vocab: DataFrame, sos_eos: bool = True) -> DataFrame:
     """Token ids (unknown -> UNK) re-collected in position order, wrapped in SOS ... EOS."""
     v = vocab.select("token", F.col("id").alias("__id"))
-    j = tok_rows.join(v, "token", "left").withColumn("__id", F.coalesce("__id", F.lit(UNK)).cast("long"))
+    j = salted_left_join(tok_rows, v, "token", [*key, "pos"]).withColumn("__id", F.coalesce("__id", F.lit(UNK)).cast("long"))
     ids = F.transform(F.array_sort(F.collect_list(F.struct("pos", "__id"))), lambda s: s["__id"])
     out = j.groupBy(*key).agg(ids.alias("ids"))
     if sos_eos:
@@ -90,11 +91,14 @@ def decode_ids(df: DataFrame, key: list[str], ids: str, vocab: DataFrame) -> Dat
 
 def oov_report(tok_rows: DataFrame, vocab: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Unknown-token rate and the share of distinct tokens covered by the vocabulary."""
-    j = tok_rows.join(vocab.select("token", F.lit(True).alias("__in")), "token", "left")
+    # tokens are counted first, so that a hot one is a single row of the join and distinct tokens are rows
+    c_ = tok_rows.groupBy(*(by or []), "token").agg(F.count(F.lit(1)).alias("__n"))
+    j = c_.join(vocab.select("token", F.lit(True).alias("__in")), "token", "left")
+    unknown = F.col("__in").isNull()
     return j.groupBy(*(by or [])).agg(
-        F.count(F.lit(1)).alias("n_tokens"),
-        F.avg(F.col("__in").isNull().cast("double")).alias("unk_rate"),
-        (F.countDistinct(F.when(F.col("__in"), F.col("token"))) / F.countDistinct("token")).alias("type_coverage"))
+        F.coalesce(F.sum("__n"), F.lit(0)).alias("n_tokens"),
+        (F.sum(F.when(unknown, F.col("__n")).otherwise(0)) / F.sum("__n")).alias("unk_rate"),
+        (F.sum((~unknown).cast("long")) / F.count(F.lit(1))).alias("type_coverage"))
 
 
 def ngram_rows(df: DataFrame, key: list[str], text: str, kind: str = "word", lo: int = 1, hi: int = 2,
@@ -124,15 +128,17 @@ def idf_table(tf: DataFrame, doc: str, min_df: int = 1, max_features: int | None
 def tfidf(term_rows: DataFrame, doc: str, min_df: int = 1, max_features: int | None = None) -> DataFrame:
     """Raw tf x (ln((1+N)/(1+df)) + 1), rows L2-normalised; min_df filter; keep the
     ``max_features`` terms of highest total count (ties by term). Long output ``(doc, term, weight)``."""
-    tf = term_rows.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
+    # the counts are read by the idf and the weights: terms are cut and counted once
+    tf = cut_lineage(term_rows.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf")))
     return tfidf_from_tf(tf, doc, idf_table(tf, doc, min_df, max_features))
 
 
 def tfidf_from_tf(tf: DataFrame, doc: str, idf: DataFrame) -> DataFrame:
     """T12 from a ``(doc, term, tf)`` table and an idf table: tf x idf, L2-normalised per document."""
-    w = tf.join(idf.select("term", "idf"), "term").withColumn("w", F.col("tf") * F.col("idf"))
-    norm = w.groupBy(doc).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("__n"))
-    return w.join(norm, doc).select(doc, "term", (F.col("w") / F.col("__n")).alias("weight"))
+    # a term's documents meet one idf row: the documents of a hot term are salted
+    w = salted_self_join(tf, idf.select("term", "idf"), "term", doc).withColumn("w", F.col("tf") * F.col("idf"))
+    w = w.groupBy(doc).agg(F.collect_list(F.struct("term", "w")).alias("__t"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("__n"))
+    return w.select(doc, "__n", F.explode("__t").alias("__x")).select(doc, F.col("__x.term").alias("term"), (F.col("__x.w") / F.col("__n")).alias("weight"))
 
 
 def sessionize_on_change(df: DataFrame, part: str, order: str, key: str, out: str = "session") -> DataFrame:

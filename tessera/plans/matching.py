@@ -13,6 +13,7 @@ from tessera.plans.common import round_doubles
 from tessera.plans.registry import register
 from tessera.plans.standins import LISTINGS_SQL, listings
 from tessera.plans.textplans import CHAR_TFIDF_SQL, char_tfidf
+from tessera.session import cut_lineage
 from tessera.sources.tables import table
 
 POS_SQL = LISTINGS_SQL + """,
@@ -40,7 +41,7 @@ def _pos(spark, sf):
 
 def _pairs(spark, sf):
     lst = listings(spark, sf)
-    pos = pr.positive_pairs(lst, "posting_id", "label_group")
+    pos = cut_lineage(pr.positive_pairs(lst, "posting_id", "label_group"))
     neg = pr.negative_pairs(lst, "posting_id", "label_group", pos.agg(F.count(F.lit(1)).alias("n")))
     return pr.labelled_pairs(pos, neg)
 
@@ -69,7 +70,8 @@ scored AS (SELECT p.id_a, p.id_b, p.label, coalesce(s.cosine, 0.0) AS cosine FRO
 
 
 def _scored_pairs(spark, sf):
-    vecs = char_tfidf(spark, sf).withColumnRenamed("posting_id", "id")
+    # read by both sides of the pairs
+    vecs = cut_lineage(char_tfidf(spark, sf).withColumnRenamed("posting_id", "id"))
     return sim.pair_cosine_sparse(_pairs(spark, sf), vecs)
 
 
