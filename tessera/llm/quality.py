@@ -4,7 +4,8 @@ A logistic classifier turns a document's own text into evidence. Grouped sums
 of that evidence give each host a posterior mean that is shrunk towards the
 global prior, and each path of a host one that is shrunk towards its host;
 how strongly is estimated from the spread between sites (method of moments).
-A document's score is its evidence with the prior replaced by its path's.
+A document's score is its evidence with the prior replaced by its path's,
+which is made of the other documents of the path and its host.
 """
 
 from __future__ import annotations
@@ -81,36 +82,39 @@ def _logit(p: Column) -> Column:
 
 
 def _strength(sites: DataFrame, mean: Column) -> float:
-    """Documents' worth of prior, from the spread of site means beyond what sampling explains (one row to the driver)."""
+    """Documents' worth of prior that a site's own mean is weighed against: within-site variance over the variance of sites.
+
+    Both come from grouped sums (n, s, squares) by the method of moments: the
+    spread of site means round their prior beyond what the scatter of
+    documents round their own site's mean explains. One row to the driver.
+    """
     r = sites.withColumn("prior", mean).where("n > 0").agg(
-        F.sum(F.col("n") * F.pow(F.col("s") / F.col("n") - F.col("prior"), 2)).alias("spread"),
-        F.sum(F.col("q") / F.col("n")).alias("noise"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"),
-        F.sum(F.col("n") * F.col("prior") * (1 - F.col("prior"))).alias("var")).first()
-    if not r["n"]:
+        F.sum(F.col("q") - F.col("s") * F.col("s") / F.col("n")).alias("within"), F.sum(F.col("n") * F.pow(F.col("s") / F.col("n") - F.col("prior"), 2)).alias("spread"),
+        F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn"), F.count(F.lit(1)).alias("k")).first()
+    if not r["n"] or r["n"] <= r["k"]:
         return MOST_STRENGTH
-    between = (r["spread"] - r["noise"]) / r["n"]
+    within = max(0.0, r["within"]) / (r["n"] - r["k"])
+    between = (r["spread"] - r["k"] * within) / r["n"]
     if between <= 0:
         return MOST_STRENGTH
-    return float(min(MOST_STRENGTH, max(LEAST_STRENGTH, r["var"] / r["n"] / between - 1)))
+    return float(min(MOST_STRENGTH, max(LEAST_STRENGTH, within / between)))
 
 
 class Fitted:
-    """The classifier's weights and the posterior of every site (a table: host, path, host_posterior, path_posterior)."""
+    """The classifier's weights, and what every site's posterior is made of (a table: sums of hosts and of their paths)."""
 
     def __init__(self, narrow: DataFrame, labels: DataFrame):
         self.weights, self.bias, prior = fit_evidence(narrow, labels)
         scored = narrow.withColumn("p_text", self.p_text(F.col("f")))
-        paths = materialise(scored.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("p_text").alias("s"),
-                                                               F.sum(F.pow(F.col("p_text") - F.lit(prior), 2)).alias("q")))
+        paths = materialise(scored.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("p_text").alias("s"), F.sum(F.col("p_text") * F.col("p_text")).alias("q")))
         hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q"))
         world = hosts.agg(F.sum("n").alias("n"), F.sum("s").alias("s")).first()
-        self.mean = mean = world["s"] / world["n"] if world["n"] else prior
-        k_host = _strength(hosts, F.lit(mean))
-        hosts = hosts.select(F.col("host").alias("h"), ((F.col("s") + k_host * mean) / (F.col("n") + k_host)).alias("host_posterior"))
-        sites = materialise(paths.join(hosts, F.col("host").eqNullSafe(F.col("h"))).drop("h"))
-        k_path = _strength(sites, F.col("host_posterior"))
-        self.sites = materialise(sites.select(F.col("host").alias("site_host"), F.col("path").alias("site_path"), "host_posterior",
-                                              ((F.col("s") + k_path * F.col("host_posterior")) / (F.col("n") + k_path)).alias("path_posterior")))
+        self.mean = world["s"] / world["n"] if world["n"] else prior
+        self.k_host = _strength(hosts, F.lit(self.mean))
+        hosts = hosts.select(F.col("host").alias("site_host"), F.col("n").alias("host_n"), F.col("s").alias("host_s"))
+        sites = materialise(paths.join(hosts, F.col("host").eqNullSafe(F.col("site_host"))))
+        self.k_path = _strength(sites, (F.col("host_s") + self.k_host * self.mean) / (F.col("host_n") + self.k_host))
+        self.sites = materialise(sites.select("site_host", F.col("path").alias("site_path"), "host_n", "host_s", F.col("n").alias("path_n"), F.col("s").alias("path_s")))
 
     def p_text(self, f: Column) -> Column:
         """Probability of good quality from the features alone."""
@@ -120,8 +124,15 @@ class Fitted:
         return 1 / (1 + F.exp(-z))
 
     def scored(self, rows: DataFrame, host: Column, path: Column) -> DataFrame:
-        """``rows`` (with p_text) plus host_posterior, path_posterior and score."""
+        """``rows`` (with p_text) plus host_posterior, path_posterior and score.
+
+        A document's own evidence is taken out of its host's and its path's
+        sums first: it must not count twice.
+        """
         out = rows.join(self.sites, host.eqNullSafe(F.col("site_host")) & path.eqNullSafe(F.col("site_path")), "left")
+        own = F.col("p_text")
+        out = out.withColumn("host_posterior", (F.col("host_s") - own + self.k_host * self.mean) / (F.col("host_n") - 1 + self.k_host))
+        out = out.withColumn("path_posterior", (F.col("path_s") - own + self.k_path * F.col("host_posterior")) / (F.col("path_n") - 1 + self.k_path))
         odds = _logit(F.col("p_text")) - _logit(F.lit(self.mean)) + _logit(F.col("path_posterior"))
         return out.withColumn("score", 1 / (1 + F.exp(-odds)))
 
@@ -137,7 +148,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, host: str = "source", pa
 
     ``host`` and ``path`` name the columns of the two site levels (of
     ``documents``: source, and lang within it). p_text is the classifier's
-    probability from the text alone; keep is ``score >= threshold``.
+    probability from the text alone, the posteriors are those that the site's
+    other documents give; keep is ``score >= threshold``.
 
     Nulls: a null or empty text has zero features; null hosts and paths are
     sites of their own; null doc_ids are scored but never labelled. Repeated
@@ -154,6 +166,10 @@ def score_documents(docs: DataFrame, labels: DataFrame, host: str = "source", pa
 def keep_good(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the documents the classifier rejects; all columns pass through.
 
+    Null, empty and repeated rows, null sites and empty tables are treated as
+    in ``score_documents``: judged like any other row, so an empty table gives
+    an empty one and without labels everything stays.
+
     Once fitted, a row is judged by its own text and its site, so the features
     are computed a second time beside the text instead of shuffling the texts
     to a table of decisions.
