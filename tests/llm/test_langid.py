@@ -1,6 +1,9 @@
+import math
 import zlib
+from collections import Counter
 
 import pytest
+import regex
 from conftest_sf import SF_SMALL
 from helpers_llm import clashing, docs_of
 
@@ -8,20 +11,50 @@ from tessera.llm import langid
 from tessera.llm.common import read
 
 
+def pieces(word, n):
+    marked = word if n == 1 else "_" + word + "_"
+    return [marked[i:i + n] for i in range(len(marked) - n + 1)]
+
+
+class Plain:
+    """The rule over dictionaries: words by smoothed log frequency, unseen ones by the mean of their longest known pieces."""
+
+    def __init__(self, counts, totals, langs):
+        """counts: (order, feature) -> language -> n; totals: (order, language) -> n; order 0 is the words."""
+        self.langs, self.counts = langs, counts
+        size = Counter(k for k, _ in counts)
+        self.log = lambda f: [math.log((counts[f].get(x, 0) + 0.1) / (totals.get((f[0], x), 0) + 0.1 * (size[f[0]] + 1))) for x in langs]
+
+    def word(self, w):
+        for order in (0, 4, 3, 2, 1):
+            known = [f for f in ([(0, w)] if order == 0 else [(order, g) for g in pieces(w, order)]) if f in self.counts]
+            if known:
+                return [sum(col) / len(known) for col in zip(*map(self.log, known))]
+        return [0.0] * len(self.langs)
+
+    def predict(self, text):
+        words = regex.findall(r"\p{L}+", (text or "").lower())
+        if not words or not self.langs:
+            return "und", 0.0
+        total = [0.0] * len(self.langs)
+        for w, n in Counter(words).items():
+            total = [a + n * b for a, b in zip(total, self.word(w))]
+        top = max(total)
+        best = next(i for i, x in enumerate(total) if x >= top - 1e-12 * (1 + abs(top)))
+        return self.langs[best], 1 / sum(math.exp(x - total[best]) for x in total)
+
+
 def plain(rows):
     """Counts over the documents that aren't held out, by a straight loop."""
     counts, totals = {}, {}
     for i, t, lang, *_ in rows:
         if i is None or t is None or lang is None or zlib.crc32(str(i).encode()) % 4 == 2:
             continue
-        for w in langid._WORD.findall(t.lower()):
-            feats = [(0, w)] + [(k, g) for k in langid.ORDERS for g in langid.grams(w, k)]
-            for f in feats:
-                counts.setdefault(f, {}).setdefault(lang, 0)
-                counts[f][lang] += 1
+        for w in regex.findall(r"\p{L}+", t.lower()):
+            for f in [(0, w)] + [(k, g) for k in (4, 3, 2, 1) for g in pieces(w, k)]:
+                counts.setdefault(f, Counter())[lang] += 1
                 totals[f[0], lang] = totals.get((f[0], lang), 0) + 1
-    langs = sorted({x for k, x in totals if k == 0})
-    return langid.Backoff([(k, f, c) for (k, f), c in counts.items()], totals, langs)
+    return Plain(counts, totals, sorted({x for k, x in totals if k == 0}))
 
 
 ROWS = [(i, t, lang) for i, (t, lang) in enumerate([
@@ -52,11 +85,16 @@ def test_labels_and_sources_of_the_predicted_documents_are_not_used(spark):
     assert sorted(a, key=str) == sorted(b, key=str)
 
 
-def test_backoff_order():
-    m = langid.Backoff([(0, "the", {"en": 5}), (4, "_abc", {"fr": 3}), (3, "abz", {"en": 3}), (1, "q", {"fr": 1})],
-                       {(k, x): 5 for k in (0, 1, 2, 3, 4) for x in ("en", "fr")}, ["en", "fr"])
-    assert m.predict("the")[0] == "en" and m.predict("abcd")[0] == "fr" and m.predict("abz")[0] == "en" and m.predict("q")[0] == "fr"
-    assert m.predict("zzz") == ("en", 0.5)  # a tie goes to the first language
+def test_backoff_order(spark):
+    teach = [i for i in range(100) if zlib.crc32(str(i).encode()) % 4 != 2]
+    ask = [i for i in range(100) if zlib.crc32(str(i).encode()) % 4 == 2]
+    rows = [(teach[0], "the the the", "en"), (teach[1], "abcq abcu", "fr"), (teach[2], "xyabz", "en"), (teach[3], "ö", "de")]
+    asked = {"the": "en", "abcd": "fr", "wyabz": "en", "kabz": "en", "ukq": "fr", "öww": "de", "www": "de"}  # a word, pieces of 4, 3 and 1; nothing known ties, by code point
+    rows += [(ask[k], w, None) for k, w in enumerate(asked)]
+    got = {r.doc_id: r.lang_pred for r in langid.identify(docs_of(spark, rows)).collect()}
+    assert {w: got[ask[k]] for k, w in enumerate(asked)} == asked
+    m = plain(rows)
+    assert {w: m.predict(w)[0] for w in asked} == asked
 
 
 def test_held_out_accuracy(spark):
@@ -76,7 +114,8 @@ def test_every_word_gram_and_language_is_kept(spark):
     asked = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 == 2][:70]
     rows += [(i, f"ж{chr(0x4e00 + k)}ф" if k % 2 else f"оя{chr(0x5e00 + k)}дл", None) for k, i in enumerate(asked, 1)]
     m = plain(rows)
-    assert len(m.langs) > 64 and len(m.index[0]) > 100_000 and len(m.index[4]) > 20_000
+    size = Counter(k for k, _ in m.counts)
+    assert len(m.langs) > 64 and size[0] > 100_000 and size[4] > 20_000
     got = {r.doc_id: (r.lang_pred, round(r.score, 9)) for r in langid.identify(docs_of(spark, rows)).collect()}
     assert [got[i][0] for i in asked] == [f"l{k:02d}" for k in range(1, 71)]
     assert all(got[i] == ((p := m.predict(t))[0], round(p[1], 9)) for i, t, _ in rows)

@@ -70,3 +70,46 @@ def test_few_rows_and_none(spark):
     got = sd.shard_records(docs_of(spark, [(1, "a"), (2, "b"), (2, "b")]), 2).collect()
     assert len(got) == 3 and {r.shard for r in got} <= {0, 1}
     assert sd.shard_records(docs_of(spark, [(1, None)] * 5), 4).count() == 5
+
+
+def plain_tree(points, dims, room):
+    """Shard of every point by recursion over lists: exact weighted quantiles along the widest dimension."""
+    out = [None] * len(points)
+
+    def cut(mine, a, b):
+        if b - a == 1:
+            for i in mine:
+                out[i] = a
+            return
+        half = (a + b) // 2
+        if not mine:
+            return
+        wide = max(range(dims), key=lambda d: (max(points[i][1][d] for i in mine) - min(points[i][1][d] for i in mine), -d))
+        weight = Counter()
+        for i in mine:
+            weight[points[i][1][wide]] += points[i][0]
+        want = sum(weight.values()) * (sum(room[a:half]) / sum(room[a:b]) if sum(room[a:b]) else 0.5)
+        run, at = 0, None
+        for x in sorted(weight):
+            if run + weight[x] >= want:
+                # the value at the quantile goes to the side that it misses by less
+                at = x if run + weight[x] - want <= want - run or at is None and len(weight) == 1 else at
+                break
+            run, at = run + weight[x], x
+        left = [i for i in mine if at is not None and points[i][1][wide] <= at]
+        cut(left, a, half)
+        cut([i for i in mine if i not in set(left)], half, b)
+
+    cut(list(range(len(points))), 0, len(room))
+    return out
+
+
+def test_tree_against_plain_weighted_medians(spark):
+    for seed, room in ((1, [1.0] * 8), (2, [5.0, 1.0, 1.0, 0.0, 3.0, 2.0, 2.0]), (3, [1.0, 2.0, 3.0])):
+        rng = random.Random(seed)
+        pts = [(rng.randrange(50, 4000), (rng.randrange(1 << 40), rng.choice([3, 3, 3, rng.randrange(1 << 41)]), rng.randrange(1000))) for _ in range(260)]
+        share = sum(s for s, _ in pts) / sum(room)
+        d = spark.createDataFrame([(i, s, *x) for i, (s, x) in enumerate(pts)], "i long, size long, a long, b long, c long")
+        cuts, leaf = sd.grow_tree(d, ["a", "b", "c"], [x * share for x in room])
+        got = {r.i: leaf[r.node] for r in d.withColumn("node", sd._tree(cuts)).collect()}
+        assert [got[i] for i in range(len(pts))] == plain_tree(pts, 3, room)
