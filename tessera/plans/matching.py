@@ -384,9 +384,10 @@ def q_e21(spark, sf):
 
 
 @register("M05_ablation_table", "WITH " + PAIR_COS_SQL + """,
-cfg AS (SELECT 'text_char' AS config, label, cosine AS s FROM scored
-        UNION ALL SELECT 'constant_half', label, 0.5 FROM scored
-        UNION ALL SELECT 'fused_half', label, 0.5 * cosine + 0.25 FROM scored),
+im AS (SELECT s.label, s.cosine, CAST(a.image_phash = b.image_phash AS INTEGER) AS same FROM scored s JOIN listings a ON a.posting_id = id_a JOIN listings b ON b.posting_id = id_b),
+cfg AS (SELECT 'text_char' AS config, label, cosine AS s FROM im
+        UNION ALL SELECT 'image_hash', label, same FROM im
+        UNION ALL SELECT 'fused_half', label, 0.5 * cosine + 0.5 * same FROM im),
 c AS (SELECT config, sum(CASE WHEN s >= 0.5 AND label = 1 THEN 1 ELSE 0 END) AS tp, sum(CASE WHEN s >= 0.5 AND label = 0 THEN 1 ELSE 0 END) AS fp,
              sum(CASE WHEN s < 0.5 AND label = 1 THEN 1 ELSE 0 END) AS fn FROM cfg GROUP BY 1)
 SELECT config, round(CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END, 6) AS precision,
@@ -394,10 +395,13 @@ SELECT config, round(CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END, 6) AS
        round(CASE WHEN 2 * tp + fp + fn = 0 THEN 0 ELSE 2 * tp / (2 * tp + fp + fn) END, 6) AS f1 FROM c""")
 def q_m05(spark, sf):
     from tessera.operators.basic import predict
-    sp = _scored_pairs(spark, sf)
+    im = listings(spark, sf).select("posting_id", "image_phash")
+    same = (F.col("ha") == F.col("hb")).cast("int")
+    sp = _scored_pairs(spark, sf).join(im.toDF("id_a", "ha"), "id_a").join(im.toDF("id_b", "hb"), "id_b")
+    sp = cut_lineage(sp.select("label", "cosine", same.alias("same")))  # read once per configuration
     runs = None
-    for name, expr in (("text_char", F.col("cosine")), ("constant_half", F.lit(0.5)),
-                       ("fused_half", 0.5 * F.col("cosine") + 0.25)):
+    for name, expr in (("text_char", F.col("cosine")), ("image_hash", F.col("same")),
+                       ("fused_half", 0.5 * F.col("cosine") + 0.5 * F.col("same"))):
         d = predict(sp.withColumn("s", expr), 0.5, "s")
         m = ev.classification_report(d).select(F.lit(name).alias("config"), "precision", "recall", "f1")
         runs = m if runs is None else runs.unionByName(m)

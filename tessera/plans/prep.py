@@ -215,7 +215,7 @@ vocab AS (
 
 def _vocab(spark, sf, rows=None):
     d = (_nulled(spark, sf) if rows is None else rows).filter("split = 'train'")
-    return fe.fit_vocab(d, "p_brand").unionByName(fe.fit_vocab(d, "c_mktsegment"))
+    return fe.fit_vocabs(d, ["p_brand", "c_mktsegment"])
 
 
 @register("F03_fit_category_vocab", "WITH " + VOCAB_SQL + """

@@ -30,8 +30,8 @@ def q_s01(spark, sf):
 def q_s02(spark, sf):
     b, path = table(spark, sf, "benchmark"), _folder(spark)
     one = F.to_json(F.struct(F.col("item_id").cast("string").alias("id"), F.col("text")))
-    b.select(one.alias("value")).write.option("maxRecordsPerFile", 1).text(path)  # one document a file
-    return files.read_json_documents(spark, path, "id")
+    b.select(one.alias("value")).write.text(path)
+    return files.read_json_documents(spark, path, "id", lines=True)
 
 
 @register("S03_read_splits", """

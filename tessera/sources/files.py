@@ -20,15 +20,17 @@ def read_csv_quoted(spark: SparkSession, path: str, schema: T.StructType | str)
     return spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
 
-def read_json_documents(spark: SparkSession, glob: str, id_col: str) -> DataFrame:
-    """A folder of JSON documents keyed by an id *inside* each file.
+def read_json_documents(spark: SparkSession, glob: str, id_col: str, lines: bool = False) -> DataFrame:
+    """A folder of JSON documents keyed by an id *inside* each document.
 
-    Each file is one JSON object ``{id_col: .., "<section>": str | object}``.
+    Each file is one JSON object ``{id_col: .., "<section>": str | object}``, or,
+    with ``lines``, each line of each file is one (large corpora come in few
+    files; those are split and read in parallel).
     Output is flat: ``(doc_key string, section string, text string)`` where an
     object-valued section is flattened to its scalar / array values joined by
     a space (the grounding text of a section).
     """
-    raw = spark.read.text(glob, wholetext=True)
+    raw = spark.read.text(glob, wholetext=not lines)
     m = F.from_json(F.col("value"), "map<string,string>")
     doc = raw.select(m.alias("m"))
     exploded = doc.select(F.col("m")[id_col].alias("doc_key"),
