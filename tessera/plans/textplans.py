@@ -379,6 +379,26 @@ def q_v15l(spark, sf):
     return round_doubles(tm.rouge_l(generated(spark, sf), ["doc_id"]))
 
 
+# the length of the longest common subsequence row by row: a cell is the one before both sides plus a match, or the larger of its neighbours
+@register("V15_rouge_L_turns", f"""WITH RECURSIVE t AS (SELECT conv_id, turn, {SIMPLE_TOKS_SQL.format(t='text')} AS w FROM conversations),
+p AS (SELECT a.conv_id, a.turn, a.w AS hyp, b.w AS ref FROM t a JOIN t b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1),
+dp(conv_id, turn, i, cells) AS (
+  SELECT conv_id, turn, 0, list_transform(range(0, len(ref) + 1), lambda x: CAST(0 AS BIGINT)) FROM p
+  UNION ALL
+  SELECT dp.conv_id, dp.turn, i + 1, list_reduce(list_transform(range(1, len(ref) + 1), lambda j: [cells[j], cells[j + 1], CAST(ref[j] = hyp[i + 1] AS BIGINT)]),
+    lambda acc, x: list_append(acc, CASE WHEN x[3] = 1 THEN x[1] + 1 ELSE greatest(x[2], acc[-1]) END), [CAST(0 AS BIGINT)])
+  FROM dp JOIN p USING (conv_id, turn) WHERE i < len(hyp)),
+l AS (SELECT conv_id, turn, arg_max(cells[-1], i) AS lcs FROM dp GROUP BY 1, 2),
+r AS (SELECT conv_id, turn, lcs, CASE WHEN len(ref) = 0 THEN 0.0 ELSE lcs / len(ref) END AS recall, CASE WHEN len(hyp) = 0 THEN 0.0 ELSE lcs / len(hyp) END AS precision FROM l JOIN p USING (conv_id, turn))
+SELECT conv_id, turn, lcs, round(recall, 6) AS recall, round(precision, 6) AS precision,
+       round(CASE WHEN recall + precision = 0 THEN 0.0 ELSE 2 * recall * precision / (recall + precision) END, 6) AS f1 FROM r""")
+def q_v15l_turns(spark, sf):
+    """Each turn against the one that follows it in its conversation."""
+    t = table(spark, sf, "conversations").select("conv_id", "turn", simple_tokens("text").alias("w"))
+    nxt = t.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("w").alias("ref"))
+    return round_doubles(tm.rouge_l(t.withColumnRenamed("w", "hyp").join(nxt, ["conv_id", "turn"]), ["conv_id", "turn"]))
+
+
 EXAMPLES_SQL = r"""c AS (SELECT conv_id, turn, trim(regexp_replace(regexp_replace(coalesce(text, ''), '[\r\n]+', ' ', 'g'), '\s+', ' ', 'g')) AS t,
                   CASE role WHEN 'user' THEN '<USR1>' WHEN 'assistant' THEN '<USR2>' WHEN 'system' THEN '<SYS>' END AS tag
            FROM conversations),
