@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.skew import salted_self_join
 from tessera.session import checkpoint_dir
 
 #: Fixed value: the six whitespace characters of the word rule ``[^\x20\x09-\x0D]+``.
@@ -100,8 +101,8 @@ def components(edges: DataFrame) -> DataFrame:
     ``root`` is the smallest node of the component. Alternates large-star and
     small-star steps until the edge set stops changing, which is certain to
     happen (after O(log^2 n) rounds); there is no round limit. Every step is a
-    partial aggregate plus an equi-join, so a hub's neighbours spread over
-    tasks; the driver only sees one count and one hash per round.
+    partial aggregate plus an equi-join in which a hub's neighbours are dealt
+    over salted tasks; the driver only sees one count and one hash per round.
     """
     def state(e: DataFrame):
         r = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
@@ -114,10 +115,10 @@ def components(edges: DataFrame) -> DataFrame:
     while seen[0]:
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = (both.where(F.col("v") > F.col("u")).join(low, "u")
+        large = (salted_self_join(both.where(F.col("v") > F.col("u")), low, "u", "v")
                  .select(F.col("v").alias("a"), F.col("m").alias("b")).where(F.col("a") != F.col("b")))
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = (salted_self_join(large, low, "a", "b").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .union(low.select("a", F.col("m").alias("b"))).where(F.col("a") != F.col("b")))
         e = materialise(small.distinct())
         now = state(e)

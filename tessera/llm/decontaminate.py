@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.skew import salted_self_join
 from tessera.llm.common import Wide, let, materialise, pick
 
 #: Token offsets that count, of the fixed masks; the others are ignored. These three meet every alignment of 8 to
@@ -89,7 +90,8 @@ def _verified(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         count = F.greatest(F.col("n") - m[-1], F.lit(0))
         place = F.coalesce(place, F.when((start >= 0) & (start < count), start))
         start = start - count
-    diag = (hits.select("doc_id", "doc_key", "seed", place.alias("doc_place")).join(want, "seed")
+    # a common seed meets every place that items have it at: its documents are dealt over salted tasks
+    diag = (salted_self_join(hits.select("doc_id", "doc_key", "seed", place.alias("doc_place")), want, "seed", "doc_key")
             .select("doc_id", "doc_key", "item_id", "item_key", (F.col("doc_place") - F.col("item_pos")).alias("diag")).distinct())
     diag = materialise(diag)
     # only documents with a hit are read and cut into tokens again
@@ -115,7 +117,12 @@ def _verified(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the rows that overlap an item; all columns pass through (rows of one or no doc_id are judged by their own text)."""
+    """``docs`` without the rows that overlap an item; all columns pass through.
+
+    Rows that share a doc_id, or have none, are judged each by their own text;
+    null and empty texts hold no passage and stay; repeated rows go or stay
+    together. An empty table on either side leaves ``docs`` as it is.
+    """
     w = Wide(docs)
     bad = materialise(_verified(docs, benchmark).select(F.col("doc_id").alias("bad_id"), F.col("doc_key").alias("bad_key")).distinct())
     return w.restore(w.frame.join(bad, w.col("doc_id").eqNullSafe(F.col("bad_id")) & (_text_key(w.col("text")) == F.col("bad_key")), "left_anti"))
