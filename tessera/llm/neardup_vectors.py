@@ -38,7 +38,7 @@ from tessera.llm.common import components, materialise, pick
 THRESHOLD = 0.98
 ROTATION_SEED = 20240521
 #: Block widths that are weighed up.
-WIDTHS = (8, 12, 16, 20, 24, 28, 32)
+WIDTHS = (16, 20, 24, 28, 32)
 #: Room for floating-point rounding in bounds (cosines are exact to about 1e-15).
 SLACK = 1e-9
 

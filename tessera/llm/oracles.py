@@ -8,6 +8,7 @@ models (op7, op10) and the recursive median cuts (op8) have no SQL form.
 from __future__ import annotations
 
 from tessera.llm.licences import TEMPLATES, THRESHOLD
+from tessera.llm.outliers import BOUND, STEPS, WIDEN
 
 _OP1 = """
 WITH RECURSIVE v AS (
@@ -201,5 +202,71 @@ r AS (SELECT vec_id, label, lower(string_agg(printf('%02x', entry), '' ORDER BY
 SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM r, book
 """
 
+def _moments(n: str = "count(*)", x=lambda i: f"x[{i + 1}]") -> str:
+    return ", ".join([f"{n}::DOUBLE AS n", *[f"sum({x(i)})::DOUBLE AS s{i}" for i in range(5)],
+                      *[f"sum({x(i)}::HUGEINT * {x(j)})::DOUBLE AS q{i}{j}" for i in range(5) for j in range(i, 5)]])
+
+
+_AGAIN = ", ".join(["sum(n) AS n", *[f"sum(s{i}) AS s{i}" for i in range(5)], *[f"sum(q{i}{j}) AS q{i}{j}" for i in range(5) for j in range(i, 5)]])
+_MEAN = [f"s{i} / n / 1024" for i in range(5)]
+
+
+def _inverted(src: str, out: str, mean: list[str], cov) -> str:
+    """CTEs that turn ``src`` (key, start, ..) into ``out`` (key, start, m, inv, ld): every pivot of the covariance is swept once."""
+    cell = lambda i, j: f"({cov(min(i, j), max(i, j))}) + {(0.25, 0.0225, 0.25, 1.0, 1.0)[i] if i == j else 0.0}"
+    parts = [f"{out}0 AS (SELECT key, start, [{', '.join(mean)}]::DOUBLE[] AS m, [{', '.join(cell(i, j) for i in range(5) for j in range(5))}]::DOUBLE[] AS a, 0.0::DOUBLE AS ld FROM {src})"]
+    for k in range(5):
+        pivot = f"a[{6 * k + 1}]"
+        parts.append(f"""{out}{k + 1} AS (SELECT key, start, m, list_transform(a, lambda v, ij: CASE WHEN (ij - 1) // 5 = {k} AND (ij - 1) % 5 = {k} THEN -1 / {pivot}
+  WHEN (ij - 1) // 5 = {k} OR (ij - 1) % 5 = {k} THEN v / {pivot} ELSE v - a[(ij - 1) // 5 * 5 + {k + 1}] * a[{5 * k + 1} + (ij - 1) % 5] / {pivot} END) AS a, ld + ln({pivot}) AS ld FROM {out}{k})""")
+    return ",\n".join(parts) + f",\n{out} AS MATERIALIZED (SELECT key, start, m, list_transform(a, lambda v: -v) AS inv, ld FROM {out}5)"
+
+
+_DEV = [f"(x[{i + 1}] / 1024.0::DOUBLE - m[{i + 1}])" for i in range(5)]
+_FAR = " + ".join(f"{_DEV[i]} * {_DEV[j]} * inv[{5 * i + j + 1}]{'' if i == j else ' * 2'}" for i in range(5) for j in range(i, 5))
+_COV = lambda widen: lambda i, j: f"(q{i}{j} / n / 1024 / 1024 - ({_MEAN[i]}) * ({_MEAN[j]})) * {widen!r}"
+
+
+def _nearest(i: int) -> str:
+    """One concentration step: the rows in the nearest whole bins that make up three quarters, estimated anew."""
+    return f"""b{i} AS (SELECT key, start, bin, any_value(key_n) AS key_n, {_moments()} FROM (
+  SELECT key, start, key_n, x, floor(log2({_FAR} + 1 / 1024.0::DOUBLE) * 8) AS bin FROM r JOIN z{i} USING (key)) GROUP BY key, start, bin),
+k{i} AS (SELECT key, start, {_AGAIN} FROM (SELECT *, sum(n) OVER (PARTITION BY key, start ORDER BY bin) - n AS before FROM b{i}) WHERE before < ceil(key_n * 0.75) GROUP BY key, start),
+""" + _inverted(f"k{i}", f"z{i + 1}", _MEAN, _COV(WIDEN))
+
+
+_OP13 = r"""
+WITH d AS (SELECT row_number() OVER () AS id, doc_id, lang, source, coalesce(text, '') AS t FROM documents),
+w AS MATERIALIZED (
+  SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ln FROM d),
+win AS (SELECT id, i, md5(array_to_string(w[i + 1:i + 8], ' ')) AS g FROM (SELECT id, w, unnest(range(0, len(w) - 7)) AS i FROM w WHERE len(w) >= 8)),
+dup AS (SELECT id, i FROM (SELECT id, i, count(*) OVER (PARTITION BY id, g) AS c FROM win) WHERE c > 1),
+cov AS (SELECT id, sum(least(8, coalesce(nxt - i, 8))) AS r FROM (SELECT id, i, lead(i) OVER (PARTITION BY id ORDER BY i) AS nxt FROM dup) GROUP BY id),
+st AS (
+  SELECT id, doc_id, lang, source, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
+    len(ln) AS n_lines, len(ln) - len(list_distinct(ln)) AS n_dup_lines, coalesce(r, 0) AS n_repeat_words FROM w LEFT JOIN cov USING (id)),
+f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM st),
+v AS MATERIALIZED (
+  SELECT *, CASE WHEN NOT base_failed THEN list_transform([ln(1 + n_words), ln(word_chars / n_words), ln(1 + 100 * n_symbols / n_words), ln(1 + 100 * n_dup_lines / n_lines), ln(1 + 100 * n_repeat_words / n_words)],
+    lambda y: round(y * 1024)::BIGINT) END AS x FROM f),
+g0 AS (SELECT lang, source, count(*) AS n FROM v WHERE x IS NOT NULL GROUP BY ALL),
+g1 AS (SELECT *, CASE WHEN n >= 100 THEN 'a' || coalesce('v' || lang, 'n') || '|' || coalesce('v' || source, 'n') ELSE 'b' || coalesce('v' || lang, 'n') END AS k1 FROM g0),
+g2 AS (SELECT *, CASE WHEN sum(n) OVER (PARTITION BY k1) < 100 THEN 'c' ELSE k1 END AS key FROM g1),
+g AS (SELECT lang, source, key, sum(n) OVER (PARTITION BY key) AS key_n FROM g2),
+r AS MATERIALIZED (SELECT key, key_n, x FROM v JOIN g ON v.lang IS NOT DISTINCT FROM g.lang AND v.source IS NOT DISTINCT FROM g.source WHERE x IS NOT NULL AND key_n >= 100),
+""" + f"pm AS (SELECT key, 0 AS start, {_moments()} FROM r GROUP BY key),\n" + _inverted("pm", "p", _MEAN, _COV(1.0)) + r""",
+val AS (SELECT key, dim, y, count(*) AS c FROM (SELECT key, unnest(x) AS y, unnest(range(0, 5)) AS dim FROM r) GROUP BY ALL),
+cum AS (SELECT *, sum(c) OVER (PARTITION BY key, dim ORDER BY y) AS upto, sum(c) OVER (PARTITION BY key, dim) AS n FROM val),
+quart AS (SELECT key, dim, min(CASE WHEN upto >= n * 0.5 THEN y END) / 1024.0::DOUBLE AS m, (min(CASE WHEN upto >= n * 0.75 THEN y END) / 1024.0::DOUBLE - min(CASE WHEN upto >= n * 0.25 THEN y END) / 1024.0::DOUBLE) / 1.349 AS s FROM cum GROUP BY key, dim),
+""" + f"ro AS (SELECT key, 1 AS start, {', '.join(f'max(CASE WHEN dim = {i} THEN m END) AS m{i}, max(CASE WHEN dim = {i} THEN s END) AS d{i}' for i in range(5))} FROM quart GROUP BY key),\n" + _inverted(
+    "ro", "o", [f"m{i}" for i in range(5)], lambda i, j: f"d{i} * d{i}" if i == j else "0.0") + ",\nz0 AS MATERIALIZED (SELECT * FROM p UNION ALL SELECT * FROM o),\n" + ",\n".join(_nearest(i) for i in range(STEPS)) + f""",
+best AS (SELECT key, arg_min(m, (ld, start)) AS m, arg_min(inv, (ld, start)) AS inv FROM z{STEPS} GROUP BY key),
+e AS (SELECT g.lang, g.source, m, inv FROM g JOIN best USING (key))
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+  NOT base_failed AND coalesce({_FAR} <= {BOUND!r}, TRUE) AS kept
+FROM v LEFT JOIN e ON v.lang IS NOT DISTINCT FROM e.lang AND v.source IS NOT DISTINCT FROM e.source
+"""
+
 ORACLES: dict[str, str] = {"op1_embedding_neardup": _OP1, "op2_decontamination": _OP2, "op3_mixing": _OP3, "op6_preference": _OP6, "op9_licences": _OP9,
-                           "op11_source_divergence": _OP11, "op12_vector_codes": _OP12}
+                           "op11_source_divergence": _OP11, "op12_vector_codes": _OP12,
+                           "op13_quality_rules": _OP13}

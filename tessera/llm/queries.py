@@ -83,4 +83,4 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return outliers.judge(read(spark, sf_dir, "documents")).drop("n_lines")
+    return outliers.judge(read(spark, sf_dir, "documents")).drop("n_lines", "distance")
