@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.rows import attach_row
+
 # A group with more rows than this is ranked in md5 sub-ranges of about this many rows at most.
 SLICE_ROWS = 50000
 # Salt fan-out of the partial phase of a per-key top-k.
@@ -30,9 +32,11 @@ def group_rank(df: DataFrame, key: list[str] | str, order_hex: str,
     ``SLICE_ROWS`` rows are cut into md5 sub-ranges, with as many leading hex
     digits as their size asks for, so tasks grow with the group; counts per
     (key, sub-range) give each its offset and the row number runs inside it.
+    An empty ``key`` list ranks the whole table.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    d = df.join(df.groupBy(*keys).agg(F.count(F.lit(1)).alias(size_col)), keys)
+    size = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(size_col))
+    d = df.join(size, keys) if keys else attach_row(df, size)
     digits = F.greatest(F.lit(0), F.ceil(F.log(16.0, F.col(size_col) / SLICE_ROWS))).cast("int")
     sl = "__slice"
     d = d.withColumn(sl, F.substring(F.coalesce(F.col(order_hex), F.lit("")), F.lit(1), digits))
@@ -206,7 +210,8 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], by: list[str] |
     d = df if by else df.withColumn("__all", F.lit(0))
     d = d.select(*keys, F.col(col).cast("double").alias("__x")).filter(F.col("__x").isNotNull())
     r = running_in_group(d.groupBy(*keys, "__x").agg(F.count(F.lit(1)).alias("__c")), keys, [F.col("__x")], value="__c", out="__upto")
-    r = r.join(d.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")), keys)
+    n = d.groupBy(*(by or [])).agg(F.count(F.lit(1)).alias("__n"))
+    r = r.join(n, keys) if by else attach_row(r, n)
     conds, aggs, outs = [], [], []
     for i, p in enumerate(probs):
         pos = (F.col("__n") - 1) * F.lit(float(p))
@@ -217,7 +222,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], by: list[str] |
                  F.max(pos - F.floor(pos)).alias(f"__f{i}")]
         outs.append((F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * F.col(f"__f{i}")).alias(f"{prefix}{i}"))
     sel = r.filter(reduce(lambda a, b: a | b, conds))
-    return sel.groupBy(*keys).agg(*aggs).select(*(by or []), *outs)
+    return sel.groupBy(*(by or [])).agg(*aggs).select(*(by or []), *outs)
 
 
 def melt(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -55,11 +55,10 @@ def semi_filter(df: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFram
 
 def nested_subsets(df: DataFrame, key: str, sizes: list[int], seed: int = 42) -> DataFrame:
     """Nested subsets; row gets ``subset_<size>`` = 1 when its md5 rank <= size."""
-    d = df.withColumn("__o", md5_order(seed, key)).withColumn("__g", F.lit(0))
-    d = group_rank(d, "__g", "__o", "__rn", "__n")
+    d = group_rank(df.withColumn("__o", md5_order(seed, key)), [], "__o", "__rn", "__n")
     for s in sizes:
         d = d.withColumn(f"in_{s}", (F.col("__rn") <= s).cast("int"))
-    return d.drop("__o", "__g", "__n").withColumnRenamed("__rn", "sample_rank")
+    return d.drop("__o", "__n").withColumnRenamed("__rn", "sample_rank")
 
 
 def split_by_group(df: DataFrame, group: str, fracs: dict[str, float], seed: int = 42,
@@ -90,11 +89,11 @@ def shuffle(df: DataFrame, seed: int, key: list[str]) -> DataFrame:
 def poison_split(df: DataFrame, key: str, label: str, target, n: int, seed: int = 42) -> DataFrame:
     """Pick n rows whose label is not ``target``; relabel them and flag them."""
     rest = df.filter(~(F.coalesce(F.col(label) != F.lit(target), F.lit(False))))
-    d = df.filter(F.col(label) != F.lit(target)).withColumn("__o", md5_order(seed, key)).withColumn("__g", F.lit(0))
-    d = group_rank(d, "__g", "__o", "__rn", "__n")  # only rows that can be poisoned are ranked
+    d = df.filter(F.col(label) != F.lit(target)).withColumn("__o", md5_order(seed, key))
+    d = group_rank(d, [], "__o", "__rn", "__n")  # only rows that can be poisoned are ranked
     flag = F.col("__rn") <= n
     d = (d.withColumn("poisoned", flag.cast("int")).withColumn(label, F.when(flag, F.lit(target)).otherwise(F.col(label)))
-          .drop("__o", "__g", "__rn", "__n"))
+          .drop("__o", "__rn", "__n"))
     return d.unionByName(rest.withColumn("poisoned", F.lit(0)))
 
 

@@ -35,6 +35,8 @@ def test_group_rank_equals_window(spark, monkeypatch, slice_rows):
     want = {(r.id, r.rn, r.n) for r in d.select("id", F.row_number().over(w).alias("rn"),
                                                   F.count(F.lit(1)).over(Window.partitionBy("k")).alias("n")).collect()}
     assert got == want
+    whole = Window.orderBy("o")
+    assert {(r.id, r.rn, r.n) for r in group_rank(d, [], "o").collect()} == {(r.id, r.rn, 3000) for r in d.select("id", F.row_number().over(whole).alias("rn")).collect()}
 
 
 def test_salted_left_join_equals_plain(spark):
