@@ -1,8 +1,10 @@
 """The pipeline's stages against brute force on the small documents, each stage on its own input."""
 
+import random
+
 from conftest_sf import SF_SMALL
 from test_decontaminate import brute as overlaps
-from test_mixing import draw, size, water
+from test_mixing import draws, size, water
 from test_simhash import brute as groups
 
 import corpus_pipeline
@@ -39,13 +41,14 @@ def test_stages_against_brute_force(spark):
     assert bad and ids(clean) == sorted(i for i, _ in rows if i not in bad)
 
     mixed = stage["mixing"](spark, clean, SF_SMALL).cache()
-    sizes, docs_of = {}, [(r.doc_id, size(r.text), r.source) for r in clean.collect()]
+    left = [(r.doc_id, r.text, r.lang, r.source) for r in clean.collect()]
+    sizes, docs_of = {}, [(i, size(t), s) for i, t, _, s in left]
     for _, n, s in docs_of:
         sizes[s] = sizes.get(s, 0) + n
     target, want = water(sizes), []
-    for i, _, s in docs_of:
+    for (i, _, s), u in zip(docs_of, draws(left)):
         rate = target[s] / sizes[s]
-        want += [i] * (int(rate) + (draw(i) < rate - int(rate)))
+        want += [i] * (int(rate) + (u < rate - int(rate)))
     assert ids(mixed) == sorted(want) and mixed.columns == docs.columns
 
     placed = stage["sharding"](spark, mixed, SF_SMALL).collect()
@@ -59,3 +62,22 @@ def test_stages_against_brute_force(spark):
 def test_run_gives_the_last_stage(spark):
     out = corpus_pipeline.run(spark, SF_SMALL)
     assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "shard"] and out.count() > 0
+
+
+def test_broken_and_empty_tables_pass_every_stage(spark, tmp_path):
+    rng = random.Random(3)
+    text = lambda: " ".join(rng.choice("the cat sat on many mats and often ran over there".split()) + str(rng.randrange(60)) for _ in range(40))
+    rows = [(i, text(), "en", rng.choice(["a", "b", None])) for i in range(60)]
+    rows += [(None, text(), None, "a"), (None, None, "en", None), (5, text(), "en", "a"), rows[7], rows[7], (70, "", "en", "b"), (71, None, None, None), (72, "x " * 20000, "en", "a")]
+    full = [(*r, len(r[1]) if r[1] is not None else None) for r in rows]
+    labels = [(i, int(i % 9 > 0), 0) for i in range(40)] + [(None, 1, 0), (3, None, 0)]
+    for name, docs in (("some", full), ("none", [])):
+        d = tmp_path / name
+        spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{d}/documents.parquet")
+        spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+        spark.createDataFrame([(1, text()), (None, text()), (2, None), (3, "")], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+        out = corpus_pipeline.run(spark, str(d))
+        assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "shard"]
+        got = [(r.doc_id, r.text, r.lang, r.source) for r in out.collect()]
+        assert set(got) <= set(rows) and bool(got) == bool(docs)
+        assert got.count(rows[7]) <= 2  # one of the three equal rows went on, and the mix repeats it at most once
