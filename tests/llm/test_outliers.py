@@ -3,12 +3,14 @@ import random
 import re
 from collections import Counter
 
+import duckdb
 import numpy as np
 from conftest_sf import SF_SMALL
 from helpers_llm import clashing, docs_of
 
 from tessera.llm import outliers as ol
 from tessera.llm.common import read
+from tessera.llm.oracles import ORACLES
 from tessera.llm.queries import QUERIES
 
 COLS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
@@ -155,6 +157,11 @@ def test_plan_has_no_python(spark):
 
 
 def test_query_on_given_documents(spark):
-    got = QUERIES["op13_quality_rules"](spark, SF_SMALL).collect()
-    rows = [(r.doc_id, r.text, r.lang, r.source) for r in read(spark, SF_SMALL, "documents").collect()]
-    compare(got, plain(rows))
+    docs = read(spark, SF_SMALL, "documents")
+    want = plain([(r.doc_id, r.text, r.lang, r.source) for r in docs.collect()])
+    compare(ol.judge(docs).collect(), want)
+    got = sorted((r.doc_id, *(r[c] for c in COLS), r.kept) for r in QUERIES["op13_quality_rules"](spark, SF_SMALL).collect())
+    assert got == sorted(r[:8] for r in want)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF_SMALL}/documents.parquet')")
+    assert got == sorted(con.execute(ORACLES["op13_quality_rules"]).fetchall())
