@@ -42,3 +42,14 @@ def test_vectors_made_from_a_small_file_are_not_broadcast(spark, tmp_path):
     assert "BroadcastHashJoin" not in plan(c)
     got = {r.id_a: r.cosine for r in c.collect()}
     assert math.isclose(got[3], 1.0) and math.isclose(got[1], 10 / math.sqrt(8 * 13))
+
+
+@pytest.mark.parametrize("slice_rows", [10, 100_000])
+def test_group_rank_shuffles_no_group_by_its_key_alone(spark, monkeypatch, slice_rows):
+    monkeypatch.setattr(skew, "SLICE_ROWS", slice_rows)
+    rows = [(i, "hot" if i < 300 else f"g{i % 9}" if i < 390 else None) for i in range(400)]
+    d = spark.createDataFrame(rows, "id long, g string").withColumn("o", F.md5(F.col("id").cast("string")))
+    r = skew.group_rank(d, "g", "o")
+    assert "SortMergeJoin" not in plan(r)
+    want = d.filter("g is not null").selectExpr("id", "g", "o", "row_number() over (partition by g order by o) rn", "count(*) over (partition by g) n")
+    assert sorted(map(tuple, r.select("id", "g", "o", "rn", "n").collect())) == sorted(map(tuple, want.collect()))
