@@ -53,3 +53,24 @@ def test_group_rank_shuffles_no_group_by_its_key_alone(spark, monkeypatch, slice
     assert "SortMergeJoin" not in plan(r)
     want = d.filter("g is not null").selectExpr("id", "g", "o", "row_number() over (partition by g order by o) rn", "count(*) over (partition by g) n")
     assert sorted(map(tuple, r.select("id", "g", "o", "rn", "n").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_top_k_cosine_ships_entities_and_sums_in_steps(spark, monkeypatch):
+    for name, value in (("BLOCK_RATINGS", 200), ("PIECE_RATINGS", 3), ("SPARSE_STEP", 40)):
+        monkeypatch.setattr(sim, name, value)
+    rng = random.Random(5)
+    have = {(u, i): float(rng.randint(1, 5)) for u in range(80) for i in range(30) if rng.random() < (0.9 if u == 0 or i == 0 else 0.2)}
+    d = sim.top_k_cosine(spark.createDataFrame([(u, i, r) for (u, i), r in have.items()], "u long, i long, r double"), "u", "i", "r", 4)
+    assert "Join" not in plan(d)
+    norm = {u: math.sqrt(sum(r * r for (x, _), r in have.items() if x == u)) for u, _ in have}
+    want = {}
+    for a in norm:
+        dots = {}
+        for (b, i), r in have.items():
+            if b != a and (a, i) in have:
+                dots[b] = dots.get(b, 0) + have[a, i] / norm[a] * (r / norm[b])
+        for n, (s, b) in enumerate(sorted((-round(s, 9), b) for b, s in dots.items())[:4], 1):
+            want[a, n] = (b, -s)
+    got = {(r.a, r["rank"]): (r.b, round(r.sim, 9)) for r in d.collect()}
+    assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
+    assert all(math.isclose(got[k][1], want[k][1], abs_tol=1e-8) for k in want)
