@@ -74,3 +74,16 @@ def test_top_k_cosine_ships_entities_and_sums_in_steps(spark, monkeypatch):
     got = {(r.a, r["rank"]): (r.b, round(r.sim, 9)) for r in d.collect()}
     assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
     assert all(math.isclose(got[k][1], want[k][1], abs_tol=1e-8) for k in want)
+
+
+def test_factor_states_replace_each_other(spark):
+    at = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    size = lambda: sum(os.path.getsize(f"{p}/{f}") for p, _, fs in os.walk(at) for f in fs)
+    d = spark.createDataFrame([(u, i, float((u + i) % 5)) for u in range(400) for i in range(3)], "u long, i long, r double")
+    grown = []
+    for epochs in (1, 6):
+        before = size()
+        kept = rec.mf_sgd(d, 20, 0.001, epochs, user="u", item="i", rating="r")
+        grown.append(size() - before)
+        assert kept[0].count() == 400
+    assert grown[1] < 1.3 * grown[0]
