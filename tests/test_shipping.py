@@ -87,3 +87,29 @@ def test_factor_states_replace_each_other(spark):
         grown.append(size() - before)
         assert kept[0].count() == 400
     assert grown[1] < 1.3 * grown[0]
+
+
+def test_every_row_asks_for_its_neighbours(spark):
+    ids = {r.vec_id for r in spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").select("vec_id").collect()}
+    for name, k in (("N07_knn_top5_embeddings", 5), ("J12_hard_negatives_top3", 3)):
+        got = [r.a for r in QUERIES[name](spark, SF_SMALL).collect()]
+        assert set(got) == ids and len(got) == k * len(ids)
+
+
+def test_every_title_is_looked_up(spark):
+    assert any(r.a % 20 for r in QUERIES["E21_similar_title_conflicts"](spark, SF_SMALL).collect())
+
+
+def test_recall_counts_every_vector(spark):
+    import numpy as np
+    rows = sorted((r.vec_id, r.label, r.embedding) for r in spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").collect())
+    x = np.array([r[2] for r in rows], float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    s = np.round(x @ x.T, 9)
+    np.fill_diagonal(s, -np.inf)
+    best = np.argsort(-s, axis=1, kind="stable")[:, :10]
+    label = np.array([r[1] for r in rows])
+    hit = (label[best] == label[:, None])
+    r = QUERIES["V16_same_label_recall_at_k"](spark, SF_SMALL).first()
+    for k in (1, 5, 10):
+        assert math.isclose(r[f"recall_at_{k}"], hit[:, :k].any(1).mean(), abs_tol=2e-6)
