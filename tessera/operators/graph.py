@@ -8,10 +8,13 @@ bounded by construction: co-occurrence pairs live inside fixed-size chunks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import word_tokens
+from tessera.functions.exprs import bind, word_tokens
 from tessera.functions.skew import salted_self_join, top_k_per_key
 from tessera.session import cut_lineage
 
@@ -270,6 +273,49 @@ def best_support(summary: DataFrame, source: DataFrame, key: str, floor: float =
     return out.select(key, "sent_id", F.coalesce("passage", F.lit(-1)).alias("passage"), share.alias("share"), (share >= floor).alias("supported"))
 
 
+def _supported(copies: list) -> tuple[int, int]:
+    """(sentences, supported ones) of the texts of one key, each ``(source words, summary words, whether a word ends a sentence)``.
+
+    The words of several texts are numbered together by position, as rows of one group.
+    """
+    known = {(a, b) for src, _, _ in copies for a, b in zip(src, src[1:])}
+    ended, before, pairs = 0, [], {}
+    for at in range(max(len(hyp) for _, hyp, _ in copies)):
+        here = []
+        for _, hyp, ends in copies:
+            if at < len(hyp):
+                here.append((hyp[at], ended))
+                ended += bool(ends[at])
+        for w, sent in before:
+            for w2, sent2 in here:
+                if sent == sent2:
+                    n = pairs.setdefault(sent, [0, 0])
+                    n[0] += 1
+                    n[1] += (w, w2) in known
+        before = here
+    return len(pairs), sum(met / n >= 0.5 for n, met in pairs.values())
+
+
+def bigram_support(docs: DataFrame, key: str, text: str, drop: int = 7) -> DataFrame:
+    """``(key, n_sentences, n_supported)``: sentences of a text without each ``drop``-th word, half of whose word pairs its source holds.
+
+    A key's texts are shuffled once; words and their pairs never leave the row. Keys without a pair give no row.
+    """
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            n = [_supported([(list(c["src"]), list(c["hyp"]), list(c["ends"])) for c in x]) for x in pdf["t"]]
+            out = pd.DataFrame({key: pdf[key], "n_sentences": [x for x, _ in n], "n_supported": [x for _, x in n]})
+            yield out[out["n_sentences"] > 0]
+
+    def cut(t: Column) -> Column:
+        src = F.split(F.trim(F.regexp_replace(t, r"\s+", " ")), " ")
+        return bind(src, lambda w: bind(F.filter(w, lambda x, i: i % drop != drop - 1), lambda h: F.struct(
+            w.alias("src"), h.alias("hyp"), F.transform(h, lambda x: x.rlike(r"[.!?]$")).alias("ends"))))
+
+    d = docs.filter((F.trim(text) != "") & F.col(key).isNotNull()).groupBy(key).agg(F.collect_list(text).alias("t"))
+    return d.select(key, F.transform("t", cut).alias("t")).mapInPandas(count, f"{key} {dict(docs.dtypes)[key]}, n_sentences long, n_supported long")
+
+
 def html_to_text(col) -> Column:
     """Visible text of an HTML page: drop script/style/comments, tags -> space, common entities, collapse spaces."""
     s = F.regexp_replace(F.col(col) if isinstance(col, str) else col, r"(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->", " ")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import r6, word_ngrams, word_tokens
+from tessera.functions.exprs import r6, word_tokens
 from tessera.functions.skew import top_k_per_key
 from tessera.operators import graph as gr
 from tessera.operators import retrieval as rt
@@ -393,21 +393,7 @@ ss AS (SELECT hb.doc_id, hb.sent, avg(CASE WHEN rb.g IS NOT NULL THEN 1.0 ELSE 0
 SELECT doc_id, count(*) AS n_sentences, CAST(sum(CASE WHEN share >= 0.5 THEN 1 ELSE 0 END) AS BIGINT) AS n_supported
 FROM ss GROUP BY doc_id""")
 def q_g12(spark, sf):
-    from pyspark.sql import Window
-    d = table(spark, sf, "documents").filter(F.trim("text") != "")
-    rw = F.split(F.trim(F.regexp_replace("text", r"\s+", " ")), " ")
-    d = d.select("doc_id", rw.alias("rw")).withColumn("hw", F.filter("rw", lambda x, i: i % 7 != 6))
-    ht = d.select("doc_id", F.posexplode("hw").alias("pos", "w"))
-    w = Window.partitionBy("doc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    hs = ht.withColumn("sent", F.coalesce(F.sum(F.col("w").rlike(r"[.!?]$").cast("int")).over(w), F.lit(0)))
-    nxt = hs.select("doc_id", (F.col("pos") - 1).alias("pos"), F.col("w").alias("w2"), F.col("sent").alias("s2"))
-    hb = hs.join(nxt, ["doc_id", "pos"]).filter(F.col("sent") == F.col("s2")).select(
-        "doc_id", "sent", F.concat_ws(" ", "w", "w2").alias("g"))
-    rb = d.select("doc_id", F.explode(word_ngrams("rw", 2)).alias("g")).distinct()
-    ss = (hb.join(rb.withColumn("__in", F.lit(1.0)), ["doc_id", "g"], "left")
-            .groupBy("doc_id", "sent").agg(F.avg(F.coalesce("__in", F.lit(0.0))).alias("share")))
-    return ss.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_sentences"),
-                                    F.sum((F.col("share") >= 0.5).cast("long")).alias("n_supported"))
+    return gr.bigram_support(table(spark, sf, "documents"), "doc_id", "text")
 
 
 @register("G15_route_inputs", r"""
