@@ -73,9 +73,13 @@ def threshold_sweep(df: DataFrame, grid: list[int], label: str = "label", score:
     if any(x in by for x in ("g", "threshold")):
         raise ValueError("a slice column may not be called g or threshold: the result has these")
     g = sorted(grid)
-    ths = F.array(*[F.lit(x / 100.0) for x in g])
+
+    def place(lo: int, hi: int):  # a row is compared with log2 of the thresholds; a null score reaches none
+        mid = (lo + hi) // 2
+        return F.lit(lo) if lo == hi else F.when(F.col(score) >= g[mid] / 100.0, place(mid + 1, hi)).otherwise(place(lo, mid))
+
     # index (1-based) of the largest threshold <= score; 0 = below all
-    bucket = F.size(F.filter(ths, lambda t: F.col(score) >= t))
+    bucket = place(0, len(g))
     h = (df.select(*[F.col(x).alias(f"__by{k}") for k, x in enumerate(by)], bucket.alias("__b"), F.col(label).cast("long").alias("__y"))
            .groupBy(*[f"__by{k}" for k in range(len(by))], "__b").agg(F.sum("__y").alias("__pos"), F.sum(1 - F.col("__y")).alias("__neg")))
     keys = [f"__by{k}" for k in range(len(by))]
