@@ -10,12 +10,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.exprs import bind, word_tokens
-from tessera.functions.skew import salted_self_join, top_k_per_key
+from tessera.functions.skew import dense_index, salted_self_join, top_k_per_key
 from tessera.session import cut_lineage
 
 # Fixed value: a capitalised word, optionally followed by more capitalised words.
@@ -25,6 +28,12 @@ ENTITY_STOPWORDS = ["The", "A", "An", "It", "In", "Of", "And", "To", "That", "Th
                     "De", "Des", "Et", "Der", "Die", "Das", "Und", "Ein", "Eine", "El", "Los", "Las", "Y", "En", "Que"]
 # Negation markers used by the claim rules.
 NEGATIONS = ["not", "no", "never", "ne", "pas", "jamais", "nicht", "kein", "keine", "nunca"]
+#: Queries that walk the graph at once: a bit each in the masks of entities.
+QUERIES_AT_ONCE = 256
+#: Rows of a table that is broadcast at most.
+SMALL = 100_000
+#: Masks that a task spreads into bits at a time.
+MARKS = 50_000
 
 
 def extract_entities(chunks: DataFrame, key: list[str], text: str, stop: DataFrame) -> DataFrame:
@@ -103,27 +112,106 @@ def community_digest(vectors: DataFrame, chunks: DataFrame, terms: int = 5, sent
     return listed(t, "term", "top_terms").join(listed(best, "sentence", "best_sentences"), "label", "left")
 
 
+def _marked(asked: DataFrame, words: int) -> DataFrame:
+    """``(entity, m0, m1, ..)`` of ``(entity, __bit)`` rows: the bits of the queries that hold the entity, 64 to a column."""
+    bit = F.expr("shiftleft(1L, CAST(__bit % 64 AS INT))")
+    return asked.groupBy("entity").agg(*[F.bit_or(F.when(F.floor(F.col("__bit") / 64) == i, bit).otherwise(F.lit(0).cast("long"))).alias(f"m{i}") for i in range(words)])
+
+
+def _step(edges: DataFrame, frontier: DataFrame, seen: DataFrame, words: int) -> DataFrame:
+    """Entities one edge away from the frontier with the marks that ``seen`` does not have of them yet."""
+    und = edges.select(F.col("a").alias("entity"), F.col("b").alias("near")).unionByName(edges.select(F.col("b").alias("entity"), F.col("a").alias("near")))
+    marks = [f"m{i}" for i in range(words)]
+    met = und.join(F.broadcast(frontier), "entity") if frontier.count() <= SMALL else salted_self_join(und, frontier, "entity", "near", merge=True)
+    met = met.groupBy(F.col("near").alias("entity")).agg(*[F.bit_or(x).alias(x) for x in marks])
+    old = seen.groupBy("entity").agg(*[F.bit_or(x).alias(f"__{x}") for x in marks])
+    new = met.join(old, "entity", "left").select("entity", *[F.col(x).bitwiseAND(F.bitwise_not(F.coalesce(f"__{x}", F.lit(0).cast("long")))).alias(x) for x in marks])
+    return cut_lineage(new.filter(" OR ".join(f"{x} <> 0" for x in marks)))
+
+
+def _marks_to_scores(weights: list[float], words: int, k: int | None):
+    """Rows ``(doc, marks, wanted)`` -> ``(__i, doc, score)``: of each batch the k best documents of each query (all, if None) and the wanted ones."""
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            t = t.take(pc.sort_indices(t.column("doc"), null_placement="at_start")).combine_chunks()  # ties go by document
+            if not t.num_rows:
+                continue
+            marks, size = t.column("marks").combine_chunks(), pc.list_value_length(t.column("marks")).to_numpy()
+            vals, end = marks.flatten(), np.cumsum(size)
+            hop = vals.field("h").to_numpy()
+            m = np.stack([vals.field(f"m{i}").to_numpy() for i in range(words)], axis=1)
+            total, at = np.zeros((t.num_rows, 64 * words)), 0
+            while at < t.num_rows:  # documents of about MARKS marks at a time
+                upto = max(at + 1, int(np.searchsorted(end, (end[at - 1] if at else 0) + MARKS, "right")))
+                span = slice(end[at] - size[at], end[upto - 1])
+                doc = np.repeat(np.arange(at, upto), size[at:upto])
+                bits = np.unpackbits(np.ascontiguousarray(m[span], dtype="<i8").view(np.uint8), axis=1, bitorder="little")
+                for h, w in enumerate(weights):
+                    ok = hop[span] == h
+                    if ok.any():
+                        of = doc[ok]
+                        first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+                        total[of[first]] += w * np.add.reduceat(bits[ok], first, axis=0, dtype=np.int32)
+                at = upto
+            if k is None:
+                pick = np.flatnonzero(total)
+            else:
+                best = np.argsort(-total, axis=0, kind="stable")[:k]
+                pick = (best * total.shape[1] + np.arange(total.shape[1])).ravel()
+                wanted = t.column("wanted").combine_chunks()
+                rows = np.repeat(np.arange(t.num_rows), pc.fill_null(pc.list_value_length(wanted), 0).to_numpy())
+                pick = np.unique(np.r_[pick, rows * total.shape[1] + wanted.flatten().to_numpy()]).astype(int)
+                pick = pick[total.ravel()[pick] > 0]
+            row, i = np.divmod(pick, total.shape[1])
+            yield pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), t.column("doc").combine_chunks().take(pa.array(row)), pa.array(total[row, i])], names=["__i", "doc", "score"])
+    return fn
+
+
 def graph_retrieve(q_entities: DataFrame, edges: DataFrame, doc_mentions: DataFrame, k: int | None,
-                   query: str = "query", doc: str = "doc_id", hops: int = 1, decay: float = 0.5) -> DataFrame:
+                   query: str = "query", doc: str = "doc_id", hops: int = 1, decay: float = 0.5, among: DataFrame | None = None) -> DataFrame:
     """Documents ranked by the summed weight of the distinct entities they mention near the query's.
 
     A query's own entities weigh 2, those first reached after h steps
-    2 * decay^h. Each hop joins the frontier with the edges and drops what the
-    query has visited; edges and mentions of a hot entity are salted. Top k
-    per query (``k=None``: every scored document).
+    2 * decay^h. All queries walk at once, as bits of a mask per entity (in
+    blocks of ``QUERIES_AT_ONCE``): each hop joins the frontier with the edges,
+    ORs the masks of a node's neighbours and drops what was visited. A document
+    meets the masks of its entities, never a (query, entity) or (query,
+    document) row; edges and mentions of a hot entity are salted. Top k per
+    query (``k=None``: every scored document). With ``among``, ``(query, doc)``
+    pairs, the result is unranked and holds at least each query's k best
+    documents and the scored pairs of ``among``.
     """
-    und = cut_lineage(edges.select(F.col("a").alias("entity"), F.col("b").alias("near")).unionByName(edges.select(F.col("b").alias("entity"), F.col("a").alias("near"))))
-    frontier = cut_lineage(q_entities.select(query, "entity").distinct())
-    reached = frontier.withColumn("w", F.lit(2.0))
-    for h in range(1, hops + 1):
-        step = salted_self_join(und, frontier, "entity", "near").select(query, F.col("near").alias("entity")).distinct()
-        frontier = cut_lineage(step.join(reached.select(query, "entity"), [query, "entity"], "left_anti"))
-        reached = reached.unionByName(frontier.withColumn("w", F.lit(2.0 * decay ** h)))
-    sc = (salted_self_join(doc_mentions.select(doc, "entity").distinct(), reached, "entity", doc)
-          .groupBy(query, doc).agg(F.sum("w").alias("score")))
-    if k is None:
-        return sc
-    return top_k_per_key(sc, query, [F.desc("score"), F.col(doc)], k, rank_col="rank", salt_cols=[doc])
+    q = cut_lineage(q_entities.select(query, "entity").distinct())
+    names = dense_index(q.select(query).distinct(), [F.col(query)], "__i")
+    e, mentioned = cut_lineage(edges.select("a", "b")), doc_mentions.select(doc, "entity").distinct()
+    n = names.count()
+    if n > QUERIES_AT_ONCE:
+        mentioned = cut_lineage(mentioned)
+    of = q.join(names.withColumnRenamed(query, "__q"), F.col(query).eqNullSafe(F.col("__q"))).select("entity", "__i")
+    types = dict(doc_mentions.dtypes)
+    schema, out = f"__i long, doc {types[doc]}, score double", None
+    for at in range(0, max(n, 1), QUERIES_AT_ONCE):
+        words = max(1, -(-min(QUERIES_AT_ONCE, n - at) // 64))
+        here = F.col("__i").between(at, at + QUERIES_AT_ONCE - 1)
+        frontier = cut_lineage(_marked(of.filter(here).select("entity", (F.col("__i") - at).alias("__bit")), words))
+        reached = frontier.withColumn("h", F.lit(0))
+        for h in range(1, hops + 1):
+            frontier = _step(e, frontier, reached.drop("h"), words)
+            reached = reached.unionByName(frontier.withColumn("h", F.lit(h)))
+        docs = (salted_self_join(mentioned, reached, "entity", doc, merge=True).groupBy(F.col(doc).alias("doc"))
+                .agg(F.collect_list(F.struct("h", *[f"m{i}" for i in range(words)])).alias("marks")))
+        if among is not None:
+            asked = among.select(query, F.col(doc).alias("doc")).join(names.filter(here), query).groupBy("doc").agg(F.collect_set(F.col("__i") - at).alias("wanted"))
+            docs = docs.join(asked, "doc", "left")
+        else:
+            docs = docs.withColumn("wanted", F.lit(None).cast("array<long>"))
+        part = docs.select("doc", "marks", "wanted").mapInArrow(_marks_to_scores([2.0 * decay ** h for h in range(hops + 1)], words, k), schema).withColumn("__i", F.col("__i") + at)
+        out = part if out is None else out.unionByName(part)
+    if k is None or among is not None:
+        return out.join(names, "__i").select(query, F.col("doc").alias(doc), "score")
+    top = top_k_per_key(out, "__i", [F.desc("score"), F.col("doc")], k, rank_col="rank", salt_cols=["doc"])
+    return top.join(names, "__i").select(query, F.col("doc").alias(doc), "score", "rank")
 
 
 def shingles(df: DataFrame, key: list[str], text: str, n: int) -> DataFrame:

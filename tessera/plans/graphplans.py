@@ -127,9 +127,9 @@ def q_entities(spark, sf):
     return gr.extract_entities(b, ["query"], "text", _stop(spark)).select("query", "entity")
 
 
-def graph_scores(spark, sf, k, hops=1):
+def graph_scores(spark, sf, k, hops=1, among=None):
     m = cut_lineage(mentions(spark, sf))
-    return gr.graph_retrieve(q_entities(spark, sf), edges(spark, sf, m), m.select("doc_id", "entity"), k, hops=hops)
+    return gr.graph_retrieve(q_entities(spark, sf), edges(spark, sf, m), m.select("doc_id", "entity"), k, hops=hops, among=among)
 
 
 def graph_top(spark, sf):
@@ -432,6 +432,6 @@ SELECT query, doc_id, round(score, 6) AS score, rank FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY round(score, 9) DESC, doc_id) AS BIGINT) AS rank FROM rr)
 WHERE rank <= 5""")
 def q_n10(spark, sf):
-    cands = flat_top(spark, sf, 20)
-    gs = cut_lineage(graph_scores(spark, sf, None))
+    cands = cut_lineage(flat_top(spark, sf, 20))
+    gs = cut_lineage(graph_scores(spark, sf, 1, among=cands))  # the best score of a query and those of its candidates
     return round_doubles(gr.retrieve_rerank(cands, gs, 0.6, 5))

@@ -72,6 +72,39 @@ def test_two_hops_with_a_hub(spark):
         assert {(r["query"], r.doc_id): r.score for r in got.collect()} == want
 
 
+def test_queries_walk_as_bits_in_blocks(spark, monkeypatch):
+    rng = random.Random(5)
+    names = [f"n{i:02}" for i in range(50)]
+    edges = sorted({tuple(sorted(rng.sample(names, 2))) for _ in range(70)} | {("hub", n) for n in names})
+    ment = sorted({(d, rng.choice([*names, "hub"])) for d in range(80) for _ in range(3)}) + [(None, "hub"), (None, "n01")]
+    q = sorted({(i, rng.choice(names)) for i in range(150) for _ in range(2)}) + [(None, "n03")]
+    near = {}
+    for a, b in edges:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    for hops, block, small in ((1, 256, 100_000), (2, 70, 0)):
+        monkeypatch.setattr(gr, "QUERIES_AT_ONCE", block)
+        monkeypatch.setattr(gr, "SMALL", small)
+        want = {}
+        for query in {x for x, _ in q}:
+            far = {e: 0 for x, e in q if x == query}
+            for h in range(1, hops + 1):
+                far |= {n: h for e in [e for e in far if far[e] == h - 1] for n in near.get(e, ()) if n not in far}
+            for d, e in ment:
+                if e in far:
+                    want[query, d] = want.get((query, d), 0) + 2.0 * 0.5 ** far[e]
+        frames = (spark.createDataFrame(q, "query long, entity string"), spark.createDataFrame([(a, b, 1) for a, b in edges], "a string, b string, weight long"), spark.createDataFrame(ment, "doc_id long, entity string"))
+        by = {}
+        for (query, d), s in want.items():
+            by.setdefault(query, []).append((-s, d is not None, d or 0, d))
+        top = {(query, d): (-s, r) for query, x in by.items() for r, (s, _, _, d) in enumerate(sorted(x)[:3], 1)}
+        assert {(r["query"], r.doc_id): (r.score, r["rank"]) for r in gr.graph_retrieve(*frames, 3, hops=hops).collect()} == top
+        pairs = sorted((x for x in want if None not in x), key=str)[::7]
+        got = [((r["query"], r.doc_id), r.score) for r in gr.graph_retrieve(*frames, 1, hops=hops, among=spark.createDataFrame(pairs, "query long, doc_id long")).collect()]
+        assert len(got) == len(dict(got)) and set(got) <= set(want.items())
+        assert {*pairs, *(x for x, (_, r) in top.items() if r == 1)} <= set(dict(got))
+
+
 def test_redundant_sentences_are_passed_over(spark):
     rows = [(1, 0, "alpha beta gamma delta", 9.0), (1, 1, "alpha beta gamma delta epsilon", 8.0), (1, 2, "something else here", 7.0), (1, 3, "something else there", 6.9), (1, 4, "one more", 1.0),
             (2, 0, "lone sentence", 1.0), (3, 0, "x", 1.0), (3, 1, "x", 2.0)]
