@@ -14,12 +14,13 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.exprs import bind, word_tokens
-from tessera.functions.skew import dense_index, salted_self_join, top_k_per_key
-from tessera.session import cut_lineage
+from tessera.functions.rows import attach_row
+from tessera.functions.skew import dense_index, meet, salted_left_join, salted_self_join, top_k_per_key
+from tessera.session import cut_lineage, store
 
 # Fixed value: a capitalised word, optionally followed by more capitalised words.
 ENTITY_PATTERN = r"\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*"
@@ -83,16 +84,18 @@ def summarise_communities(labels: DataFrame, edges: DataFrame, top: int = 3) ->
 
 
 def community_terms(labels: DataFrame, chunks: DataFrame, mentions: DataFrame, chunk_key: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(TF-IDF vectors ``(label, term, weight)`` with each community as one document, its chunks ``(label, chunk_text)``).
+    """(TF-IDF vectors ``(label, term, weight, tf)`` with each community as one document, its chunks ``(label, chunk_text)``).
 
     A community's text is every chunk that mentions one of its entities, once.
     """
     own = mentions.join(labels.select(F.col("node").alias("entity"), "label"), "entity").select("label", *chunk_key).distinct()
-    own = cut_lineage(own.join(chunks, chunk_key).select("label", "chunk_text"))
-    tf = own.select("label", F.explode(word_tokens("chunk_text", 2)).alias("term")).groupBy("label", "term").agg(F.count(F.lit(1)).alias("tf"))
-    from tessera.operators.text import idf_table, tfidf_from_tf
-    tf = cut_lineage(tf)
-    return tfidf_from_tf(tf, "label", idf_table(tf, "label")), own
+    own = store(own.join(chunks, chunk_key).select("label", "chunk_text"))[0]
+    from tessera.operators.text import idf_table
+    tf = store(own.select("label", F.explode(word_tokens("chunk_text", 2)).alias("term")).groupBy("label", "term").agg(F.count(F.lit(1)).alias("tf")))[0]
+    # a community may hold most of the terms: they are never gathered in a row
+    w = meet(tf, cut_lineage(idf_table(tf, "label")), "term", "df").withColumn("w", F.col("tf") * F.col("idf"))
+    norm = w.groupBy("label").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("__n"))
+    return salted_left_join(w, norm, "label", ["term"]).select("label", "term", (F.col("w") / F.col("__n")).alias("weight"), "tf"), own
 
 
 def community_digest(vectors: DataFrame, chunks: DataFrame, terms: int = 5, sentences: int = 2) -> DataFrame:
@@ -105,9 +108,10 @@ def community_digest(vectors: DataFrame, chunks: DataFrame, terms: int = 5, sent
     listed = lambda d, v, name: d.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("rank", v))).alias("__l")).select(
         "label", F.transform("__l", lambda x: x[v]).alias(name))
     t = top_k_per_key(vectors.select("label", "term", "weight"), "label", [F.desc(F.round("weight", 9)), F.col("term")], terms, rank_col="rank", salt_cols=["term"])
-    s = split_sentences(chunks, ["label"], "chunk_text").select("label", "sentence").distinct()
-    w = s.select("label", "sentence", F.explode(F.array_distinct(word_tokens("sentence", 2))).alias("term")).join(vectors, ["label", "term"])
-    sc = w.groupBy("label", "sentence").agg((F.sum("weight") / F.sqrt(F.count(F.lit(1)))).alias("score"))
+    # a sentence's words travel with its number, not with its text
+    s = store(split_sentences(chunks, ["label"], "chunk_text").select("label", "sentence").distinct().withColumn("__s", F.monotonically_increasing_id()))[0]
+    w = meet(s.select("label", "__s", F.explode(F.array_distinct(word_tokens("sentence", 2))).alias("term")), vectors.select("label", "term", "weight", "tf"), ["label", "term"], "tf")
+    sc = w.groupBy("__s").agg((F.sum("weight") / F.sqrt(F.count(F.lit(1)))).alias("score")).join(s, "__s").drop("__s")
     best = top_k_per_key(sc, "label", [F.desc(F.round("score", 9)), F.col("sentence")], sentences, rank_col="rank", salt_cols=["sentence"])
     return listed(t, "term", "top_terms").join(listed(best, "sentence", "best_sentences"), "label", "left")
 
@@ -311,11 +315,24 @@ def claim_verdicts(claims: DataFrame, evidence: DataFrame, key: str, claim: str,
              .withColumn("verdict", verdict).drop("__nm", "__gm"))
 
 
-def sentence_scores(sents: DataFrame, key: list[str], term_weights: DataFrame) -> DataFrame:
-    """Mean TF-IDF weight (in the sentence's own document) of a sentence's word tokens."""
-    t = sents.select(*key, "sent_id", F.explode(word_tokens("sentence", 2)).alias("term"))
-    j = t.join(term_weights, [key[0], "term"], "left").fillna(0.0, ["weight"])
-    return j.groupBy(*key, "sent_id").agg(F.avg("weight").alias("score"))
+def sentence_scores(sents: DataFrame, key: str) -> DataFrame:
+    """``(key, sent_id, score)``: mean TF-IDF weight of a sentence's word tokens, the sentences of a key being one document.
+
+    The sentences are shuffled once, by key; a term's rows meet its idf where they are unless the term is rare, and
+    sums per sentence are all that travels after that: of n x tf x idf for the score, of n x tf x idf^2, which over a
+    document is its squared norm. A null key gives no row.
+    """
+    t = sents.select(key, "sent_id", "sentence").repartition(key).select(key, "sent_id", F.explode(word_tokens("sentence", 2)).alias("term"))
+    here = Window.partitionBy(key, "term")
+    t = t.groupBy(key, "sent_id", "term").agg(F.count(F.lit(1)).alias("n"))
+    t = store(t.withColumns({"tf": F.sum("n").over(here), "first": (F.col("sent_id") == F.min("sent_id").over(here)).cast("int")}))[0]
+    df = t.groupBy("term").agg(F.sum("first").alias("df"))
+    size = t.select(key).distinct().agg(F.count(F.lit(1)).alias("__N"))
+    idf = cut_lineage(attach_row(df, size).select("term", "df", (F.log((1 + F.col("__N")) / (1 + F.col("df"))) + 1).alias("idf")))
+    w = meet(t.filter(F.col(key).isNotNull()).select(key, "sent_id", "term", "n", "tf"), idf, "term", "df")
+    each = w.groupBy(key, "sent_id").agg(F.sum(F.col("n") * F.col("tf") * F.col("idf")).alias("__a"), F.sum(F.col("n") * F.col("tf") * F.col("idf") * F.col("idf")).alias("__b"), F.sum("n").alias("__m"))
+    norm = F.sqrt(F.sum("__b").over(Window.partitionBy(key)))
+    return each.select(key, "sent_id", (F.col("__a") / norm / F.col("__m")).alias("score"))
 
 
 def summarise(sents: DataFrame, scores: DataFrame, key: list[str], n: int) -> DataFrame:

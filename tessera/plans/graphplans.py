@@ -11,7 +11,7 @@ from tessera.operators import retrieval as rt
 from tessera.operators import text as tx
 from tessera.plans.common import round_doubles
 from tessera.plans.registry import register
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, store
 from tessera.sources.tables import table
 
 STOP_SQL = "stop AS (SELECT unnest([" + ", ".join(f"'{w}'" for w in gr.ENTITY_STOPWORDS) + "]) AS word)"
@@ -98,11 +98,11 @@ cr AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY round(score, 9)
 best AS (SELECT label, md5(string_agg(sentence, ' ' ORDER BY r)) AS best_sentences_md5 FROM cr WHERE r <= 2 GROUP BY label)
 SELECT label, size, top_entities, top_terms, best_sentences_md5 FROM ents JOIN terms USING (label) LEFT JOIN best USING (label)""")
 def q_g04(spark, sf):
-    ch, m = cut_lineage(chunks(spark, sf)), cut_lineage(mentions(spark, sf))
+    ch, m = chunks(spark, sf), cut_lineage(mentions(spark, sf))
     e = cut_lineage(edges(spark, sf, m))
     lab = cut_lineage(gr.communities(e, 3))
     v, own = gr.community_terms(lab, ch, m, ["doc_id", "chunk_id"])
-    digest = gr.community_digest(cut_lineage(v), own).select("label", F.array_join("top_terms", " ").alias("top_terms"),
+    digest = gr.community_digest(store(v)[0], own).select("label", F.array_join("top_terms", " ").alias("top_terms"),
                                                               F.md5(F.array_join("best_sentences", " ")).alias("best_sentences_md5"))
     return gr.summarise_communities(lab, e, 3).join(digest, "label")
 
@@ -166,14 +166,9 @@ ftop AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query ORD
                         FROM fsc) WHERE rank <= 5)"""
 
 
-def doc_vectors(spark, sf):
-    tf = doc_counts(spark, sf)
-    idf = tx.idf_table(tf, "doc_id")
-    return tx.tfidf_from_tf(tf, "doc_id", idf), idf
-
-
 def doc_counts(spark, sf):
-    return rt.term_counts(table(spark, sf, "documents").select("doc_id", F.explode(word_tokens("text", 2)).alias("term")), "doc_id")
+    d = table(spark, sf, "documents").select("doc_id", "text").repartition("doc_id")  # texts travel, not their words
+    return rt.term_counts(d.select("doc_id", F.explode(word_tokens("text", 2)).alias("term")), "doc_id")
 
 
 def flat_top(spark, sf, k=5):
@@ -251,7 +246,8 @@ def sentences(spark, sf):
 
 
 def retrieve_sentences(spark, sf, queries, k):
-    tf = rt.term_counts(sentences(spark, sf).select("sid", F.explode(word_tokens("sentence", 2)).alias("term")), "sid")
+    s = sentences(spark, sf).select("sid", "sentence").repartition("sid")  # sentences travel, not their words
+    tf = rt.term_counts(s.select("sid", F.explode(word_tokens("sentence", 2)).alias("term")), "sid")
     return rt.retrieve(tf, queries.select("query", F.explode(word_tokens("text", 2)).alias("term")), k, doc="sid")
 
 
@@ -326,9 +322,8 @@ ranked AS (SELECT x.doc_id, x.sent_id, x.sentence, c.score,
 
 
 def sentence_scores(spark, sf):
-    dv, _ = doc_vectors(spark, sf)
     s = sentences(spark, sf).select("doc_id", "sent_id", "sentence")
-    return s, gr.sentence_scores(s, ["doc_id"], dv.select("doc_id", "term", "weight"))
+    return s, gr.sentence_scores(s, "doc_id")
 
 
 @register("G10_extractive_summary_top3", "WITH " + SUMMARY_SQL + """

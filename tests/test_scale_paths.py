@@ -1,11 +1,14 @@
 """Paths that only large or lopsided inputs take, against plain Python."""
 
+import math
 import random
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.functions import skew
 from tessera.operators import causal as ca
 from tessera.operators import graph as gr
 from tessera.operators import pairs as pr
@@ -105,6 +108,62 @@ def test_queries_walk_as_bits_in_blocks(spark, monkeypatch):
         assert {*pairs, *(x for x, (_, r) in top.items() if r == 1)} <= set(dict(got))
 
 
+@pytest.mark.parametrize("most", [0, 3, 1000])
+def test_lookup_rows_are_met_by_broadcast_or_shuffle(spark, monkeypatch, most):
+    monkeypatch.setattr(skew, "MEET_ROWS", most)
+    left = [(i, f"k{math.isqrt(i)}") for i in range(200)] + [(900, "none"), (901, None)]
+    uses = Counter(k for _, k in left)
+    table = [(k, n, len(k) * 10 + n) for k, n in uses.items() if k not in ("none", None)]
+    got = skew.meet(spark.createDataFrame(left, "i long, k string"), spark.createDataFrame(table, "k string, n long, v long"), "k", "n")
+    p = got._jdf.queryExecution().executedPlan().toString()
+    assert ("Broadcast" in p, "SortMergeJoin" in p) == (most > 0, most < 1000)
+    assert sorted((r.i, r.k, r.v) for r in got.collect()) == sorted((i, k, v) for i, k in left for key, _, v in table if k == key)
+
+
+@pytest.mark.parametrize("most", [0, 6, 1000])
+def test_sentences_score_by_the_weights_of_their_document(spark, monkeypatch, most):
+    monkeypatch.setattr(skew, "MEET_ROWS", most)
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(30)]
+    rows = [(d, s, " ".join(rng.choices(words, k=rng.randrange(0, 9)))) for d in range(12) for s in range(rng.randrange(1, 6))]
+    rows += [(3, 0, "w1 w2 w2"), (None, 0, "w1 w1 w5"), (None, 1, "w9")]  # a document that comes twice, one without a key
+    tf, n, df = {}, Counter(), Counter()
+    for d, _, x in rows:
+        tf.setdefault(d, Counter()).update(x.split())
+    for d in tf:
+        df.update(tf[d].keys())
+    size = sum(1 for d in tf if tf[d])
+    idf = {t: math.log((1 + size) / (1 + c)) + 1 for t, c in df.items()}
+    want = {}
+    for d, s, x in rows:
+        if d is not None and x:
+            norm = math.sqrt(sum((c * idf[t]) ** 2 for t, c in tf[d].items()))
+            want[d, s] = want.get((d, s), 0) + sum(tf[d][t] * idf[t] / norm for t in x.split())
+            n[d, s] += len(x.split())
+    got = gr.sentence_scores(spark.createDataFrame(rows, "doc_id long, sent_id int, sentence string"), "doc_id")
+    assert {(r.doc_id, r.sent_id): round(r.score, 9) for r in got.collect()} == {x: round(v / n[x], 9) for x, v in want.items()}
+
+
+def test_words_of_a_community_are_not_gathered(spark, monkeypatch):
+    monkeypatch.setattr(skew, "MEET_ROWS", 4)
+    labels = spark.createDataFrame([("A", "A"), ("B", "A"), ("C", "C")], "node string, label string")
+    texts = {(1, 0): "A met B here. So it goes. A met B here.", (1, 1): "C is alone here.", (2, 0): "B again here. So it goes."}
+    chunks = spark.createDataFrame([(*k, t) for k, t in texts.items()], "doc_id long, chunk_id int, chunk_text string")
+    ment = spark.createDataFrame([(1, 0, "A"), (1, 0, "B"), (1, 1, "C"), (2, 0, "B")], "doc_id long, chunk_id int, entity string")
+    v, own = gr.community_terms(labels, chunks, ment, ["doc_id", "chunk_id"])
+    p = v._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in p
+    tf = {"A": Counter(re.findall(r"\w{2,}", (texts[1, 0] + " " + texts[2, 0]).lower())), "C": Counter(re.findall(r"\w{2,}", texts[1, 1].lower()))}
+    w = {x: {t: n * (math.log(3 / (1 + sum(t in c for c in tf.values()))) + 1) for t, n in tf[x].items()} for x in tf}
+    want = {(x, t): round(v / math.sqrt(sum(y * y for y in w[x].values())), 9) for x in w for t, v in w[x].items()}
+    assert {(r.label, r.term): round(r.weight, 9) for r in v.collect()} == want
+    got = {r.label: (r.top_terms, r.best_sentences) for r in gr.community_digest(v, own).collect()}
+    for x, some in (("A", ["A met B here.", "So it goes.", "B again here."]), ("C", ["C is alone here."])):
+        score = lambda s: sum(want[x, t] for t in {*re.findall(r"\w{2,}", s.lower())}) / math.sqrt(len({*re.findall(r"\w{2,}", s.lower())}))
+        assert got[x][0] == [t for _, t in sorted((-want[x, t], t) for t in w[x])][:5]
+        assert got[x][1] == sorted(some, key=lambda s: (-round(score(s), 9), s))[:2]
+
+
 def test_redundant_sentences_are_passed_over(spark):
     rows = [(1, 0, "alpha beta gamma delta", 9.0), (1, 1, "alpha beta gamma delta epsilon", 8.0), (1, 2, "something else here", 7.0), (1, 3, "something else there", 6.9), (1, 4, "one more", 1.0),
             (2, 0, "lone sentence", 1.0), (3, 0, "x", 1.0), (3, 1, "x", 2.0)]
