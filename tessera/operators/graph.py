@@ -242,11 +242,13 @@ def containment_truth(passages: DataFrame, pid: str, ptext: str, docs: DataFrame
     p = cut_lineage(p.withColumn("__w", F.split(F.trim("__p"), " ")).withColumn(
         "__n", F.greatest(F.lit(0), F.least(F.lit(n), F.size("__w") - 2))))
     parts = []
-    for r in p.select("__n").distinct().collect():  # at most n + 1 lengths
+    for r in p.groupBy("__n").count().collect():  # at most n + 1 lengths
         some = p.filter(F.col("__n") == r["__n"])
         if r["__n"]:
-            inner = some.select(pid, F.array_join(F.slice("__w", 2, r["__n"]), " ").alias("shingle"))
-            parts.append(inner.join(shingles(docs, [doc], dtext, r["__n"]), "shingle").select(pid, doc).distinct())
+            # by hash: the check that follows drops what merely collides
+            inner = some.select(pid, F.xxhash64(F.array_join(F.slice("__w", 2, r["__n"]), " ")).alias("__h"))
+            held = shingles(docs, [doc], dtext, r["__n"]).select(doc, F.xxhash64("shingle").alias("__h"))
+            parts.append(held.join(F.broadcast(inner) if r["count"] <= SMALL else inner.hint("merge"), "__h").select(pid, doc).distinct())
         else:
             parts.append(_short_passages(some, pid, docs, doc, norm(dtext)))
     if not parts:

@@ -75,6 +75,18 @@ def test_two_hops_with_a_hub(spark):
         assert {(r["query"], r.doc_id): r.score for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("small", [100_000, 0])
+def test_shingles_stay_unless_passages_are_many(spark, monkeypatch, small):
+    monkeypatch.setattr(gr, "SMALL", small)
+    words = [f"w{i}" for i in range(60)]
+    docs = [(1, " ".join(words)), (2, " ".join(words[::-1])), (3, " ".join(words[5:40])), (4, None)]
+    asked = [(10, " ".join(words[10:30])), (11, " ".join(words[2:9])), (12, "w9 w8 w7 w6"), (13, "w1 w3 w5 w7 w9")]
+    got = gr.containment_truth(spark.createDataFrame(asked, "pid long, p string"), "pid", "p", spark.createDataFrame(docs, "doc long, t string"), "doc", "t")
+    p = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(shingle" not in p and ("hashpartitioning(__h" in p) == (not small)
+    assert sorted((r.pid, r.doc) for r in got.collect()) == sorted((i, d) for i, x in asked for d, t in docs if t and x in t)
+
+
 def test_queries_walk_as_bits_in_blocks(spark, monkeypatch):
     rng = random.Random(5)
     names = [f"n{i:02}" for i in range(50)]
