@@ -28,8 +28,13 @@ SMOOTH = 0.1
 #: Distinct (language, n-gram) counts a task holds before it hands them on, and texts of a batch it hands on.
 FLUSH = 400_000
 TEXTS = 256
+#: How the words of the rows are written: a file's distinct words take more than the 1 MB at which Parquet gives up
+#: its dictionary and writes every word out, which would take about as much disk as the texts.
+WRITTEN = {"parquet.dictionary.page.size": str(16 << 20), "compression": "zstd"}
 #: Most (feature, language) entries of the commonest features that are broadcast; texts meet the others by shuffle.
 HOT = 200_000
+#: Kind of an unseen word none of whose n-grams is known: it adds nothing.
+UNKNOWN = 1 + max(ORDERS)
 _WORD = regex.compile(r"\p{L}+")
 
 
@@ -57,8 +62,8 @@ def best_of(total: np.ndarray, langs: list[str]) -> tuple[str, float]:
 class Model:
     """All counts, as tables: of every learned word and n-gram ``by_lang``, what each language that has it adds to ``base``, and its ``total`` count.
 
-    ``base`` (order, 0 for words, by language) is the log score of a feature
-    the language lacks; it is all that goes through the driver.
+    ``base`` (kind: 0 for words, else the order, by language) is the log score of a feature
+    the language lacks, 0 for kind ``UNKNOWN``; it is all that goes through the driver.
     """
 
     words: DataFrame
@@ -83,7 +88,7 @@ def counted(docs: DataFrame, teach: bool = True) -> DataFrame:
                                                   pa.array([list(x.values()) for x in c], pa.list_(pa.int64()))], names=[*keep, "words", "counts"])
 
     schema = T.StructType([*d.schema.fields[:-1], T.StructField("words", T.ArrayType(T.StringType())), T.StructField("counts", T.ArrayType(T.LongType()))])
-    return materialise(d.mapInArrow(count, schema))
+    return materialise(d.mapInArrow(count, schema), WRITTEN)
 
 
 def _uses(c: DataFrame, *cols: str) -> DataFrame:
@@ -127,7 +132,8 @@ def _fit(c: DataFrame) -> Model:
     total, at = np.zeros((1 + max(ORDERS), len(langs))), {x: i for i, x in enumerate(langs)}
     for kind, lang, n in sums:
         total[kind, at[lang]] = n
-    return Model(words, kinds, np.log(SMOOTH / (total + SMOOTH * (np.array([[size.get(k, 0)] for k in range(len(total))]) + 1))), langs)
+    base = np.log(SMOOTH / (total + SMOOTH * (np.array([[size.get(k, 0)] for k in range(len(total))]) + 1)))
+    return Model(words, kinds, np.vstack([base, np.zeros(len(langs))]), langs)
 
 
 def fit(docs: DataFrame) -> Model:
@@ -135,27 +141,39 @@ def fit(docs: DataFrame) -> Model:
     return _fit(counted(docs))
 
 
-def _meet(left: DataFrame, table: DataFrame, key: str) -> DataFrame:
-    """``left`` joined to the whole ``table``: its commonest keys are broadcast, the rows of ``left`` with others are joined by shuffle."""
+def _commonest(table: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
+    """The rows of the commonest features, of ``HOT`` entries at most, and the others; None if there are no such rows."""
     bucket = F.floor(4 * F.log2("total"))
     sizes = sorted(table.groupBy(bucket.alias("at")).agg(F.sum(F.size("by_lang")).alias("n")).collect(), reverse=True)
     fit = 0
     while fit < len(sizes) and sum(r["n"] for r in sizes[:fit + 1]) <= HOT:
         fit += 1
     if not fit:
-        return left.join(table.drop("total").hint("shuffle_hash"), key)
-    hot = table.where(bucket >= sizes[fit - 1]["at"]).drop("total")
+        return None, table.drop("total")
+    return (table.where(bucket >= sizes[fit - 1]["at"]).drop("total"),
+            None if fit == len(sizes) else table.where(bucket < sizes[fit - 1]["at"]).drop("total"))
+
+
+def _meet(left: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """``left`` joined to the whole ``table``: its commonest keys are broadcast, the rows of ``left`` with others are joined by shuffle."""
+    hot, cold = _commonest(table)
+    if hot is None:
+        return left.join(cold.hint("shuffle_hash"), key)
     out = left.join(F.broadcast(hot), key)
-    if fit == len(sizes):
+    if cold is None:
         return out
-    cold = table.where(bucket < sizes[fit - 1]["at"]).drop("total")
     return out.unionByName(left.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold.hint("shuffle_hash"), key))
 
 
 def _unseen(c: DataFrame, model: Model) -> list[DataFrame]:
     """``word, kind, by_lang, total`` of the words the model lacks, by the longest order of which it has an n-gram (the mean over those it has)."""
-    # a row that teaches has no word the model lacks
-    rest = materialise(_uses(c.where("lang is null")).select("word").distinct().join(model.words, "word", "left_anti"))
+    # a row that teaches has no word the model lacks; the commonest words, which most tasks have, leave before the shuffle
+    hot, cold = _commonest(model.words)
+    rest = _uses(c.where("lang is null")).select("word")
+    if hot is not None:
+        rest = rest.join(F.broadcast(hot.select("word")), "word", "left_anti")
+    rest = rest.distinct()
+    rest = materialise(rest if cold is None else rest.join(cold.select("word"), "word", "left_anti"))
     out = []
     for order in ORDERS:
         if rest.isEmpty():
@@ -175,35 +193,39 @@ def _unseen(c: DataFrame, model: Model) -> list[DataFrame]:
             x["l"].alias("l"), (x["b"] / F.col("m")).alias("b"))).alias("by_lang"), F.lit(1).cast("long").alias("total")))
         out.append(found)
         rest = materialise(rest.join(found, "word", "left_anti"))
-    return out
+    none = F.array().cast("array<struct<l:int,b:double>>")
+    return [*out, rest.select("word", F.lit(UNKNOWN).alias("kind"), none.alias("by_lang"), F.lit(1).cast("long").alias("total"))]
 
 
 def _predict(c: DataFrame, model: Model) -> DataFrame:
     langs, base = model.langs, model.base
     scores = reduce(DataFrame.unionByName, [model.words.withColumn("kind", F.lit(0)), *_unseen(c, model)])
-    # language -1 - kind counts the text's words of that kind
+    # language -1 - kind counts the text's words of that kind; those of kind 0 are all the others and need no entries
+    kind = F.array(F.struct((-1 - F.col("kind")).alias("l"), F.lit(1.0).alias("b")))
     each = (_meet(_uses(c, "row"), scores, "word")
-            .select("row", "n", F.inline(F.concat(F.array(F.struct((-1 - F.col("kind")).alias("l"), F.lit(1.0).alias("b"))), "by_lang"))))
+            .select("row", "n", F.inline(F.when(F.col("kind") > 0, F.concat(kind, "by_lang")).otherwise(F.col("by_lang")))))
     total = each.groupBy("row", "l").agg(F.sum(F.col("n") * F.col("b")).alias("s")).groupBy("row").agg(F.collect_list(F.struct("l", "s")).alias("t"))
 
     @F.pandas_udf("lang_pred string, score double")
-    def score(some: pd.Series, l: pd.Series, s: pd.Series) -> pd.DataFrame:  # noqa: E741
+    def score(words: pd.Series, l: pd.Series, s: pd.Series) -> pd.DataFrame:  # noqa: E741
         out = []
-        for any_word, at, x in zip(some, l, s):
-            if not any_word or not langs:
+        for n, at, x in zip(words, l, s):
+            if not n or not langs:
                 out.append(("und", 0.0))
                 continue
             total = np.zeros(len(langs))
             for i, v in zip(at, x) if at is not None else ():
                 if i < 0:
                     total += v * base[-1 - i]
+                    n -= v
                 else:
                     total[i] += v
-            out.append(best_of(total, langs))
+            out.append(best_of(total + n * base[0], langs))
         return pd.DataFrame(out, columns=["lang_pred", "score"])
 
-    d = c.select("row", "doc_id", "held_out", (F.size("words") > 0).alias("some")).join(total, "row", "left")
-    return d.select("doc_id", "held_out", score("some", F.col("t.l"), F.col("t.s")).alias("p")).select("doc_id", "held_out", "p.lang_pred", "p.score")
+    n = F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)
+    d = c.select("row", "doc_id", "held_out", n.alias("n")).join(total, "row", "left")
+    return d.select("doc_id", "held_out", score("n", F.col("t.l"), F.col("t.s")).alias("p")).select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

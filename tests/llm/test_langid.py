@@ -1,4 +1,5 @@
 import math
+import os
 import zlib
 from collections import Counter
 
@@ -125,3 +126,30 @@ def test_empty(spark):
     assert langid.identify(docs_of(spark, [])).collect() == []
     untaught = langid.identify(docs_of(spark, [(1, "some words", None)])).collect()
     assert [(r.lang_pred, r.score) for r in untaught] == [("und", 0.0)]
+
+
+def test_words_of_the_rows_take_little_disk(spark):
+    """op7's disk: 200,000 distinct words in every text, beyond Parquet's own dictionary, are not written out once per text."""
+    order = lambda k: sorted(range(200_000), key=lambda i: zlib.crc32(f"{k} {i}".encode()))
+    word = lambda i: "".join(chr(97 + i // 26 ** k % 26) for k in range(4)) * 4
+    texts = [(k, " ".join(map(word, order(k))), "en") for k in range(6)]
+    c = langid.counted(docs_of(spark, texts).coalesce(1))
+    written = sum(os.path.getsize(f.removeprefix("file://").removeprefix("file:")) for f in c.inputFiles())
+    assert c.agg({"row": "count"}).first()[0] == 6 and written < 0.4 * sum(len(t) for _, t, _ in texts)
+
+
+def test_common_words_are_not_shuffled_to_find_the_unseen(spark, monkeypatch):
+    """op7's disk: only words that the model lacks, or that are rare, travel; words without a known n-gram add nothing."""
+    c = langid.counted(docs_of(spark, ROWS))
+    m = langid._fit(c)
+    seen = {r.word for r in m.words.collect()}
+    got = {r.word: r.kind for d in langid._unseen(c, m) for r in d.collect()}
+    asked = {w for i, t, _ in ROWS for w in regex.findall(r"\p{L}+", (t or "").lower())}
+    assert set(got) == asked - seen
+    assert all((k == langid.UNKNOWN) == (m.base[k] == 0).all() for k in got.values())
+    one = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 4 == 2)
+    other = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 4 != 2)
+    rows = [(other, "abc abc def", "en"), (other + 1000, "ghi", "fr"), (one, "zzz zzz abc", None), (one, "zzz", None)]
+    p = plain(rows)
+    assert sorted((r.lang_pred, round(r.score, 9)) for r in langid.identify(docs_of(spark, rows)).collect()) == sorted(
+        ((x := p.predict(t))[0], round(x[1], 9)) for _, t, _ in rows)
