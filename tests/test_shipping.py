@@ -113,3 +113,33 @@ def test_recall_counts_every_vector(spark):
     r = QUERIES["V16_same_label_recall_at_k"](spark, SF_SMALL).first()
     for k in (1, 5, 10):
         assert math.isclose(r[f"recall_at_{k}"], hit[:, :k].any(1).mean(), abs_tol=2e-6)
+
+
+def test_levels_of_a_cell_step_like_its_batches(spark):
+    import numpy as np
+    rng = random.Random(3)
+    have = sorted({(rng.randrange(1500), 0 if rng.random() < 0.1 else rng.randrange(1500)) for _ in range(20_000)})
+    d = spark.createDataFrame([(u, i, float(rng.randint(1, 5))) for u, i in have], "u long, i long, r double")
+    k, lr, reg = 4, 0.05, 0.1
+    U, V, trace, _ = rec.mf_sgd(d, k, lr, 2, reg, user="u", item="i", rating="r", blocks=1)
+    fu, fv = ({r[0]: np.array(r.f) for r in rec.init_factors(d, c, k, s).collect()} for c, s in (("u", 42), ("i", 43)))
+    rows = d.withColumn("o", F.md5(F.concat_ws("|", F.lit("42"), "u", "i"))).orderBy("o").collect()
+    mse = []
+    for _ in range(2):
+        sse = 0.0
+        for at in range(0, len(rows), rec.BATCH):
+            batch = rows[at:at + rec.BATCH]
+            now = [(fu[r.u].copy(), fv[r.i].copy()) for r in batch]
+            for r, (x, y) in zip(batch, now):
+                e = r.r - x @ y
+                sse += e * e
+                fu[r.u] += lr * (e * y - reg * x)
+                fv[r.i] += lr * (e * x - reg * y)
+        mse.append(sse / len(rows))
+    assert np.allclose([r.mse for r in trace.orderBy("epoch").collect()], mse, rtol=1e-9)
+    for got, want in ((U, fu), (V, fv)):
+        got = {r[0]: r.f for r in got.collect()}
+        assert got.keys() == want.keys() and all(np.allclose(got[x], want[x], rtol=1e-8, atol=1e-10) for x in want)
+    a, b = np.array([r.u for r in rows]), np.array([0 if r.i == 0 and n % 2 else r.i for n, r in enumerate(rows)])
+    rare = b != 0
+    assert rec._levels(a[rare], b[rare], 1500, 1500).max() < 0.4 * rare.sum() / rec.BATCH  # far fewer steps than batches
