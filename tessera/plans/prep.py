@@ -172,12 +172,13 @@ nulled AS (SELECT row_id, split, nullif(l_quantity, 25) AS l_quantity, nullif(p_
            FROM strat)"""
 
 
-def _nulled(spark, sf):
-    cols = ["l_quantity", "p_size", "l_extendedprice", "c_acctbal", "c_mktsegment", "p_brand", "o_orderpriority"]
-    return stratified_clicks(spark, sf, cols).select(
-        "row_id", "split", F.expr("nullif(l_quantity, 25) AS l_quantity"), F.expr("nullif(p_size, 10) AS p_size"),
-        "l_extendedprice", "c_acctbal", "c_mktsegment", F.expr("nullif(p_brand, 'Brand#1') AS p_brand"),
-        "o_orderpriority")
+NULLED = {"l_quantity": "25", "p_size": "10", "p_brand": "'Brand#1'"}
+
+
+def _nulled(spark, sf, *cols):
+    """Split rows with the columns a query asks for, some of whose values are null."""
+    return stratified_clicks(spark, sf, list(cols)).select(
+        "row_id", "split", *[F.expr(f"nullif({c}, {NULLED[c]}) AS {c}") if c in NULLED else F.col(c) for c in cols])
 
 
 @register("F01_median_impute", "WITH " + NULLED_SQL + """,
@@ -185,7 +186,7 @@ med AS (SELECT quantile_cont(l_quantity, 0.5) AS mq, quantile_cont(p_size, 0.5)
 SELECT row_id, round(coalesce(l_quantity, mq), 6) AS l_quantity, round(coalesce(CAST(p_size AS DOUBLE), ms), 6) AS p_size
 FROM nulled, med""")
 def q_f01(spark, sf):
-    d = _nulled(spark, sf)
+    d = _nulled(spark, sf, "l_quantity", "p_size")
     m = fe.fit_median(d.filter("split = 'train'"), ["l_quantity", "p_size"])
     a = fe.apply_median(d, m, ["l_quantity", "p_size"])
     return a.select("row_id", r6("l_quantity").alias("l_quantity"), r6("p_size").alias("p_size"))
@@ -198,8 +199,8 @@ st AS (SELECT avg(l_extendedprice) AS m1, CASE WHEN stddev_pop(l_extendedprice)
 SELECT row_id, round((l_extendedprice - m1) / s1, 6) AS l_extendedprice, round((c_acctbal - m2) / s2, 6) AS c_acctbal
 FROM nulled, st""")
 def q_f02(spark, sf):
-    d = _nulled(spark, sf)
     cols = ["l_extendedprice", "c_acctbal"]
+    d = _nulled(spark, sf, *cols)
     s = fe.apply_standard(d, fe.fit_standard(d.filter("split = 'train'"), cols), cols)
     return s.select("row_id", *[r6(c).alias(c) for c in cols])
 
@@ -214,7 +215,7 @@ vocab AS (
 
 
 def _vocab(spark, sf, rows=None):
-    d = (_nulled(spark, sf) if rows is None else rows).filter("split = 'train'")
+    d = (_nulled(spark, sf, "p_brand", "c_mktsegment") if rows is None else rows).filter("split = 'train'")
     return fe.fit_vocabs(d, ["p_brand", "c_mktsegment"])
 
 
@@ -231,7 +232,7 @@ LEFT JOIN vocab vb ON vb."column" = 'p_brand' AND vb.value = coalesce(n.p_brand,
 LEFT JOIN vocab vs ON vs."column" = 'c_mktsegment' AND vs.value = coalesce(n.c_mktsegment, 'MISSING')
 WHERE split = 'test'""")
 def q_f04(spark, sf):
-    rows = _nulled(spark, sf)
+    rows = _nulled(spark, sf, "p_brand", "c_mktsegment")
     v, t = _vocab(spark, sf, rows), rows.filter("split = 'test'")
     t = fe.encode(fe.encode(t, v, "p_brand"), v, "c_mktsegment")
     return t.select("row_id", "p_brand_id", "c_mktsegment_id")
@@ -277,7 +278,7 @@ SELECT value, CAST(row_number() OVER (ORDER BY value) AS BIGINT) AS id
 FROM (SELECT DISTINCT concat_ws('|', coalesce(c_mktsegment, 'MISSING'), coalesce(o_orderpriority, 'MISSING')) AS value
       FROM nulled WHERE split = 'train')""")
 def q_f10(spark, sf):
-    d = fe.cross_features(_nulled(spark, sf).filter("split = 'train'"), [("c_mktsegment", "o_orderpriority")])
+    d = fe.cross_features(_nulled(spark, sf, "c_mktsegment", "o_orderpriority").filter("split = 'train'"), [("c_mktsegment", "o_orderpriority")])
     return fe.fit_vocab(d, "c_mktsegment_x_o_orderpriority").select("value", "id")
 
 
@@ -320,7 +321,7 @@ a AS (SELECT n.row_id, [CAST(n.l_extendedprice AS DOUBLE), CAST(n.c_acctbal AS D
 SELECT row_id, CAST(len(f) AS INTEGER) AS n_features,
        array_to_string(list_transform(f, lambda x: CAST(round(x, 2) AS VARCHAR)), ',') AS features FROM a""")
 def q_f09(spark, sf):
-    d = _nulled(spark, sf).select("row_id", F.array(F.col("l_extendedprice").cast("double"), F.col("c_acctbal")).alias("pair"),
+    d = _nulled(spark, sf, "l_extendedprice", "c_acctbal", "l_quantity").select("row_id", F.array(F.col("l_extendedprice").cast("double"), F.col("c_acctbal")).alias("pair"),
                                   F.coalesce(F.col("l_quantity"), F.lit(0.0)).alias("q"))
     a = fe.assemble(d, ["pair", "q"], "f")
     return a.select("row_id", F.size("f").alias("n_features"),

@@ -12,6 +12,7 @@ from helpers import SF_SMALL
 from tessera.functions import skew
 from tessera.operators import recommend as rec
 from tessera.operators import similarity as sim
+from tessera.operators import splits
 from tessera.operators import text as tx
 from tessera.plans import QUERIES
 from tessera.session import cut_lineage
@@ -143,3 +144,21 @@ def test_levels_of_a_cell_step_like_its_batches(spark):
     a, b = np.array([r.u for r in rows]), np.array([0 if r.i == 0 and n % 2 else r.i for n, r in enumerate(rows)])
     rare = b != 0
     assert rec._levels(a[rare], b[rare], 1500, 1500).max() < 0.4 * rare.sum() / rec.BATCH  # far fewer steps than batches
+
+
+@pytest.mark.parametrize("slice_rows", [20, 10_000])
+def test_stratified_split_shuffles_no_row(spark, monkeypatch, slice_rows):
+    monkeypatch.setattr(skew, "SLICE_ROWS", slice_rows)
+    # labels a and b are large, c is small; keys come twice (an odd number of test rows cuts a pair), one key ten times, some are null
+    rows = [(i // 2 if i < 400 else 500 if i < 410 else None if i < 415 else i, "a" if i < 300 else "b" if i < 690 else "c" if i < 700 else None, i) for i in range(710)]
+    d = cut_lineage(spark.createDataFrame(rows, "k long, g string, x long"))
+    s = splits.split_stratified(d, "g", ["k"], 0.2, 42)
+    assert "Exchange hashpartitioning" not in plan(s)
+    got = s.collect()
+    assert sorted(r.x for r in got) == list(range(700))
+    hexed = {k: h for k, h in d.select("k", F.md5(F.concat_ws("|", F.lit("42"), F.col("k").cast("string")))).distinct().collect()}
+    for g, n in (("a", 300), ("b", 390), ("c", 10)):
+        mine = [r for r in got if r.g == g]
+        test = sorted(hexed[r.k] for r in mine if r.split == "test")
+        assert len(mine) == n and test == sorted(hexed[r.k] for r in mine)[:-(-n // 5)]
+    assert sorted(map(str, s.collect())) == sorted(map(str, got))
