@@ -162,3 +162,47 @@ def test_stratified_split_shuffles_no_row(spark, monkeypatch, slice_rows):
         test = sorted(hexed[r.k] for r in mine if r.split == "test")
         assert len(mine) == n and test == sorted(hexed[r.k] for r in mine)[:-(-n // 5)]
     assert sorted(map(str, s.collect())) == sorted(map(str, got))
+
+
+def test_blocks_meet_in_waves_and_keep_the_best(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(u, i, float(rng.randint(1, 5))) for u in range(90) for i in range(25) if u == 0 or rng.random() < 0.25]
+    d = spark.createDataFrame(rows, "u long, i long, r double")
+    want = [(r.a, r.b, r["rank"], round(r.sim, 9)) for r in sim.top_k_cosine(d, "u", "i", "r", 3).collect()]
+    for name, value in (("BLOCK_RATINGS", 60), ("MIN_BLOCKS", 1), ("WAVE_BLOCKS", 3)):
+        monkeypatch.setattr(sim, name, value)
+    waves = []
+    monkeypatch.setattr(sim, "drop_stored", lambda spark, path, drop=sim.drop_stored: (waves.append(path), drop(spark, path)))
+    got = sim.top_k_cosine(d, "u", "i", "r", 3)
+    assert "Exchange" not in plan(got) and len(waves) > 2  # the states before the last one and the entities are gone
+    assert sorted((r.a, r.b, r["rank"], round(r.sim, 9)) for r in got.collect()) == sorted(want)
+
+
+@pytest.mark.parametrize("gathered", [30, 10_000])
+def test_recommendations_are_summed_where_ratings_arrive(spark, monkeypatch, gathered):
+    monkeypatch.setattr(rec, "PIECE_RATINGS", 7)
+    monkeypatch.setattr(rec, "GATHERED", gathered)
+    rng = random.Random(4)
+    have = {(u, i): float(rng.randint(1, 5)) for u in range(30) for i in range(40) if u == 3 or rng.random() < 0.3}
+    near = {u: rng.sample([v for v in range(30) if v != u], 3) for u in range(29)}
+    near = {(u, v): (j + 1) / 4 for u, vs in near.items() for j, v in enumerate(vs)}
+    train = spark.createDataFrame([*((u, i, r) for (u, i), r in have.items()), (5, None, 1.0), (5, 39, None), (None, 1, 2.0)], "u long, i long, r double")
+    neigh = spark.createDataFrame([(a, b, s) for (a, b), s in near.items()], "a long, b long, sim double")
+    d = rec.recommend(train, neigh, 4, "u", "i", "r")
+    assert not re.search(r"Exchange hashpartitioning\(u#\d+L, i#", plan(d))
+    # a null item is never seen, a null rating counts in the divisor and as seen
+    rows = [(r.u, r.i, r.r) for r in train.collect() if r.u is not None]
+    seen = {(u, i) for u, i, _ in rows if i is not None}
+    want = {}
+    for u in range(29):
+        sums = {}
+        for v, i, r in rows:
+            if (u, v) in near and (u, i) not in seen:
+                s = sums.setdefault(i, [None, 0.0])
+                s[1] += near[u, v]
+                if r is not None:
+                    s[0] = (s[0] or 0.0) + near[u, v] * r
+        best = sorted((-round(s[0] / s[1], 9), -1 if i is None else i) for i, s in sums.items() if s[0] is not None)[:4]
+        want |= {(u, n): (None if i < 0 else i, -s) for n, (s, i) in enumerate(best, 1)}
+    got = {(r.u, r["rank"]): (r.i, round(r.score, 9)) for r in d.collect()}
+    assert got == want
