@@ -206,3 +206,14 @@ def test_recommendations_are_summed_where_ratings_arrive(spark, monkeypatch, gat
         want |= {(u, n): (None if i < 0 else i, -s) for n, (s, i) in enumerate(best, 1)}
     got = {(r.u, r["rank"]): (r.i, round(r.score, 9)) for r in d.collect()}
     assert got == want
+
+
+def test_fm_rows_are_not_spilled_to_local_disks(spark, monkeypatch):
+    from pyspark.ml.classification import FMClassifier
+    from tessera.operators import models as md
+    d = spark.createDataFrame([(i, float(i % 2), i % 7 / 7.0, f"c{i % 3}") for i in range(60)], "id long, label double, x double, c string")
+    d = md.assemble_features(d, ["x"], ["c"], 8)
+    levels = []
+    monkeypatch.setattr(FMClassifier, "fit", lambda self, rows, fit=FMClassifier.fit: (levels.append(rows.storageLevel), fit(self, rows))[1])
+    s = md.ctr_fm(d, d, ["id"], "label", 2, 3)
+    assert s.count() == 60 and [(x.useMemory, x.useDisk) for x in levels] == [(True, False)]
